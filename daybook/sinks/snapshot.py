@@ -1,0 +1,49 @@
+"""Daily metric table with upsert by day (``dt, amount, create_time, update_time``).
+
+An upsert replaces only the days it carries (dynamic partition overwrite);
+untouched days stay.  ``create_time`` is kept from the first write of a day,
+``update_time`` is the time of the latest write.
+"""
+
+from __future__ import annotations
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from daybook.schema import DAILY_METRIC_SCHEMA
+
+
+class DailySnapshot:
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def read(self) -> DataFrame | None:
+        try:
+            df = self.spark.read.schema(DAILY_METRIC_SCHEMA).parquet(self.path)
+            df.schema  # resolve now: raises when nothing was written yet
+            return df
+        except AnalysisException:
+            return None
+
+    def upsert(self, totals: DataFrame, now: Column | None = None) -> None:
+        """``totals``: ``dt, amount`` (one row per day) -> replace those days."""
+        now = now if now is not None else F.current_timestamp()
+        rows = totals.select("dt", F.col("amount").cast("long").alias("amount"))
+        prev = self.read()
+        if prev is not None:
+            created = prev.join(rows.select("dt"), "dt", "left_semi").select("dt", "create_time")
+            rows = rows.join(created, "dt", "left")
+        else:
+            rows = rows.withColumn("create_time", F.lit(None).cast("timestamp"))
+        out = rows.select("dt", "amount", F.coalesce("create_time", now).alias("create_time"),
+                          now.alias("update_time"))
+        # the write replaces files this plan reads: cut the lineage first
+        out = out.checkpoint(eager=True)
+        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("dt").parquet(self.path))
+
+    def amounts(self) -> DataFrame:
+        df = self.read()
+        if df is None:
+            return self.spark.createDataFrame([], "dt date, amount bigint")
+        return df.select("dt", "amount")
