@@ -25,6 +25,18 @@ def wire_struct(value: Column) -> Column:
     return F.from_json(value, WIRE_SCHEMA)
 
 
+def parse_once(df: DataFrame, cols: list, parsed: Column, name: str = "_j") -> DataFrame:
+    """``cols`` plus ``parsed`` as column ``name``, evaluated exactly once per row.
+
+    The value goes through a one-element ``inline`` (a Generate node).
+    Predicates on fields of the parsed struct cannot be pushed below a
+    Generate, so a later filter does not re-run the parse inside the filter
+    condition (a filter pushed through a plain projection would inline and
+    repeat it).
+    """
+    return df.select(*cols, F.inline(F.array(F.struct(parsed.alias(name)))))
+
+
 def _leaf(j: Column, name: str) -> Column:
     if name in ("dataType", "reportTime"):
         return j[name]
@@ -58,9 +70,11 @@ def parse_events(raw: DataFrame, value: str = "value",
     them with :mod:`daybook.operators.quality` where that matters.
     """
     keep = list(keep or [])
-    j = wire_struct(F.col(value))
     ing = F.col(ingest_ts) if ingest_ts and ingest_ts in raw.columns else None
-    flat = raw.select(*keep, *flat_columns(j), *([ing.alias("_ingest")] if ing is not None else []))
+    parsed = parse_once(raw, keep + ([ing.alias("_ingest")] if ing is not None else []),
+                        wire_struct(F.col(value)))
+    flat = parsed.select(*keep, *flat_columns(F.col("_j")),
+                         *(["_ingest"] if ing is not None else []))
     ts = event_time(F.col("reportTime"), F.col("_ingest") if ing is not None else None)
     out = flat.withColumn("event_ts", ts).withColumn("dt", F.to_date("event_ts"))
     return out.drop("_ingest") if ing is not None else out

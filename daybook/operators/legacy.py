@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from daybook.functions.codec import parse_once
 from daybook.schema import (BLOCK_OF, BLOCKS, BOOLEAN_COLUMNS, DOUBLE_COLUMNS,
                             LEGACY_FIELDS, LEGACY_LABELS, LEGACY_SEP)
 
@@ -67,8 +68,8 @@ def legacy_records(raw: DataFrame, value: str = "value", keep: list[str] | None
     assemble the line of the row's label.
     """
     keep = list(keep or [])
-    parsed = raw.select(*keep, F.col(value).alias("_text"),
-                        F.from_json(F.col(value), LEGACY_SCHEMA).alias("_j"))
+    parsed = parse_once(raw, keep + [F.col(value).alias("_text")],
+                        F.from_json(F.col(value), LEGACY_SCHEMA))
     j = F.col("_j")
     label_node = j["dataType"]
     label = F.when(F.schema_of_variant(label_node) == "STRING", label_node.cast("string"))

@@ -7,7 +7,7 @@ task holding a third of the data.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 
 def page_views(flat: DataFrame) -> DataFrame:
@@ -71,3 +71,29 @@ def filter_counts(flat: DataFrame, batch: str = "batch") -> DataFrame:
     both = (per.select(batch, "n", F.lit(0).cast("long").alias("kept"))
             .unionByName(first.select(batch, F.lit(0).cast("long").alias("n"), "kept")))
     return both.groupBy(batch).agg(F.sum("n").alias("before_n"), F.sum("kept").alias("after_n"))
+
+
+def _running(increments: DataFrame, batch: str) -> DataFrame:
+    """Per ``batch, dt`` increments -> running totals after each batch, for
+    the days that batch touched.  Input is already one row per batch and
+    day, so the window sorts a days x batches table."""
+    w = (Window.partitionBy("dt").orderBy(batch)
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return increments.select(batch, "dt", F.sum("n").over(w).alias("amount"))
+
+
+def pv_running(flat: DataFrame, batch: str = "batch") -> DataFrame:
+    """``batch, dt, amount``: the page-view total of each day after each
+    batch that touched it (what a running streaming count emits)."""
+    inc = page_views(flat).groupBy(batch, "dt").agg(F.count(F.lit(1)).alias("n"))
+    return _running(inc, batch)
+
+
+def uv_running(flat: DataFrame, batch: str = "batch") -> DataFrame:
+    """``batch, dt, amount``: distinct visitors of each day after each batch
+    that brought a new visitor to it; a visitor counts in the first batch
+    it appears in."""
+    first = (visitor_rows(flat, [batch]).groupBy("dt", "unionid")
+             .agg(F.min(batch).alias(batch)))
+    inc = first.groupBy(batch, "dt").agg(F.count(F.lit(1)).alias("n"))
+    return _running(inc, batch)

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from daybook.functions.codec import event_time, flat_columns
+from daybook.functions.codec import event_time, flat_columns, parse_once
 from daybook.schema import (ADDR_FIELDS, CORRUPT_COLUMN, LOGIN_FIELDS,
                             WIRE_SCHEMA_WITH_CORRUPT)
 
@@ -44,8 +44,8 @@ def parse_checked(raw: DataFrame, value: str = "value", keep: list[str] | None =
     """
     keep = list(keep or [])
     j = F.from_json(F.col(value), WIRE_SCHEMA_WITH_CORRUPT, PARSE_OPTIONS)
-    parsed = raw.select(*keep, F.col(ingest_ts).alias("ingest_ts"),
-                        F.col(value).alias("raw_value"), j.alias("_j"))
+    parsed = parse_once(raw, keep + [F.col(ingest_ts).alias("ingest_ts"),
+                                     F.col(value).alias("raw_value")], j)
     out = parsed.select(*keep, "ingest_ts", "raw_value", *flat_columns(F.col("_j")),
                         reason_of(F.col("raw_value"), F.col("_j")).alias("reason"))
     return (out.withColumn("event_ts", event_time(F.col("reportTime"), F.col("ingest_ts")))

@@ -7,10 +7,10 @@ untouched days stay.  ``create_time`` is kept from the first write of a day,
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from daybook.schema import DAILY_METRIC_SCHEMA
+from daybook.session import path_exists
 
 
 class DailySnapshot:
@@ -18,12 +18,9 @@ class DailySnapshot:
         self.spark, self.path = spark, path
 
     def read(self) -> DataFrame | None:
-        try:
-            df = self.spark.read.schema(DAILY_METRIC_SCHEMA).parquet(self.path)
-            df.schema  # resolve now: raises when nothing was written yet
-            return df
-        except AnalysisException:
+        if not path_exists(self.spark, self.path):
             return None
+        return self.spark.read.schema(DAILY_METRIC_SCHEMA).parquet(self.path)
 
     def upsert(self, totals: DataFrame, now: Column | None = None) -> None:
         """``totals``: ``dt, amount`` (one row per day) -> replace those days."""
@@ -37,8 +34,11 @@ class DailySnapshot:
             rows = rows.withColumn("create_time", F.lit(None).cast("timestamp"))
         out = rows.select("dt", "amount", F.coalesce("create_time", now).alias("create_time"),
                           now.alias("update_time"))
-        # the write replaces files this plan reads: cut the lineage first
+        # the write replaces files this plan reads: cut the lineage first (this
+        # also computes a streaming micro-batch exactly once)
         out = out.checkpoint(eager=True)
+        if out.isEmpty():
+            return
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("dt").parquet(self.path))
 

@@ -1,16 +1,16 @@
 """Seen-visitor store: the visitors of each day, ``dt, unionid``, unique per day.
 
 ``add`` keeps only the visitors a batch brings that the store does not have
-yet for their day, appends them and returns them.  Re-adding a batch after a
+yet for their day, appends them and returns their count.  Re-adding a batch after a
 failure appends nothing new.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from daybook.operators.metrics import new_visitors
+from daybook.session import path_exists
 
 SEEN_SCHEMA = T.StructType([T.StructField("unionid", T.StringType()),
                             T.StructField("dt", T.DateType())])
@@ -21,15 +21,17 @@ class SeenVisitors:
         self.spark, self.path = spark, path
 
     def read(self) -> DataFrame | None:
-        try:
-            df = self.spark.read.schema(SEEN_SCHEMA).parquet(self.path)
-            df.schema
-            return df
-        except AnalysisException:
+        if not path_exists(self.spark, self.path):
             return None
+        return self.spark.read.schema(SEEN_SCHEMA).parquet(self.path)
 
-    def add(self, visitors: DataFrame) -> DataFrame:
-        """Store the new ``dt, unionid`` of ``visitors``; return them."""
+    def add(self, visitors: DataFrame) -> int:
+        """Store the new ``dt, unionid`` of ``visitors``; return how many.
+
+        Appending to the folder the anti-join reads is safe: new files are
+        committed after the job has read the old ones.  The count comes from
+        an observation of the written rows (no extra job).
+        """
         fresh = visitors.select("dt", "unionid").where(F.col("unionid").isNotNull())
         known = self.read()
         if known is not None:
@@ -39,9 +41,10 @@ class SeenVisitors:
             new = new_visitors(fresh, known)
         else:
             new = fresh.dropDuplicates(["dt", "unionid"])
-        new = new.checkpoint(eager=True)
-        new.write.mode("append").partitionBy("dt").parquet(self.path)
-        return new
+        seen = Observation("new_visitors")
+        (new.observe(seen, F.count(F.lit(1)).alias("n"))
+         .write.mode("append").partitionBy("dt").parquet(self.path))
+        return int(seen.get["n"])
 
     def visitors(self) -> DataFrame:
         df = self.read()

@@ -19,7 +19,9 @@ from pyspark.sql import DataFrame, functions as F
 from daybook.functions.codec import parse_events
 from daybook.operators.identity import identity_outbox
 from daybook.operators.quality import bad_rows, good_rows, parse_checked
+from daybook.schema import KAFKA_SCHEMA
 from daybook.sinks.snapshot import DailySnapshot
+from daybook.sources.kafka import kafka_rows
 from daybook.sources.ledger import OffsetLedger
 
 DAY = "1 day"
@@ -75,11 +77,24 @@ def start_snapshot_query(updates: DataFrame, snapshot: DailySnapshot, checkpoint
     return _with_trigger(w, trigger).start()
 
 
+def drain_available(spark, source: str, updates_of, snapshot: DailySnapshot,
+                    checkpoint: str):
+    """Process every Kafka-shaped file now in ``source`` (``availableNow``),
+    resuming from ``checkpoint``; return the finished query (for its
+    progress reports)."""
+    live = kafka_rows(spark.readStream.schema(KAFKA_SCHEMA).parquet(source))
+    q = start_snapshot_query(updates_of(parse_stream(live)), snapshot, checkpoint,
+                             trigger={"availableNow": True})
+    q.awaitTermination()
+    return q
+
+
 def fan_out_batch(batch: DataFrame, batch_id: int, out_dir: str,
                   ledger: OffsetLedger | None = None) -> None:
     """Parse one micro-batch once; write quarantine, outbox and offsets."""
     keep = [c for c in ("topic", "partition", "offset") if c in batch.columns]
-    checked = parse_checked(batch, keep=keep).persist()
+    arrival = "ingest_ts" if "ingest_ts" in batch.columns else "timestamp"
+    checked = parse_checked(batch, keep=keep, ingest_ts=arrival).persist()
     try:
         observed = checked.observe(
             f"batch_{batch_id}",
