@@ -9,11 +9,11 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from daybook.functions.text import (empty_to_null, from_marker, null_marker,
                                     sanitize)
-from daybook.schema import (BLOCK_OF, BOOLEAN_COLUMNS, DOUBLE_COLUMNS,
+from daybook.schema import (BLOCK_OF, BLOCKS, BOOLEAN_COLUMNS, DOUBLE_COLUMNS,
                             FLAT_COLUMNS, FLAT_SCHEMA, LINE_SEP, NULL_TEXT,
                             WIRE_SCHEMA, flat_type)
 
@@ -51,8 +51,22 @@ def typed_leaf(text: Column, name: str) -> Column:
     return t
 
 
-def flat_columns(j: Column) -> list[Column]:
-    return [typed_leaf(_leaf(j, c), c).alias(c) for c in FLAT_COLUMNS]
+def flat_columns(j: Column, columns: list[str] | None = None) -> list[Column]:
+    return [typed_leaf(_leaf(j, c), c).alias(c) for c in (columns or FLAT_COLUMNS)]
+
+
+def wire_schema_for(columns: list[str] | None) -> T.StructType:
+    """The wire schema cut down to the leaves of ``columns`` (all if None)."""
+    if columns is None:
+        return WIRE_SCHEMA
+    want = set(columns)
+    top = [T.StructField(c, T.StringType()) for c in ("dataType", "reportTime") if c in want]
+    blocks = []
+    for b, fs in BLOCKS.items():
+        keep = [T.StructField(f, T.StringType()) for f in fs if f in want]
+        if keep:
+            blocks.append(T.StructField(b, T.StructType(keep)))
+    return T.StructType(top + ([T.StructField("data", T.StructType(blocks))] if blocks else []))
 
 
 def event_time(report_time: Column, ingest_ts: Column | None = None) -> Column:
@@ -63,17 +77,24 @@ def event_time(report_time: Column, ingest_ts: Column | None = None) -> Column:
 
 def parse_events(raw: DataFrame, value: str = "value",
                  keep: list[str] | None = None,
-                 ingest_ts: str | None = "ingest_ts") -> DataFrame:
-    """Wire JSON -> ``keep`` columns + 22 flat columns + ``event_ts`` + ``dt``.
-
-    Rows whose JSON does not parse come out with all flat columns NULL; route
-    them with :mod:`daybook.operators.quality` where that matters.
+                 ingest_ts: str | None = "ingest_ts",
+                 columns: list[str] | None = None) -> DataFrame:
+    """Wire JSON -> ``keep`` columns + flat columns + ``event_ts`` + ``dt``.
+
+    ``columns`` names the flat columns a query reads (default: all 22); the
+    JSON is parsed against a schema of just those leaves (plus
+    ``reportTime`` for the event day), which halves the parse cost of a
+    metrics query.  Rows whose JSON does not parse come out with all flat
+    columns NULL; route them with :mod:`daybook.operators.quality` where that
+    matters.
     """
     keep = list(keep or [])
+    if columns is not None:
+        columns = [c for c in FLAT_COLUMNS if c in set(columns) | {"reportTime"}]
     ing = F.col(ingest_ts) if ingest_ts and ingest_ts in raw.columns else None
     parsed = parse_once(raw, keep + ([ing.alias("_ingest")] if ing is not None else []),
-                        wire_struct(F.col(value)))
-    flat = parsed.select(*keep, *flat_columns(F.col("_j")),
+                        F.from_json(F.col(value), wire_schema_for(columns)))
+    flat = parsed.select(*keep, *flat_columns(F.col("_j"), columns),
                          *(["_ingest"] if ing is not None else []))
     ts = event_time(F.col("reportTime"), F.col("_ingest") if ing is not None else None)
     out = flat.withColumn("event_ts", ts).withColumn("dt", F.to_date("event_ts"))

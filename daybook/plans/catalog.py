@@ -33,9 +33,15 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixtures.load_events(spark, sf_dir)
 
 
-def flat_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Wire JSON of every event, parsed: ``event_id, batch``, 22 columns, ``event_ts, dt``."""
-    return parse_events(fixtures.wire_events(events(spark, sf_dir)), keep=["event_id", "batch"])
+def flat_events(spark: SparkSession, sf_dir: str, columns: list[str] | None = None) -> DataFrame:
+    """Wire JSON of every event, parsed: ``event_id, batch``, the flat
+    ``columns`` (default all 22), ``event_ts, dt``."""
+    return parse_events(fixtures.wire_events(events(spark, sf_dir)), keep=["event_id", "batch"],
+                        columns=columns)
+
+
+PAGE, VISITOR = ["pageUrl"], ["unionid"]
+IDENTITY = ["dataType", "unionid", "openid", "userid", "phoneNo"]
 
 
 def day_text(df: DataFrame, col: str = "dt") -> DataFrame:
@@ -92,55 +98,55 @@ _ID_COLS = ["event_id", "dataType", "unionid", "openid", "userid", "phoneNo"]
 
 
 def q_identity_eligible(spark, sf_dir):
-    return identity.identity_eligible(flat_events(spark, sf_dir)).select(*_ID_COLS)
+    return identity.identity_eligible(flat_events(spark, sf_dir, IDENTITY)).select(*_ID_COLS)
 
 
 def q_identity_eligible_observed(spark, sf_dir):
-    return identity.identity_eligible(flat_events(spark, sf_dir), "observed").select(*_ID_COLS)
+    return identity.identity_eligible(flat_events(spark, sf_dir, IDENTITY), "observed").select(*_ID_COLS)
 
 
 def q_identity_outbox(spark, sf_dir):
-    return identity.identity_outbox(flat_events(spark, sf_dir), keep=["event_id"])
+    return identity.identity_outbox(flat_events(spark, sf_dir, IDENTITY), keep=["event_id"])
 
 
 def q_reply_audit(spark, sf_dir):
-    outbox = identity.identity_outbox(flat_events(spark, sf_dir), keep=["event_id"])
+    outbox = identity.identity_outbox(flat_events(spark, sf_dir, IDENTITY), keep=["event_id"])
     return identity.reply_audit(fixtures.identity_replies(outbox))
 
 
 # --- filters, metrics, de-duplication ----------------------------------------
 
 def q_page_views(spark, sf_dir):
-    return day_text(metrics.page_views(flat_events(spark, sf_dir))
+    return day_text(metrics.page_views(flat_events(spark, sf_dir, PAGE))
                     .select("event_id", "dt", "pageUrl"))
 
 
 def q_visitor_rows(spark, sf_dir):
-    return day_text(metrics.visitor_rows(flat_events(spark, sf_dir)))
+    return day_text(metrics.visitor_rows(flat_events(spark, sf_dir, VISITOR)))
 
 
 def q_pv_daily(spark, sf_dir):
-    return day_text(metrics.pv_daily(flat_events(spark, sf_dir)))
+    return day_text(metrics.pv_daily(flat_events(spark, sf_dir, PAGE)))
 
 
 def q_uv_daily(spark, sf_dir):
-    return day_text(metrics.uv_daily(flat_events(spark, sf_dir)))
+    return day_text(metrics.uv_daily(flat_events(spark, sf_dir, VISITOR)))
 
 
 def q_uv_daily_observed(spark, sf_dir):
-    return day_text(metrics.uv_daily_observed(flat_events(spark, sf_dir)))
+    return day_text(metrics.uv_daily_observed(flat_events(spark, sf_dir, VISITOR)))
 
 
 def q_batch_dedup(spark, sf_dir):
-    return day_text(metrics.batch_dedup(flat_events(spark, sf_dir)))
+    return day_text(metrics.batch_dedup(flat_events(spark, sf_dir, VISITOR)))
 
 
 def q_new_visitors(spark, sf_dir):
-    return day_text(metrics.new_visitors_in(flat_events(spark, sf_dir), fixtures.N_BATCHES - 1))
+    return day_text(metrics.new_visitors_in(flat_events(spark, sf_dir, VISITOR), fixtures.N_BATCHES - 1))
 
 
 def q_filter_counts(spark, sf_dir):
-    return metrics.filter_counts(flat_events(spark, sf_dir))
+    return metrics.filter_counts(flat_events(spark, sf_dir, VISITOR))
 
 
 def q_seen_visitors(spark, sf_dir):
@@ -148,7 +154,7 @@ def q_seen_visitors(spark, sf_dir):
     rows are parsed once into a staging table partitioned by batch; each
     batch then reads only its own partition."""
     base = run_dir(spark, "seen_visitors")
-    (metrics.visitor_rows(flat_events(spark, sf_dir), ["batch"])
+    (metrics.visitor_rows(flat_events(spark, sf_dir, VISITOR), ["batch"])
      .write.mode("overwrite").partitionBy("batch").parquet(f"{base}/input"))
     staged = spark.read.parquet(f"{base}/input")
     store = SeenVisitors(spark, f"{base}/store")
@@ -163,7 +169,8 @@ def _replayed_snapshot(spark, sf_dir, running_of, name: str) -> DataFrame:
     """Replay the batches in order: after batch b, upsert the running totals
     of the days batch b touched, as the streaming job does.  The running
     totals (days x batches rows) are computed in one pass and checkpointed."""
-    running = running_of(flat_events(spark, sf_dir)).checkpoint(eager=True)
+    columns = PAGE if running_of is metrics.pv_running else VISITOR
+    running = running_of(flat_events(spark, sf_dir, columns)).checkpoint(eager=True)
     snap = DailySnapshot(spark, run_dir(spark, name))
     for b in range(fixtures.N_BATCHES):
         snap.upsert(running.where(F.col("batch") == b).select("dt", "amount"))
@@ -191,14 +198,10 @@ def q_daily_archive(spark, sf_dir):
 N_ARRIVALS = 4
 
 
-def _streamed_totals(spark, sf_dir, updates_of, name: str) -> DataFrame:
-    """Events arrive in ``N_ARRIVALS`` time-ordered drops of Kafka-shaped
-    files; after each drop the streaming query runs (``availableNow``) from
-    its checkpoint, upserting running day totals into a snapshot table."""
-    ev = events(spark, sf_dir)
-    base = run_dir(spark, name)
-    src, snap = f"{base}/source", DailySnapshot(spark, f"{base}/snapshot")
-    rows = fixtures.kafka_events(ev)
+def _arrivals(spark, sf_dir, src: str):
+    """Yield after each of ``N_ARRIVALS`` time-ordered drops of Kafka-shaped
+    files into ``src`` (the bounds of event time come from one aggregate)."""
+    rows = fixtures.kafka_events(events(spark, sf_dir))
     micros = F.unix_micros("timestamp")
     lo, hi = rows.agg(F.min(micros), F.max(micros)).first()
     width = max(1, (hi - lo) // N_ARRIVALS + 1)
@@ -206,16 +209,29 @@ def _streamed_totals(spark, sf_dir, updates_of, name: str) -> DataFrame:
     for k in range(N_ARRIVALS):
         (rows.where(F.col("arrival") == k).select(*KAFKA_SCHEMA.fieldNames())
          .write.mode("append").parquet(src))
-        stream.drain_available(spark, src, updates_of, snap, f"{base}/checkpoint")
-    return day_text(snap.amounts())
+        yield k
 
 
 def q_pv_daily_stream(spark, sf_dir):
-    return _streamed_totals(spark, sf_dir, stream.pv_updates, "pv_stream")
+    """Events arrive in time-ordered drops; after each drop the streaming
+    query runs (``availableNow``) from its checkpoint: one-day windows with a
+    watermark, update mode, upserted into a snapshot table."""
+    base = run_dir(spark, "pv_stream")
+    snap = DailySnapshot(spark, f"{base}/snapshot")
+    for _ in _arrivals(spark, sf_dir, f"{base}/source"):
+        stream.drain_available(spark, f"{base}/source", stream.pv_updates, snap,
+                               f"{base}/checkpoint")
+    return day_text(snap.amounts())
 
 
 def q_uv_daily_stream(spark, sf_dir):
-    return _streamed_totals(spark, sf_dir, stream.uv_updates, "uv_stream")
+    """As ``pv_daily_stream``; visitors go through the seen-visitor store."""
+    base = run_dir(spark, "uv_stream")
+    snap = DailySnapshot(spark, f"{base}/snapshot")
+    store = SeenVisitors(spark, f"{base}/seen")
+    for _ in _arrivals(spark, sf_dir, f"{base}/source"):
+        stream.drain_uv_store(spark, f"{base}/source", store, snap, f"{base}/checkpoint")
+    return day_text(snap.amounts())
 
 
 # --- legacy ------------------------------------------------------------------

@@ -7,6 +7,8 @@
 * :func:`start_snapshot_query` - update mode into :class:`DailySnapshot`
   through ``foreachBatch``; the upsert is keyed by day, so replaying a batch
   after a failure leaves the table as it was.
+* :func:`start_uv_store_query` - running UV kept in the seen-visitor store
+  instead of streaming state: skew-safe and idempotent, no watermark.
 * :func:`start_fan_out` - one ``foreachBatch`` that parses each micro-batch
   once and feeds quarantine, identity outbox and offset ledger, each write
   keyed by ``batch_id`` (idempotent on replay).
@@ -18,9 +20,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from daybook.functions.codec import parse_events
 from daybook.operators.identity import identity_outbox
+from daybook.operators.metrics import visitor_rows
 from daybook.operators.quality import bad_rows, good_rows, parse_checked
 from daybook.schema import KAFKA_SCHEMA
 from daybook.sinks.snapshot import DailySnapshot
+from daybook.sinks.visitors import SeenVisitors
 from daybook.sources.kafka import kafka_rows
 from daybook.sources.ledger import OffsetLedger
 
@@ -77,13 +81,53 @@ def start_snapshot_query(updates: DataFrame, snapshot: DailySnapshot, checkpoint
     return _with_trigger(w, trigger).start()
 
 
+def uv_store_step(batch: DataFrame, store: SeenVisitors, snapshot: DailySnapshot) -> None:
+    """One micro-batch of running UV through the seen-visitor store.
+
+    The micro-batch is a plain batch plan here, so its visitors are reduced
+    to distinct ``dt, unionid`` with a partial aggregation before any
+    shuffle (a visitor holding a third of the rows costs one hash entry per
+    task).  New visitors go into the store; the days the batch touched are
+    then recounted from the store (a row count per day partition) and
+    upserted.  Replaying a batch adds nothing and recounts the same totals.
+    No watermark is needed: a late visitor still counts for its own day.
+    """
+    visitors = visitor_rows(batch).dropDuplicates(["dt", "unionid"]).persist()
+    try:
+        store.add(visitors)
+        touched = visitors.select("dt").distinct()
+        counts = (store.visitors().join(touched, "dt", "left_semi")
+                  .groupBy("dt").agg(F.count(F.lit(1)).alias("amount")))
+        snapshot.upsert(counts)
+    finally:
+        visitors.unpersist()
+
+
+def start_uv_store_query(flat: DataFrame, store: SeenVisitors, snapshot: DailySnapshot,
+                         checkpoint: str, trigger: dict | None = None):
+    w = (flat.writeStream.foreachBatch(lambda df, bid: uv_store_step(df, store, snapshot))
+         .option("checkpointLocation", checkpoint))
+    return _with_trigger(w, trigger).start()
+
+
+def kafka_file_stream(spark, source: str) -> DataFrame:
+    """Parsed stream over Kafka-shaped parquet files arriving in ``source``."""
+    return parse_stream(kafka_rows(spark.readStream.schema(KAFKA_SCHEMA).parquet(source)))
+
+
 def drain_available(spark, source: str, updates_of, snapshot: DailySnapshot,
                     checkpoint: str):
-    """Process every Kafka-shaped file now in ``source`` (``availableNow``),
-    resuming from ``checkpoint``; return the finished query (for its
-    progress reports)."""
-    live = kafka_rows(spark.readStream.schema(KAFKA_SCHEMA).parquet(source))
-    q = start_snapshot_query(updates_of(parse_stream(live)), snapshot, checkpoint,
+    """Process every file now in ``source`` (``availableNow``), resuming from
+    ``checkpoint``; return the finished query (for its progress reports)."""
+    q = start_snapshot_query(updates_of(kafka_file_stream(spark, source)), snapshot, checkpoint,
+                             trigger={"availableNow": True})
+    q.awaitTermination()
+    return q
+
+
+def drain_uv_store(spark, source: str, store: SeenVisitors, snapshot: DailySnapshot,
+                   checkpoint: str):
+    q = start_uv_store_query(kafka_file_stream(spark, source), store, snapshot, checkpoint,
                              trigger={"availableNow": True})
     q.awaitTermination()
     return q
