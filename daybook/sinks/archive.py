@@ -42,3 +42,15 @@ def start_archive_stream(lines: DataFrame, path: str, checkpoint: str, trigger=N
     w = (lines.writeStream.format("text").partitionBy("dt").option("path", path)
          .option("checkpointLocation", checkpoint).outputMode("append"))
     return (w.trigger(**trigger) if trigger else w).start()
+
+
+def write_legacy_lines(records: DataFrame, path: str, day=None, mode: str = "append") -> None:
+    """Good legacy lines of all three labels as text under ``dt=<day>``.
+
+    ``records`` come from :func:`daybook.operators.legacy.legacy_records`;
+    ``day`` defaults to today.  A dated folder keeps batches from colliding
+    on one fixed path.
+    """
+    d = F.lit(day).cast("date") if day is not None else F.current_date()
+    (records.where(F.col("status") == "ok").select(F.col("line").alias("value"), d.alias("dt"))
+     .write.mode(mode).partitionBy("dt").text(path))

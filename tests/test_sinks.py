@@ -88,3 +88,13 @@ def test_kafka_options():
     assert o["subscribe"] == "a,b" and o["startingOffsets"] == "latest"
     assert o["maxOffsetsPerTrigger"] == "1000" and "kafka.bootstrap.servers" in o
     assert kafka_options("b", "a", starting_offsets='{"a":{"0":5}}')["startingOffsets"] == '{"a":{"0":5}}'
+
+
+def test_legacy_lines_written_by_day(spark, events, workdir):
+    from daybook.operators.legacy import legacy_records
+    from daybook.sinks.archive import write_legacy_lines
+    rec = legacy_records(fixtures.legacy_events(events))
+    write_legacy_lines(rec, f"{workdir}/legacy", day="2024-01-05")
+    back = read_archive(spark, f"{workdir}/legacy")
+    assert back.count() == rec.where("status = 'ok'").count()
+    assert {r["dt"] for r in back.select("dt").distinct().collect()} == {dt.date(2024, 1, 5)}
