@@ -38,7 +38,10 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
 
 
 def start_archive_stream(lines: DataFrame, path: str, checkpoint: str, trigger=None):
-    """Streaming file sink: exactly-once through its metadata log."""
+    """Streaming file sink: exactly-once through its metadata log.  The
+    streaming text sink takes the partition column as text; the folders are
+    the same ``dt=yyyy-MM-dd``."""
+    lines = lines.withColumn("dt", F.col("dt").cast("string"))
     w = (lines.writeStream.format("text").partitionBy("dt").option("path", path)
          .option("checkpointLocation", checkpoint).outputMode("append"))
     return (w.trigger(**trigger) if trigger else w).start()

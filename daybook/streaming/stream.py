@@ -31,9 +31,13 @@ from daybook.sources.ledger import OffsetLedger
 DAY = "1 day"
 
 
-def parse_stream(raw: DataFrame, value: str = "value") -> DataFrame:
-    """Streaming rows -> flat columns with ``event_ts`` (a timestamp)."""
+def parse_stream(raw: DataFrame, value: str = "value", keep_arrival: bool = False) -> DataFrame:
+    """Streaming rows -> flat columns with ``event_ts`` (a timestamp).
+    ``keep_arrival`` also keeps ``ingest_ts`` (the archive files by it)."""
     keep = [c for c in raw.columns if c not in (value, "ingest_ts")]
+    if keep_arrival:
+        return parse_events(raw.withColumn("_arrival", F.col("ingest_ts")), value=value,
+                            keep=keep + ["_arrival"]).withColumnRenamed("_arrival", "ingest_ts")
     return parse_events(raw, value=value, keep=keep)
 
 

@@ -97,3 +97,16 @@ def test_uv_store_stream_counts_late_visitors_and_replays(spark, workdir):
     flat = stream.parse_stream(stream.kafka_rows(batch))
     stream.uv_store_step(flat, store, snap)
     assert {r["dt"]: r["amount"] for r in snap.amounts().collect()} == want
+
+
+def test_archive_stream_exactly_once(spark, events, workdir):
+    from daybook.sinks.archive import archive_lines, read_archive, start_archive_stream
+    src = f"{workdir}/src"
+    fixtures.kafka_events(events).select(*KAFKA_SCHEMA.fieldNames()).write.parquet(src)
+    flat = stream.parse_stream(stream.kafka_rows(spark.readStream.schema(KAFKA_SCHEMA).parquet(src)),
+                               keep_arrival=True)
+    for _ in range(2):      # a restart over the same checkpoint writes nothing twice
+        q = start_archive_stream(archive_lines(flat), f"{workdir}/archive", f"{workdir}/ck",
+                                 trigger={"availableNow": True})
+        q.awaitTermination()
+    assert read_archive(spark, f"{workdir}/archive").count() == events.count()
