@@ -8,14 +8,10 @@ than funnelled through one writer.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from daybook.functions.codec import encode_line
 
-ARCHIVE_SCHEMA = T.StructType([T.StructField("value", T.StringType()),
-                               T.StructField("dt", T.DateType())])
-
-
 def archive_lines(flat: DataFrame, arrival: str = "ingest_ts", clean: bool = True,
                   legacy_suffix: bool = False) -> DataFrame:
     """``dt, value``.  ``legacy_suffix`` adds the ``", "`` the reference's
@@ -33,8 +29,9 @@ def write_archive(lines: DataFrame, path: str, mode: str = "append",
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
-    """``value, dt``; a filter on ``dt`` prunes partitions."""
-    return spark.read.schema(ARCHIVE_SCHEMA).text(path)
+    """``value, dt``; a filter on ``dt`` prunes partitions.  Works for both
+    batch-written folders and the streaming sink's (metadata-logged) ones."""
+    return spark.read.text(path).select("value", F.col("dt").cast("date").alias("dt"))
 
 
 def start_archive_stream(lines: DataFrame, path: str, checkpoint: str, trigger=None):
