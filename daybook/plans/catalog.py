@@ -225,12 +225,12 @@ def q_pv_daily_stream(spark, sf_dir):
 
 
 def q_uv_daily_stream(spark, sf_dir):
-    """As ``pv_daily_stream``; visitors go through the seen-visitor store."""
+    """As ``pv_daily_stream``; a streaming aggregation per (day, visitor)
+    finds each batch's new visitors, added to the snapshot by batch id."""
     base = run_dir(spark, "uv_stream")
     snap = DailySnapshot(spark, f"{base}/snapshot")
-    store = SeenVisitors(spark, f"{base}/seen")
     for _ in _arrivals(spark, sf_dir, f"{base}/source"):
-        stream.drain_uv_store(spark, f"{base}/source", store, snap, f"{base}/checkpoint")
+        stream.drain_uv_state(spark, f"{base}/source", snap, f"{base}/checkpoint")
     return day_text(snap.amounts())
 
 

@@ -73,6 +73,10 @@ DAILY_METRIC_SCHEMA = T.StructType([
     T.StructField("amount", T.LongType()),
     T.StructField("create_time", T.TimestampType()),
     T.StructField("update_time", T.TimestampType()),
+    # set by increment writes: the batch that wrote the row and the amount
+    # before it, so a replayed batch recomputes instead of adding twice
+    T.StructField("batch_id", T.LongType()),
+    T.StructField("base_amount", T.LongType()),
 ])
 
 LEDGER_SCHEMA = T.StructType([

@@ -1,7 +1,8 @@
 """Daily metric table with upsert by day (``dt, amount, create_time, update_time``).
 
 An upsert replaces only the days it carries (dynamic partition overwrite);
-untouched days stay.  ``create_time`` is kept from the first write of a day,
+untouched days stay.  ``add`` applies per-batch increments instead of totals,
+idempotently per batch id.  ``create_time`` is kept from the first write of a day,
 ``update_time`` is the time of the latest write.
 """
 
@@ -22,18 +23,11 @@ class DailySnapshot:
             return None
         return self.spark.read.schema(DAILY_METRIC_SCHEMA).parquet(self.path)
 
-    def upsert(self, totals: DataFrame, now: Column | None = None) -> None:
-        """``totals``: ``dt, amount`` (one row per day) -> replace those days."""
-        now = now if now is not None else F.current_timestamp()
-        rows = totals.select("dt", F.col("amount").cast("long").alias("amount"))
+    def _previous(self, days: DataFrame) -> DataFrame | None:
         prev = self.read()
-        if prev is not None:
-            created = prev.join(rows.select("dt"), "dt", "left_semi").select("dt", "create_time")
-            rows = rows.join(created, "dt", "left")
-        else:
-            rows = rows.withColumn("create_time", F.lit(None).cast("timestamp"))
-        out = rows.select("dt", "amount", F.coalesce("create_time", now).alias("create_time"),
-                          now.alias("update_time"))
+        return None if prev is None else prev.join(days, "dt", "left_semi")
+
+    def _write(self, out: DataFrame) -> None:
         # the write replaces files this plan reads: cut the lineage first (this
         # also computes a streaming micro-batch exactly once)
         out = out.checkpoint(eager=True)
@@ -42,6 +36,40 @@ class DailySnapshot:
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("dt").parquet(self.path))
 
+    def upsert(self, totals: DataFrame, now: Column | None = None) -> None:
+        """``totals``: ``dt, amount`` (one row per day) -> replace those days."""
+        now = now if now is not None else F.current_timestamp()
+        rows = totals.select("dt", F.col("amount").cast("long").alias("amount"))
+        prev = self._previous(rows.select("dt"))
+        if prev is not None:
+            rows = rows.join(prev.select("dt", "create_time"), "dt", "left")
+        else:
+            rows = rows.withColumn("create_time", F.lit(None).cast("timestamp"))
+        none = F.lit(None).cast("long")
+        self._write(rows.select("dt", "amount", F.coalesce("create_time", now).alias("create_time"),
+                                now.alias("update_time"), none.alias("batch_id"),
+                                none.alias("base_amount")))
+
+    def add(self, deltas: DataFrame, batch_id: int, now: Column | None = None) -> None:
+        """``deltas``: ``dt, n`` -> add ``n`` to each day, once per ``batch_id``.
+
+        A day last written by this same batch is recomputed from the amount
+        it had before the batch, so replaying a batch after a failure gives
+        the same table.
+        """
+        now = now if now is not None else F.current_timestamp()
+        rows = deltas.groupBy("dt").agg(F.sum("n").cast("long").alias("n"))
+        prev = self._previous(rows.select("dt"))
+        if prev is None:
+            prev = self.spark.createDataFrame([], DAILY_METRIC_SCHEMA)
+        joined = rows.join(prev, "dt", "left")
+        replay = F.coalesce(F.col("batch_id") == batch_id, F.lit(False))
+        base = F.when(replay, F.col("base_amount")).otherwise(F.coalesce("amount", F.lit(0)))
+        self._write(joined.select(
+            "dt", (base + F.col("n")).alias("amount"),
+            F.coalesce("create_time", now).alias("create_time"), now.alias("update_time"),
+            F.lit(batch_id).cast("long").alias("batch_id"), base.cast("long").alias("base_amount")))
+
     def amounts(self) -> DataFrame:
         df = self.read()
         if df is None:

@@ -7,8 +7,12 @@
 * :func:`start_snapshot_query` - update mode into :class:`DailySnapshot`
   through ``foreachBatch``; the upsert is keyed by day, so replaying a batch
   after a failure leaves the table as it was.
+* :func:`start_uv_state_query` - running UV from a streaming aggregation per
+  (day, visitor): partial aggregation before the shuffle, O(1) state per
+  key; new visitors are added to the snapshot idempotently by batch id.
 * :func:`start_uv_store_query` - running UV kept in the seen-visitor store
-  instead of streaming state: skew-safe and idempotent, no watermark.
+  instead of streaming state: skew-safe and idempotent, no watermark (late
+  visitors still count), but each batch rescans its days in the store.
 * :func:`start_fan_out` - one ``foreachBatch`` that parses each micro-batch
   once and feeds quarantine, identity outbox and offset ledger, each write
   keyed by ``batch_id`` (idempotent on replay).
@@ -68,6 +72,37 @@ def uv_updates(flat: DataFrame, delay: str = DAY) -> DataFrame:
             .select(_day(), "amount"))
 
 
+def uv_first_seen(flat: DataFrame, delay: str = DAY) -> DataFrame:
+    """Per (day window, visitor): the first and last micro-batch time it was
+    seen.  A streaming aggregation, so each micro-batch is partially
+    aggregated before the shuffle (a hot visitor becomes one row per task)
+    and state is one entry per visitor and day, evicted with the day.  In
+    update mode a visitor is new in a batch exactly when both times equal
+    that batch's time (micro-batches have distinct trigger times)."""
+    return (flat.withWatermark("event_ts", delay)
+            .where(F.col("unionid").isNotNull())
+            .select(F.window("event_ts", DAY).alias("w"), "unionid",
+                    F.current_timestamp().alias("seen_at"))
+            .groupBy("w", "unionid")
+            .agg(F.min("seen_at").alias("first_seen"), F.max("seen_at").alias("last_seen")))
+
+
+def uv_state_step(batch: DataFrame, batch_id: int, snapshot: DailySnapshot) -> None:
+    """New visitors of one micro-batch, counted per day, added to the snapshot."""
+    new = batch.where(F.col("first_seen") == F.col("last_seen"))
+    snapshot.add(new.groupBy(_day()).agg(F.count(F.lit(1)).alias("n")), batch_id)
+
+
+def start_uv_state_query(flat: DataFrame, snapshot: DailySnapshot, checkpoint: str,
+                         trigger: dict | None = None, delay: str = DAY):
+    """Running UV: :func:`uv_first_seen` in update mode, new visitors added
+    to the snapshot by batch id (idempotent on replay)."""
+    w = (uv_first_seen(flat, delay).writeStream.outputMode("update")
+         .foreachBatch(lambda df, bid: uv_state_step(df, bid, snapshot))
+         .option("checkpointLocation", checkpoint))
+    return _with_trigger(w, trigger).start()
+
+
 def _with_trigger(writer, trigger):
     return writer.trigger(**trigger) if trigger else writer
 
@@ -129,6 +164,13 @@ def drain_available(spark, source: str, updates_of, snapshot: DailySnapshot,
     return q
 
 
+def drain_uv_state(spark, source: str, snapshot: DailySnapshot, checkpoint: str):
+    q = start_uv_state_query(kafka_file_stream(spark, source), snapshot, checkpoint,
+                             trigger={"availableNow": True})
+    q.awaitTermination()
+    return q
+
+
 def drain_uv_store(spark, source: str, store: SeenVisitors, snapshot: DailySnapshot,
                    checkpoint: str):
     q = start_uv_store_query(kafka_file_stream(spark, source), store, snapshot, checkpoint,

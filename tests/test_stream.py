@@ -110,3 +110,32 @@ def test_archive_stream_exactly_once(spark, events, workdir):
                                  trigger={"availableNow": True})
         q.awaitTermination()
     assert read_archive(spark, f"{workdir}/archive").count() == events.count()
+
+
+def test_uv_state_stream_hot_visitor_restart_and_replay(spark, workdir):
+    src, ck = f"{workdir}/src", f"{workdir}/ck"
+    snap = DailySnapshot(spark, f"{workdir}/uv")
+    t = dt.datetime(2024, 1, 10, 8, 0)
+    kafka_batch(spark, [(t, "hot", "p")] * 60 + [(t, "b", None)]).write.mode("append").parquet(src)
+    stream.drain_uv_state(spark, src, snap, ck)
+    kafka_batch(spark, [(t, "hot", "p")] * 30 + [(t, "c", None)]).write.mode("append").parquet(src)
+    stream.drain_uv_state(spark, src, snap, ck)     # a new query on the same checkpoint
+    assert {r["dt"]: r["amount"] for r in snap.amounts().collect()} == {dt.date(2024, 1, 10): 3}
+    # the increment write of a batch is idempotent per batch id
+    d = spark.createDataFrame([(dt.date(2024, 1, 10), 2)], "dt date, n long")
+    snap.add(d, 99)
+    snap.add(d, 99)
+    assert snap.amounts().first()["amount"] == 5
+
+
+def test_uv_state_stream_equals_batch(spark, events, workdir):
+    rows = fixtures.kafka_events(events)
+    day = F.dayofmonth("timestamp")
+    src, snap = f"{workdir}/src", DailySnapshot(spark, f"{workdir}/uv")
+    for lo, hi in [(1, 15), (16, 31)]:
+        (rows.where((day >= lo) & (day <= hi)).select(*KAFKA_SCHEMA.fieldNames())
+         .write.mode("append").parquet(src))
+        stream.drain_uv_state(spark, src, snap, f"{workdir}/ck")
+    flat = parse_events(fixtures.wire_events(events))
+    want = {r["dt"]: r["uv"] for r in metrics.uv_daily(flat).collect()}
+    assert {r["dt"]: r["amount"] for r in snap.amounts().collect()} == want
