@@ -139,3 +139,22 @@ def test_uv_state_stream_equals_batch(spark, events, workdir):
     flat = parse_events(fixtures.wire_events(events))
     want = {r["dt"]: r["uv"] for r in metrics.uv_daily(flat).collect()}
     assert {r["dt"]: r["amount"] for r in snap.amounts().collect()} == want
+
+
+def test_fan_out_query_and_uv_stream_plan(spark, events, workdir, capsys):
+    from daybook.sources.ledger import OffsetLedger
+    src = f"{workdir}/src"
+    fixtures.kafka_events(events).select(*KAFKA_SCHEMA.fieldNames()).write.parquet(src)
+    raw = stream.kafka_rows(spark.readStream.schema(KAFKA_SCHEMA).parquet(src))
+    ledger = OffsetLedger(spark, f"{workdir}/ledger", "m", "g")
+    q = stream.start_fan_out(raw, f"{workdir}/out", f"{workdir}/ck_fan", ledger,
+                             trigger={"availableNow": True})
+    q.awaitTermination()
+    assert spark.read.parquet(f"{workdir}/out/identity_outbox").count() > 0
+    assert {r["partition"] for r in ledger.current().collect()} == {0, 1, 2, 3}
+    # the UV stream aggregates partially before its state shuffle
+    snap = DailySnapshot(spark, f"{workdir}/uv")
+    uq = stream.drain_uv_state(spark, src, snap, f"{workdir}/ck_uv")
+    capsys.readouterr()
+    uq.explain()
+    assert "partial_min(seen_at" in capsys.readouterr().out
