@@ -54,13 +54,25 @@ class OffsetLedger:
                 .groupBy("module", "group_id", "topic", "partition")
                 .agg(F.max_by("until_offset", "batch_id").alias("until_offset")))
 
-    def starting_offsets(self) -> DataFrame:
+    def starting_offsets(self, partitions: dict[str, int] | None = None) -> DataFrame:
         """One row: ``starting_offsets``, the JSON the Kafka source takes.
 
-        The JSON lists each topic's partitions; a topic has a bounded number
-        of partitions, so the per-topic list is small by construction.
+        ``partitions`` (topic -> partition count) fills partitions the ledger
+        has never seen with ``-1`` (latest), since a specific
+        ``startingOffsets`` must name every partition.  The JSON lists each
+        topic's partitions; a topic has a bounded number of partitions, so the
+        per-topic list is small by construction.
         """
-        return starting_offsets_json(self.current())
+        current = self.current().select("topic", "partition", "until_offset")
+        if partitions:
+            every = (self.spark.createDataFrame(list(partitions.items()), "topic string, n int")
+                     .select("topic", F.explode(F.sequence(F.lit(0), F.col("n") - 1))
+                             .alias("partition")))
+            current = (every.join(current, ["topic", "partition"], "full")
+                       .select("topic", "partition",
+                               F.coalesce("until_offset", F.lit(-1).cast("long"))
+                               .alias("until_offset")))
+        return starting_offsets_json(current)
 
 
 def starting_offsets_json(current: DataFrame) -> DataFrame:

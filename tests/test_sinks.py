@@ -98,3 +98,11 @@ def test_legacy_lines_written_by_day(spark, events, workdir):
     back = read_archive(spark, f"{workdir}/legacy")
     assert back.count() == rec.where("status = 'ok'").count()
     assert {r["dt"] for r in back.select("dt").distinct().collect()} == {dt.date(2024, 1, 5)}
+
+
+def test_starting_offsets_fill_unseen_partitions(spark, workdir):
+    ledger = OffsetLedger(spark, f"{workdir}/ledger", "m", "g")
+    ledger.record(spark.createDataFrame([("t", 1, 7)], "topic string, partition int, offset long"),
+                  batch_id=0)
+    js = json.loads(ledger.starting_offsets({"t": 3, "v": 1}).first()["starting_offsets"])
+    assert js == {"t": {"0": -1, "1": 8, "2": -1}, "v": {"0": -1}}
