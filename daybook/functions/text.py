@@ -43,7 +43,3 @@ def sanitize(c: Column, sep: str = ";") -> Column:
     """Replace the separator, CR and LF by spaces so a line keeps its fields."""
     return F.translate(c, sep + "\r\n", "   ")
 
-
-def day_of(ts: Column) -> Column:
-    """Calendar day (UTC session) of a timestamp."""
-    return F.to_date(ts)

@@ -79,14 +79,6 @@ DAILY_METRIC_SCHEMA = T.StructType([
     T.StructField("base_amount", T.LongType()),
 ])
 
-LEDGER_SCHEMA = T.StructType([
-    T.StructField("module", T.StringType()),
-    T.StructField("group_id", T.StringType()),
-    T.StructField("topic", T.StringType()),
-    T.StructField("partition", T.IntegerType()),
-    T.StructField("until_offset", T.LongType()),
-])
-
 REPLY_SCHEMA = T.StructType([
     T.StructField("code", T.IntegerType()),
     T.StructField("status", T.StringType()),

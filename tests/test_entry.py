@@ -1,6 +1,5 @@
 """Driver contract: every registered query equals its DuckDB oracle (sf0.001)."""
 
-import os
 
 import duckdb
 import pytest

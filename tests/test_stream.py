@@ -158,3 +158,16 @@ def test_fan_out_query_and_uv_stream_plan(spark, events, workdir, capsys):
     capsys.readouterr()
     uq.explain()
     assert "partial_min(seen_at" in capsys.readouterr().out
+
+
+def test_text_file_stream_source(spark, events, workdir):
+    from daybook.sources.text import stream_wire_text, write_wire_text
+    write_wire_text(fixtures.wire_events(events), f"{workdir}/text")
+    flat = stream.parse_stream(stream_wire_text(spark, f"{workdir}/text", max_files_per_trigger=2))
+    snap = DailySnapshot(spark, f"{workdir}/pv")
+    q = stream.start_snapshot_query(stream.pv_updates(flat, delay="31 days"), snap,
+                                    f"{workdir}/ck", trigger={"availableNow": True})
+    q.awaitTermination()
+    want = {r["dt"]: r["pv"] for r in metrics.pv_daily(parse_events(fixtures.wire_events(events)))
+            .collect()}
+    assert {r["dt"]: r["amount"] for r in snap.amounts().collect()} == want
