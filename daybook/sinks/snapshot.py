@@ -25,7 +25,8 @@ class DailySnapshot:
 
     def _previous(self, days: DataFrame) -> DataFrame | None:
         prev = self.read()
-        return None if prev is None else prev.join(days, "dt", "left_semi")
+        # ``days`` has one row per calendar day at most: a bounded broadcast
+        return None if prev is None else prev.join(F.broadcast(days.distinct()), "dt", "left_semi")
 
     def _write(self, out: DataFrame) -> None:
         # the write replaces files this plan reads: cut the lineage first (this

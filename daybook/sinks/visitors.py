@@ -16,6 +16,11 @@ SEEN_SCHEMA = T.StructType([T.StructField("unionid", T.StringType()),
                             T.StructField("dt", T.DateType())])
 
 
+def touched_days(df: DataFrame) -> DataFrame:
+    """Distinct ``dt`` of ``df``, broadcast: at most one row per calendar day."""
+    return F.broadcast(df.select("dt").distinct())
+
+
 class SeenVisitors:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
@@ -35,9 +40,11 @@ class SeenVisitors:
         fresh = visitors.select("dt", "unionid").where(F.col("unionid").isNotNull())
         known = self.read()
         if known is not None:
-            # only the days this batch touches (a semi-join on the partition
-            # column lets dynamic partition pruning skip the other days)
-            known = known.join(fresh.select("dt").distinct(), "dt", "left_semi")
+            # only the days this batch touches: a semi-join on the partition
+            # column with the broadcast day list (one row per calendar day, so
+            # its size is bounded) prunes the other days at the scan and never
+            # shuffles a day's visitors into one task
+            known = known.join(touched_days(fresh), "dt", "left_semi")
             new = new_visitors(fresh, known)
         else:
             new = fresh.dropDuplicates(["dt", "unionid"])

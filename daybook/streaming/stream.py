@@ -28,7 +28,7 @@ from daybook.operators.metrics import visitor_rows
 from daybook.operators.quality import bad_rows, good_rows, parse_checked
 from daybook.schema import KAFKA_SCHEMA
 from daybook.sinks.snapshot import DailySnapshot
-from daybook.sinks.visitors import SeenVisitors
+from daybook.sinks.visitors import SeenVisitors, touched_days
 from daybook.sources.kafka import kafka_rows
 from daybook.sources.ledger import OffsetLedger
 
@@ -134,8 +134,7 @@ def uv_store_step(batch: DataFrame, store: SeenVisitors, snapshot: DailySnapshot
     visitors = visitor_rows(batch).dropDuplicates(["dt", "unionid"]).persist()
     try:
         store.add(visitors)
-        touched = visitors.select("dt").distinct()
-        counts = (store.visitors().join(touched, "dt", "left_semi")
+        counts = (store.visitors().join(touched_days(visitors), "dt", "left_semi")
                   .groupBy("dt").agg(F.count(F.lit(1)).alias("amount")))
         snapshot.upsert(counts)
     finally:

@@ -34,7 +34,19 @@ def test_partial_aggregation_before_every_shuffle(spark):
                 assert "HashAggregate" in below, (key, line, below)
 
 
-def test_no_broadcast_hints(spark):
-    for key in ["new_visitors", "seen_visitors"]:
-        df = QUERIES[key](spark, SF)
-        assert "broadcast" not in df._jdf.queryExecution().logical().toString().lower()
+def test_no_broadcast_hints_on_growing_sides(spark):
+    # the seen set grows with the data: never hinted, AQE decides at runtime
+    df = QUERIES["new_visitors"](spark, SF)
+    assert "broadcast" not in df._jdf.queryExecution().logical().toString().lower()
+
+
+def test_store_lookups_prune_days_without_shuffling_them(spark, workdir):
+    import datetime as dt
+    from daybook.sinks.visitors import SeenVisitors, touched_days
+    store = SeenVisitors(spark, f"{workdir}/seen")
+    batch = spark.createDataFrame([(dt.date(2024, 1, 1), "a")], "dt date, unionid string")
+    store.add(batch)
+    q = store.visitors().join(touched_days(batch), "dt", "left_semi")
+    p = plan(q)
+    # the only hash shuffle is the batch's own day list; the store is not shuffled
+    assert "BroadcastHashJoin" in p and p.count("Exchange hashpartitioning") == 1
