@@ -92,6 +92,12 @@ def q_quarantine(spark, sf_dir):
     return day_text(quality.quarantine_counts(quality.parse_checked(raw, keep=["event_id"])))
 
 
+def q_quarantine_rows(spark, sf_dir):
+    raw = fixtures.wire_events(events(spark, sf_dir), corrupt=True)
+    checked = quality.parse_checked(raw, keep=["event_id"])
+    return checked.where(F.col("reason").isNotNull()).select("event_id", "reason")
+
+
 # --- identity ----------------------------------------------------------------
 
 _ID_COLS = ["event_id", "dataType", "unionid", "openid", "userid", "phoneNo"]
@@ -252,6 +258,11 @@ def _legacy_kind(kind: str):
     return q
 
 
+def q_legacy_status(spark, sf_dir):
+    return (_legacy(spark, sf_dir).groupBy("label", "status")
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
 def q_legacy_labels(spark, sf_dir):
     return legacy.label_counts(_legacy(spark, sf_dir))
 
@@ -262,6 +273,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "encode_line": q_encode_line,
     "decode_line": q_decode_line,
     "quarantine": q_quarantine,
+    "quarantine_rows": q_quarantine_rows,
     "identity_eligible": q_identity_eligible,
     "identity_eligible_observed": q_identity_eligible_observed,
     "identity_outbox": q_identity_outbox,
@@ -287,4 +299,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "legacy_login": _legacy_kind("login"),
     "legacy_visit": _legacy_kind("visit"),
     "legacy_labels": q_legacy_labels,
+    "legacy_status": q_legacy_status,
 }

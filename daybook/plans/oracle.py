@@ -94,6 +94,8 @@ ORACLE: dict[str, str] = {
     "quarantine": (
         f"{E} SELECT {DAY} AS dt, CASE WHEN event_id % 97 = 0 THEN 'bad' ELSE 'good' END AS status, "
         "count(*) AS n FROM E GROUP BY 1, 2"),
+    "quarantine_rows": (
+        "SELECT event_id, 'malformed' AS reason FROM events WHERE event_id % 97 = 0"),
     "identity_eligible": f"{E} SELECT {_ID_COLS} FROM E WHERE {_DOCUMENTED}",
     "identity_eligible_observed": f"{E} SELECT {_ID_COLS} FROM E WHERE {_OBSERVED}",
     "identity_outbox": f"{E} SELECT event_id, {_BODY} AS body FROM E WHERE {_DOCUMENTED}",
@@ -143,6 +145,13 @@ ORACLE: dict[str, str] = {
     "legacy_visit": _legacy_lines(
         "visit", f"{_WX}, coalesce(pageUrl, ''), '', pageType, modelId, seriesId",
         "unionid IS NOT NULL"),
+    "legacy_status": (
+        f"{E} SELECT {_LEGACY_LABEL} AS label, CASE "
+        f"WHEN NOT ({_LEGACY_OK}) THEN 'guard' "
+        "WHEN dataType IS NULL THEN 'unknown' "
+        "WHEN unionid IS NULL THEN 'bad' "
+        "WHEN dataType IN ('auth', 'login') AND phoneNo IS NULL THEN 'bad' "
+        "ELSE 'ok' END AS status, count(*) AS n FROM E GROUP BY 1, 2"),
     "legacy_labels": (
         f"{E} SELECT {_LEGACY_LABEL} AS label, dataType, count(*) AS n FROM E GROUP BY 1, 2"),
 }
