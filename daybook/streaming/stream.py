@@ -210,3 +210,32 @@ def start_fan_out(raw: DataFrame, out_dir: str, checkpoint: str,
             lambda df, bid: fan_out_batch(df, bid, out_dir, ledger))
          .option("checkpointLocation", checkpoint))
     return _with_trigger(w, trigger).start()
+
+
+def start_event_jobs(raw: DataFrame, base: str, module: str = "daybook",
+                     group_id: str = "daybook", trigger: dict | None = None,
+                     delay: str = DAY) -> dict:
+    """Start the whole streaming job over ``raw`` (Kafka-shaped rows, e.g.
+    ``kafka_rows(read_kafka_stream(...))``), one checkpointed query per
+    output family, all under ``base``:
+
+    * ``fan_out``  - quarantine, identity outbox, offset ledger;
+    * ``archive``  - daily line archive (exactly-once file sink);
+    * ``pv``, ``uv`` - running daily totals in snapshot tables.
+
+    Returns the started queries by name.
+    """
+    from daybook.sinks.archive import archive_lines, start_archive_stream
+
+    ledger = OffsetLedger(raw.sparkSession, f"{base}/ledger", module, group_id)
+    flat = parse_stream(raw, keep_arrival=True)
+    spark = raw.sparkSession
+    return {
+        "fan_out": start_fan_out(raw, f"{base}/out", f"{base}/_checkpoints/fan_out", ledger, trigger),
+        "archive": start_archive_stream(archive_lines(flat), f"{base}/archive",
+                                        f"{base}/_checkpoints/archive", trigger),
+        "pv": start_snapshot_query(pv_updates(flat, delay), DailySnapshot(spark, f"{base}/pv"),
+                                   f"{base}/_checkpoints/pv", trigger),
+        "uv": start_uv_state_query(flat, DailySnapshot(spark, f"{base}/uv"),
+                                   f"{base}/_checkpoints/uv", trigger, delay),
+    }

@@ -171,3 +171,21 @@ def test_text_file_stream_source(spark, events, workdir):
     want = {r["dt"]: r["pv"] for r in metrics.pv_daily(parse_events(fixtures.wire_events(events)))
             .collect()}
     assert {r["dt"]: r["amount"] for r in snap.amounts().collect()} == want
+
+
+def test_start_event_jobs_end_to_end(spark, events, workdir):
+    src = f"{workdir}/src"
+    fixtures.kafka_events(events).select(*KAFKA_SCHEMA.fieldNames()).write.parquet(src)
+    raw = stream.kafka_rows(spark.readStream.schema(KAFKA_SCHEMA).parquet(src))
+    qs = stream.start_event_jobs(raw, f"{workdir}/job", trigger={"availableNow": True})
+    for q in qs.values():
+        q.awaitTermination()
+    from daybook.sinks.archive import read_archive
+    assert read_archive(spark, f"{workdir}/job/archive").count() == events.count()
+    flat = parse_events(fixtures.wire_events(events))
+    want_pv = {r["dt"]: r["pv"] for r in metrics.pv_daily(flat).collect()}
+    want_uv = {r["dt"]: r["uv"] for r in metrics.uv_daily(flat).collect()}
+    got_pv = {r["dt"]: r["amount"] for r in DailySnapshot(spark, f"{workdir}/job/pv").amounts().collect()}
+    got_uv = {r["dt"]: r["amount"] for r in DailySnapshot(spark, f"{workdir}/job/uv").amounts().collect()}
+    assert got_pv == want_pv and got_uv == want_uv
+    assert spark.read.parquet(f"{workdir}/job/ledger").count() == 4
