@@ -69,3 +69,21 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return bool(fs.exists(hpath))
+
+
+def list_partitions(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Values of ``column=<value>`` folders directly under ``path``."""
+    if not path_exists(spark, path):
+        return []
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    prefix = f"{column}="
+    return [st.getPath().getName()[len(prefix):] for st in fs.listStatus(hpath)
+            if st.isDirectory() and st.getPath().getName().startswith(prefix)]
+
+
+def delete_partition(spark: SparkSession, path: str, column: str, value: str) -> None:
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={value}")
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)

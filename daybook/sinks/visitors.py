@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from daybook.operators.metrics import new_visitors
-from daybook.session import path_exists
+from daybook.session import delete_partition, list_partitions, path_exists
 
 SEEN_SCHEMA = T.StructType([T.StructField("unionid", T.StringType()),
                             T.StructField("dt", T.DateType())])
@@ -53,6 +53,17 @@ class SeenVisitors:
          .write.mode("append").partitionBy("dt").parquet(self.path))
         return int(seen.get["n"])
 
+    def expire(self, before) -> list[str]:
+        """Drop the days older than ``before`` (a date or ``yyyy-MM-dd``),
+        the store's retention in place of the reference's per-day TTL.
+        Lookups are per day, so an expired day only stops taking space.
+        Lists day folders (one per calendar day), never rows."""
+        cutoff = str(before)
+        gone = sorted(d for d in list_partitions(self.spark, self.path, "dt") if d < cutoff)
+        for d in gone:
+            delete_partition(self.spark, self.path, "dt", d)
+        return gone
+
     def visitors(self) -> DataFrame:
         df = self.read()
         if df is None:

@@ -106,3 +106,10 @@ def test_starting_offsets_fill_unseen_partitions(spark, workdir):
                   batch_id=0)
     js = json.loads(ledger.starting_offsets({"t": 3, "v": 1}).first()["starting_offsets"])
     assert js == {"t": {"0": -1, "1": 8, "2": -1}, "v": {"0": -1}}
+
+
+def test_seen_visitors_expire(spark, workdir):
+    store = SeenVisitors(spark, f"{workdir}/seen")
+    store.add(spark.createDataFrame([(D1, "a"), (D2, "b")], "dt date, unionid string"))
+    assert store.expire(D2) == ["2024-01-01"]
+    assert [tuple(r) for r in store.visitors().collect()] == [(D2, "b")]
