@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from daybook.functions.codec import decode_line, encode_line, parse_events, wire_struct
 from daybook.operators import identity, legacy, metrics, quality
 from daybook.schema import FLAT_COLUMNS, KAFKA_SCHEMA
-from daybook.session import run_dir, use_utc
+from daybook.session import run_dir, session_conf, use_utc
 from daybook.sinks.archive import archive_lines, read_archive, write_archive
 from daybook.sinks.snapshot import DailySnapshot
 from daybook.sinks.visitors import SeenVisitors
@@ -206,16 +206,22 @@ N_ARRIVALS = 4
 
 def _arrivals(spark, sf_dir, src: str):
     """Yield after each of ``N_ARRIVALS`` time-ordered drops of Kafka-shaped
-    files into ``src`` (the bounds of event time come from one aggregate)."""
+    files into ``src`` (the bounds of event time come from one aggregate).
+
+    A new streaming checkpoint fixes its number of state partitions from
+    ``spark.sql.shuffle.partitions``; while these queries run it is sized to
+    the cores of the session, then restored."""
     rows = fixtures.kafka_events(events(spark, sf_dir))
     micros = F.unix_micros("timestamp")
     lo, hi = rows.agg(F.min(micros), F.max(micros)).first()
     width = max(1, (hi - lo) // N_ARRIVALS + 1)
     rows = rows.withColumn("arrival", F.floor((micros - F.lit(lo)) / F.lit(width)))
+    cores = str(spark.sparkContext.defaultParallelism)
     for k in range(N_ARRIVALS):
         (rows.where(F.col("arrival") == k).select(*KAFKA_SCHEMA.fieldNames())
          .write.mode("append").parquet(src))
-        yield k
+        with session_conf(spark, {"spark.sql.shuffle.partitions": cores}):
+            yield k
 
 
 def q_pv_daily_stream(spark, sf_dir):

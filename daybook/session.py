@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 
@@ -87,3 +88,19 @@ def delete_partition(spark: SparkSession, path: str, column: str, value: str) ->
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={value}")
     hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
+@contextlib.contextmanager
+def session_conf(spark: SparkSession, conf: dict[str, str]):
+    """Set SQL settings for the duration of a block, then restore them."""
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        yield spark
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
