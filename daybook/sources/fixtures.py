@@ -1,4 +1,4 @@
-"""Adapters from the driver's ``events`` table to the inputs the pipeline reads.
+"""Adapters from the driver's ``events`` table to the inputs the event job reads.
 
 The reference consumes behaviour events as JSON text.  These adapters derive
 such text (current and legacy shapes), Kafka-shaped rows and identity-service

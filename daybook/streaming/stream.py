@@ -1,4 +1,4 @@
-"""Structured Streaming form of the pipeline.
+"""Structured Streaming form of the event job.
 
 * :func:`pv_updates` / :func:`uv_updates` - running daily totals over tumbling
   one-day event-time windows with a watermark (state is evicted once a day is
