@@ -15,9 +15,8 @@ from daybook.functions.text import (empty_to_null, from_marker, null_marker,
                                     sanitize)
 from daybook.schema import (BLOCK_OF, BLOCKS, BOOLEAN_COLUMNS, DOUBLE_COLUMNS,
                             FLAT_COLUMNS, FLAT_SCHEMA, LINE_SEP, NULL_TEXT,
-                            WIRE_SCHEMA, flat_type)
+                            REPORT_TIME_FORMAT, WIRE_SCHEMA, flat_type)
 
-EVENT_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
 def wire_struct(value: Column) -> Column:
@@ -71,7 +70,7 @@ def wire_schema_for(columns: list[str] | None) -> T.StructType:
 
 def event_time(report_time: Column, ingest_ts: Column | None = None) -> Column:
     """Event time: the reported time, else the arrival time."""
-    parsed = F.try_to_timestamp(report_time, F.lit(EVENT_TIME_FORMAT))
+    parsed = F.try_to_timestamp(report_time, F.lit(REPORT_TIME_FORMAT))
     return parsed if ingest_ts is None else F.coalesce(parsed, ingest_ts)
 
 

@@ -13,13 +13,14 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from daybook.functions.codec import parse_once
 from daybook.schema import (BLOCK_OF, BLOCKS, BOOLEAN_COLUMNS, DOUBLE_COLUMNS,
-                            LEGACY_FIELDS, LEGACY_LABELS, LEGACY_SEP)
+                            LEGACY_FIELDS, LEGACY_GUARD, LEGACY_LABELS, LEGACY_SEP)
 
 
 def legacy_guard(value: Column) -> Column:
     """The text guard of the legacy streaming job."""
-    return (F.coalesce(value.startswith("{") & value.endswith("}")
-                       & ~value.contains("UTF-8"), F.lit(False)))
+    head, tail, banned = LEGACY_GUARD
+    return (F.coalesce(value.startswith(head) & value.endswith(tail)
+                       & ~value.contains(banned), F.lit(False)))
 
 
 def normalise_label(label: Column) -> Column:

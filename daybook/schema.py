@@ -25,6 +25,11 @@ LINE_SEP = ";"
 LEGACY_SEP = ","
 # legacy event labels and the current labels they stand for
 LEGACY_LABELS = {"授权": "auth", "登录": "login", "访问": "visit"}
+# legacy text guard: starts with, ends with, must not contain
+LEGACY_GUARD = ("{", "}", "UTF-8")
+REPORT_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
+# what the reference's key/value text writer leaves after each archived line
+ARCHIVE_LEGACY_SUFFIX = ", "
 # --- end of fixed values ---
 
 BLOCKS = {"wxInfo": WX_FIELDS, "addrInfo": ADDR_FIELDS, "userInfo": USER_FIELDS,

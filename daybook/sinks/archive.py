@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from daybook.functions.codec import encode_line
+from daybook.schema import ARCHIVE_LEGACY_SUFFIX
 
 def archive_lines(flat: DataFrame, arrival: str = "ingest_ts", clean: bool = True,
                   legacy_suffix: bool = False) -> DataFrame:
@@ -18,7 +19,7 @@ def archive_lines(flat: DataFrame, arrival: str = "ingest_ts", clean: bool = Tru
     key/value text writer leaves after each line."""
     line = encode_line(flat, clean=clean)
     if legacy_suffix:
-        line = F.concat(line, F.lit(", "))
+        line = F.concat(line, F.lit(ARCHIVE_LEGACY_SUFFIX))
     return flat.select(F.to_date(arrival).alias("dt"), line.alias("value"))
 
 
