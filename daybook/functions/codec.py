@@ -77,13 +77,16 @@ def event_time(report_time: Column, ingest_ts: Column | None = None) -> Column:
 def parse_events(raw: DataFrame, value: str = "value",
                  keep: list[str] | None = None,
                  ingest_ts: str | None = "ingest_ts",
-                 columns: list[str] | None = None) -> DataFrame:
+                 columns: list[str] | None = None,
+                 day_source: str = "event") -> DataFrame:
     """Wire JSON -> ``keep`` columns + flat columns + ``event_ts`` + ``dt``.
 
     ``columns`` names the flat columns a query reads (default: all 22); the
     JSON is parsed against a schema of just those leaves (plus
     ``reportTime`` for the event day), which halves the parse cost of a
-    metrics query.  Rows whose JSON does not parse come out with all flat
+    metrics query.  ``day_source="arrival"`` files every event under the day
+    it arrived (the reference's processing-day counting) instead of its
+    event day.  Rows whose JSON does not parse come out with all flat
     columns NULL; route them with :mod:`daybook.operators.quality` where that
     matters.
     """
@@ -96,6 +99,12 @@ def parse_events(raw: DataFrame, value: str = "value",
     flat = parsed.select(*keep, *flat_columns(F.col("_j"), columns),
                          *(["_ingest"] if ing is not None else []))
     ts = event_time(F.col("reportTime"), F.col("_ingest") if ing is not None else None)
+    if day_source == "arrival":
+        if ing is None:
+            raise ValueError("day_source='arrival' needs an arrival-time column")
+        ts = F.col("_ingest")
+    elif day_source != "event":
+        raise ValueError(f"unknown day_source {day_source!r}")
     out = flat.withColumn("event_ts", ts).withColumn("dt", F.to_date("event_ts"))
     return out.drop("_ingest") if ing is not None else out
 

@@ -127,3 +127,10 @@ def test_read_lines_as_csv(spark, workdir):
     flat.select(encode_line(flat)).write.text(f"{workdir}/lines")
     back = read_lines(spark, f"{workdir}/lines").first()
     assert back["dataType"] == "auth" and back["latitude"] == 30.25 and back["city"] is None
+
+
+def test_day_source_arrival(spark):
+    doc = '{"dataType":"visit","reportTime":"2024-01-01 10:00:00","data":{}}'
+    raw = spark.createDataFrame([(doc, INGEST)], "value string, ingest_ts timestamp")
+    assert parse_events(raw).first()["dt"] == dt.date(2024, 1, 1)
+    assert parse_events(raw, day_source="arrival").first()["dt"] == INGEST.date()
