@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from daybook.functions.codec import decode_line, encode_line, parse_events, wire_struct
 from daybook.operators import identity, legacy, metrics, quality
 from daybook.schema import FLAT_COLUMNS, KAFKA_SCHEMA
-from daybook.session import run_dir, session_conf, use_utc
+from daybook.session import STREAM_CONF, run_dir, session_conf, use_utc
 from daybook.sinks.archive import archive_lines, read_archive, write_archive
 from daybook.sinks.snapshot import DailySnapshot
 from daybook.sinks.visitors import SeenVisitors
@@ -210,7 +210,8 @@ def _arrivals(spark, sf_dir, src: str):
 
     A new streaming checkpoint fixes its number of state partitions from
     ``spark.sql.shuffle.partitions``; while these queries run it is sized to
-    the cores of the session, then restored."""
+    the cores of the session and watermark-only micro-batches are off
+    (``STREAM_CONF``), then both are restored."""
     rows = fixtures.kafka_events(events(spark, sf_dir))
     micros = F.unix_micros("timestamp")
     lo, hi = rows.agg(F.min(micros), F.max(micros)).first()
@@ -220,7 +221,7 @@ def _arrivals(spark, sf_dir, src: str):
     for k in range(N_ARRIVALS):
         (rows.where(F.col("arrival") == k).select(*KAFKA_SCHEMA.fieldNames())
          .write.mode("append").parquet(src))
-        with session_conf(spark, {"spark.sql.shuffle.partitions": cores}):
+        with session_conf(spark, {"spark.sql.shuffle.partitions": cores, **STREAM_CONF}):
             yield k
 
 

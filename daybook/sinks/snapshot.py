@@ -40,7 +40,9 @@ class DailySnapshot:
     def upsert(self, totals: DataFrame, now: Column | None = None) -> None:
         """``totals``: ``dt, amount`` (one row per day) -> replace those days."""
         now = now if now is not None else F.current_timestamp()
-        rows = totals.select("dt", F.col("amount").cast("long").alias("amount"))
+        # computed once: a micro-batch (with its state update) must not run
+        # again for the day list below; one row per day
+        rows = totals.select("dt", F.col("amount").cast("long").alias("amount")).checkpoint()
         prev = self._previous(rows.select("dt"))
         if prev is not None:
             rows = rows.join(prev.select("dt", "create_time"), "dt", "left")
@@ -59,7 +61,7 @@ class DailySnapshot:
         the same table.
         """
         now = now if now is not None else F.current_timestamp()
-        rows = deltas.groupBy("dt").agg(F.sum("n").cast("long").alias("n"))
+        rows = deltas.groupBy("dt").agg(F.sum("n").cast("long").alias("n")).checkpoint()
         prev = self._previous(rows.select("dt"))
         if prev is None:
             prev = self.spark.createDataFrame([], DAILY_METRIC_SCHEMA)
