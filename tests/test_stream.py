@@ -189,3 +189,21 @@ def test_start_event_jobs_end_to_end(spark, events, workdir):
     got_uv = {r["dt"]: r["amount"] for r in DailySnapshot(spark, f"{workdir}/job/uv").amounts().collect()}
     assert got_pv == want_pv and got_uv == want_uv
     assert spark.read.parquet(f"{workdir}/job/ledger").count() == 4
+
+
+def test_one_micro_batch_per_arrival(spark, workdir):
+    """No watermark-only batch: each arrival is one micro-batch, and a day
+    whose window closed is evicted by the next batch that has input."""
+    src, ck = f"{workdir}/src", f"{workdir}/ck"
+    uv = DailySnapshot(spark, f"{workdir}/uv")
+    days = [dt.datetime(2024, 1, d, 9, 0) for d in (1, 5, 9)]
+    for i, t in enumerate(days):
+        kafka_batch(spark, [(t, f"v{i}", None), (t, "same", None)]).write.mode("append").parquet(src)
+        q = stream.drain_uv_state(spark, src, uv, ck)
+        assert [p["numInputRows"] for p in q.recentProgress] == [2]
+    state = [op["numRowsTotal"] for op in q.lastProgress["stateOperators"]]
+    # the last batch ran with the watermark of the one before (day 5 minus a
+    # day): day 1 was evicted, days 5 and 9 hold two visitors each
+    assert state == [4]
+    got = {r["dt"]: r["amount"] for r in uv.amounts().collect()}
+    assert got == {t.date(): 2 for t in days}
