@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daybook.llm import exact_dedup, fingerprints
+from pyspark.sql import functions as F
+
+from daybook.llm import exact_dedup, fingerprints, line_dedup, packing, sharding
 from daybook.llm.common import table
 
 
@@ -14,6 +16,37 @@ def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_and_next(table(spark, sf_dir, "documents"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), min_docs=10)
+    return out.select("doc_id", "n_lines", "n_dropped",
+                      F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+OP7_SQL = r"""
+WITH l AS (
+  SELECT doc_id, i, string_split(coalesce(text, ''), chr(10))[i] AS line
+  FROM documents, range(1, length(string_split(coalesce(text, ''), chr(10))) + 1) AS r(i)),
+k AS (
+  SELECT doc_id, i, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM l),
+c AS (SELECT key FROM k WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
+SELECT doc_id, count(*) AS n_lines, count(c.key) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE c.key IS NULL), '')) AS kept_sha256
+FROM k LEFT JOIN c USING (key) GROUP BY doc_id
+"""
+
+
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = sharding.shard(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                      F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = exact_dedup.exact_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -33,9 +66,13 @@ FROM t JOIN g USING (norm)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_fingerprints": op6_fingerprints,
+    "op7_line_dedup": op7_line_dedup,
+    "op8_sharding": op8_sharding,
+    "op9_packing": op9_packing,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
 ORACLE: dict[str, str] = {
+    "op7_line_dedup": OP7_SQL,
     "op10_exact_dedup": OP10_SQL,
 }
