@@ -8,8 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from daybook.llm import exact_dedup, fingerprints, line_dedup, packing, sharding
-from daybook.llm.common import table
+from daybook.llm import exact_dedup, fingerprints, line_dedup, near_dedup, packing, sharding, toxicity
+from daybook.llm.common import fold_crc, table
+
+
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.verdicts(table(spark, sf_dir, "documents").select("doc_id", "text"), size=4, percent=80)
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    machine = toxicity.learn(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score_documents(docs, machine).select(
+        "doc_id", (fold_crc("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
 
 
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,6 +76,8 @@ FROM t JOIN g USING (norm)
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_near_dedup": op3_near_dedup,
+    "op4_toxicity": op4_toxicity,
     "op6_fingerprints": op6_fingerprints,
     "op7_line_dedup": op7_line_dedup,
     "op8_sharding": op8_sharding,
