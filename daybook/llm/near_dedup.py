@@ -114,7 +114,7 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, (a, b) = WordHashes(), coefficients(PERMUTATIONS)
         for batch in batches:
-            for part in _small(batch):
+            for part in small_batches(batch):
                 ws = [tokens(t.as_py()) for t in part.column("text")]
                 ids = [hashlib.blake2b(b" ".join(w), digest_size=16).digest() for w in ws]
                 sets = [shingle_set(w, size, known) for w in ws]
@@ -132,7 +132,7 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
     return docs.mapInArrow(sign, "doc_id long, words_id binary, n_shingles long, bands array<long>")
 
 
-def _small(batch: pa.RecordBatch, chars: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+def small_batches(batch: pa.RecordBatch, chars: int = 1 << 22) -> Iterator[pa.RecordBatch]:
     """Slices of about ``chars`` bytes of text, one row at least, to bound a task's memory."""
     at = 0
     while at < batch.num_rows:
@@ -149,7 +149,7 @@ def shingles(docs: DataFrame, size: int) -> DataFrame:
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
         for batch in batches:
-            for part in _small(batch):
+            for part in small_batches(batch):
                 sets = [shingle_set(tokens(t.as_py()), size, known) for t in part.column("text")]
                 values = np.concatenate(sets).view(np.int64)
                 offsets = np.r_[0, np.cumsum([len(s) for s in sets])].astype(np.int32)

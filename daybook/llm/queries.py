@@ -8,8 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from daybook.llm import exact_dedup, fingerprints, line_dedup, near_dedup, packing, sharding, toxicity
-from daybook.llm.common import fold_crc, table
+from daybook.llm import exact_dedup, fingerprints, line_dedup, lm_scoring, near_dedup, packing, sentencepiece_codec, sharding, toxicity
+from daybook.llm.common import fold_crc, table, whole_text
+
+
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text, and whether they decode to it again."""
+    pieces = sentencepiece_codec.Pieces.load(sentencepiece_codec.MODEL)
+    docs = table(spark, sf_dir, "documents").select("doc_id", whole_text().alias("text"))
+    back = sentencepiece_codec.decode(sentencepiece_codec.encode(docs, pieces), pieces)
+    return back.select("doc_id", "ids", F.size("ids").alias("n_ids"), (F.col("decoded") == F.col("text")).alias("round_trip"))
 
 
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +31,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (fold_crc("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_and_next(table(spark, sf_dir, "documents"))
 
@@ -76,8 +88,10 @@ FROM t JOIN g USING (norm)
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op3_near_dedup": op3_near_dedup,
     "op4_toxicity": op4_toxicity,
+    "op5_lm_scoring": op5_lm_scoring,
     "op6_fingerprints": op6_fingerprints,
     "op7_line_dedup": op7_line_dedup,
     "op8_sharding": op8_sharding,
