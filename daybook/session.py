@@ -51,14 +51,16 @@ def use_utc(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder named by ``spark.checkpoint.dir``.
 
-    A folder of our own is created only where the setting is unset (local
-    tests); on a cluster the setting names shared storage.
+    A folder of our own is created only where the setting is unset and the
+    master is local, as in tests; a cluster has to name shared storage.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
     if not base:
         base = sc.getCheckpointDir()
     if not base:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="daybook-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(base)
@@ -70,6 +72,12 @@ def run_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/daybook/{name}/{uuid.uuid4().hex}"
 
 
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Delete a folder made by ``run_dir`` and all in it."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` exists, asked of the Hadoop file system that serves it."""
     jvm = spark.sparkContext._jvm
