@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from daybook.llm import exact_dedup, fingerprints, line_dedup, lm_scoring, near_dedup, packing, sentencepiece_codec, sharding, toxicity
+from daybook.llm import exact_dedup, fingerprints, line_dedup, lm_scoring, near_dedup, packing, pii, sentencepiece_codec, sharding, toxicity
 from daybook.llm.common import fold_crc, table, whole_text
 
 
@@ -20,6 +20,21 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("doc_id", "ids", F.size("ids").alias("n_ids"), (F.col("decoded") == F.col("text")).alias("round_trip"))
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find(docs, pii.learn(docs))
+
+    def listed(spans: str) -> Column:
+        return F.array_join(F.transform(spans, lambda x: F.concat_ws(
+            ":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter("base_spans", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *[number(k) for k in pii.KINDS],
+                        F.sha2(listed("base_spans").cast("binary"), 256).alias("base_sha256"), listed("spans").alias("spans"))
+
+
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.verdicts(table(spark, sf_dir, "documents").select("doc_id", "text"), size=4, percent=80)
 
@@ -89,6 +104,7 @@ FROM t JOIN g USING (norm)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op2_pii": op2_pii,
     "op3_near_dedup": op3_near_dedup,
     "op4_toxicity": op4_toxicity,
     "op5_lm_scoring": op5_lm_scoring,
