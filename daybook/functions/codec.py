@@ -17,6 +17,8 @@ from daybook.schema import (BLOCK_OF, BLOCKS, BOOLEAN_COLUMNS, DOUBLE_COLUMNS,
                             FLAT_COLUMNS, FLAT_SCHEMA, LINE_SEP, NULL_TEXT,
                             REPORT_TIME_FORMAT, WIRE_SCHEMA, flat_type)
 
+# how far a device's clock may run ahead of the arrival time
+MAX_AHEAD = "INTERVAL 1 HOUR"
 
 
 def wire_struct(value: Column) -> Column:
@@ -43,11 +45,18 @@ def _leaf(j: Column, name: str) -> Column:
 
 
 def typed_leaf(text: Column, name: str) -> Column:
-    """String leaf -> flat column: '' is NULL, numbers/booleans by try_cast."""
+    """String leaf -> flat column: '' is NULL, numbers by try_cast, booleans
+    by :func:`boolean_text`."""
     t = empty_to_null(text)
-    if name in DOUBLE_COLUMNS or name in BOOLEAN_COLUMNS:
-        return t.try_cast(flat_type(name))
-    return t
+    if name in BOOLEAN_COLUMNS:
+        return boolean_text(t)
+    return t.try_cast(flat_type(name)) if name in DOUBLE_COLUMNS else t
+
+
+def boolean_text(text: Column) -> Column:
+    """A boolean, or the text ``true`` / ``false`` in any case; else NULL."""
+    low = F.lower(text)
+    return F.when(low.isin("true", "false"), low == "true")
 
 
 def flat_columns(j: Column, columns: list[str] | None = None) -> list[Column]:
@@ -69,9 +78,13 @@ def wire_schema_for(columns: list[str] | None) -> T.StructType:
 
 
 def event_time(report_time: Column, ingest_ts: Column | None = None) -> Column:
-    """Event time: the reported time, else the arrival time."""
+    """Event time: the reported time, else the arrival time.  A reported time
+    more than ``MAX_AHEAD`` after the arrival comes from a wrong clock and
+    counts as unreadable."""
     parsed = F.try_to_timestamp(report_time, F.lit(REPORT_TIME_FORMAT))
-    return parsed if ingest_ts is None else F.coalesce(parsed, ingest_ts)
+    if ingest_ts is None:
+        return parsed
+    return F.when(parsed <= ingest_ts + F.expr(MAX_AHEAD), parsed).otherwise(F.coalesce(ingest_ts, parsed))
 
 
 def parse_events(raw: DataFrame, value: str = "value",
@@ -130,7 +143,9 @@ def decode_line(line: Column, sep: str = LINE_SEP) -> list[Column]:
     out = []
     for i, c in enumerate(FLAT_COLUMNS):
         v = from_marker(fields.getItem(i))
-        if c in DOUBLE_COLUMNS or c in BOOLEAN_COLUMNS:
+        if c in BOOLEAN_COLUMNS:
+            v = boolean_text(v)
+        elif c in DOUBLE_COLUMNS:
             v = v.try_cast(flat_type(c))
         out.append(v.alias(c))
     return out

@@ -36,15 +36,21 @@ def identity_eligible(flat: DataFrame, mode: str = "documented") -> DataFrame:
     return flat.where(eligible(mode))
 
 
-def identity_body() -> Column:
-    """JSON body of one identity pair; NULL members are left out."""
-    return F.to_json(F.struct(F.col("unionid").alias("unionId"), F.col("openid").alias("openId")))
+def identity_body(mode: str = "documented") -> Column:
+    """JSON body of one identity pair.  ``documented`` leaves NULL members
+    out; ``observed`` sends a missing member as the text ``\\N``, which is
+    what the reference reads from its line."""
+    ids = [F.col("unionid").alias("unionId"), F.col("openid").alias("openId")]
+    if mode == "observed":
+        ids = [F.coalesce("unionid", F.lit(NULL_TEXT)).alias("unionId"),
+               F.coalesce("openid", F.lit(NULL_TEXT)).alias("openId")]
+    return F.to_json(F.struct(*ids))
 
 
 def identity_outbox(flat: DataFrame, mode: str = "documented",
                     keep: list[str] | None = None) -> DataFrame:
     """``keep..., body``: one payload per eligible event, for a separate sender."""
-    return identity_eligible(flat, mode).select(*(keep or []), identity_body().alias("body"))
+    return identity_eligible(flat, mode).select(*(keep or []), identity_body(mode).alias("body"))
 
 
 def decode_reply(reply: Column) -> Column:

@@ -32,17 +32,10 @@ def normalise_label(label: Column) -> Column:
 
 
 def _variant_struct(names) -> T.StructType:
+    # every leaf a VARIANT, so the JSON type of each value stays visible
     return T.StructType([T.StructField(n, T.VariantType()) for n in names])
 
 
-# every leaf a VARIANT, so the JSON type of each value stays visible
-LEGACY_SCHEMA = T.StructType([
-    T.StructField("dataType", T.VariantType()),
-    T.StructField("data", T.StructType([T.StructField(b, _variant_struct(fs))
-                                        for b, fs in BLOCKS.items()])),
-])
-
-
 def _field(node: Column, field: str) -> tuple[Column, Column]:
     """(text of the field as written in a line, field is valid)."""
     kind = F.schema_of_variant(node)
@@ -57,24 +50,40 @@ def _field(node: Column, field: str) -> tuple[Column, Column]:
     return node.cast("string"), kind == "STRING"
 
 
+def legacy_schema_for(fields: list[str]) -> T.StructType:
+    """The legacy schema cut down to the label and ``fields``."""
+    blocks = {b: [f for f in fs if f in fields] for b, fs in BLOCKS.items()}
+    data = [T.StructField(b, _variant_struct(fs)) for b, fs in blocks.items() if fs]
+    return T.StructType([T.StructField("dataType", T.VariantType())]
+                        + ([T.StructField("data", T.StructType(data))] if data else []))
+
+
+def _label(node: Column) -> Column:
+    return F.when(F.schema_of_variant(node) == "STRING", node.cast("string"))
+
+
 def legacy_records(raw: DataFrame, value: str = "value", keep: list[str] | None = None,
-                   guard: bool = True) -> DataFrame:
+                   guard: bool = True, kinds: list[str] | None = None) -> DataFrame:
     """``keep..., label, kind, line, status``.
 
     ``status``: ``ok``; ``guard`` (rejected by the text guard); ``bad`` (not
     JSON or a required field missing, null or of the wrong type);
     ``unknown`` (label is none of the three, dropped and counted).
 
+    With ``kinds`` only rows of these kinds come out, and only their fields
+    are parsed.
+
     Three projections: parse once; read each field once (text + valid);
     assemble the line of the row's label.
     """
     keep = list(keep or [])
+    wanted = {k: fs for k, fs in LEGACY_FIELDS.items() if kinds is None or k in kinds}
+    fields = list(dict.fromkeys(f for fs in wanted.values() for f in fs))
     parsed = parse_once(raw, keep + [F.col(value).alias("_text")],
-                        F.from_json(F.col(value), LEGACY_SCHEMA))
+                        F.from_json(F.col(value), legacy_schema_for(fields)))
     j = F.col("_j")
     label_node = j["dataType"]
-    label = F.when(F.schema_of_variant(label_node) == "STRING", label_node.cast("string"))
-    fields = list(dict.fromkeys(f for fs in LEGACY_FIELDS.values() for f in fs))
+    label = _label(label_node)
     cols = []
     for f in fields:
         t, good = _field(j["data"][BLOCK_OF[f]][f], f)
@@ -84,7 +93,7 @@ def legacy_records(raw: DataFrame, value: str = "value", keep: list[str] | None
                          label.alias("label"), normalise_label(label).alias("kind"), *cols)
     kind = F.col("kind")
     line, ok = None, None
-    for k, fs in LEGACY_FIELDS.items():
+    for k, fs in wanted.items():
         text = F.concat_ws(LEGACY_SEP, *[F.col(f"t_{f}") for f in fs])
         valid = F.lit(True)
         for f in fs:
@@ -95,6 +104,8 @@ def legacy_records(raw: DataFrame, value: str = "value", keep: list[str] | None
               .when(F.col("_unparsed") | F.col("_nolabel"), "bad")
               .when(kind.isNull(), "unknown")
               .when(ok, "ok").otherwise("bad"))
+    if kinds is not None:
+        read = read.where(kind.isin(list(wanted)))
     return read.select(*keep, "label", "kind", F.when(status == "ok", line).alias("line"),
                        status.alias("status"))
 
@@ -104,7 +115,10 @@ def legacy_lines(records: DataFrame, kind: str) -> DataFrame:
     return records.where((F.col("status") == "ok") & (F.col("kind") == kind))
 
 
-def label_counts(records: DataFrame) -> DataFrame:
-    """``label, dataType, n``: legacy labels with their current names."""
-    return (records.groupBy("label", F.col("kind").alias("dataType"))
+def label_counts(raw: DataFrame, value: str = "value") -> DataFrame:
+    """``label, dataType, n``: legacy labels with their current names; only
+    the label is parsed."""
+    parsed = parse_once(raw, [], F.from_json(F.col(value), legacy_schema_for([])))
+    label = _label(F.col("_j")["dataType"])
+    return (parsed.groupBy(label.alias("label"), normalise_label(label).alias("dataType"))
             .agg(F.count(F.lit(1)).alias("n")))

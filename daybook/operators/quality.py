@@ -11,18 +11,18 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from daybook.functions.codec import event_time, flat_columns, parse_once
+from daybook.functions.codec import boolean_text, event_time, flat_columns, parse_once
 from daybook.schema import (ADDR_FIELDS, CORRUPT_COLUMN, LOGIN_FIELDS,
                             WIRE_SCHEMA_WITH_CORRUPT)
 
 PARSE_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
 
 
-def _failed_cast(j: Column, block: str, fields: list[str], to: str) -> Column:
+def _unreadable(j: Column, block: str, fields: list[str], read) -> Column:
     bad = F.lit(False)
     for f in fields:
         text = F.nullif(j["data"][block][f], F.lit(""))
-        bad = bad | (text.isNotNull() & text.try_cast(to).isNull())
+        bad = bad | (text.isNotNull() & read(text).isNull())
     return bad
 
 
@@ -30,8 +30,8 @@ def reason_of(value: Column, j: Column) -> Column:
     """Quarantine reason of one parsed row, NULL when the row is good."""
     return (F.when(value.isNull() | (value == "") | j.isNull(), "empty")
             .when(j[CORRUPT_COLUMN].isNotNull(), "malformed")
-            .when(_failed_cast(j, "addrInfo", ADDR_FIELDS, "double"), "bad_number")
-            .when(_failed_cast(j, "loginData", LOGIN_FIELDS, "boolean"), "bad_boolean"))
+            .when(_unreadable(j, "addrInfo", ADDR_FIELDS, lambda t: t.try_cast("double")), "bad_number")
+            .when(_unreadable(j, "loginData", LOGIN_FIELDS, boolean_text), "bad_boolean"))
 
 
 def parse_checked(raw: DataFrame, value: str = "value", keep: list[str] | None = None,

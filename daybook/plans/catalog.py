@@ -9,23 +9,27 @@ as ``yyyy-MM-dd`` text so results compare exactly with the SQL oracle.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from daybook.functions.codec import decode_line, encode_line, parse_events, wire_struct
+from daybook.functions.codec import decode_line, encode_line, parse_events
 from daybook.operators import identity, legacy, metrics, quality
 from daybook.schema import FLAT_COLUMNS, KAFKA_SCHEMA
-from daybook.session import STREAM_CONF, run_dir, session_conf, use_utc
+from daybook.session import run_dir, use_utc
 from daybook.sinks.archive import archive_lines, read_archive, write_archive
-from daybook.sinks.snapshot import DailySnapshot
+from daybook.sinks.daily import DailyIncrements
 from daybook.sinks.visitors import SeenVisitors
 from daybook.sources import fixtures
+from daybook.sources.kafka import read_file_topic, resume_stream
 from daybook.sources.ledger import OffsetLedger
-from daybook.sources.text import read_wire_text, write_wire_text
+from daybook.sources.text import read_wire_text, stream_wire_text, write_wire_text
 from daybook.streaming import stream
+from daybook.streaming.run import StreamRun
 
 MODULE, GROUP_ID = "daybook", "daybook-group"
+REPLAY = StreamRun("replay", dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc))
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,20 +57,19 @@ def day_text(df: DataFrame, col: str = "dt") -> DataFrame:
 def q_read_wire_text(spark, sf_dir):
     path = run_dir(spark, "wire_text")
     write_wire_text(fixtures.wire_events(events(spark, sf_dir)), path)
-    kind = F.nullif(wire_struct(F.col("value"))["dataType"], F.lit(""))
-    return (read_wire_text(spark, path).groupBy(kind.alias("dataType"))
-            .agg(F.count(F.lit(1)).alias("n")))
+    rows = parse_events(read_wire_text(spark, path), columns=["dataType", "openid"])
+    return rows.select("dataType", "reportTime", "openid")
 
 
 def q_offset_ledger(spark, sf_dir):
     ledger = OffsetLedger(spark, run_dir(spark, "ledger"), MODULE, GROUP_ID)
-    ledger.record(fixtures.kafka_events(events(spark, sf_dir)), batch="batch_id")
+    ledger.record(fixtures.kafka_events(events(spark, sf_dir)), REPLAY, batch="batch_id")
     return ledger.current()
 
 
 def q_starting_offsets(spark, sf_dir):
     ledger = OffsetLedger(spark, run_dir(spark, "ledger"), MODULE, GROUP_ID)
-    ledger.record(fixtures.kafka_events(events(spark, sf_dir)), batch="batch_id")
+    ledger.record(fixtures.kafka_events(events(spark, sf_dir)), REPLAY, batch="batch_id")
     return ledger.starting_offsets()
 
 
@@ -115,6 +118,10 @@ def q_identity_outbox(spark, sf_dir):
     return identity.identity_outbox(flat_events(spark, sf_dir, IDENTITY), keep=["event_id"])
 
 
+def q_identity_outbox_observed(spark, sf_dir):
+    return identity.identity_outbox(flat_events(spark, sf_dir, IDENTITY), "observed", keep=["event_id"])
+
+
 def q_reply_audit(spark, sf_dir):
     outbox = identity.identity_outbox(flat_events(spark, sf_dir, IDENTITY), keep=["event_id"])
     return identity.reply_audit(fixtures.identity_replies(outbox))
@@ -155,48 +162,77 @@ def q_filter_counts(spark, sf_dir):
     return metrics.filter_counts(flat_events(spark, sf_dir, VISITOR))
 
 
+def _staged(spark, sf_dir, base: str, rows_of, columns: list[str]) -> DataFrame:
+    """Rows parsed once into a table partitioned by batch; each batch then
+    reads only its own partition."""
+    flat = flat_events(spark, sf_dir, columns)
+    rows_of(flat).write.partitionBy("batch").parquet(f"{base}/input")
+    return spark.read.parquet(f"{base}/input")
+
+
+def _page_view_days(flat: DataFrame) -> DataFrame:
+    return metrics.page_views(flat).groupBy("batch", "dt").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _visitors(flat: DataFrame) -> DataFrame:
+    return metrics.visitor_rows(flat, ["batch"])
+
+
+def _replay_visitors(spark, staged: DataFrame, base: str) -> tuple[SeenVisitors, DailyIncrements]:
+    """The batches in order through the seen-visitor store, counting the new
+    ones per day, as the streaming job does."""
+    seen, uv = SeenVisitors(spark, f"{base}/seen"), DailyIncrements(spark, f"{base}/uv")
+    for b in range(fixtures.N_BATCHES):
+        uv.write(seen.add(staged.where(F.col("batch") == b), REPLAY.id, b), REPLAY.id, b)
+    return seen, uv
+
+
 def q_seen_visitors(spark, sf_dir):
-    """Batches 0..3 through the seen-visitor store, in order.  The visitor
-    rows are parsed once into a staging table partitioned by batch; each
-    batch then reads only its own partition."""
     base = run_dir(spark, "seen_visitors")
-    (metrics.visitor_rows(flat_events(spark, sf_dir, VISITOR), ["batch"])
-     .write.mode("overwrite").partitionBy("batch").parquet(f"{base}/input"))
-    staged = spark.read.parquet(f"{base}/input")
-    store = SeenVisitors(spark, f"{base}/store")
-    for b in range(fixtures.N_BATCHES):
-        store.add(staged.where(F.col("batch") == b))
-    return day_text(store.visitors())
+    seen, _ = _replay_visitors(spark, _staged(spark, sf_dir, base, _visitors, VISITOR), base)
+    return day_text(seen.visitors())
 
 
-# --- sinks -------------------------------------------------------------------
+def q_seen_expire_totals(spark, sf_dir):
+    """The first day is dropped from the store; a visitor who comes late for
+    it still adds one to the day's total."""
+    base = run_dir(spark, "seen_expire")
+    staged = _staged(spark, sf_dir, base, _visitors, VISITOR)
+    seen, uv = _replay_visitors(spark, staged, base)
+    first = staged.agg(F.min("dt").alias("dt")).withColumn("unionid", F.lit("comes-late"))
+    day = first.first()["dt"]
+    seen.compact(day + dt.timedelta(days=3))
+    seen.expire(day + dt.timedelta(days=1))
+    late = fixtures.N_BATCHES
+    uv.write(seen.add(first, REPLAY.id, late), REPLAY.id, late)
+    return day_text(uv.amounts())
 
-def _replayed_snapshot(spark, sf_dir, running_of, name: str) -> DataFrame:
-    """Replay the batches in order: after batch b, upsert the running totals
-    of the days batch b touched, as the streaming job does.  The running
-    totals (days x batches rows) are computed in one pass and checkpointed."""
-    columns = PAGE if running_of is metrics.pv_running else VISITOR
-    running = running_of(flat_events(spark, sf_dir, columns)).checkpoint(eager=True)
-    snap = DailySnapshot(spark, run_dir(spark, name))
-    for b in range(fixtures.N_BATCHES):
-        snap.upsert(running.where(F.col("batch") == b).select("dt", "amount"))
-    return day_text(snap.amounts())
 
+# --- sinks -------------------------------------------------------------------
 
 def q_pv_snapshot(spark, sf_dir):
-    return _replayed_snapshot(spark, sf_dir, metrics.pv_running, "pv_snapshot")
+    """Increments batch by batch; the running total of each day after every
+    batch that touched it."""
+    base = run_dir(spark, "pv_snapshot")
+    staged = _staged(spark, sf_dir, base, _page_view_days, PAGE)
+    pv = DailyIncrements(spark, f"{base}/pv")
+    for b in range(fixtures.N_BATCHES):
+        pv.write(staged.where(F.col("batch") == b), REPLAY.id, b)
+    return day_text(pv.running(REPLAY.id))
 
 
 def q_uv_snapshot(spark, sf_dir):
-    return _replayed_snapshot(spark, sf_dir, metrics.uv_running, "uv_snapshot")
+    base = run_dir(spark, "uv_snapshot")
+    _, uv = _replay_visitors(spark, _staged(spark, sf_dir, base, _visitors, VISITOR), base)
+    return day_text(uv.running(REPLAY.id))
 
 
 def q_daily_archive(spark, sf_dir):
     raw = fixtures.wire_events(events(spark, sf_dir))
     flat = parse_events(raw, keep=["ingest_ts"], ingest_ts=None)
     path = run_dir(spark, "archive")
-    write_archive(archive_lines(flat), path, mode="overwrite")
-    return day_text(read_archive(spark, path).groupBy("dt").agg(F.count(F.lit(1)).alias("n")))
+    write_archive(archive_lines(flat), path, REPLAY.id)
+    return day_text(read_archive(spark, path).select("dt", F.col("value").alias("line")))
 
 
 # --- streaming ---------------------------------------------------------------
@@ -204,53 +240,85 @@ def q_daily_archive(spark, sf_dir):
 N_ARRIVALS = 4
 
 
-def _arrivals(spark, sf_dir, src: str):
-    """Yield after each of ``N_ARRIVALS`` time-ordered drops of Kafka-shaped
-    files into ``src`` (the bounds of event time come from one aggregate).
-
-    A new streaming checkpoint fixes its number of state partitions from
-    ``spark.sql.shuffle.partitions``; while these queries run it is sized to
-    the cores of the session and watermark-only micro-batches are off
-    (``STREAM_CONF``), then both are restored."""
-    rows = fixtures.kafka_events(events(spark, sf_dir))
-    micros = F.unix_micros("timestamp")
-    lo, hi = rows.agg(F.min(micros), F.max(micros)).first()
-    width = max(1, (hi - lo) // N_ARRIVALS + 1)
-    rows = rows.withColumn("arrival", F.floor((micros - F.lit(lo)) / F.lit(width)))
-    cores = str(spark.sparkContext.defaultParallelism)
+def _arrivals(spark, sf_dir, base: str, late: bool = False):
+    """Yield after each of ``N_ARRIVALS`` drops of Kafka-shaped files into
+    ``<base>/source``: in order of time, or with ``late`` shuffled, with rows
+    up to ten days late and reported times in 2099.  The input is made once."""
+    rows = fixtures.kafka_events(events(spark, sf_dir), late=late)
+    if late:
+        arrival = F.col("offset") % N_ARRIVALS
+    else:
+        micros = F.unix_micros("timestamp")
+        lo, hi = rows.agg(F.min(micros), F.max(micros)).first()  # one row of bounds
+        arrival = F.floor((micros - F.lit(lo or 0)) / F.lit(((hi or 0) - (lo or 0)) // N_ARRIVALS + 1))
+    (rows.withColumn("arrival", F.coalesce(arrival, F.lit(0)).cast("int"))
+     .write.partitionBy("arrival").parquet(f"{base}/staged"))
+    staged = spark.read.parquet(f"{base}/staged")
     for k in range(N_ARRIVALS):
-        (rows.where(F.col("arrival") == k).select(*KAFKA_SCHEMA.fieldNames())
-         .write.mode("append").parquet(src))
-        with session_conf(spark, {"spark.sql.shuffle.partitions": cores, **STREAM_CONF}):
-            yield k
-
-
-def q_pv_daily_stream(spark, sf_dir):
-    """Events arrive in time-ordered drops; after each drop the streaming
-    query runs (``availableNow``) from its checkpoint: one-day windows with a
-    watermark, update mode, upserted into a snapshot table."""
-    base = run_dir(spark, "pv_stream")
-    snap = DailySnapshot(spark, f"{base}/snapshot")
-    for _ in _arrivals(spark, sf_dir, f"{base}/source"):
-        stream.drain_available(spark, f"{base}/source", stream.pv_updates, snap,
-                               f"{base}/checkpoint")
-    return day_text(snap.amounts())
-
-
-def q_uv_daily_stream(spark, sf_dir):
-    """As ``pv_daily_stream``; a streaming aggregation per (day, visitor)
-    finds each batch's new visitors, added to the snapshot by batch id."""
-    base = run_dir(spark, "uv_stream")
-    snap = DailySnapshot(spark, f"{base}/snapshot")
-    for _ in _arrivals(spark, sf_dir, f"{base}/source"):
-        stream.drain_uv_state(spark, f"{base}/source", snap, f"{base}/checkpoint")
-    return day_text(snap.amounts())
+        (staged.where(F.col("arrival") == k).select(*KAFKA_SCHEMA.fieldNames())
+         .write.mode("append").parquet(f"{base}/source"))
+        yield k
+
+
+def _pv_stream(late: bool):
+    """After each drop the streaming query runs (``availableNow``) from its
+    checkpoint and appends the batch's page views per day."""
+    def q(spark, sf_dir):
+        base = run_dir(spark, "pv_stream")
+        pv = DailyIncrements(spark, f"{base}/pv")
+        for _ in _arrivals(spark, sf_dir, base, late):
+            stream.drain(stream.start_pv_query(stream.kafka_file_stream(spark, f"{base}/source"), pv,
+                                               f"{base}/checkpoint", stream.NOW))
+        return day_text(pv.amounts())
+    return q
+
+
+def _uv_stream(late: bool):
+    """As the PV stream, with the seen-visitor store."""
+    def q(spark, sf_dir):
+        base = run_dir(spark, "uv_stream")
+        seen, uv = SeenVisitors(spark, f"{base}/seen"), DailyIncrements(spark, f"{base}/uv")
+        for _ in _arrivals(spark, sf_dir, base, late):
+            stream.drain(stream.start_uv_query(stream.kafka_file_stream(spark, f"{base}/source"), seen, uv,
+                                               f"{base}/checkpoint", stream.NOW))
+        return day_text(uv.amounts())
+    return q
+
+
+def q_resume_totals(spark, sf_dir):
+    """Half of the topic through one checkpoint, then all of it offered to a
+    new one that resumes from the ledger: every row counts once."""
+    base = run_dir(spark, "resume")
+    rows = fixtures.kafka_events(events(spark, sf_dir)).select(*KAFKA_SCHEMA.fieldNames())
+    middle = rows.agg(F.max("offset")).first()[0] or 0
+    out = stream.EventOutputs(spark, f"{base}/out", MODULE, GROUP_ID)
+    for k, part in enumerate((F.col("offset") <= middle // 2, F.col("offset") > middle // 2)):
+        rows.where(part).write.mode("append").parquet(f"{base}/topic")
+        raw = resume_stream(spark, f"{base}/topic", fixtures.TOPIC, out.ledger, read=read_file_topic)
+        stream.drain(stream.start_event_job(raw, out, f"{base}/checkpoint-{k}", stream.NOW))
+
+    def total(name: str, metric: DailyIncrements) -> DataFrame:
+        return metric.amounts().select(F.lit(name).alias("kind"), F.date_format("dt", "yyyy-MM-dd").alias("key"), "amount")
+
+    outbox = (spark.read.parquet(out.outbox).select(F.lit("outbox").alias("kind"), F.concat_ws(
+        " ", F.col("offset").cast("string"), "body").alias("key"), F.lit(1).cast("long").alias("amount")))
+    return total("pv", out.pv).unionByName(total("uv", out.uv)).unionByName(outbox)
+
+
+def q_archive_lines(spark, sf_dir):
+    """The event job over a topic with truncated documents: the archive holds
+    the good rows and no other."""
+    base = run_dir(spark, "archive_lines")
+    raw = fixtures.wire_events(events(spark, sf_dir), corrupt=True)
+    out = stream.EventOutputs(spark, f"{base}/out", MODULE, GROUP_ID)
+    stream.event_batch(raw.select("value", "ingest_ts"), REPLAY, 0, out)
+    return day_text(read_archive(spark, out.archive).select("dt", F.col("value").alias("line")))
 
 
 # --- legacy ------------------------------------------------------------------
 
-def _legacy(spark, sf_dir) -> DataFrame:
-    return legacy.legacy_records(fixtures.legacy_events(events(spark, sf_dir)), keep=["event_id"])
+def _legacy(spark, sf_dir, kinds: list[str] | None = None) -> DataFrame:
+    return legacy.legacy_records(fixtures.legacy_events(events(spark, sf_dir)), keep=["event_id"], kinds=kinds)
 
 
 def q_legacy_guard(spark, sf_dir):
@@ -261,7 +329,7 @@ def q_legacy_guard(spark, sf_dir):
 
 def _legacy_kind(kind: str):
     def q(spark, sf_dir):
-        return legacy.legacy_lines(_legacy(spark, sf_dir), kind).select("event_id", "line")
+        return legacy.legacy_lines(_legacy(spark, sf_dir, [kind]), kind).select("event_id", "line")
     return q
 
 
@@ -271,7 +339,16 @@ def q_legacy_status(spark, sf_dir):
 
 
 def q_legacy_labels(spark, sf_dir):
-    return legacy.label_counts(_legacy(spark, sf_dir))
+    return legacy.label_counts(fixtures.legacy_events(events(spark, sf_dir)))
+
+
+def q_legacy_stream_lines(spark, sf_dir):
+    """The legacy streaming job over text files: all lines it wrote."""
+    base = run_dir(spark, "legacy_stream")
+    write_wire_text(fixtures.legacy_events(events(spark, sf_dir)), f"{base}/text")
+    stream.drain(stream.start_legacy_job(stream_wire_text(spark, f"{base}/text"), f"{base}/out",
+                                         f"{base}/checkpoint", stream.NOW))
+    return read_archive(spark, f"{base}/out/lines").select(F.col("value").alias("line"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -284,6 +361,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "identity_eligible": q_identity_eligible,
     "identity_eligible_observed": q_identity_eligible_observed,
     "identity_outbox": q_identity_outbox,
+    "identity_outbox_observed": q_identity_outbox_observed,
     "reply_audit": q_reply_audit,
     "page_views": q_page_views,
     "visitor_rows": q_visitor_rows,
@@ -293,12 +371,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "batch_dedup": q_batch_dedup,
     "new_visitors": q_new_visitors,
     "seen_visitors": q_seen_visitors,
+    "seen_expire_totals": q_seen_expire_totals,
     "filter_counts": q_filter_counts,
     "pv_snapshot": q_pv_snapshot,
     "uv_snapshot": q_uv_snapshot,
-    "pv_daily_stream": q_pv_daily_stream,
-    "uv_daily_stream": q_uv_daily_stream,
+    "pv_daily_stream": _pv_stream(False),
+    "uv_daily_stream": _uv_stream(False),
+    "pv_daily_stream_late": _pv_stream(True),
+    "uv_daily_stream_late": _uv_stream(True),
+    "resume_totals": q_resume_totals,
     "daily_archive": q_daily_archive,
+    "archive_lines": q_archive_lines,
     "offset_ledger": q_offset_ledger,
     "starting_offsets": q_starting_offsets,
     "legacy_guard": q_legacy_guard,
@@ -307,4 +390,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "legacy_visit": _legacy_kind("visit"),
     "legacy_labels": q_legacy_labels,
     "legacy_status": q_legacy_status,
+    "legacy_stream_lines": q_legacy_stream_lines,
 }

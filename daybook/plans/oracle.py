@@ -64,6 +64,8 @@ _OBSERVED = ("dataType = 'auth' OR (dataType = 'login' AND coalesce(trim(unionid
 _ID_COLS = "event_id, dataType, unionid, openid, userid, phoneNo"
 _BODY = """'{"unionId":"' || unionid || '","openId":"' || openid || '"}'"""
 
+_BODY_OBSERVED = r"""'{"unionId":"' || coalesce(unionid, '\\N') || '","openId":"' || openid || '"}'"""
+
 _LEGACY_OK = "NOT (event_id % 53 = 0 OR event_id % 59 = 0)"
 _WX = ("openid, nickname, gender, coalesce(city, ''), country, province, language, "
        "subscribeTime, unionid")
@@ -71,6 +73,11 @@ _ADDR_USER = ("CAST(latitude AS VARCHAR), CAST(longitude AS VARCHAR), coalesce(u
               "phoneNo")
 
 
+# a day reported in 2099 counts as the arrival day
+_LATE_DAY = ("strftime(CASE WHEN event_id % 1000 = 7 THEN CAST(reportTime AS TIMESTAMP) "
+             "+ to_days(CAST(event_id % 11 AS INTEGER)) ELSE CAST(reportTime AS TIMESTAMP) END, '%Y-%m-%d')")
+
+
 def _legacy_lines(kind: str, fields: str, required: str) -> str:
     return (f"{E} SELECT event_id, concat_ws(',', {fields}) AS line FROM E "
             f"WHERE dataType = '{kind}' AND {required} AND {_LEGACY_OK}")
@@ -86,8 +93,15 @@ def _uv() -> str:
             "WHERE unionid IS NOT NULL GROUP BY dt")
 
 
+_LEGACY_LINES = {
+    "auth": (f"{_WX}, {_ADDR_USER}", "unionid IS NOT NULL AND phoneNo IS NOT NULL"),
+    "login": (f"{_WX}, {_ADDR_USER}, CAST(succeed AS VARCHAR), CAST(firstLogin AS VARCHAR)",
+              "unionid IS NOT NULL AND phoneNo IS NOT NULL"),
+    "visit": (f"{_WX}, coalesce(pageUrl, ''), '', pageType, modelId, seriesId", "unionid IS NOT NULL"),
+}
+
 ORACLE: dict[str, str] = {
-    "read_wire_text": f"{E} SELECT dataType, count(*) AS n FROM E GROUP BY dataType",
+    "read_wire_text": f"{E} SELECT dataType, reportTime, openid FROM E",
     "parse_events": f"{E} SELECT event_id, {FLAT} FROM E",
     "encode_line": f"{E} SELECT event_id, {LINE} AS line FROM E",
     "decode_line": f"{E} SELECT event_id, {FLAT} FROM E",
@@ -99,6 +113,7 @@ ORACLE: dict[str, str] = {
     "identity_eligible": f"{E} SELECT {_ID_COLS} FROM E WHERE {_DOCUMENTED}",
     "identity_eligible_observed": f"{E} SELECT {_ID_COLS} FROM E WHERE {_OBSERVED}",
     "identity_outbox": f"{E} SELECT event_id, {_BODY} AS body FROM E WHERE {_DOCUMENTED}",
+    "identity_outbox_observed": f"{E} SELECT event_id, {_BODY_OBSERVED} AS body FROM E WHERE {_OBSERVED}",
     "reply_audit": (
         f"{E} SELECT CAST(CASE event_id % 5 WHEN 0 THEN 200 WHEN 1 THEN 500 WHEN 4 THEN 200 END "
         f"AS INTEGER) AS code, count(*) AS n FROM E WHERE {_DOCUMENTED} GROUP BY 1"),
@@ -122,11 +137,27 @@ ORACLE: dict[str, str] = {
         "FROM E WHERE unionid IS NOT NULL) "
         "SELECT batch, count(*) AS before_n, CAST(sum(CASE WHEN batch = first_b THEN 1 ELSE 0 END) "
         "AS BIGINT) AS after_n FROM V GROUP BY batch"),
-    "pv_snapshot": _pv().replace("count(*) AS pv", "count(*) AS amount"),
-    "uv_snapshot": _uv().replace("AS uv", "AS amount"),
+    "seen_expire_totals": (
+        f"{E} SELECT {DAY} AS dt, count(DISTINCT unionid) + CASE WHEN dt = (SELECT min(dt) FROM E "
+        "WHERE unionid IS NOT NULL) THEN 1 ELSE 0 END AS amount FROM E WHERE unionid IS NOT NULL GROUP BY dt"),
+    "pv_snapshot": (
+        f"{E}, N AS (SELECT batch, dt, count(*) AS n FROM E WHERE pageUrl IS NOT NULL GROUP BY 1, 2) "
+        f"SELECT batch AS batch_id, {DAY} AS dt, CAST(sum(n) OVER (PARTITION BY dt ORDER BY batch) AS BIGINT) AS amount FROM N"),
+    "uv_snapshot": (
+        f"{E}, V AS (SELECT dt, unionid, min(batch) AS batch FROM E WHERE unionid IS NOT NULL GROUP BY 1, 2), "
+        "N AS (SELECT batch, dt, count(*) AS n FROM V GROUP BY 1, 2) "
+        f"SELECT batch AS batch_id, {DAY} AS dt, CAST(sum(n) OVER (PARTITION BY dt ORDER BY batch) AS BIGINT) AS amount FROM N"),
     "pv_daily_stream": _pv().replace("count(*) AS pv", "count(*) AS amount"),
     "uv_daily_stream": _uv().replace("AS uv", "AS amount"),
-    "daily_archive": f"{E} SELECT {DAY} AS dt, count(*) AS n FROM E GROUP BY dt",
+    "pv_daily_stream_late": f"{E} SELECT {_LATE_DAY} AS dt, count(*) AS amount FROM E WHERE pageUrl IS NOT NULL GROUP BY 1",
+    "uv_daily_stream_late": (
+        f"{E} SELECT {_LATE_DAY} AS dt, count(DISTINCT unionid) AS amount FROM E WHERE unionid IS NOT NULL GROUP BY 1"),
+    "resume_totals": (
+        f"{E} SELECT 'pv' AS kind, {DAY} AS key, count(*) AS amount FROM E WHERE pageUrl IS NOT NULL GROUP BY dt "
+        f"UNION ALL SELECT 'uv', {DAY}, count(DISTINCT unionid) FROM E WHERE unionid IS NOT NULL GROUP BY dt "
+        f"UNION ALL SELECT 'outbox', event_id || ' ' || {_BODY}, 1 FROM E WHERE {_DOCUMENTED}"),
+    "daily_archive": f"{E} SELECT {DAY} AS dt, {LINE} AS line FROM E",
+    "archive_lines": f"{E} SELECT {DAY} AS dt, {LINE} AS line FROM E WHERE event_id % 97 <> 0",
     "offset_ledger": (
         "SELECT 'daybook' AS module, 'daybook-group' AS group_id, 'behavior-events' AS topic, "
         "CAST(user_id % 4 AS INTEGER) AS partition, max(event_id) + 1 AS until_offset "
@@ -137,14 +168,9 @@ ORACLE: dict[str, str] = {
         """max(event_id) + 1 AS u FROM events GROUP BY 1)"""),
     "legacy_guard": (
         f"SELECT {_LEGACY_OK} AS passed, count(*) AS n FROM events GROUP BY 1"),
-    "legacy_auth": _legacy_lines(
-        "auth", f"{_WX}, {_ADDR_USER}", "unionid IS NOT NULL AND phoneNo IS NOT NULL"),
-    "legacy_login": _legacy_lines(
-        "login", f"{_WX}, {_ADDR_USER}, CAST(succeed AS VARCHAR), CAST(firstLogin AS VARCHAR)",
-        "unionid IS NOT NULL AND phoneNo IS NOT NULL"),
-    "legacy_visit": _legacy_lines(
-        "visit", f"{_WX}, coalesce(pageUrl, ''), '', pageType, modelId, seriesId",
-        "unionid IS NOT NULL"),
+    **{f"legacy_{k}": _legacy_lines(k, *v) for k, v in _LEGACY_LINES.items()},
+    "legacy_stream_lines": " UNION ALL ".join(
+        f"SELECT line FROM ({_legacy_lines(k, *v)})" for k, v in _LEGACY_LINES.items()),
     "legacy_status": (
         f"{E} SELECT {_LEGACY_LABEL} AS label, CASE "
         f"WHEN NOT ({_LEGACY_OK}) THEN 'guard' "

@@ -2,30 +2,24 @@
 
 from __future__ import annotations
 
-import contextlib
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import SparkSession
 
-# The stream queries run in update mode, where evicting expired state emits
-# nothing; an extra micro-batch with no input only to move the watermark would
-# cost a whole batch.  Eviction happens with the next batch that has input.
-STREAM_CONF = {"spark.sql.streaming.noDataMicroBatches.enabled": "false"}
-
 # Days are calendar days in UTC; every entry point runs its session in UTC.
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # AQE turns a join into a broadcast join only when the measured size of a
-    # side (after its shuffle) is under this bound; nothing is broadcast on a
-    # guess.
+    # No broadcast on an estimate: AQE turns a join into a broadcast join only
+    # when the measured size of a side (after its shuffle) is under its bound.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    **STREAM_CONF,
+    # checkpointed intermediate results go when nothing refers to them
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -67,13 +61,36 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+KEEP_HOURS = 24
+_swept: set[str] = set()
+
+
 def run_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared folder for one run of ``name``."""
-    return f"{shared_dir(spark)}/daybook/{name}/{uuid.uuid4().hex}"
+    """A fresh folder under the shared folder for one run of ``name``.  The
+    first call of a session also removes runs older than ``KEEP_HOURS``."""
+    base = f"{shared_dir(spark)}/daybook"
+    if base not in _swept:
+        _swept.add(base)
+        sweep(spark, base)
+    return f"{base}/{name}/{uuid.uuid4().hex}"
+
+
+def sweep(spark: SparkSession, base: str, hours: float = KEEP_HOURS) -> None:
+    """Remove the run folders under ``base`` last changed ``hours`` ago."""
+    if not path_exists(spark, base):
+        return
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(base)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    before = (time.time() - 3600 * hours) * 1000
+    for name in fs.listStatus(root):
+        for run in fs.listStatus(name.getPath()) if name.isDirectory() else []:
+            if run.getModificationTime() < before:
+                fs.delete(run.getPath(), True)
 
 
 def remove_dir(spark: SparkSession, path: str) -> None:
-    """Delete a folder made by ``run_dir`` and all in it."""
+    """Delete a file, or a folder and all in it."""
     hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
 
@@ -98,23 +115,15 @@ def list_partitions(spark: SparkSession, path: str, column: str) -> list[str]:
             if st.isDirectory() and st.getPath().getName().startswith(prefix)]
 
 
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Data files directly under ``path``."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [str(st.getPath()) for st in fs.listStatus(hpath)
+            if st.isFile() and not st.getPath().getName().startswith(("_", "."))]
+
+
 def delete_partition(spark: SparkSession, path: str, column: str, value: str) -> None:
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={value}")
     hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
-
-
-@contextlib.contextmanager
-def session_conf(spark: SparkSession, conf: dict[str, str]):
-    """Set SQL settings for the duration of a block, then restore them."""
-    old = {k: spark.conf.get(k, None) for k in conf}
-    for k, v in conf.items():
-        spark.conf.set(k, v)
-    try:
-        yield spark
-    finally:
-        for k, v in old.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)

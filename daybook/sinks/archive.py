@@ -1,9 +1,9 @@
 """Daily line archive: every parsed event as one text line under ``dt=<day>``.
 
 The day is the arrival day (as the reference files lines by the day they are
-processed).  Lines are written without a shuffle: each task writes the days it
-holds, so a day holding a third of the rows is spread over all tasks rather
-than funnelled through one writer.
+processed).  Lines are rebalanced by day before the write: under adaptive
+execution a large day is split over many tasks and files, small ones are
+merged, so a backfill over many days does not leave a file per task and day.
 """
 
 from __future__ import annotations
@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from daybook.functions.codec import encode_line
 from daybook.schema import ARCHIVE_LEGACY_SUFFIX
+from daybook.sinks.daily import write_batch
+
 
 def archive_lines(flat: DataFrame, arrival: str = "ingest_ts", clean: bool = True,
                   legacy_suffix: bool = False) -> DataFrame:
@@ -23,35 +25,23 @@ def archive_lines(flat: DataFrame, arrival: str = "ingest_ts", clean: bool = Tru
     return flat.select(F.to_date(arrival).alias("dt"), line.alias("value"))
 
 
-def write_archive(lines: DataFrame, path: str, mode: str = "append",
-                  max_records_per_file: int = 5_000_000) -> None:
-    (lines.write.mode(mode).option("maxRecordsPerFile", str(max_records_per_file))
-     .partitionBy("dt").text(path))
+def write_archive(lines: DataFrame, path: str, run: str, batch_id: int = 0) -> None:
+    """Lines of one batch under ``dt, run, batch_id``; a rerun replaces them."""
+    write_batch(lines.hint("rebalance", "dt"), path, run, batch_id, ["dt"], "text")
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
-    """``value, dt``; a filter on ``dt`` prunes partitions.  Works for both
-    batch-written folders and the streaming sink's (metadata-logged) ones."""
+    """``value, dt``; a filter on ``dt`` prunes partitions."""
     return spark.read.text(path).select("value", F.col("dt").cast("date").alias("dt"))
 
 
-def start_archive_stream(lines: DataFrame, path: str, checkpoint: str, trigger=None):
-    """Streaming file sink: exactly-once through its metadata log.  The
-    streaming text sink takes the partition column as text; the folders are
-    the same ``dt=yyyy-MM-dd``."""
-    lines = lines.withColumn("dt", F.col("dt").cast("string"))
-    w = (lines.writeStream.format("text").partitionBy("dt").option("path", path)
-         .option("checkpointLocation", checkpoint).outputMode("append"))
-    return (w.trigger(**trigger) if trigger else w).start()
-
-
-def write_legacy_lines(records: DataFrame, path: str, day=None, mode: str = "append") -> None:
-    """Good legacy lines of all three labels as text under ``dt=<day>``.
+def write_legacy_lines(records: DataFrame, path: str, run: str, batch_id: int = 0, day=None) -> None:
+    """Good legacy lines of all three labels as text under ``dt, run, batch_id``.
 
     ``records`` come from :func:`daybook.operators.legacy.legacy_records`;
-    ``day`` defaults to today.  A dated folder keeps batches from colliding
-    on one fixed path.
+    ``day`` is a column or a date, today by default.  Writing the same run and
+    batch again replaces its lines of that day.
     """
-    d = F.lit(day).cast("date") if day is not None else F.current_date()
-    (records.where(F.col("status") == "ok").select(F.col("line").alias("value"), d.alias("dt"))
-     .write.mode(mode).partitionBy("dt").text(path))
+    d = F.current_date() if day is None else F.lit(day).cast("date")
+    write_batch(records.where(F.col("status") == "ok").select(F.col("line").alias("value"), d.alias("dt")),
+                path, run, batch_id, ["dt"], "text")

@@ -1,74 +1,99 @@
-"""Seen-visitor store: the visitors of each day, ``dt, unionid``, unique per day.
+"""Seen-visitor store: the visitors of each day, in one folder per day.
 
-``add`` keeps only the visitors a batch brings that the store does not have
-yet for their day, appends them and returns their count.  Re-adding a batch after a
-failure appends nothing new.
+A micro-batch appends the visitors its days do not have yet, marked with its
+run and batch.  Adding a batch again appends only what an earlier attempt did
+not store, and how many visitors a batch brought is counted from its mark, so
+a replay gives the same numbers.  Rows written twice change nothing, which is
+what makes compaction safe at any point.
+
+Daily totals live in :class:`daybook.sinks.daily.DailyIncrements`, not here,
+so dropping old days never lowers a total.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from daybook.operators.metrics import new_visitors
-from daybook.session import delete_partition, list_partitions, path_exists
+from daybook.session import delete_partition, list_files, list_partitions, path_exists, remove_dir
 
-SEEN_SCHEMA = T.StructType([T.StructField("unionid", T.StringType()),
-                            T.StructField("dt", T.DateType())])
+SEEN_SCHEMA = T.StructType([
+    T.StructField("unionid", T.StringType()), T.StructField("dt", T.DateType()),
+    T.StructField("run", T.StringType()), T.StructField("batch_id", T.LongType())])
+MAX_LISTED_DAYS = 4096
 
 
-def touched_days(df: DataFrame) -> DataFrame:
-    """Distinct ``dt`` of ``df``, broadcast: at most one row per calendar day."""
-    return F.broadcast(df.select("dt").distinct())
+def touched_days(df: DataFrame) -> list | None:
+    """Distinct days of ``df`` when there are at most MAX_LISTED_DAYS, else None
+    (days come from the clients, so garbage may name very many)."""
+    days = [r["dt"] for r in df.select("dt").distinct().limit(MAX_LISTED_DAYS + 1).collect()]
+    return days if len(days) <= MAX_LISTED_DAYS else None
 
 
 class SeenVisitors:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
 
-    def read(self) -> DataFrame | None:
+    def read(self) -> DataFrame:
+        """``unionid, dt, run, batch_id``."""
         if not path_exists(self.spark, self.path):
-            return None
+            return self.spark.createDataFrame([], SEEN_SCHEMA)
         return self.spark.read.schema(SEEN_SCHEMA).parquet(self.path)
 
-    def add(self, visitors: DataFrame) -> int:
-        """Store the new ``dt, unionid`` of ``visitors``; return how many.
+    def _of_days(self, days: list | None) -> DataFrame:
+        """Stored rows of the listed days (their folders only), or all."""
+        rows = self.read()
+        if days is None:
+            return rows
+        return rows.where(F.col("dt").isin(days)) if days else rows.limit(0)
+
+    def add(self, visitors: DataFrame, run: str, batch_id: int) -> DataFrame:
+        """Store the new visitors of a batch (``dt, unionid``); returns
+        ``dt, n``, how many the batch brought to each day.
 
+        A bounded list of days prunes the store's folders; with more days the
+        anti-join reads the whole store.  Nothing is broadcast by hint.
         Appending to the folder the anti-join reads is safe: new files are
-        committed after the job has read the old ones.  The count comes from
-        an observation of the written rows (no extra job).
+        committed after the job has read the old ones.
         """
         fresh = visitors.select("dt", "unionid").where(F.col("unionid").isNotNull())
-        known = self.read()
-        if known is not None:
-            # only the days this batch touches: a semi-join on the partition
-            # column with the broadcast day list (one row per calendar day, so
-            # its size is bounded) prunes the other days at the scan and never
-            # shuffles a day's visitors into one task
-            known = known.join(touched_days(fresh), "dt", "left_semi")
-            new = new_visitors(fresh, known)
-        else:
-            new = fresh.dropDuplicates(["dt", "unionid"])
-        seen = Observation("new_visitors")
-        (new.observe(seen, F.count(F.lit(1)).alias("n"))
-         .write.mode("append").partitionBy("dt").parquet(self.path))
-        return int(seen.get["n"])
+        days = touched_days(fresh)
+        new = new_visitors(fresh, self._of_days(days)).withColumns(
+            {"run": F.lit(run), "batch_id": F.lit(batch_id).cast("long")})
+        # files per day follow the size of the day, not the number of tasks
+        new.hint("rebalance", "dt").write.mode("append").partitionBy("dt").parquet(self.path)
+        own = self._of_days(days).where((F.col("run") == run) & (F.col("batch_id") == batch_id))
+        return own.dropDuplicates(["dt", "unionid"]).groupBy("dt").agg(F.count(F.lit(1)).alias("n"))
 
     def expire(self, before) -> list[str]:
         """Drop the days older than ``before`` (a date or ``yyyy-MM-dd``),
-        the store's retention in place of the reference's per-day TTL.
-        Lookups are per day, so an expired day only stops taking space.
-        Lists day folders (one per calendar day), never rows."""
+        the store's retention in place of the reference's per-day TTL.  Totals
+        stay; a visitor of a dropped day who comes again counts again.  Lists
+        day folders, never rows."""
         cutoff = str(before)
         gone = sorted(d for d in list_partitions(self.spark, self.path, "dt") if d < cutoff)
         for d in gone:
             delete_partition(self.spark, self.path, "dt", d)
         return gone
 
+    def compact(self, before) -> list[str]:
+        """Rewrite each day older than ``before`` that has several files into
+        few.  The new files are committed before the old ones go, and rows
+        written twice change nothing, so a crash in between costs only space."""
+        done = []
+        for d in sorted(x for x in list_partitions(self.spark, self.path, "dt") if x < str(before)):
+            files = list_files(self.spark, f"{self.path}/dt={d}")
+            if len(files) < 2:
+                continue
+            (self._of_days([d]).dropDuplicates(["dt", "unionid", "run", "batch_id"]).hint("rebalance", "dt")
+             .write.mode("append").partitionBy("dt").parquet(self.path))
+            for f in files:
+                remove_dir(self.spark, f)
+            done.append(d)
+        return done
+
     def visitors(self) -> DataFrame:
-        df = self.read()
-        if df is None:
-            return self.spark.createDataFrame([], "dt date, unionid string")
-        return df.select("dt", "unionid")
+        return self.read().select("dt", "unionid").dropDuplicates()
 
     def counts(self) -> DataFrame:
         """``dt, uv`` from the store."""

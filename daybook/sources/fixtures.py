@@ -16,18 +16,16 @@ TOPIC = "behavior-events"
 N_BATCHES = 4            # batch id = event_id % 4, cuts across days
 N_PARTITIONS = 4         # Kafka partition = user_id % 4
 CORRUPT_EVERY = 97       # event_id % 97 = 0 -> document truncated
+LATE_DAYS = 11           # late rows arrive event_id % 11 days after their event
+WRONG_CLOCK = 1000       # event_id % 1000 = 7 -> reported in 2099
 TYPE_OF = {"signup": "auth", "purchase": "login", "click": "visit", "view": "visit"}
 LEGACY_TYPE_OF = {"signup": "授权", "purchase": "登录", "click": "访问", "view": "访问"}
 # --- end of fixed values ---
 
 
 def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ``events`` table.  A scan that yields fewer splits than there are
-    cores (one row group) is spread round-robin, so the per-row JSON work
-    runs on every core; a large table already has enough splits."""
-    df = spark.read.parquet(f"{sf_dir}/events.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """The ``events`` table."""
+    return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
 def _case(col: Column, mapping: dict[str, str]) -> Column:
@@ -72,13 +70,18 @@ def _blocks(eid: Column, uid: Column, legacy: bool):
     return wx, addr, user, login, login_text, visit
 
 
-def wire_json(events: DataFrame) -> Column:
-    """The current wire document of an ``events`` row."""
+def wire_json(late: bool = False) -> Column:
+    """The current wire document of an ``events`` row; with ``late`` some
+    devices report a time in 2099."""
     eid, uid, et = F.col("event_id"), F.col("user_id"), F.col("event_type")
     kind = _case(et, TYPE_OF)
     wx, addr, user, login, login_text, visit = _blocks(eid, uid, legacy=False)
     has_id = kind.isin("auth", "login")
 
+    reported = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    if late:
+        reported = F.when(eid % WRONG_CLOCK == 7, F.lit("2099-01-01 00:00:00")).otherwise(reported)
+
     def doc(login_block: Column) -> Column:
         data = F.struct(wx.alias("wxInfo"),
                         F.when(has_id, addr).alias("addrInfo"),
@@ -86,16 +89,18 @@ def wire_json(events: DataFrame) -> Column:
                         F.when(kind == "login", login_block).alias("loginData"),
                         F.when(kind == "visit", visit).alias("visitData"))
         return F.to_json(F.struct(kind.alias("dataType"),
-                                  F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("reportTime"),
+                                  reported.alias("reportTime"),
                                   data.alias("data")))
 
     # login flags travel as JSON strings on every tenth event
     return F.when(eid % 10 == 0, doc(login_text)).otherwise(doc(login))
 
 
-def arrival_ts(events: DataFrame) -> Column:
-    """Arrival time of the fixture rows: the event time itself."""
-    return F.col("ts").cast("timestamp")
+def arrival_ts(late: bool = False) -> Column:
+    """Arrival time of the fixture rows: the event time itself, or with
+    ``late`` up to ten days after it."""
+    ts = F.col("ts").cast("timestamp")
+    return ts + F.make_dt_interval((F.col("event_id") % LATE_DAYS).cast("int")) if late else ts
 
 
 def wire_events(events: DataFrame, corrupt: bool = False) -> DataFrame:
@@ -104,7 +109,7 @@ def wire_events(events: DataFrame, corrupt: bool = False) -> DataFrame:
     With ``corrupt`` every 97th document loses its closing brace.
     """
     out = events.select("event_id", (F.col("event_id") % N_BATCHES).alias("batch"),
-                        arrival_ts(events).alias("ingest_ts"), wire_json(events).alias("value"))
+                        arrival_ts().alias("ingest_ts"), wire_json().alias("value"))
     if corrupt:
         out = out.withColumn("value", F.when(
             F.col("event_id") % CORRUPT_EVERY == 0,
@@ -112,7 +117,7 @@ def wire_events(events: DataFrame, corrupt: bool = False) -> DataFrame:
     return out
 
 
-def kafka_events(events: DataFrame, topic: str = TOPIC) -> DataFrame:
+def kafka_events(events: DataFrame, topic: str = TOPIC, late: bool = False) -> DataFrame:
     """Rows shaped like the Kafka source: partition ``user_id % 4``; one
     micro-batch per event day (``batch_id``, days since 1970-01-01).
 
@@ -120,9 +125,9 @@ def kafka_events(events: DataFrame, topic: str = TOPIC) -> DataFrame:
     as on a compacted or transactional topic.
     """
     return events.select(
-        wire_json(events).alias("value"), F.lit(topic).alias("topic"),
+        wire_json(late).alias("value"), F.lit(topic).alias("topic"),
         (F.col("user_id") % N_PARTITIONS).cast("int").alias("partition"),
-        F.col("event_id").alias("offset"), arrival_ts(events).alias("timestamp"),
+        F.col("event_id").alias("offset"), arrival_ts(late).alias("timestamp"),
         F.unix_date(F.to_date("ts")).cast("long").alias("batch_id"))
 
 

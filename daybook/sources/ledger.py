@@ -1,24 +1,34 @@
 """Offset ledger: the last processed offset of every Kafka partition.
 
 ``record`` appends, per batch and partition, the offset range the batch
-covered (an empty batch writes nothing).  ``current`` keeps, per module,
-group, topic and partition, the row of the latest batch (last wins), so
-re-recording a batch after a failure changes nothing.
+covered (an empty batch writes nothing).  Rows carry the run (the checkpoint's
+query) and when it started: batch numbers begin at 0 again with a new
+checkpoint, so ``current`` orders by (run start, batch) and keeps the last row
+per module, group, topic and partition.  Re-recording a batch changes nothing.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from daybook.session import delete_partition, list_partitions, path_exists
+from daybook.streaming.run import StreamRun
+
 LOG_SCHEMA = T.StructType([
     T.StructField("module", T.StringType()),
     T.StructField("group_id", T.StringType()),
     T.StructField("topic", T.StringType()),
     T.StructField("partition", T.IntegerType()),
+    T.StructField("run_id", T.StringType()),
+    T.StructField("run_started", T.TimestampType()),
     T.StructField("batch_id", T.LongType()),
     T.StructField("from_offset", T.LongType()),
     T.StructField("until_offset", T.LongType()),
+    T.StructField("part", T.StringType()),
 ])
+LATEST = "latest"
 
 
 def batch_offsets(rows: DataFrame, batch: str | None = None) -> DataFrame:
@@ -33,7 +43,7 @@ class OffsetLedger:
     def __init__(self, spark: SparkSession, path: str, module: str, group_id: str):
         self.spark, self.path, self.module, self.group_id = spark, path, module, group_id
 
-    def record(self, rows: DataFrame, batch_id: int | None = None,
+    def record(self, rows: DataFrame, run: StreamRun, batch_id: int | None = None,
                batch: str | None = None) -> None:
         """Append the offset ranges of one batch (``batch_id``) or of many
         batches at once (a ``batch`` column of ``rows``)."""
@@ -41,21 +51,40 @@ class OffsetLedger:
         bid = F.col(batch).cast("long") if batch else F.lit(batch_id).cast("long")
         (ranges.select(F.lit(self.module).alias("module"), F.lit(self.group_id).alias("group_id"),
                        "topic", F.col("partition").cast("int").alias("partition"),
-                       bid.alias("batch_id"), "from_offset", "until_offset")
-         .write.mode("append").parquet(self.path))
+                       F.lit(run.id).alias("run_id"), F.lit(run.started).cast("timestamp").alias("run_started"),
+                       bid.alias("batch_id"), "from_offset", "until_offset", F.lit(run.id).alias("part"))
+         .write.mode("append").partitionBy("part").parquet(self.path))
 
     def log(self) -> DataFrame:
+        if not path_exists(self.spark, self.path):
+            return self.spark.createDataFrame([], LOG_SCHEMA)
         return self.spark.read.schema(LOG_SCHEMA).parquet(self.path)
 
+    def _last(self, rows: DataFrame) -> DataFrame:
+        last = F.max(F.struct("run_started", "batch_id", "until_offset", "from_offset", "run_id"))
+        return (rows.groupBy("module", "group_id", "topic", "partition").agg(last.alias("x"))
+                .select("module", "group_id", "topic", "partition", "x.*"))
+
     def current(self) -> DataFrame:
         """``module, group_id, topic, partition, until_offset`` (last wins)."""
-        return (self.log().where((F.col("module") == self.module)
-                                 & (F.col("group_id") == self.group_id))
-                .groupBy("module", "group_id", "topic", "partition")
-                .agg(F.max_by("until_offset", "batch_id").alias("until_offset")))
+        mine = (F.col("module") == self.module) & (F.col("group_id") == self.group_id)
+        return self._last(self.log().where(mine)).select(
+            "module", "group_id", "topic", "partition", "until_offset")
+
+    def compact(self) -> None:
+        """Keep only the last row of every partition (of all groups), in one
+        folder.  The kept rows are committed before older folders go, and the
+        last row wins wherever it is, so a crash in between changes nothing."""
+        old = list_partitions(self.spark, self.path, "part")
+        kept = self._last(self.log()).withColumn("part", F.lit(f"kept-{uuid.uuid4().hex}"))
+        (kept.select(*LOG_SCHEMA.fieldNames()).coalesce(1)
+         .write.mode("append").partitionBy("part").parquet(self.path))
+        for p in old:
+            delete_partition(self.spark, self.path, "part", p)
 
     def starting_offsets(self, partitions: dict[str, int] | None = None) -> DataFrame:
-        """One row: ``starting_offsets``, the JSON the Kafka source takes.
+        """``starting_offsets``, the JSON the Kafka source takes, in one row;
+        no row when the ledger holds nothing for this group.
 
         ``partitions`` (topic -> partition count) fills partitions the ledger
         has never seen with ``-1`` (latest), since a specific
@@ -72,7 +101,14 @@ class OffsetLedger:
                        .select("topic", "partition",
                                F.coalesce("until_offset", F.lit(-1).cast("long"))
                                .alias("until_offset")))
-        return starting_offsets_json(current)
+        return starting_offsets_json(current).where(F.col("starting_offsets") != "{}")
+
+    def resume_from(self, partitions: dict[str, int] | None = None) -> str:
+        """Where a new checkpoint starts: the stored offsets, or the latest
+        ones when nothing is stored for this group."""
+        if not self.current().limit(1).count():
+            return LATEST
+        return self.starting_offsets(partitions).first()["starting_offsets"]
 
 
 def starting_offsets_json(current: DataFrame) -> DataFrame:

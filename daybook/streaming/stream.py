@@ -1,241 +1,156 @@
-"""Structured Streaming form of the event job.
-
-* :func:`pv_updates` / :func:`uv_updates` - running daily totals over tumbling
-  one-day event-time windows with a watermark (state is evicted once a day is
-  older than the watermark; later rows for it are dropped and counted in
-  ``numRowsDroppedByWatermark``).
-* :func:`start_snapshot_query` - update mode into :class:`DailySnapshot`
-  through ``foreachBatch``; the upsert is keyed by day, so replaying a batch
-  after a failure leaves the table as it was.
-* :func:`start_uv_state_query` - running UV from a streaming aggregation per
-  (day, visitor): partial aggregation before the shuffle, O(1) state per
-  key; new visitors are added to the snapshot idempotently by batch id.
-* :func:`start_uv_store_query` - running UV kept in the seen-visitor store
-  instead of streaming state: skew-safe and idempotent, no watermark (late
-  visitors still count), but each batch rescans its days in the store.
-* :func:`start_fan_out` - one ``foreachBatch`` that parses each micro-batch
-  once and feeds quarantine, identity outbox and offset ledger, each write
-  keyed by ``batch_id`` (idempotent on replay).
+"""Structured Streaming form of the event job and of the legacy job.
+
+Every query is one ``foreachBatch`` over its source.  What a micro-batch
+writes lies under the batch's own ``run, batch_id`` (the run is the
+checkpoint's query id), so a replay replaces its own output, another
+checkpoint never overwrites it, and no streaming state or watermark is
+needed: a row counts for its day however late it comes.
+
+* :func:`start_event_job` - the whole job: one read and one checked parse per
+  micro-batch feed quarantine, archive, identity outbox, PV, UV and, last,
+  the offset ledger.
+* :func:`start_pv_query`, :func:`start_uv_query` - one metric alone, parsing
+  only the columns it reads.
+* :func:`start_legacy_job` - guard, three-way dispatch and dated line output
+  of the legacy documents, the rest to quarantine.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from daybook.functions.codec import parse_events
 from daybook.operators.identity import identity_outbox
-from daybook.operators.metrics import visitor_rows
+from daybook.operators.legacy import legacy_records
+from daybook.operators.metrics import page_views, visitor_rows
 from daybook.operators.quality import bad_rows, good_rows, parse_checked
 from daybook.schema import KAFKA_SCHEMA
-from daybook.sinks.snapshot import DailySnapshot
-from daybook.sinks.visitors import SeenVisitors, touched_days
+from daybook.sinks.archive import archive_lines, write_archive, write_legacy_lines
+from daybook.sinks.daily import DailyIncrements, write_batch
+from daybook.sinks.visitors import SeenVisitors
 from daybook.sources.kafka import kafka_rows
 from daybook.sources.ledger import OffsetLedger
+from daybook.streaming.run import StreamRun, run_of
+
+
+def start_batches(raw: DataFrame, step: Callable[[DataFrame, StreamRun, int], None], checkpoint: str,
+                  trigger: dict | None = None, name: str | None = None):
+    """Run ``step(batch, run, batch_id)`` for every micro-batch of ``raw``."""
+    def each(batch: DataFrame, batch_id: int) -> None:
+        step(batch, run_of(batch.sparkSession, checkpoint), batch_id)
+
+    w = raw.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+    w = w.queryName(name) if name else w
+    return (w.trigger(**trigger) if trigger else w).start()
+
+
+# --- metrics -----------------------------------------------------------------
+
+def parse_batch(batch: DataFrame, columns: list[str]) -> DataFrame:
+    """``columns`` and ``dt`` of a batch of source rows; only they are parsed."""
+    return parse_events(batch, columns=columns)
 
-DAY = "1 day"
-
-
-def parse_stream(raw: DataFrame, value: str = "value", keep_arrival: bool = False) -> DataFrame:
-    """Streaming rows -> flat columns with ``event_ts`` (a timestamp).
-    ``keep_arrival`` also keeps ``ingest_ts`` (the archive files by it)."""
-    keep = [c for c in raw.columns if c not in (value, "ingest_ts")]
-    if keep_arrival:
-        return parse_events(raw.withColumn("_arrival", F.col("ingest_ts")), value=value,
-                            keep=keep + ["_arrival"]).withColumnRenamed("_arrival", "ingest_ts")
-    return parse_events(raw, value=value, keep=keep)
-
-
-def _day(window: str = "w"):
-    return F.to_date(F.col(f"{window}.start")).alias("dt")
-
-
-def pv_updates(flat: DataFrame, delay: str = DAY) -> DataFrame:
-    """``dt, amount``: running page views per event day."""
-    return (flat.withWatermark("event_ts", delay)
-            .where(F.col("pageUrl").isNotNull())
-            .groupBy(F.window("event_ts", DAY).alias("w"))
-            .agg(F.count(F.lit(1)).alias("amount"))
-            .select(_day(), "amount"))
-
-
-def uv_updates(flat: DataFrame, delay: str = DAY) -> DataFrame:
-    """``dt, amount``: running distinct visitors per event day.
-
-    The day window is part of the de-duplication key, so visitor state of a
-    day is evicted with the day.
-    """
-    return (flat.withWatermark("event_ts", delay)
-            .where(F.col("unionid").isNotNull())
-            .select(F.window("event_ts", DAY).alias("w"), "unionid", "event_ts")
-            .dropDuplicates(["w", "unionid"])
-            .groupBy("w").agg(F.count(F.lit(1)).alias("amount"))
-            .select(_day(), "amount"))
-
-
-def uv_first_seen(flat: DataFrame, delay: str = DAY) -> DataFrame:
-    """Per (day window, visitor): the first and last micro-batch time it was
-    seen.  A streaming aggregation, so each micro-batch is partially
-    aggregated before the shuffle (a hot visitor becomes one row per task)
-    and state is one entry per visitor and day, evicted with the day.  In
-    update mode a visitor is new in a batch exactly when both times equal
-    that batch's time (micro-batches have distinct trigger times)."""
-    return (flat.withWatermark("event_ts", delay)
-            .where(F.col("unionid").isNotNull())
-            .select(F.window("event_ts", DAY).alias("w"), "unionid",
-                    F.current_timestamp().alias("seen_at"))
-            .groupBy("w", "unionid")
-            .agg(F.min("seen_at").alias("first_seen"), F.max("seen_at").alias("last_seen")))
-
-
-def uv_state_step(batch: DataFrame, batch_id: int, snapshot: DailySnapshot) -> None:
-    """New visitors of one micro-batch, counted per day, added to the snapshot."""
-    new = batch.where(F.col("first_seen") == F.col("last_seen"))
-    snapshot.add(new.groupBy(_day()).agg(F.count(F.lit(1)).alias("n")), batch_id)
-
-
-def start_uv_state_query(flat: DataFrame, snapshot: DailySnapshot, checkpoint: str,
-                         trigger: dict | None = None, delay: str = DAY):
-    """Running UV: :func:`uv_first_seen` in update mode, new visitors added
-    to the snapshot by batch id (idempotent on replay)."""
-    w = (uv_first_seen(flat, delay).writeStream.outputMode("update")
-         .foreachBatch(lambda df, bid: uv_state_step(df, bid, snapshot))
-         .option("checkpointLocation", checkpoint))
-    return _with_trigger(w, trigger).start()
-
-
-def _with_trigger(writer, trigger):
-    return writer.trigger(**trigger) if trigger else writer
-
-
-def start_snapshot_query(updates: DataFrame, snapshot: DailySnapshot, checkpoint: str,
-                         trigger: dict | None = None, name: str | None = None):
-    """Run ``updates`` in update mode, upserting each micro-batch by day."""
-    def upsert(batch: DataFrame, batch_id: int) -> None:
-        snapshot.upsert(batch)
-
-    w = (updates.writeStream.outputMode("update").foreachBatch(upsert)
-         .option("checkpointLocation", checkpoint))
-    if name:
-        w = w.queryName(name)
-    return _with_trigger(w, trigger).start()
-
-
-def uv_store_step(batch: DataFrame, store: SeenVisitors, snapshot: DailySnapshot) -> None:
-    """One micro-batch of running UV through the seen-visitor store.
-
-    The micro-batch is a plain batch plan here, so its visitors are reduced
-    to distinct ``dt, unionid`` with a partial aggregation before any
-    shuffle (a visitor holding a third of the rows costs one hash entry per
-    task).  New visitors go into the store; the days the batch touched are
-    then recounted from the store (a row count per day partition) and
-    upserted.  Replaying a batch adds nothing and recounts the same totals.
-    No watermark is needed: a late visitor still counts for its own day.
-    """
-    visitors = visitor_rows(batch).dropDuplicates(["dt", "unionid"]).persist()
+
+def add_page_views(flat: DataFrame, pv: DailyIncrements, run: StreamRun, batch_id: int) -> None:
+    pv.write(page_views(flat).groupBy("dt").agg(F.count(F.lit(1)).alias("n")), run.id, batch_id)
+
+
+def add_visitors(flat: DataFrame, seen: SeenVisitors, uv: DailyIncrements, run: StreamRun, batch_id: int) -> None:
+    """New visitors are stored first and counted from what was stored, so a
+    replay between the two writes gives the same increments.  The batch is
+    read once: its distinct visitors are kept for the lookup of their days."""
+    visitors = visitor_rows(flat).dropDuplicates(["dt", "unionid"]).persist()
     try:
-        store.add(visitors)
-        counts = (store.visitors().join(touched_days(visitors), "dt", "left_semi")
-                  .groupBy("dt").agg(F.count(F.lit(1)).alias("amount")))
-        snapshot.upsert(counts)
+        uv.write(seen.add(visitors, run.id, batch_id), run.id, batch_id)
     finally:
         visitors.unpersist()
 
 
-def start_uv_store_query(flat: DataFrame, store: SeenVisitors, snapshot: DailySnapshot,
-                         checkpoint: str, trigger: dict | None = None):
-    w = (flat.writeStream.foreachBatch(lambda df, bid: uv_store_step(df, store, snapshot))
-         .option("checkpointLocation", checkpoint))
-    return _with_trigger(w, trigger).start()
+def start_pv_query(raw: DataFrame, pv: DailyIncrements, checkpoint: str, trigger: dict | None = None):
+    """Running daily page views of source rows (``value, ingest_ts``)."""
+    return start_batches(raw, lambda b, run, i: add_page_views(parse_batch(b, ["pageUrl"]), pv, run, i),
+                         checkpoint, trigger)
 
 
-def kafka_file_stream(spark, source: str) -> DataFrame:
-    """Parsed stream over Kafka-shaped parquet files arriving in ``source``."""
-    return parse_stream(kafka_rows(spark.readStream.schema(KAFKA_SCHEMA).parquet(source)))
+def start_uv_query(raw: DataFrame, seen: SeenVisitors, uv: DailyIncrements, checkpoint: str,
+                   trigger: dict | None = None):
+    """Running daily visitors of source rows (``value, ingest_ts``)."""
+    return start_batches(raw, lambda b, run, i: add_visitors(parse_batch(b, ["unionid"]), seen, uv, run, i),
+                         checkpoint, trigger)
 
 
-def drain_available(spark, source: str, updates_of, snapshot: DailySnapshot,
-                    checkpoint: str):
-    """Process every file now in ``source`` (``availableNow``), resuming from
-    ``checkpoint``; return the finished query (for its progress reports)."""
-    q = start_snapshot_query(updates_of(kafka_file_stream(spark, source)), snapshot, checkpoint,
-                             trigger={"availableNow": True})
-    q.awaitTermination()
-    return q
+# --- the event job -----------------------------------------------------------
 
+class EventOutputs:
+    """Where the event job writes, all under ``base``."""
 
-def drain_uv_state(spark, source: str, snapshot: DailySnapshot, checkpoint: str):
-    q = start_uv_state_query(kafka_file_stream(spark, source), snapshot, checkpoint,
-                             trigger={"availableNow": True})
-    q.awaitTermination()
-    return q
+    def __init__(self, spark: SparkSession, base: str, module: str = "daybook", group_id: str = "daybook"):
+        self.quarantine, self.outbox, self.archive = f"{base}/quarantine", f"{base}/identity_outbox", f"{base}/archive"
+        self.pv = DailyIncrements(spark, f"{base}/pv")
+        self.uv = DailyIncrements(spark, f"{base}/uv")
+        self.seen = SeenVisitors(spark, f"{base}/seen")
+        self.ledger = OffsetLedger(spark, f"{base}/ledger", module, group_id)
 
 
-def drain_uv_store(spark, source: str, store: SeenVisitors, snapshot: DailySnapshot,
-                   checkpoint: str):
-    q = start_uv_store_query(kafka_file_stream(spark, source), store, snapshot, checkpoint,
-                             trigger={"availableNow": True})
-    q.awaitTermination()
-    return q
-
-
-def fan_out_batch(batch: DataFrame, batch_id: int, out_dir: str,
-                  ledger: OffsetLedger | None = None) -> None:
-    """Parse one micro-batch once; write quarantine, outbox and offsets."""
+def event_batch(batch: DataFrame, run: StreamRun, batch_id: int, out: EventOutputs,
+                mode: str = "documented") -> None:
+    """One micro-batch, parsed and checked once.  Bad rows go to quarantine
+    and nowhere else; the ledger covers good and bad rows and is written last,
+    so a failure before it replays the batch."""
     keep = [c for c in ("topic", "partition", "offset") if c in batch.columns]
-    arrival = "ingest_ts" if "ingest_ts" in batch.columns else "timestamp"
-    checked = parse_checked(batch, keep=keep, ingest_ts=arrival).persist()
+    checked = parse_checked(batch, keep=keep).persist()
     try:
-        observed = checked.observe(
-            f"batch_{batch_id}",
-            F.count(F.lit(1)).alias("rows"),
-            F.count(F.when(F.col("reason").isNotNull(), 1)).alias("quarantined"))
-        stamp = F.lit(batch_id).cast("long").alias("batch_id")
-        (bad_rows(observed).select("*", stamp).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
-         .parquet(f"{out_dir}/quarantine"))
+        write_batch(bad_rows(checked), out.quarantine, run.id, batch_id)
         good = good_rows(checked)
-        (identity_outbox(good, keep=keep).select("*", stamp).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
-         .parquet(f"{out_dir}/identity_outbox"))
-        if ledger is not None and keep:
-            # recorded after the sinks: a failure before this point replays
-            ledger.record(checked, batch_id=batch_id)
+        write_batch(identity_outbox(good, mode, keep=keep), out.outbox, run.id, batch_id)
+        write_archive(archive_lines(good), out.archive, run.id, batch_id)
+        add_page_views(good, out.pv, run, batch_id)
+        add_visitors(good, out.seen, out.uv, run, batch_id)
+        if keep:
+            out.ledger.record(checked, run, batch_id)
     finally:
         checked.unpersist()
 
 
-def start_fan_out(raw: DataFrame, out_dir: str, checkpoint: str,
-                  ledger: OffsetLedger | None = None, trigger: dict | None = None):
-    w = (raw.writeStream.foreachBatch(
-            lambda df, bid: fan_out_batch(df, bid, out_dir, ledger))
-         .option("checkpointLocation", checkpoint))
-    return _with_trigger(w, trigger).start()
-
-
-def start_event_jobs(raw: DataFrame, base: str, module: str = "daybook",
-                     group_id: str = "daybook", trigger: dict | None = None,
-                     delay: str = DAY) -> dict:
-    """Start the whole streaming job over ``raw`` (Kafka-shaped rows, e.g.
-    ``kafka_rows(read_kafka_stream(...))``), one checkpointed query per
-    output family, all under ``base``:
-
-    * ``fan_out``  - quarantine, identity outbox, offset ledger;
-    * ``archive``  - daily line archive (exactly-once file sink);
-    * ``pv``, ``uv`` - running daily totals in snapshot tables.
-
-    Returns the started queries by name.
-    """
-    from daybook.sinks.archive import archive_lines, start_archive_stream
-
-    ledger = OffsetLedger(raw.sparkSession, f"{base}/ledger", module, group_id)
-    flat = parse_stream(raw, keep_arrival=True)
-    spark = raw.sparkSession
-    return {
-        "fan_out": start_fan_out(raw, f"{base}/out", f"{base}/_checkpoints/fan_out", ledger, trigger),
-        "archive": start_archive_stream(archive_lines(flat), f"{base}/archive",
-                                        f"{base}/_checkpoints/archive", trigger),
-        "pv": start_snapshot_query(pv_updates(flat, delay), DailySnapshot(spark, f"{base}/pv"),
-                                   f"{base}/_checkpoints/pv", trigger),
-        "uv": start_uv_state_query(flat, DailySnapshot(spark, f"{base}/uv"),
-                                   f"{base}/_checkpoints/uv", trigger, delay),
-    }
+def start_event_job(raw: DataFrame, out: EventOutputs, checkpoint: str, trigger: dict | None = None,
+                    mode: str = "documented"):
+    """Start the whole job over ``raw`` (Kafka-shaped rows with ``ingest_ts``,
+    e.g. of :func:`daybook.sources.kafka.resume_stream`)."""
+    return start_batches(raw, lambda b, run, i: event_batch(b, run, i, out, mode), checkpoint, trigger, "events")
+
+
+# --- the legacy job ----------------------------------------------------------
+
+def legacy_batch(batch: DataFrame, run: StreamRun, batch_id: int, base: str) -> None:
+    """Good lines under ``<base>/lines``, by arrival day; documents that the
+    guard, the label or a field rejects under ``<base>/quarantine``."""
+    records = legacy_records(batch, keep=["ingest_ts", "value"]).persist()
+    try:
+        write_legacy_lines(records, f"{base}/lines", run.id, batch_id, day=F.to_date("ingest_ts"))
+        write_batch(records.where(F.col("status") != "ok").select("value", F.col("status").alias("reason"), "ingest_ts"),
+                    f"{base}/quarantine", run.id, batch_id)
+    finally:
+        records.unpersist()
+
+
+def start_legacy_job(raw: DataFrame, base: str, checkpoint: str, trigger: dict | None = None):
+    """The legacy streaming job over rows ``value, ingest_ts``."""
+    return start_batches(raw, lambda b, run, i: legacy_batch(b, run, i, base), checkpoint, trigger, "legacy")
+
+
+# --- Kafka-shaped files ------------------------------------------------------
+
+def kafka_file_stream(spark: SparkSession, source: str) -> DataFrame:
+    """Stream over Kafka-shaped parquet files arriving in ``source``."""
+    return kafka_rows(spark.readStream.schema(KAFKA_SCHEMA).parquet(source))
+
+
+def drain(query):
+    """Wait for a query started with ``availableNow``; returns it."""
+    query.awaitTermination()
+    return query
+
+
+NOW = {"availableNow": True}

@@ -134,3 +134,22 @@ def test_day_source_arrival(spark):
     raw = spark.createDataFrame([(doc, INGEST)], "value string, ingest_ts timestamp")
     assert parse_events(raw).first()["dt"] == dt.date(2024, 1, 1)
     assert parse_events(raw, day_source="arrival").first()["dt"] == INGEST.date()
+
+
+def test_login_flags_are_booleans_or_true_false_text(spark):
+    from daybook.operators.quality import parse_checked
+    flags = ["true", '"true"', '"TRUE"', '"False"', '"yes"', '"1"', "1", '"2"', '"t"', '""', "null"]
+    docs = [(i, '{"dataType":"login","data":{"loginData":{"succeed":%s}}}' % f, None) for i, f in enumerate(flags)]
+    rows = parse_checked(spark.createDataFrame(docs, "i int, value string, ingest_ts timestamp"), keep=["i"]).collect()
+    assert [r["succeed"] for r in rows] == [True, True, True, False] + [None] * 7
+    assert [r["reason"] for r in rows] == [None] * 4 + ["bad_boolean"] * 5 + [None] * 2
+
+
+def test_times_far_ahead_of_the_arrival_are_not_believed(spark):
+    import datetime as dt
+    at = dt.datetime(2024, 1, 10, 8, 0)
+    docs = [(i, '{"reportTime":"%s"}' % t, a) for i, (t, a) in enumerate([
+        ("2024-01-10 08:59:00", at), ("2024-01-10 09:01:00", at), ("2099-01-01 00:00:00", at), ("x", at),
+        ("2023-12-31 00:00:00", at), ("2099-01-01 00:00:00", None)])]
+    got = parse_events(spark.createDataFrame(docs, "i int, value string, ingest_ts timestamp"), keep=["i"]).collect()
+    assert [r["event_ts"] for r in got] == [dt.datetime(2024, 1, 10, 8, 59), at, at, at, dt.datetime(2023, 12, 31), dt.datetime(2099, 1, 1)]

@@ -91,7 +91,9 @@ def test_identity_rules(spark):
     bodies = {r["event_id"]: r["body"] for r in
               identity.identity_outbox(flat, "observed", keep=["event_id"]).collect()}
     assert bodies[0] == '{"unionId":"u","openId":"o"}'
-    assert bodies[1] == '{"openId":"o"}'
+    assert bodies[1] == '{"unionId":"\\\\N","openId":"o"}'
+    plain = flat.where("event_id = 1").select(identity.identity_body().alias("body")).first()["body"]
+    assert plain == '{"openId":"o"}'
 
 
 def test_reply_audit(spark):
@@ -124,6 +126,5 @@ def test_legacy_edges(spark):
     no_guard = {r["event_id"]: r["status"] for r in
                 legacy.legacy_records(raw, keep=["event_id"], guard=False).collect()}
     assert no_guard[5] == "bad" and no_guard[7] == "bad"
-    labels = {r["label"]: r["dataType"] for r in legacy.label_counts(
-        legacy.legacy_records(raw, keep=["event_id"])).collect()}
+    labels = {r["label"]: r["dataType"] for r in legacy.label_counts(raw).collect()}
     assert labels["授权"] == "auth" and labels["其他"] is None

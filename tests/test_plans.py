@@ -40,13 +40,43 @@ def test_no_broadcast_hints_on_growing_sides(spark):
     assert "broadcast" not in df._jdf.queryExecution().logical().toString().lower()
 
 
-def test_store_lookups_prune_days_without_shuffling_them(spark, workdir):
+def test_store_lookups_read_only_the_listed_days(spark, workdir):
     import datetime as dt
-    from daybook.sinks.visitors import SeenVisitors, touched_days
+    from daybook.sinks.visitors import SeenVisitors
     store = SeenVisitors(spark, f"{workdir}/seen")
-    batch = spark.createDataFrame([(dt.date(2024, 1, 1), "a")], "dt date, unionid string")
-    store.add(batch)
-    q = store.visitors().join(touched_days(batch), "dt", "left_semi")
-    p = plan(q)
-    # the only hash shuffle is the batch's own day list; the store is not shuffled
-    assert "BroadcastHashJoin" in p and p.count("Exchange hashpartitioning") == 1
+    store.add(spark.createDataFrame([(dt.date(2024, 1, 1), "a")], "dt date, unionid string"), "r", 0)
+    p = plan(store._of_days([dt.date(2024, 1, 1)]))
+    assert re.search(r"PartitionFilters: \[[^]]*dt", p) and "Exchange" not in p
+
+
+def test_streams_and_labels_parse_only_what_they_read(spark):
+    from daybook.sources import fixtures
+    from daybook.sources.kafka import kafka_rows
+    from daybook.streaming.stream import parse_batch
+    batch = kafka_rows(fixtures.kafka_events(fixtures.load_events(spark, SF)))
+    p = parse_batch(batch, ["pageUrl"])._jdf.queryExecution().optimizedPlan().toString()
+    assert _parsed(p) == [["reportTime", "data", "visitData", "pageUrl"]]
+    label = QUERIES["legacy_labels"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert _parsed(label) == [["dataType"]]
+    auth = _parsed(QUERIES["legacy_auth"](spark, SF)._jdf.queryExecution().optimizedPlan().toString())
+    assert len(auth) == 1 and "phoneNo" in auth[0] and "pageUrl" not in auth[0]
+
+
+def _parsed(p: str) -> list[list[str]]:
+    """Fields of the schema of each from_json in a plan."""
+    out = []
+    for at in (m.end() for m in re.finditer(r"from_json\(", p)):
+        depth, end = 1, at
+        while depth and not (depth == 1 and p[end:end + 2] == ", "):
+            depth += {"(": 1, ")": -1}.get(p[end], 0)
+            end += 1
+        schema = p[at:end]
+        while (m := re.match(r", StructField.*?", p[end:])):  # the next top-level field
+            start = end
+            depth, end = 1, end + 2
+            while depth and not (depth == 1 and p[end:end + 2] == ", "):
+                depth += {"(": 1, ")": -1}.get(p[end], 0)
+                end += 1
+            schema += p[start:end]
+        out.append(re.findall(r"StructField\((\w+),", schema))
+    return out

@@ -7,54 +7,62 @@ from pyspark.sql import functions as F
 
 from daybook.functions.codec import parse_events
 from daybook.sinks.archive import archive_lines, read_archive, write_archive
-from daybook.sinks.snapshot import DailySnapshot
+from daybook.sinks.daily import DailyIncrements
 from daybook.sinks.visitors import SeenVisitors
 from daybook.sources import fixtures
 from daybook.sources.kafka import kafka_options
 from daybook.sources.ledger import OffsetLedger
+from daybook.streaming.run import StreamRun
 
+RUN = StreamRun("r", dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc))
 D1, D2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
 
 
-def totals(spark, rows):
-    return spark.createDataFrame(rows, "dt date, amount long")
+def test_increments_add_up_and_replace_their_own_batch(spark, workdir):
+    pv = DailyIncrements(spark, f"{workdir}/pv")
+    t1, t2 = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 3)
 
-
-def test_snapshot_upsert_replaces_touched_days_only(spark, workdir):
-    snap = DailySnapshot(spark, f"{workdir}/pv")
-    t1 = dt.datetime(2024, 1, 1, 0, 0)
-    t2 = dt.datetime(2024, 1, 3, 0, 0)
-    snap.upsert(totals(spark, [(D1, 5), (D2, 7)]), now=F.lit(t1))
-    snap.upsert(totals(spark, [(D2, 9)]), now=F.lit(t2))
-    got = {r["dt"]: r for r in snap.read().collect()}
-    assert got[D1]["amount"] == 5 and got[D2]["amount"] == 9
-    assert got[D2]["create_time"] == t1 and got[D2]["update_time"] == t2
-    # replaying the same upsert changes nothing
-    snap.upsert(totals(spark, [(D2, 9)]), now=F.lit(t2))
-    again = {r["dt"]: tuple(r) for r in snap.read().collect()}
-    assert again == {k: tuple(v) for k, v in got.items()}
-    # an empty batch writes nothing
-    snap.upsert(totals(spark, []), now=F.lit(t2))
-    assert snap.read().count() == 2
+    def deltas(*rows):
+        return spark.createDataFrame(list(rows), "dt date, n long")
+    assert pv.amounts().collect() == []
+    pv.write(deltas((D1, 5), (D2, 7)), "a", 0, F.lit(t1))
+    pv.write(deltas((D2, 2)), "a", 1, F.lit(t2))
+    pv.write(deltas((D2, 2)), "a", 1, F.lit(t2))
+    pv.write(deltas(), "a", 2)
+    pv.write(deltas((D1, 1)), "b", 0, F.lit(t2))
+    got = {r["dt"]: tuple(r)[1:] for r in pv.totals().collect()}
+    assert got == {D1: (6, t1, t2), D2: (9, t1, t2)}
+    assert sorted(tuple(r) for r in pv.running("a").collect()) == [(0, D1, 5), (0, D2, 7), (1, D2, 9)]
 
 
 def test_seen_visitors_add_is_idempotent(spark, workdir):
     store = SeenVisitors(spark, f"{workdir}/seen")
     b1 = spark.createDataFrame([(D1, "a"), (D1, "a"), (D1, "b"), (D2, "a")], "dt date, unionid string")
-    assert store.add(b1) == 3
-    assert store.add(b1) == 0
+    for _ in range(2):
+        assert {r["dt"]: r["n"] for r in store.add(b1, "r", 0).collect()} == {D1: 2, D2: 1}
     b2 = spark.createDataFrame([(D1, "a"), (D1, "c"), (D2, None)], "dt date, unionid string")
-    assert store.add(b2) == 1
+    assert {r["dt"]: r["n"] for r in store.add(b2, "r", 1).collect()} == {D1: 1}
+    assert store.compact(D2) == ["2024-01-01"]
+    assert {r["dt"]: r["n"] for r in store.add(b2, "r", 1).collect()} == {D1: 1}  # replayed after a compaction
     assert sorted(tuple(r) for r in store.visitors().collect()) == \
         [(D1, "a"), (D1, "b"), (D1, "c"), (D2, "a")]
     assert {r["dt"]: r["uv"] for r in store.counts().collect()} == {D1: 3, D2: 1}
 
 
+def test_many_days_take_the_unpruned_way(spark, workdir, monkeypatch):
+    from daybook.sinks import visitors
+    monkeypatch.setattr(visitors, "MAX_LISTED_DAYS", 1)
+    store = SeenVisitors(spark, f"{workdir}/seen")
+    b = spark.createDataFrame([(D1, "a"), (D2, "a"), (D2, "b")], "dt date, unionid string")
+    assert {r["dt"]: r["n"] for r in store.add(b, "r", 0).collect()} == {D1: 1, D2: 2}
+    assert store.add(b, "r", 1).collect() == []
+
+
 def test_archive_roundtrip_and_partition_pruning(spark, events, workdir):
     raw = fixtures.wire_events(events)
     flat = parse_events(raw, keep=["ingest_ts"], ingest_ts=None)
     path = f"{workdir}/archive"
-    write_archive(archive_lines(flat), path, mode="overwrite")
+    write_archive(archive_lines(flat), path, "r")
     arch = read_archive(spark, path)
     assert arch.count() == events.count()
     one_day = arch.where(F.col("dt") == D1)
@@ -69,17 +77,17 @@ def test_ledger_last_wins_and_starting_offsets(spark, workdir):
     ledger = OffsetLedger(spark, f"{workdir}/ledger", "m", "g")
     rows = spark.createDataFrame(
         [("t", 0, 5), ("t", 0, 9), ("t", 1, 3), ("u", 0, 1)], "topic string, partition int, offset long")
-    ledger.record(rows, batch_id=1)
+    ledger.record(rows, RUN, batch_id=1)
     ledger.record(spark.createDataFrame([("t", 0, 12)], "topic string, partition int, offset long"),
-                  batch_id=2)
-    ledger.record(spark.createDataFrame([], "topic string, partition int, offset long"), batch_id=3)
+                  RUN, batch_id=2)
+    ledger.record(spark.createDataFrame([], "topic string, partition int, offset long"), RUN, batch_id=3)
     cur = {(r["topic"], r["partition"]): r["until_offset"] for r in ledger.current().collect()}
     assert cur == {("t", 0): 13, ("t", 1): 4, ("u", 0): 2}
     js = json.loads(ledger.starting_offsets().first()["starting_offsets"])
     assert js == {"t": {"0": 13, "1": 4}, "u": {"0": 2}}
     # recording batch 2 again changes nothing
     ledger.record(spark.createDataFrame([("t", 0, 12)], "topic string, partition int, offset long"),
-                  batch_id=2)
+                  RUN, batch_id=2)
     assert ledger.current().where("topic = 't' and partition = 0").first()["until_offset"] == 13
 
 
@@ -94,7 +102,8 @@ def test_legacy_lines_written_by_day(spark, events, workdir):
     from daybook.operators.legacy import legacy_records
     from daybook.sinks.archive import write_legacy_lines
     rec = legacy_records(fixtures.legacy_events(events))
-    write_legacy_lines(rec, f"{workdir}/legacy", day="2024-01-05")
+    for _ in range(2):  # a rerun replaces its lines
+        write_legacy_lines(rec, f"{workdir}/legacy", "r", day="2024-01-05")
     back = read_archive(spark, f"{workdir}/legacy")
     assert back.count() == rec.where("status = 'ok'").count()
     assert {r["dt"] for r in back.select("dt").distinct().collect()} == {dt.date(2024, 1, 5)}
@@ -103,13 +112,46 @@ def test_legacy_lines_written_by_day(spark, events, workdir):
 def test_starting_offsets_fill_unseen_partitions(spark, workdir):
     ledger = OffsetLedger(spark, f"{workdir}/ledger", "m", "g")
     ledger.record(spark.createDataFrame([("t", 1, 7)], "topic string, partition int, offset long"),
-                  batch_id=0)
+                  RUN, batch_id=0)
     js = json.loads(ledger.starting_offsets({"t": 3, "v": 1}).first()["starting_offsets"])
     assert js == {"t": {"0": -1, "1": 8, "2": -1}, "v": {"0": -1}}
 
 
 def test_seen_visitors_expire(spark, workdir):
     store = SeenVisitors(spark, f"{workdir}/seen")
-    store.add(spark.createDataFrame([(D1, "a"), (D2, "b")], "dt date, unionid string"))
+    store.add(spark.createDataFrame([(D1, "a"), (D2, "b")], "dt date, unionid string"), "r", 0)
     assert store.expire(D2) == ["2024-01-01"]
     assert [tuple(r) for r in store.visitors().collect()] == [(D2, "b")]
+
+
+def test_ledger_orders_by_run_then_batch_and_compacts(spark, workdir):
+    schema = "topic string, partition int, offset long"
+    ledger, other = OffsetLedger(spark, f"{workdir}/ledger", "m", "g"), OffsetLedger(spark, f"{workdir}/ledger", "m", "o")
+    later = StreamRun("s", RUN.started + dt.timedelta(days=1))
+    ledger.record(spark.createDataFrame([("t", 0, 100)], schema), RUN, batch_id=500)
+    other.record(spark.createDataFrame([("t", 0, 7)], schema), RUN, batch_id=0)
+    for b, offset in enumerate((200, 300)):  # a new checkpoint begins at batch 0
+        ledger.record(spark.createDataFrame([("t", 0, offset)], schema), later, batch_id=b)
+    for _ in range(2):
+        assert ledger.current().first()["until_offset"] == 301 and other.current().first()["until_offset"] == 8
+        ledger.compact()
+    assert ledger.log().count() == 2
+
+
+def test_cluster_sessions_need_a_shared_folder(spark, monkeypatch):
+    from types import SimpleNamespace
+    import pytest
+    from daybook import session
+    fake = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: None),
+                           sparkContext=SimpleNamespace(getCheckpointDir=lambda: None, master="yarn"))
+    with pytest.raises(ValueError):
+        session.shared_dir(fake)
+
+
+def test_old_runs_are_swept(spark, workdir):
+    from daybook import session
+    spark.range(1).write.parquet(f"{workdir}/q/one")
+    session.sweep(spark, workdir)
+    assert session.path_exists(spark, f"{workdir}/q/one")
+    session.sweep(spark, workdir, hours=-1)
+    assert not session.path_exists(spark, f"{workdir}/q/one")

@@ -1,209 +1,219 @@
-"""Streaming PV/UV: stream = batch, restart from checkpoint, late rows."""
+"""Streams: totals, late rows, wrong clocks, restarts, resumes, replays and crashes."""
 
 import datetime as dt
+import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from daybook.functions.codec import parse_events
 from daybook.operators import metrics
+from daybook.operators.identity import identity_eligible
 from daybook.schema import KAFKA_SCHEMA
-from daybook.sinks.snapshot import DailySnapshot
+from daybook.session import remove_dir
+from daybook.sinks.archive import read_archive
+from daybook.sinks.daily import DailyIncrements
+from daybook.sinks.visitors import SeenVisitors
 from daybook.sources import fixtures
+from daybook.sources.kafka import kafka_rows, read_file_topic, resume_stream
+from daybook.sources.ledger import OffsetLedger
 from daybook.streaming import stream
+from daybook.streaming.run import StreamRun
 
+RUN_A = StreamRun("a", dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc))
+RUN_B = StreamRun("b", dt.datetime(2024, 2, 1, tzinfo=dt.timezone.utc))
 
-def kafka_batch(spark, docs):
-    """Kafka-shaped rows from (timestamp, unionid, pageUrl) triples."""
+
+def kafka_batch(spark, docs, first=0):
+    """Kafka-shaped rows from (arrival, unionid, pageUrl[, reported]) tuples."""
     rows = []
-    for i, (ts, uid, page) in enumerate(docs):
+    for i, (ts, uid, page, *reported) in enumerate(docs):
         visit = ',"visitData":{"pageUrl":"%s"}' % page if page else ""
         doc = ('{"dataType":"visit","reportTime":"%s","data":{"wxInfo":{"unionid":"%s"}%s}}'
-               % (ts.strftime("%Y-%m-%d %H:%M:%S"), uid, visit))
-        rows.append((doc, "t", 0, i, ts))
+               % ((reported or [ts])[0].strftime("%Y-%m-%d %H:%M:%S"), uid, visit))
+        rows.append((doc, "t", 0, first + i, ts))
     return spark.createDataFrame(rows, KAFKA_SCHEMA)
 
 
-def test_stream_equals_batch(spark, events, workdir):
-    rows = fixtures.kafka_events(events)
-    day = F.dayofmonth("timestamp")
-    src = f"{workdir}/src"
-    pv = DailySnapshot(spark, f"{workdir}/pv")
-    uv = DailySnapshot(spark, f"{workdir}/uv")
-    for lo, hi in [(1, 10), (11, 20), (21, 31)]:        # three time-ordered arrivals
-        (rows.where((day >= lo) & (day <= hi)).select(*KAFKA_SCHEMA.fieldNames())
-         .write.mode("append").parquet(src))
-        stream.drain_available(spark, src, stream.pv_updates, pv, f"{workdir}/ck_pv")
-        stream.drain_available(spark, src, stream.uv_updates, uv, f"{workdir}/ck_uv")
+def amounts(metric):
+    return {r["dt"]: r["amount"] for r in metric.amounts().collect()}
+
+
+class Job:
+    """PV and UV queries over one source folder."""
+
+    def __init__(self, spark, base):
+        self.spark, self.base = spark, base
+        self.pv, self.uv = DailyIncrements(spark, f"{base}/pv"), DailyIncrements(spark, f"{base}/uv")
+        self.seen = SeenVisitors(spark, f"{base}/seen")
+
+    def arrive(self, rows):
+        rows.select(*KAFKA_SCHEMA.fieldNames()).write.mode("append").parquet(f"{self.base}/src")
+
+    def run(self):
+        raw = stream.kafka_file_stream(self.spark, f"{self.base}/src")
+        return [stream.drain(stream.start_pv_query(raw, self.pv, f"{self.base}/ck_pv", stream.NOW)),
+                stream.drain(stream.start_uv_query(raw, self.seen, self.uv, f"{self.base}/ck_uv", stream.NOW))]
+
+
+def test_stream_equals_batch_and_compaction_changes_nothing(spark, events, workdir):
+    job, rows, day = Job(spark, workdir), fixtures.kafka_events(events), F.dayofmonth("timestamp")
+    for lo, hi in [(1, 15), (16, 31)]:
+        job.arrive(rows.where((day >= lo) & (day <= hi)))
+        job.run()
     flat = parse_events(fixtures.wire_events(events))
     want_pv = {r["dt"]: r["pv"] for r in metrics.pv_daily(flat).collect()}
     want_uv = {r["dt"]: r["uv"] for r in metrics.uv_daily(flat).collect()}
-    assert {r["dt"]: r["amount"] for r in pv.amounts().collect()} == want_pv
-    assert {r["dt"]: r["amount"] for r in uv.amounts().collect()} == want_uv
-
-
-def test_restart_does_not_recount_and_late_rows_drop(spark, workdir):
-    src, ck = f"{workdir}/src", f"{workdir}/ck"
-    t = dt.datetime(2024, 1, 10, 8, 0)
-    kafka_batch(spark, [(t, "a", "p"), (t, "b", None)]).write.mode("append").parquet(src)
-    stream.drain_available(spark, src, stream.uv_updates, DailySnapshot(spark, f"{workdir}/uv"), ck)
-    # a new query over the same checkpoint: "a" again is not a new visitor
-    later = dt.datetime(2024, 1, 10, 20, 0)
-    kafka_batch(spark, [(later, "a", "p"), (later, "c", None)]).write.mode("append").parquet(src)
-    stream.drain_available(spark, src, stream.uv_updates, DailySnapshot(spark, f"{workdir}/uv"), ck)
-    # move the watermark to day 12, then send a row for day 1
-    kafka_batch(spark, [(dt.datetime(2024, 1, 12, 9, 0), "d", None)]).write.mode("append").parquet(src)
-    stream.drain_available(spark, src, stream.uv_updates, DailySnapshot(spark, f"{workdir}/uv"), ck)
-    kafka_batch(spark, [(dt.datetime(2024, 1, 1, 9, 0), "e", None)]).write.mode("append").parquet(src)
-    q = stream.drain_available(spark, src, stream.uv_updates, DailySnapshot(spark, f"{workdir}/uv"), ck)
-    got = {r["dt"]: r["amount"] for r in DailySnapshot(spark, f"{workdir}/uv").amounts().collect()}
-    assert got == {dt.date(2024, 1, 10): 3, dt.date(2024, 1, 12): 1}
-    dropped = sum(op.get("numRowsDroppedByWatermark", 0)
-                  for p in q.recentProgress for op in p.get("stateOperators", []))
-    assert dropped >= 1
-
-
-def test_fan_out_batch_is_idempotent(spark, events, workdir):
-    from daybook.sources.ledger import OffsetLedger
+    assert amounts(job.pv) == want_pv and amounts(job.uv) == want_uv
+    run = job.pv.read().first()["run"]
+    times = {r["dt"]: r["create_time"] for r in job.pv.totals().collect()}
+    job.pv.fold(run)
+    job.pv.fold(run)
+    assert amounts(job.pv) == want_pv and job.pv.read().count() == len(want_pv)
+    assert {r["dt"]: r["create_time"] for r in job.pv.totals().collect()} == times
+    job.seen.compact("2999-01-01")
+    assert {r["dt"]: r["uv"] for r in job.seen.counts().collect()} == want_uv
+
+
+def test_late_rows_and_wrong_clocks(spark, workdir):
+    job, at = Job(spark, workdir), dt.datetime(2024, 1, 10, 8, 0)
+    job.arrive(kafka_batch(spark, [(at, "a", "p"), (at, "b", "p"), (at, "x", "p", dt.datetime(2099, 1, 1))]))
+    job.run()
+    later = dt.datetime(2024, 1, 11, 9, 0)
+    job.arrive(kafka_batch(spark, [(later, "a", "p"), (later, "c", "p", dt.datetime(2024, 1, 1, 7, 0)), (later, "b", "p", at)], 3))
+    job.run()
+    assert amounts(job.pv) == {dt.date(2024, 1, 10): 4, dt.date(2024, 1, 11): 1, dt.date(2024, 1, 1): 1}
+    assert amounts(job.uv) == {dt.date(2024, 1, 10): 3, dt.date(2024, 1, 11): 1, dt.date(2024, 1, 1): 1}
+
+
+def test_restart_on_the_same_checkpoint_counts_nothing_again(spark, workdir):
+    job, at = Job(spark, workdir), dt.datetime(2024, 1, 10, 8, 0)
+    job.arrive(kafka_batch(spark, [(at, "hot", "p")] * 60 + [(at, "b", None)]))
+    job.run()
+    job.run()
+    job.arrive(kafka_batch(spark, [(at, "hot", "p")] * 30 + [(at, "c", None)], 61))
+    progress = [q.recentProgress for q in job.run()]
+    assert [[p["numInputRows"] for p in ps] for ps in progress] == [[31], [31]]
+    assert amounts(job.pv) == {at.date(): 90} and amounts(job.uv) == {at.date(): 3}
+
+
+@pytest.mark.parametrize("lost", ["increments", "visitors and increments", "nothing"])
+def test_a_batch_that_crashed_is_replayed_without_loss(spark, workdir, lost):
+    job, at = Job(spark, workdir), dt.datetime(2024, 1, 10, 8, 0)
+    batches = [parse_events(kafka_rows(kafka_batch(spark, [(at, u, "p") for u in us]))) for us in ("ab", "bcd")]
+    for i, b in enumerate(batches):
+        stream.add_page_views(b, job.pv, RUN_A, i)
+        stream.add_visitors(b, job.seen, job.uv, RUN_A, i)
+    if lost != "nothing":  # the last batch died while it wrote
+        remove_dir(spark, f"{workdir}/pv/batches/run=a/batch_id=1")
+        remove_dir(spark, f"{workdir}/uv/batches/run=a/batch_id=1")
+        assert amounts(job.pv) == {at.date(): 2}  # what was there stays
+    if lost.startswith("visitors"):
+        rows = job.seen.read().where("batch_id = 0")
+        rows = spark.createDataFrame(rows.collect(), rows.schema)
+        remove_dir(spark, f"{workdir}/seen")
+        rows.write.partitionBy("dt").parquet(f"{workdir}/seen")
+    stream.add_page_views(batches[1], job.pv, RUN_A, 1)
+    stream.add_visitors(batches[1], job.seen, job.uv, RUN_A, 1)
+    assert amounts(job.pv) == {at.date(): 5} and amounts(job.uv) == {at.date(): 4}
+
+
+def test_a_new_checkpoint_adds_to_the_totals(spark, workdir):
+    job, at = Job(spark, workdir), dt.datetime(2024, 1, 10, 8, 0)
+    for run, us in ((RUN_A, "abc"), (RUN_B, "cd")):
+        b = parse_events(kafka_rows(kafka_batch(spark, [(at, u, "p") for u in us])))
+        stream.add_page_views(b, job.pv, run, 0)
+        stream.add_visitors(b, job.seen, job.uv, run, 0)
+    assert amounts(job.pv) == {at.date(): 5} and amounts(job.uv) == {at.date(): 4}
+
+
+def test_expired_days_keep_their_totals(spark, workdir):
+    job, at = Job(spark, workdir), dt.datetime(2024, 1, 1, 8, 0)
+    for i, us in enumerate(["abcde", "f"]):
+        b = parse_events(kafka_rows(kafka_batch(spark, [(at, u, "p") for u in us])))
+        stream.add_visitors(b, job.seen, job.uv, RUN_A, i)
+        assert job.seen.expire("2024-01-02") == ["2024-01-01"]
+    assert amounts(job.uv) == {at.date(): 6}
+
+
+def test_event_batch_replays_and_bad_rows_go_nowhere_else(spark, events, workdir):
     rows = fixtures.kafka_events(events).select(*KAFKA_SCHEMA.fieldNames())
-    bad = spark.createDataFrame([("not json", "t", 9, 1, dt.datetime(2024, 1, 1))], KAFKA_SCHEMA)
-    batch = rows.unionByName(bad)
-    ledger = OffsetLedger(spark, f"{workdir}/ledger", "m", "g")
-    for _ in range(2):                      # a replayed batch leaves the same output
-        stream.fan_out_batch(batch, 0, f"{workdir}/out", ledger)
-    q = spark.read.parquet(f"{workdir}/out/quarantine")
-    assert q.count() == 1 and q.first()["reason"] == "malformed"
-    outbox = spark.read.parquet(f"{workdir}/out/identity_outbox")
+    at = dt.datetime(2024, 1, 1)
+    bad = spark.createDataFrame([
+        ("not json", "t", 9, 1, at),
+        ('{"dataType":"visit","data":{"wxInfo":{"unionid":"u"},"addrInfo":{"latitude":"x"},"visitData":{"pageUrl":"p"}}}', "t", 9, 2, at)],
+        KAFKA_SCHEMA)
+    batch, out = kafka_rows(rows.unionByName(bad)), stream.EventOutputs(spark, workdir, "m", "g")
+    for _ in range(2):
+        stream.event_batch(batch, RUN_A, 0, out)
+    stream.event_batch(batch.limit(0), RUN_B, 0, out)  # batch 0 of another run leaves the first alone
     flat = parse_events(fixtures.wire_events(events))
-    from daybook.operators.identity import identity_eligible
-    assert outbox.count() == identity_eligible(flat).count()
-    cur = {r["partition"]: r["until_offset"] for r in ledger.current().collect()}
-    assert cur[9] == 2 and len(cur) == 5
-
-
-def test_uv_store_stream_counts_late_visitors_and_replays(spark, workdir):
-    from daybook.sinks.visitors import SeenVisitors
-    src, ck = f"{workdir}/src", f"{workdir}/ck"
-    snap, store = DailySnapshot(spark, f"{workdir}/uv"), SeenVisitors(spark, f"{workdir}/seen")
-    t = dt.datetime(2024, 1, 10, 8, 0)
-    kafka_batch(spark, [(t, "hot", "p")] * 50 + [(t, "b", None)]).write.mode("append").parquet(src)
-    stream.drain_uv_store(spark, src, store, snap, ck)
-    kafka_batch(spark, [(t, "hot", "p"), (dt.datetime(2024, 1, 1, 9, 0), "late", None)]) \
-        .write.mode("append").parquet(src)
-    stream.drain_uv_store(spark, src, store, snap, ck)
-    want = {dt.date(2024, 1, 10): 2, dt.date(2024, 1, 1): 1}
-    assert {r["dt"]: r["amount"] for r in snap.amounts().collect()} == want
-    # replaying a micro-batch (as after a failure) leaves the totals unchanged
-    batch = kafka_batch(spark, [(t, "hot", "p"), (t, "b", None)])
-    flat = stream.parse_stream(stream.kafka_rows(batch))
-    stream.uv_store_step(flat, store, snap)
-    assert {r["dt"]: r["amount"] for r in snap.amounts().collect()} == want
-
-
-def test_archive_stream_exactly_once(spark, events, workdir):
-    from daybook.sinks.archive import archive_lines, read_archive, start_archive_stream
-    src = f"{workdir}/src"
-    fixtures.kafka_events(events).select(*KAFKA_SCHEMA.fieldNames()).write.parquet(src)
-    flat = stream.parse_stream(stream.kafka_rows(spark.readStream.schema(KAFKA_SCHEMA).parquet(src)),
-                               keep_arrival=True)
-    for _ in range(2):      # a restart over the same checkpoint writes nothing twice
-        q = start_archive_stream(archive_lines(flat), f"{workdir}/archive", f"{workdir}/ck",
-                                 trigger={"availableNow": True})
-        q.awaitTermination()
-    assert read_archive(spark, f"{workdir}/archive").count() == events.count()
-
-
-def test_uv_state_stream_hot_visitor_restart_and_replay(spark, workdir):
-    src, ck = f"{workdir}/src", f"{workdir}/ck"
-    snap = DailySnapshot(spark, f"{workdir}/uv")
-    t = dt.datetime(2024, 1, 10, 8, 0)
-    kafka_batch(spark, [(t, "hot", "p")] * 60 + [(t, "b", None)]).write.mode("append").parquet(src)
-    stream.drain_uv_state(spark, src, snap, ck)
-    kafka_batch(spark, [(t, "hot", "p")] * 30 + [(t, "c", None)]).write.mode("append").parquet(src)
-    stream.drain_uv_state(spark, src, snap, ck)     # a new query on the same checkpoint
-    assert {r["dt"]: r["amount"] for r in snap.amounts().collect()} == {dt.date(2024, 1, 10): 3}
-    # the increment write of a batch is idempotent per batch id
-    d = spark.createDataFrame([(dt.date(2024, 1, 10), 2)], "dt date, n long")
-    snap.add(d, 99)
-    snap.add(d, 99)
-    assert snap.amounts().first()["amount"] == 5
-
-
-def test_uv_state_stream_equals_batch(spark, events, workdir):
-    rows = fixtures.kafka_events(events)
-    day = F.dayofmonth("timestamp")
-    src, snap = f"{workdir}/src", DailySnapshot(spark, f"{workdir}/uv")
-    for lo, hi in [(1, 15), (16, 31)]:
-        (rows.where((day >= lo) & (day <= hi)).select(*KAFKA_SCHEMA.fieldNames())
-         .write.mode("append").parquet(src))
-        stream.drain_uv_state(spark, src, snap, f"{workdir}/ck")
+    assert sorted(r["reason"] for r in spark.read.parquet(out.quarantine).collect()) == ["bad_number", "malformed"]
+    assert spark.read.parquet(out.outbox).count() == identity_eligible(flat).count()
+    assert read_archive(spark, out.archive).count() == events.count()
+    assert amounts(out.pv) == {r["dt"]: r["pv"] for r in metrics.pv_daily(flat).collect()}
+    assert amounts(out.uv) == {r["dt"]: r["uv"] for r in metrics.uv_daily(flat).collect()}
+    cur = {r["partition"]: r["until_offset"] for r in out.ledger.current().collect()}
+    assert cur[9] == 3 and len(cur) == 5
+
+
+def test_one_parse_feeds_every_output(spark, events, workdir, monkeypatch):
+    plans, out = [], stream.EventOutputs(spark, workdir)
+    real = stream.parse_checked
+
+    def seen(*a, **k):
+        df = real(*a, **k)
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString().count("from_json("))
+        return df
+    monkeypatch.setattr(stream, "parse_checked", seen)
+    monkeypatch.setattr(stream, "parse_events", None)
+    stream.event_batch(kafka_rows(fixtures.kafka_events(events)), RUN_A, 0, out)
+    assert plans == [1]
+
+
+def test_resume_goes_on_where_the_ledger_ends(spark, events, workdir):
+    rows = fixtures.kafka_events(events).select(*KAFKA_SCHEMA.fieldNames())
+    out = stream.EventOutputs(spark, f"{workdir}/out")
+    for k, part in enumerate((F.col("offset") < 400, F.col("offset") >= 400)):
+        rows.where(part).write.mode("append").parquet(f"{workdir}/topic")
+        raw = resume_stream(spark, f"{workdir}/topic", fixtures.TOPIC, out.ledger, read=read_file_topic)
+        stream.drain(stream.start_event_job(raw, out, f"{workdir}/ck{k}", stream.NOW))
     flat = parse_events(fixtures.wire_events(events))
-    want = {r["dt"]: r["uv"] for r in metrics.uv_daily(flat).collect()}
-    assert {r["dt"]: r["amount"] for r in snap.amounts().collect()} == want
-
-
-def test_fan_out_query_and_uv_stream_plan(spark, events, workdir, capsys):
-    from daybook.sources.ledger import OffsetLedger
-    src = f"{workdir}/src"
-    fixtures.kafka_events(events).select(*KAFKA_SCHEMA.fieldNames()).write.parquet(src)
-    raw = stream.kafka_rows(spark.readStream.schema(KAFKA_SCHEMA).parquet(src))
-    ledger = OffsetLedger(spark, f"{workdir}/ledger", "m", "g")
-    q = stream.start_fan_out(raw, f"{workdir}/out", f"{workdir}/ck_fan", ledger,
-                             trigger={"availableNow": True})
-    q.awaitTermination()
-    assert spark.read.parquet(f"{workdir}/out/identity_outbox").count() > 0
-    assert {r["partition"] for r in ledger.current().collect()} == {0, 1, 2, 3}
-    # the UV stream aggregates partially before its state shuffle
-    snap = DailySnapshot(spark, f"{workdir}/uv")
-    uq = stream.drain_uv_state(spark, src, snap, f"{workdir}/ck_uv")
-    capsys.readouterr()
-    uq.explain()
-    assert "partial_min(seen_at" in capsys.readouterr().out
+    assert amounts(out.pv) == {r["dt"]: r["pv"] for r in metrics.pv_daily(flat).collect()}
+    assert amounts(out.uv) == {r["dt"]: r["uv"] for r in metrics.uv_daily(flat).collect()}
+    assert spark.read.parquet(out.outbox).count() == identity_eligible(flat).count()
+    assert out.pv.read().select("run").distinct().count() == 2
+
+
+def test_cold_start_and_another_group_begin_at_the_latest(spark, workdir):
+    opened = []
+    one = OffsetLedger(spark, f"{workdir}/ledger", "m", "one")
+    two = OffsetLedger(spark, f"{workdir}/ledger", "m", "two")
+    resume_stream(spark, "b:9092", "t", one, read=lambda s, o: opened.append(o))
+    one.record(spark.createDataFrame([("t", 0, 9)], "topic string, partition int, offset long"), RUN_A, 3)
+    resume_stream(spark, "b:9092", "t", two, read=lambda s, o: opened.append(o))
+    resume_stream(spark, "b:9092", "t", one, {"t": 2}, read=lambda s, o: opened.append(o), max_offsets_per_trigger=5)
+    assert [o["startingOffsets"] for o in opened[:2]] == ["latest", "latest"]
+    assert json.loads(opened[2]["startingOffsets"]) == {"t": {"0": 10, "1": -1}} and opened[2]["maxOffsetsPerTrigger"] == "5"
+    assert two.starting_offsets().collect() == []
 
 
 def test_text_file_stream_source(spark, events, workdir):
     from daybook.sources.text import stream_wire_text, write_wire_text
     write_wire_text(fixtures.wire_events(events), f"{workdir}/text")
-    flat = stream.parse_stream(stream_wire_text(spark, f"{workdir}/text", max_files_per_trigger=2))
-    snap = DailySnapshot(spark, f"{workdir}/pv")
-    q = stream.start_snapshot_query(stream.pv_updates(flat, delay="31 days"), snap,
-                                    f"{workdir}/ck", trigger={"availableNow": True})
-    q.awaitTermination()
-    want = {r["dt"]: r["pv"] for r in metrics.pv_daily(parse_events(fixtures.wire_events(events)))
-            .collect()}
-    assert {r["dt"]: r["amount"] for r in snap.amounts().collect()} == want
-
-
-def test_start_event_jobs_end_to_end(spark, events, workdir):
-    src = f"{workdir}/src"
-    fixtures.kafka_events(events).select(*KAFKA_SCHEMA.fieldNames()).write.parquet(src)
-    raw = stream.kafka_rows(spark.readStream.schema(KAFKA_SCHEMA).parquet(src))
-    qs = stream.start_event_jobs(raw, f"{workdir}/job", trigger={"availableNow": True})
-    for q in qs.values():
-        q.awaitTermination()
-    from daybook.sinks.archive import read_archive
-    assert read_archive(spark, f"{workdir}/job/archive").count() == events.count()
-    flat = parse_events(fixtures.wire_events(events))
-    want_pv = {r["dt"]: r["pv"] for r in metrics.pv_daily(flat).collect()}
-    want_uv = {r["dt"]: r["uv"] for r in metrics.uv_daily(flat).collect()}
-    got_pv = {r["dt"]: r["amount"] for r in DailySnapshot(spark, f"{workdir}/job/pv").amounts().collect()}
-    got_uv = {r["dt"]: r["amount"] for r in DailySnapshot(spark, f"{workdir}/job/uv").amounts().collect()}
-    assert got_pv == want_pv and got_uv == want_uv
-    assert spark.read.parquet(f"{workdir}/job/ledger").count() == 4
-
-
-def test_one_micro_batch_per_arrival(spark, workdir):
-    """No watermark-only batch: each arrival is one micro-batch, and a day
-    whose window closed is evicted by the next batch that has input."""
-    src, ck = f"{workdir}/src", f"{workdir}/ck"
-    uv = DailySnapshot(spark, f"{workdir}/uv")
-    days = [dt.datetime(2024, 1, d, 9, 0) for d in (1, 5, 9)]
-    for i, t in enumerate(days):
-        kafka_batch(spark, [(t, f"v{i}", None), (t, "same", None)]).write.mode("append").parquet(src)
-        q = stream.drain_uv_state(spark, src, uv, ck)
-        assert [p["numInputRows"] for p in q.recentProgress] == [2]
-    state = [op["numRowsTotal"] for op in q.lastProgress["stateOperators"]]
-    # the last batch ran with the watermark of the one before (day 5 minus a
-    # day): day 1 was evicted, days 5 and 9 hold two visitors each
-    assert state == [4]
-    got = {r["dt"]: r["amount"] for r in uv.amounts().collect()}
-    assert got == {t.date(): 2 for t in days}
+    pv = DailyIncrements(spark, f"{workdir}/pv")
+    stream.drain(stream.start_pv_query(stream_wire_text(spark, f"{workdir}/text", max_files_per_trigger=2), pv,
+                                       f"{workdir}/ck", stream.NOW))
+    assert amounts(pv) == {r["dt"]: r["pv"] for r in metrics.pv_daily(parse_events(fixtures.wire_events(events))).collect()}
+
+
+def test_legacy_job_writes_lines_and_quarantine_once(spark, events, workdir):
+    from daybook.operators.legacy import legacy_records
+    raw = fixtures.legacy_events(events).select("value", F.lit(dt.datetime(2024, 3, 4, 5, 6)).alias("ingest_ts"))
+    for _ in range(2):
+        stream.legacy_batch(raw, RUN_A, 0, workdir)
+    status = {r["status"]: r["count"] for r in legacy_records(raw).groupBy("status").count().collect()}
+    lines = read_archive(spark, f"{workdir}/lines")
+    assert lines.count() == status["ok"] and lines.select("dt").distinct().first()["dt"] == dt.date(2024, 3, 4)
+    got = {r["reason"]: r["count"] for r in spark.read.parquet(f"{workdir}/quarantine").groupBy("reason").count().collect()}
+    assert got == {k: v for k, v in status.items() if k != "ok"}
