@@ -166,7 +166,8 @@ def score_documents(docs: DataFrame, machine: Machine) -> DataFrame:
         index = TermIndex(machine.column)
         for b in batches:
             logit = machine.logits([present(t.as_py() or "", index) for t in b.column("text")])
-            score = 1 / (1 + np.exp(-np.clip(logit, -500, 500)))
+            with np.errstate(over="ignore"):
+                score = 1 / (1 + np.exp(-logit))
             yield pa.RecordBatch.from_pydict({c: b.column(c) for c in names} | {
                 "score": pa.array(score, pa.float64()), "predicted": pa.array((score >= 0.5).astype(np.int32), pa.int32())})
 
