@@ -52,12 +52,6 @@ def test_new_visitors_and_filter_counts(spark, events):
     assert fc == {b: (before[b], after[b]) for b in range(4)}
 
 
-def test_running_totals_end_at_daily_totals(spark, events):
-    flat, _ = flat_rows(spark, events)
-    last = (metrics.uv_running(flat).groupBy("dt").agg(F.max("amount").alias("uv")))
-    assert sorted(map(tuple, last.collect())) == sorted(map(tuple, metrics.uv_daily(flat).collect()))
-
-
 def test_hot_visitor_does_not_change_results(spark):
     # one visitor holds most rows: results stay exact
     docs = [('{"dataType":"visit","reportTime":"2024-01-01 10:00:00","data":{"wxInfo":'
