@@ -104,18 +104,18 @@ def _range_of(x: Column, cuts: list[int]) -> Column:
         let(skipped, lambda k: k + below(F.slice(F.lit(cuts), k + 1, F.lit(step))) + 1))
 
 
-def with_next(docs: DataFrame, rows_per_range: int = 8000) -> DataFrame:
+def with_next(docs: DataFrame, rows_per_range: int = 8000, most_ranges: int = 16384) -> DataFrame:
     """Each (doc_id, text, sig) with next_text and next_sig: those of the next
     row by descending doc_id (null last, then by text), the first after the
     last.
 
-    Rows are cut into ranges of doc_id of about ``rows_per_range`` rows, and
-    each range also gets a copy of the first row of the next one, so ``lead``
+    Rows are cut into ranges of doc_id of about ``rows_per_range`` rows (more,
+    where that would make over ``most_ranges`` ranges), and each range also gets a copy of the first row of the next one, so ``lead``
     works range by range and no task sees all rows.  Only the range bounds and
     the first id of each range come to the driver.
     """
     n = docs.select("doc_id").count()
-    parts = max(1, -(-n // rows_per_range))
+    parts = min(max(1, -(-n // rows_per_range)), most_ranges)
     cuts = sorted(set(docs.select("doc_id").where("doc_id IS NOT NULL").approxQuantile(
         "doc_id", [i / parts for i in range(1, parts)], 0.1 / parts))) if parts > 1 else []
     ranged = docs.withColumn("_range", _range_of(F.col("doc_id"), [int(c) for c in cuts]))
