@@ -16,10 +16,10 @@ Which last piece is best depends on the model's kind:
   either free or forbidden; exactly one is free).
 
 A character in no piece is an unknown piece of its own, written as its UTF-8
-bytes where the model has byte pieces.  No path can cross the edge of such a
-character, nor a space after a non-space (no piece has one inside), so paths
-always meet there; tasks remember the ids of the stretches between these
-edges, up to ``CACHE`` of them.
+bytes where the model has byte pieces.  No path can cross an edge between two
+characters that no piece holds side by side, such as a space after a
+non-space, so paths always meet there; tasks remember the ids of the stretches
+between such edges, up to ``CACHE`` of them.
 
 The model file is a parameter and is read on the driver; models that normalise
 text by a character map are refused.  Defined cases: null text counts as empty
@@ -32,6 +32,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,7 +43,7 @@ from pyspark.sql import types as T
 from daybook.llm.near_dedup import small_batches
 
 SPACE = "▁"
-CACHE = 1 << 19
+CACHE = 3 << 18
 MODEL = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 UNIGRAM, BPE = 1, 2
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _BYTE = 1, 2, 3, 4, 6
@@ -62,8 +63,13 @@ class Pieces:
         self.starts = {p[:k]: -1 for p in self.ids for k in range(1, len(p))} | self.ids
         self.alphabet = {c for p in self.ids for c in p}
         self.unknown_score = min((self.scores[i] for i in self.ids.values()), default=0.0) - 10.0
-        self._fits: dict[tuple[int, int], bool] = {}
-        crossing = any(a != SPACE and b == SPACE for p in self.ids for a, b in zip(p, p[1:]))
+        self._fits: dict[int, dict[int, bool]] = {}  # by piece before, then piece
+        self._remembered = 0
+        # how merging makes each piece, filled as pieces are met
+        self._made: dict[str, tuple[int, str, str] | None] = {}
+        self.order = {s: n for n, s in enumerate(sorted({self.scores[i] for i in self.ids.values()}, reverse=True))}
+        self.inside = {pair for p in self.ids for pair in zip(p, p[1:])}  # two characters that some piece holds side by side
+        crossing = any(a != SPACE and b == SPACE for a, b in self.inside)
         alone = "".join(re.escape(c) for c in "\n\t\r" if c not in self.alphabet)
         apart = f"[{alone}]" if alone else "(?!)"
         self.stretch = re.compile(f"{apart}|{SPACE}*[^{SPACE}{alone}]+|{SPACE}+" if not crossing else "(?s).+")
@@ -82,33 +88,91 @@ class Pieces:
             raise ValueError("only unigram and BPE models are supported")
         return cls([(p.piece, p.score, p.type) for p in m.pieces], m.trainer_spec.model_type, norm.add_dummy_prefix)
 
+    def _rank(self, text: str) -> int | None:
+        """Place of a piece in the order of merging; None if it is no piece."""
+        i = self.ids.get(text)
+        return None if i is None else self.order[self.scores[i]]
+
     def merged(self, text: str) -> list[str]:
         """What merging makes of a short text: the best-scored pair first, the
         leftmost on a tie."""
-        parts = list(text)
+        return [p for p, *_ in self._merge(text)]
+
+    def _merge(self, text: str) -> list[tuple[str, int, str, str]]:
+        """``merged`` with, for each part, the latest rank reached while it was
+        made (-1 for a character) and the two parts joined last."""
+        parts = [(c, -1, "", "") for c in text]
         while True:
             best, at = None, -1
             for i in range(len(parts) - 1):
-                k = self.ids.get(parts[i] + parts[i + 1])
-                if k is not None and (best is None or self.scores[k] > best):
-                    best, at = self.scores[k], i
+                r = self._rank(parts[i][0] + parts[i + 1][0])
+                if r is not None and (best is None or r < best):
+                    best, at = r, i
             if best is None:
                 return parts
-            parts[at:at + 2] = [parts[at] + parts[at + 1]]
+            x, y = parts[at], parts[at + 1]
+            parts[at:at + 2] = [(x[0] + y[0], max(best, x[1], y[1]), x[0], y[0])]
+
+    def _history(self, piece: str) -> tuple[int, str, str] | None:
+        """(latest rank, left part, right part) of a piece that merging makes
+        of its own text; None for one it does not make."""
+        if piece not in self._made:
+            if len(piece) == 1:
+                self._made[piece] = (-1, "", "")
+            else:
+                parts = self._merge(piece)
+                self._made[piece] = parts[0][1:] if len(parts) == 1 else None
+        return self._made[piece]
+
+    def _apart(self, x: str, y: str) -> bool:
+        """Whether merging never joins across the edge between two pieces.
+
+        All joins up to a rank are done before any of a later rank, so the
+        parts that touch the edge can be undone from the latest rank back.  In
+        each state, the two parts at the edge would be joined if that comes
+        before one of them goes into a larger part.  Where ranks tie, the
+        order inside a rank decides, so merging itself is asked.
+        """
+        text, limit = (x, y), None
+        hx, hy = self._history(x), self._history(y)
+        if hx is None or hy is None:
+            return False
+        while True:
+            join = self._rank(x + y)
+            if join is not None:
+                at = max(join, hx[0], hy[0])
+                if limit is None or at < limit:
+                    return False
+                if at == limit:
+                    break
+            if hx[0] == hy[0]:
+                if hx[0] < 0:
+                    return True
+                break
+            if hx[0] > hy[0]:
+                limit, x = hx[0], hx[2]
+                hx = self._history(x)
+            else:
+                limit, y = hy[0], hy[1]
+                hy = self._history(y)
+            if hx is None or hy is None:
+                break
+        return self.merged("".join(text)) == list(text)
 
     def fits(self, before: int, piece: int) -> bool:
         """Whether merging keeps ``piece`` after ``before`` (-1: unknown or the start)."""
-        key = (before, piece)
-        if key not in self._fits:
-            if len(self._fits) >= CACHE:
-                self._fits.clear()
-            own = self.entries[piece][0]
-            if before < 0:
-                self._fits[key] = self.merged(own) == [own]
-            else:
-                left = self.entries[before][0]
-                self._fits[key] = self.merged(left + own) == [left, own]
-        return self._fits[key]
+        own = self.entries[piece][0]
+        ok = self._history(own) is not None if before < 0 else self._apart(self.entries[before][0], own)
+        self._remembered += 1
+        if self._remembered > CACHE:
+            self._fits.clear()
+            self._remembered = 1
+        self._fits.setdefault(before, {})[piece] = ok
+        return ok
+
+    def after(self, before: int) -> dict[int, bool]:
+        """What is known of the pieces after ``before``."""
+        return self._fits.get(before) or self._fits.setdefault(before, {})
 
 
 class Viterbi:
@@ -129,46 +193,54 @@ class Viterbi:
 
     def feed(self, chunk: str) -> list[int]:
         self.text += chunk
-        end = self.start + len(self.text)
+        longest = self.p.longest
+        stop = self.start + len(self.text) - longest + 1  # pieces from positions before it are seen whole
         out: list[int] = []
-        while self.done + self.p.longest <= end:  # pieces from here on are seen whole
-            self._extend(self.done, end)
-            if self.done % self.p.longest == 0:
-                out += self._commit()
+        while self.done < stop:
+            self._extend(min(stop, self.done + longest))
+            out += self._commit()
         return out
 
     def finish(self) -> list[int]:
         end = self.start + len(self.text)
-        while self.done < end:
-            self._extend(self.done, end)
-        self.window = {end: self.window[end]}
-        return self._commit()
-
-    def _extend(self, at: int, end: int) -> None:
-        node, text, off, p = self.window[at], self.text, at - self.start, self.p
-        starts, window, bpe = p.starts, self.window, p.kind == BPE
-        for k in range(1, min(p.longest, end - at) + 1):
-            i = starts.get(text[off:off + k])
-            if i is None:
-                break
-            if i < 0:
-                continue
-            to = at + k
-            if bpe:
-                if to not in window and p.fits(node[3], i):
-                    window[to] = (to, node, (i,), i, 0.0)
-            else:
-                score = node[4] + p.scores[i]
-                if to not in window or score > window[to][4]:
-                    window[to] = (to, node, (i,), i, score)
-        c = text[off]
-        if c not in starts or starts[c] < 0:  # no piece of one character: the unknown piece
-            if at + 1 not in window or not bpe and node[4] + p.unknown_score > window[at + 1][4]:
-                ids = tuple(p.bytes[b] for b in c.encode()) if p.bytes else (p.unknown,)
-                window[at + 1] = (at + 1, node, ids, -1, node[4] + p.unknown_score)
-        self.done = at + 1
-        if at in window and len(window) > 1:
-            del window[at]  # its followers point to it
+        self._extend(end)
+        path, n = [], self.window[end]
+        while n is not self.committed:
+            path.append(n[2])
+            n = n[1]
+        return [i for ids in reversed(path) for i in ids]
+
+    def _extend(self, stop: int) -> None:
+        """Try all pieces that start at positions done..stop-1."""
+        p, text, start, window = self.p, self.text, self.start, self.window
+        starts, scores, fits, after, bpe = p.starts, p.scores, p.fits, p.after, p.kind == BPE
+        size, longest = len(text), p.longest
+        for off in range(self.done - start, stop - start):
+            node = window.pop(off + start)  # its followers point to it
+            before, score = node[3], node[4]
+            known = after(before) if bpe else {}
+            for end in range(off + 1, min(off + longest, size) + 1):
+                i = starts.get(text[off:end])
+                if i is None:
+                    break
+                if i < 0:
+                    continue
+                to = end + start
+                if bpe:
+                    if to not in window:
+                        ok = known.get(i)
+                        if ok if ok is not None else fits(before, i):
+                            window[to] = (to, node, (i,), i, 0.0)
+                else:
+                    total = score + scores[i]
+                    if to not in window or total > window[to][4]:
+                        window[to] = (to, node, (i,), i, total)
+            c = text[off]
+            if starts.get(c, -1) < 0:  # no piece of one character: the unknown piece
+                to, total = off + 1 + start, score + p.unknown_score
+                if to not in window or not bpe and total > window[to][4]:
+                    window[to] = (to, node, tuple(p.bytes[x] for x in c.encode()) if p.bytes else (p.unknown,), -1, total)
+        self.done = stop
 
     def _commit(self) -> list[int]:
         """The ids up to the boundary where all surviving paths meet."""
@@ -222,7 +294,12 @@ class Stretches(dict):
         self.pieces = pieces
 
     def __missing__(self, stretch: str) -> bytes:
-        packed = np.array(search(stretch, self.pieces), np.int32).tobytes()
+        inside = self.pieces.inside
+        edges = [i for i, pair in enumerate(zip(stretch, stretch[1:]), 1) if pair not in inside]
+        if edges:
+            packed = b"".join([self[stretch[a:b]] for a, b in zip([0, *edges], [*edges, len(stretch)])])
+        else:
+            packed = array("i", search(stretch, self.pieces)).tobytes()
         if len(stretch) <= 64:
             if len(self) >= CACHE:
                 self.clear()
