@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import numbered, whole_text, words
+from daybook.llm.common import cut, numbered, whole_text, words
 
 BUCKETS, BUDGET, CELLS = 16, 65536, 1024
 
@@ -84,8 +84,9 @@ def padding(histogram: dict[int, int], bounds: list[int]) -> int:
 
 def pack(docs: DataFrame, buckets: int = BUCKETS, budget: int = BUDGET) -> DataFrame:
     """doc_id, n_tokens, bucket, bucket_len, batch, place, padding of every row."""
-    rows = docs.select("doc_id", token_count(whole_text()).alias("n_tokens"),
-                       F.crc32(whole_text().cast("binary")).alias("_crc"))
+    # the texts are read once; what follows needs three numbers a row
+    rows = cut(docs.select("doc_id", token_count(whole_text()).alias("n_tokens"),
+                           F.crc32(whole_text().cast("binary")).alias("_crc")))
     histogram = {r["n_tokens"]: r["count"] for r in rows.groupBy("n_tokens").count().collect()}
     bounds = best_bounds(histogram, buckets)
     if not bounds:
