@@ -51,6 +51,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def join_salted(rows: DataFrame, few: DataFrame, keys: list[str], how: str = "inner", salts: int = 16) -> DataFrame:
+    """Join ``rows``, of which one key may have a large share, to ``few``,
+    which has one row per key: each key's rows meet in ``salts`` tasks."""
+    left = rows.withColumn("_salt", F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int"))
+    right = few.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return left.join(right, [*keys, "_salt"], how).drop("_salt")
+
+
 def numbered(df: DataFrame, groups: list[str], cell: Column, order: list[Column],
              into: str) -> DataFrame:
     """Gapless numbers from 0 within ``groups``, without one task per group.

@@ -24,7 +24,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import WS, whole_text
+from daybook.llm.common import WS, cut, join_salted, whole_text
 
 MIN_CHUNK, MAX_CHUNK = 256, 2048
 CUTS = ".!?;。"
@@ -67,13 +67,16 @@ def exact_dedup(docs: DataFrame, chunk_id: Callable[[Column], Column] = sha256_i
         return F.when(chunk_id(c).isin(clash), F.concat(chunk_id(c), c.cast("binary"))).otherwise(chunk_id(c))
 
     rest = [c for c in docs.columns if c not in ("text", "keep_id", "group_size", "kept", "text_sha256")]
-    rows = texts.select(
+    rows = cut(texts.select(
         *rest, F.char_length(whole_text()).cast("long").alias("_len"),
         F.sha2(F.col("_norm").cast("binary"), 256).alias("text_sha256"),
-        F.transform(chunks(F.col("_norm")), verified).alias("_recipe"))
+        F.transform(chunks(F.col("_norm")), verified).alias("_recipe")))
     first = F.min(F.struct(-F.col("_len"), F.col("doc_id").isNull(), F.col("doc_id")))
     groups = rows.groupBy("_recipe").agg(first["doc_id"].alias("keep_id"),
                                          F.count(F.lit(1)).alias("group_size"))
-    return (rows.join(groups, "_recipe")
+    # a document alone in its group needs no partner
+    return (join_salted(rows, groups.where("group_size > 1"), ["_recipe"], "left")
+            .withColumn("keep_id", F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id")))
+            .withColumn("group_size", F.coalesce("group_size", F.lit(1).cast("long")))
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id")))
             .drop("_recipe", "_len"))
