@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daybook.llm.common import WS, cut, whole_text
+from daybook.llm.common import WS, cut, join_salted, whole_text
 
 BITS_PER_LINE, SEGMENT_BITS, MAX_BITS, PROBES = 8, 1 << 19, 1 << 30, 4
 _WS = WS.encode()
@@ -182,7 +182,7 @@ def dropped_lines(found: DataFrame, min_docs: int, keep: str) -> DataFrame:
     """(doc_id, text_md5, drop): line numbers that each document loses."""
     first = F.min(F.struct(F.col("doc_id"), F.col("text_md5"), F.array_min("lines").alias("line")))
     counts = found.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), first.alias("first")).where(F.col("n") >= min_docs)
-    rows = found.join(counts.select("digest", "first"), "digest")
+    rows = join_salted(found, counts.select("digest", "first"), ["digest"])
     lines = F.col("lines")
     if keep == "first":
         is_first = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_md5") == F.col("first.text_md5"))
