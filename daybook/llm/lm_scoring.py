@@ -29,10 +29,12 @@ repeated are scored each and equally.  An empty table gives an empty result.
 
 from __future__ import annotations
 
+import bisect
 import dataclasses
 import hashlib
 import math
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -42,8 +44,9 @@ from pyspark.sql import functions as F
 from daybook.llm.common import cut, fold_crc, whole_text
 from daybook.llm.near_dedup import WordHashes, small_batches, tokens
 
-VOCAB, DIM, NOISE, BATCH, ROUNDS, RATE = 1024, 16, 128, 8192, 2, 0.1
+VOCAB, DIM, NOISE, BATCH, ROUNDS, RATE = 1024, 16, 128, 2048, 3, 0.1
 TRAIN_TASKS, HEAD = 64, 1 << 19
+DAMP = 1e-6  # AdaGrad sums start here, which slows rows seen seldom
 END = b"\n"  # no word contains white space
 _CACHE = 1 << 19
 
@@ -128,11 +131,11 @@ class Places(dict):
 
     def __init__(self, w: Words):
         super().__init__()
-        self.hashes = w.hashes
+        self.hashes = w.hashes.tolist()
 
     def __missing__(self, word: bytes) -> int:
-        h = np.uint64(word_hash(word))
-        i = int(np.searchsorted(self.hashes, h))
+        h = word_hash(word)
+        i = bisect.bisect_left(self.hashes, h)
         if i == len(self.hashes) or self.hashes[i] != h:
             i = -1
         if len(self) >= _CACHE:
@@ -141,6 +144,22 @@ class Places(dict):
         return i
 
 
+class Outputs(dict):
+    """Output of a word, remembered while there is room."""
+
+    def __init__(self, w: Words):
+        super().__init__()
+        inside = w.output <= w.size
+        self.known = dict(zip(w.hashes[inside].tolist(), w.output[inside].tolist()))
+        self.other = w.other
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= _CACHE:
+            self.clear()
+        self[word] = out = self.known.get(word_hash(word), self.other)
+        return out
+
+
 def _outputs(places: np.ndarray, w: Words) -> np.ndarray:
     if not len(w.output):
         return np.full(len(places), w.other, np.int32)
@@ -165,13 +184,12 @@ def context_counts(train: DataFrame, w: Words) -> DataFrame:
     base = w.size + 3
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        places = Places(w)
+        outputs = Outputs(w)
         for batch in batches:
             for part in small_batches(batch, 1 << 24):
                 ws = [[*tokens(t.as_py()), END] for t in part.column("text")]
                 lengths = np.array([len(x) for x in ws])
-                at = np.fromiter((places[x] for doc in ws for x in doc), np.int64, int(lengths.sum()))
-                out = _outputs(at, w)
+                out = np.fromiter(map(outputs.__getitem__, chain.from_iterable(ws)), np.int32, int(lengths.sum()))
                 a, b = _contexts(out, lengths, w)
                 key, n = np.unique((a.astype(np.int64) * base + b) * base + out, return_counts=True)
                 yield pa.RecordBatch.from_pydict({"key": pa.array(key), "n": pa.array(n)})
@@ -230,7 +248,7 @@ def train_share(model: Model, noise_share: np.ndarray, a: np.ndarray, b: np.ndar
     """One pass of AdaGrad steps on the noise-contrastive loss, rows weighted by n."""
     rng = np.random.default_rng(seed)
     r, q, c, bias = (p.copy() for p in model.parts())
-    past = [np.full_like(p, 1e-8) for p in (r, q, c, bias)]
+    past = [np.full_like(p, DAMP) for p in (r, q, c, bias)]
     offset = np.log(NOISE * noise_share)
     order = rng.permutation(len(w))
     for at in range(0, len(order), BATCH):
@@ -293,7 +311,7 @@ def score_rows(docs: DataFrame, w: Words, model: Model) -> DataFrame:
             for part in small_batches(batch):
                 ws = [[*tokens(t.as_py()), END] for t in part.column("text")]
                 lengths = np.array([len(x) for x in ws])
-                at = np.fromiter((places[x] for doc in ws for x in doc), np.int64, int(lengths.sum()))
+                at = np.fromiter(map(places.__getitem__, chain.from_iterable(ws)), np.int64, int(lengths.sum()))
                 out = _outputs(at, w)
                 a, b = _contexts(out, lengths, w)
                 first = np.r_[0, np.cumsum(lengths)[:-1]]
