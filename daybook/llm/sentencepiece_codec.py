@@ -43,7 +43,7 @@ from pyspark.sql import types as T
 from daybook.llm.near_dedup import small_batches
 
 SPACE = "▁"
-CACHE = 3 << 18
+CACHE = 1 << 19
 MODEL = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 UNIGRAM, BPE = 1, 2
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _BYTE = 1, 2, 3, 4, 6
