@@ -1,21 +1,26 @@
 """Scoring by a log-bilinear language model trained with noise contrast.
 
 Tokens are the words between white space, A-Z in lower case, then one end.
-All tokens of the training documents are counted.  The ``VOCAB`` most frequent
-words, the end and "any other word" are the outputs of the model; its context
-is the two tokens before.  With context vectors R, output vectors Q, position
-weights c1, c2 and biases,
-
-    s(w | a, b) = <c1 * R_a + c2 * R_b, Q_w> + bias_w
-
-so for all contexts at once A1 = (c1 * R) Q', A2 = (c2 * R) Q', and the
-normaliser of every (a, b) is one matrix product, exp(A1 + bias) exp(A2)'.
+All tokens of the training documents are counted.  The outputs of the model
+are the end, every word seen at least ``LEAST`` times (of those that go to
+every task, see below) and "any other word"; its context is the two tokens
+before.  The outputs, by falling count, are cut into about sqrt(outputs)
+classes, the end and "any other word" being classes by themselves.  With
+context vectors R, position weights c1, c2, class vectors K and output vectors
+Q, the context of a token is x = c1 * R_a + c2 * R_b and
+
+    log p(w | a, b) = log softmax_k(<x, K_k> + top_bias_k) at the class of w
+                    + log softmax_v(<x, Q_v> + bias_v) over that class, at w
+
+so a token needs two small normalisers, both computed in full, whatever the
+number of words.  Few outputs are one class, and the first part is zero.
 A word outside the vocabulary gets the probability of "any other word" times
 its smoothed share among those, so probabilities of a context sum to one.
 
-Training goes over the counts of all (a, b, w) of the training documents: each
-of at most ``TRAIN_TASKS`` tasks takes AdaGrad steps on the noise-contrastive
-loss over its share, the parameters are averaged, ``ROUNDS`` times.
+Training goes over all tokens of the training documents, written once as
+output numbers: each of at most ``TRAIN_TASKS`` tasks takes AdaGrad steps on
+the noise-contrastive loss of the classes and of the words in their class over
+its share, the parameters are averaged block by block, ``ROUNDS`` times.
 
 Word counts: words frequent enough to be among about ``HEAD`` go to every task
 (two numbers each, a fixed bound).  Rare words, none of them hot, are joined
@@ -44,11 +49,13 @@ from pyspark.sql import functions as F
 from daybook.llm.common import cut, fold_crc, whole_text
 from daybook.llm.near_dedup import WordHashes, small_batches, tokens
 
-VOCAB, DIM, NOISE, BATCH, ROUNDS, RATE = 1024, 16, 128, 2048, 3, 0.1
+LEAST, FLAT, DIM, NOISE, BATCH, ROUNDS, RATE = 5, 256, 16, 128, 2048, 3, 0.1
 TRAIN_TASKS, HEAD = 64, 1 << 19
 DAMP = 1e-6  # AdaGrad sums start here, which slows rows seen seldom
 END = b"\n"  # no word contains white space
 _CACHE = 1 << 19
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_PIECE, _BLOCK = 1 << 9, 1 << 18  # tokens of one matrix product, parameters of one block
 
 
 def word_hash(word: bytes) -> int:
@@ -103,9 +110,10 @@ def _bucket():
     return F.floor(F.log2("c") * 16).cast("int")
 
 
-def frequent(counts: DataFrame, vocab: int, head: int) -> tuple[Words, int]:
+def frequent(counts: DataFrame, vocab: int | None, head: int) -> tuple[Words, int]:
     """The words at or above the lowest count class that keeps them within
-    ``head`` (a class spans a sixteenth of a power of two), and that class."""
+    ``head`` (a class spans a sixteenth of a power of two), and that class.
+    The vocabulary is all of them seen ``LEAST`` times, or the first ``vocab``."""
     n, v = counts.agg(F.sum("c"), F.count(F.lit(1))).first()
     classes = {r["k"]: r["count"] for r in counts.groupBy(_bucket().alias("k")).count().collect()}
     least, total = 0, 0
@@ -119,7 +127,9 @@ def frequent(counts: DataFrame, vocab: int, head: int) -> tuple[Words, int]:
     order = np.argsort(h)
     h, c = h[order], c[order]
     is_end = h == np.uint64(word_hash(END))
-    by_count = [i for i in np.lexsort((h, -c)) if not is_end[i]][:vocab]
+    by_count = np.lexsort((h, -c))
+    by_count = by_count[~is_end[by_count]]
+    by_count = by_count[c[by_count] >= LEAST] if vocab is None else by_count[:vocab]
     output = np.full(len(h), len(by_count) + 1, np.int32)
     output[by_count] = np.arange(1, len(by_count) + 1)
     output[is_end] = 0
@@ -179,21 +189,28 @@ def _contexts(outputs: np.ndarray, lengths: np.ndarray, w: Words) -> tuple[np.nd
     return a, b
 
 
-def context_counts(train: DataFrame, w: Words) -> DataFrame:
-    """(key, n): count of every (a, b, output), packed into one long."""
-    base = w.size + 3
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def numbers(train: DataFrame, w: Words) -> DataFrame:
+    """(ids): outputs of whole documents, int32; each document ends with a 0."""
+    def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         outputs = Outputs(w)
         for batch in batches:
-            for part in small_batches(batch, 1 << 24):
+            for part in small_batches(batch):
                 ws = [[*tokens(t.as_py()), END] for t in part.column("text")]
-                lengths = np.array([len(x) for x in ws])
-                out = np.fromiter(map(outputs.__getitem__, chain.from_iterable(ws)), np.int32, int(lengths.sum()))
-                a, b = _contexts(out, lengths, w)
-                key, n = np.unique((a.astype(np.int64) * base + b) * base + out, return_counts=True)
-                yield pa.RecordBatch.from_pydict({"key": pa.array(key), "n": pa.array(n)})
-    return train.select("text").mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+                out = np.fromiter(map(outputs.__getitem__, chain.from_iterable(ws)), np.int32, sum(map(len, ws)))
+                yield pa.RecordBatch.from_pydict({"ids": pa.array([out.tobytes()], pa.binary())})
+    return train.select("text").mapInArrow(take, "ids binary")
+
+
+def class_edges(w: Words) -> np.ndarray:
+    """First output of every class and, last, the number of outputs: classes
+    hold about equal sums of the roots of the shares."""
+    n = w.size + 2
+    if n <= FLAT:
+        return np.array([0, n])
+    root = np.cumsum(np.sqrt(w.unigram()[1:w.other]))
+    parts = math.isqrt(n)
+    part = np.minimum((root / root[-1] * parts).astype(np.int64), parts - 1)
+    return np.r_[0, 1 + np.flatnonzero(np.r_[True, part[1:] != part[:-1]]), w.other, n]
 
 
 # ---- the model
@@ -202,18 +219,22 @@ def context_counts(train: DataFrame, w: Words) -> DataFrame:
 class Model:
     r: np.ndarray
     q: np.ndarray
+    k: np.ndarray
     c: np.ndarray  # two rows, the position weights
     bias: np.ndarray
+    top_bias: np.ndarray
+    edges: np.ndarray  # of the classes, not learned
 
     @staticmethod
     def start(w: Words, seed: int = 5) -> Model:
         """Vectors near zero, so the first model is the unigram one."""
-        rng = np.random.default_rng(seed)
-        return Model(rng.normal(0, 0.1, (w.size + 3, DIM)), rng.normal(0, 0.1, (w.size + 2, DIM)),
-                     np.ones((2, DIM)), np.log(w.unigram()))
+        rng, edges, share = np.random.default_rng(seed), class_edges(w), w.unigram()
+        first = [rng.normal(0, 0.1, (n, DIM)) for n in (w.size + 3, w.size + 2, len(edges) - 1)]
+        first += [np.ones((2, DIM)), np.log(share), np.log(np.add.reduceat(share, edges[:-1]))]
+        return Model(*(p.astype(np.float32) for p in first), edges)
 
     def parts(self) -> list[np.ndarray]:
-        return [self.r, self.q, self.c, self.bias]
+        return [self.r, self.q, self.k, self.c, self.bias, self.top_bias]
 
     def flat(self) -> np.ndarray:
         return np.concatenate([p.ravel() for p in self.parts()])
@@ -223,76 +244,163 @@ class Model:
         for p in self.parts():
             out.append(x[at:at + p.size].reshape(p.shape))
             at += p.size
-        return Model(*out)
+        return Model(*out, self.edges)
+
+    def class_of(self, out: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.edges, out, "right") - 1
+
+    def context(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return self.c[0] * self.r[a] + self.c[1] * self.r[b]
+
+    def log_probs(self, a: np.ndarray, b: np.ndarray, out: np.ndarray) -> np.ndarray:
+        """Natural log probability of every output after its (a, b)."""
+        group, lp = self.class_of(out), np.zeros(len(out))
+        if len(self.edges) > 2:
+            for at in range(0, len(out), _PIECE):
+                i = slice(at, at + _PIECE)
+                lp[i] = _log_softmax_at(self.context(a[i], b[i]) @ self.k.T + self.top_bias, group[i])
+        order = np.argsort(group, kind="stable")
+        ends = np.r_[np.flatnonzero(np.diff(group[order])) + 1, len(out)]
+        at = 0
+        for end in ends[ends > 0]:
+            g = group[order[at]]
+            lo, hi = self.edges[g], self.edges[g + 1]
+            step = max(64, min(16 * _PIECE, (1 << 18) // int(hi - lo)))
+            for i in (order[x:min(x + step, end)] for x in range(at, end, step)) if hi - lo > 1 else ():
+                lp[i] += _log_softmax_at(self.context(a[i], b[i]) @ self.q[lo:hi].T + self.bias[lo:hi], out[i] - lo)
+            at = end
+        return lp
 
     def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """A1 + bias, A2 and log normalisers, so that the natural log
-        probability of w after (a, b) is t1[a, w] + t2[b, w] - z[a, b]."""
-        t1 = (self.r * self.c[0]) @ self.q.T + self.bias
-        t2 = (self.r * self.c[1]) @ self.q.T
+        """Of a model of one class: A1 + bias, A2 and log normalisers, so that
+        the natural log probability of w after (a, b) is t1[a, w] + t2[b, w] - z[a, b]."""
+        if len(self.edges) > 2:
+            raise ValueError("tables are of models of one class")
+        r, q = self.r.astype(float), self.q.astype(float)
+        t1, t2 = (r * self.c[0]) @ q.T + self.bias, (r * self.c[1]) @ q.T
         m1, m2 = t1.max(1, keepdims=True), t2.max(1, keepdims=True)
         z = np.log(np.exp(t1 - m1) @ np.exp(t2 - m2).T) + m1 + m2.T
         return t1, t2, z
 
 
-def _scatter(rows: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
-    return np.stack([np.bincount(rows, values[:, d], n) for d in range(values.shape[1])], axis=1)
+def _log_softmax_at(s: np.ndarray, at: np.ndarray) -> np.ndarray:
+    s -= s.max(1, keepdims=True)
+    mine = s[np.arange(len(s)), at].astype(float)
+    return mine - np.log(np.exp(s, out=s).sum(1))
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
+def _sigmoid(x: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """``times`` the logistic function of x, in the place of x."""
+    np.clip(x, -40, 40, out=x)
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.divide(times, x, out=x)
+
+
+def _add_up(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct rows and the sums of their values."""
+    order = np.argsort(rows)
+    rows = rows[order]
+    first = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
+    return rows[first], np.add.reduceat(values[order], first, axis=0)
 
 
 def train_share(model: Model, noise_share: np.ndarray, a: np.ndarray, b: np.ndarray, w: np.ndarray, n: np.ndarray,
                 seed: int) -> Model:
-    """One pass of AdaGrad steps on the noise-contrastive loss, rows weighted by n."""
-    rng = np.random.default_rng(seed)
-    r, q, c, bias = (p.copy() for p in model.parts())
-    past = [np.full_like(p, DAMP) for p in (r, q, c, bias)]
-    offset = np.log(NOISE * noise_share)
+    """One pass of AdaGrad steps on the noise-contrastive loss, rows weighted
+    by n: batches of any rows for the classes, batches of the rows of one class
+    for the words in it.  A step touches the rows of its batch only."""
+    rng, edges = np.random.default_rng(seed), model.edges
+    r, q, k, c, bias, top_bias = (p.copy() for p in model.parts())
+    past = {id(p): np.full_like(p, DAMP) for p in (r, q, k, c, bias, top_bias)}
+    group = model.class_of(w)
+    top_share = np.add.reduceat(noise_share, edges[:-1])
+    shares: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def noise_of(share: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return np.cumsum(share), np.log(NOISE * share).astype(np.float32)
+
+    def move(p: np.ndarray, rows, g: np.ndarray) -> None:
+        s = past[id(p)]
+        now = s[rows] + g * g
+        s[rows] = now
+        p[rows] -= RATE * g / np.sqrt(now)
+
+    def step(i: np.ndarray, vectors: np.ndarray, biases: np.ndarray, steps: np.ndarray, offset: np.ndarray, at: np.ndarray, lo: int) -> None:
+        ai, bi, u = a[i], b[i], (n[i] / n[i].sum()).astype(np.float32)
+        x = np.minimum(np.searchsorted(steps, rng.random(NOISE), "right"), len(steps) - 1)
+        ra, rb = r[ai], r[bi]
+        ctx, mine, noise = c[0] * ra + c[1] * rb, vectors[at + lo], vectors[x + lo]
+        gain = -_sigmoid(offset[at] - biases[at + lo] - np.einsum("ij,ij->i", ctx, mine), u)
+        lose = ctx @ noise.T
+        lose += biases[x + lo] - offset[x]
+        _sigmoid(lose, u[:, None])
+        d_ctx = gain[:, None] * mine + lose @ noise
+        rows, d = _add_up(np.r_[at, x] + lo, np.c_[np.r_[gain[:, None] * ctx, lose.T @ ctx], np.r_[gain, lose.sum(0)]])
+        move(vectors, rows, d[:, :-1])
+        move(biases, rows, d[:, -1])
+        rows, d = _add_up(np.r_[ai, bi], np.r_[d_ctx * c[0], d_ctx * c[1]])
+        move(r, rows, d)
+        move(c, slice(None), np.stack([(d_ctx * ra).sum(0), (d_ctx * rb).sum(0)]))
+
     order = rng.permutation(len(w))
-    for at in range(0, len(order), BATCH):
-        i = order[at:at + BATCH]
-        ai, bi, wi, u = a[i], b[i], w[i], n[i] / n[i].sum()
-        x = rng.choice(len(noise_share), NOISE, p=noise_share)
-        ctx = c[0] * r[ai] + c[1] * r[bi]
-        gain = -u * (1 - _sigmoid((ctx * q[wi]).sum(1) + bias[wi] - offset[wi]))
-        lose = u[:, None] * _sigmoid(ctx @ q[x].T + bias[x] - offset[x])
-        d_ctx = gain[:, None] * q[wi] + lose @ q[x]
-        d_q = _scatter(np.r_[wi, x], np.r_[gain[:, None] * ctx, lose.T @ ctx], len(q))
-        d_bias = np.bincount(np.r_[wi, x], np.r_[gain, lose.sum(0)], len(bias))
-        d_r = _scatter(np.r_[ai, bi], np.r_[d_ctx * c[0], d_ctx * c[1]], len(r))
-        d_c = np.stack([(d_ctx * r[ai]).sum(0), (d_ctx * r[bi]).sum(0)])
-        for p, g, s in zip((r, q, c, bias), (d_r, d_q, d_c, d_bias), past):
-            s += g * g
-            p -= RATE * g / np.sqrt(s)
-    return Model(r, q, c, bias)
-
-
-def train(contexts: DataFrame, w: Words) -> Model:
-    """The model after ROUNDS of passes over all counts; what returns from
-    each of at most TRAIN_TASKS tasks is one set of parameters."""
-    model, base, share = Model.start(w), w.size + 3, w.unigram()
-    rows = cut(contexts.coalesce(TRAIN_TASKS))
+    batches = [(-1, order[at:at + BATCH]) for at in range(0, len(w), BATCH)] if len(edges) > 2 else []
+    by_class = order[np.argsort(group[order], kind="stable")]
+    for i in np.split(by_class, np.flatnonzero(np.diff(group[by_class])) + 1):
+        g = int(group[i[0]]) if len(i) else 0
+        if edges[g + 1] - edges[g] > 1:
+            share = noise_share[edges[g]:edges[g + 1]] / top_share[g]
+            shares[g] = noise_of(share)
+            batches += [(g, i[at:at + BATCH]) for at in range(0, len(i), BATCH)]
+    top = noise_of(top_share)
+    for turn in rng.permutation(len(batches)):
+        g, i = batches[turn]
+        if g < 0:
+            step(i, k, top_bias, *top, group[i], 0)
+        else:
+            step(i, q, bias, *shares[g], w[i] - edges[g], int(edges[g]))
+    return Model(r, q, k, c, bias, top_bias, edges)
+
+
+def train(ids: DataFrame, w: Words) -> Model:
+    """The model after ROUNDS of passes over all tokens.  Of the parameters of
+    at most TRAIN_TASKS tasks, each block is averaged in a task, and one set of
+    parameters returns."""
+    model, share = Model.start(w), w.unigram()
+    spark = ids.sparkSession
+    rows = cut(ids.hint("rebalance")).coalesce(min(TRAIN_TASKS, spark.sparkContext.defaultParallelism))
+
+    def mean(t: pa.Table) -> pa.Table:
+        total, weight = 0.0, 0.0
+        for flat, n in zip(t.column("flat"), t.column("weight").to_numpy()):
+            total, weight = total + n * np.frombuffer(flat.as_buffer(), np.float32).astype(float), weight + n
+        return pa.table({"block": t.column("block")[:1], "flat": pa.array([(total / weight).astype(np.float32).tobytes()], pa.binary())})
 
     for turn in range(ROUNDS):
         def one_pass(batches: Iterator[pa.RecordBatch], model: Model = model, turn: int = turn) -> Iterator[pa.RecordBatch]:
             total, seen, now = 0.0, 0, model
             for batch in batches:
-                key, n = batch.column("key").to_numpy(), batch.column("n").to_numpy()
-                seen += 1
-                total += float(n.sum())
-                now = train_share(now, share, key // base // base, key // base % base, key % base, n, 1000 * turn + seen)
-            if seen:
-                yield pa.RecordBatch.from_pydict({"weight": pa.array([total]), "flat": pa.array([now.flat().tobytes()], pa.binary())})
-        spread = rows.sparkSession.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
-        rows.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(1 << 18))
+                for x in batch.column("ids"):
+                    out = np.frombuffer(x.as_buffer(), np.int32)
+                    a, b = _contexts(out, np.diff(np.r_[-1, np.flatnonzero(out == 0)]), w)
+                    seen += 1
+                    total += len(out)
+                    now = train_share(now, share, a, b, out, np.ones(len(out)), 1000 * turn + seen)
+            flat = now.flat() if seen else np.zeros(0, np.float32)
+            for at in range(0, len(flat), _BLOCK):
+                yield pa.RecordBatch.from_pydict({"block": pa.array([at // _BLOCK]), "weight": pa.array([total]),
+                                                  "flat": pa.array([flat[at:at + _BLOCK].tobytes()], pa.binary())})
+        # the blocks of a round go when it ends, else all rounds' would fill the disk
+        clean = spark.conf.get(_CLEAN, "false")
+        spark.conf.set(_CLEAN, "true")
         try:
-            got = rows.mapInArrow(one_pass, "weight double, flat binary").collect()
+            got = (rows.mapInArrow(one_pass, "block long, weight double, flat binary")
+                   .groupBy("block").applyInArrow(mean, "block long, flat binary").collect())
         finally:
-            rows.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", spread)
+            spark.conf.set(_CLEAN, clean)
         if got:
-            model = model.unflat(np.average([np.frombuffer(r["flat"]) for r in got], axis=0, weights=[r["weight"] for r in got]))
+            model = model.unflat(np.concatenate([np.frombuffer(x["flat"], np.float32) for x in sorted(got, key=lambda x: x["block"])]))
     return model
 
 
@@ -305,7 +413,6 @@ def score_rows(docs: DataFrame, w: Words, model: Model) -> DataFrame:
     latter over words outside the vocabulary only."""
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         places, hashes = Places(w), WordHashes()
-        t1, t2, z = (t.astype(np.float32) for t in model.tables())
         log_c = np.log10(np.r_[w.counts, 0] + 0.1)  # the last for -1
         for batch in batches:
             for part in small_batches(batch):
@@ -317,7 +424,7 @@ def score_rows(docs: DataFrame, w: Words, model: Model) -> DataFrame:
                 first = np.r_[0, np.cumsum(lengths)[:-1]]
                 rare, logs = at < 0, np.where(at < 0, 0.0, log_c[at])
                 is_other = out == w.other
-                lp = (t1[a, out] + t2[b, out] - z[a, b]).astype(np.float64) / math.log(10)
+                lp = model.log_probs(a, b, out) / math.log(10)
                 rare_h, rare_n = [], []
                 flags = np.split(rare, first[1:])
                 for doc, flag in zip(ws, flags):
@@ -338,14 +445,14 @@ def score_rows(docs: DataFrame, w: Words, model: Model) -> DataFrame:
                                  "others long, model double, rare_h array<long>, rare_n array<long>")
 
 
-def score(docs: DataFrame, vocab: int = VOCAB, head: int = HEAD) -> DataFrame:
+def score(docs: DataFrame, vocab: int | None = None, head: int = HEAD) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score and
     per_token of every row of ``docs``, learning from the folds 1 to 9."""
     base = docs.select("doc_id", whole_text().alias("text"))
     training = base.where(fold_crc("doc_id", 10) != 0)
     counts = cut(word_counts(training))
     w, least = frequent(counts, vocab, head)
-    model = train(context_counts(training, w), w)
+    model = train(numbers(training, w), w)
     rows = cut(score_rows(base, w, model))
 
     # rare words: those below the class of the frequent ones, and unseen ones

@@ -61,3 +61,30 @@ def test_repeated_rows_score_alike(make):
     got = lm.score(make([(1, "a b c"), (1, "a b c"), (2, "z"), (3, None)]), 2, 2).collect()
     assert len(got) == 4
     assert len({(r["score"], r["n_tokens"], r["n_known"]) for r in got if r["doc_id"] == 1}) == 1
+
+
+def test_every_word_seen_often_has_an_output_and_classes_sum_to_one():
+    counts = np.r_[500, np.arange(4000, 1000, -1)]
+    w = lm.Words(np.arange(3001, dtype=np.uint64), counts, np.arange(3001).astype(np.int32), 3000, int(counts.sum()) + 90, 3050)
+    m = lm.Model.start(w)
+    m.r[7], m.q[:] = 2, np.random.default_rng(1).normal(0, 1, m.q.shape)
+    m.k[:] = np.random.default_rng(2).normal(0, 1, m.k.shape)
+    every = np.arange(w.size + 2)
+    assert len(m.edges) > 30 and (np.diff(m.edges) > 0).all() and m.edges[-1] == len(every)
+    p = m.log_probs(np.full(len(every), 7), np.full(len(every), 9), every)
+    assert abs(np.exp(p).sum() - 1) < 1e-4 and p.std() > 0.5
+
+
+def test_pairs_of_words_beyond_the_first_thousand_are_learned(make):
+    rng, rows, fits = np.random.default_rng(3), [], {}
+    for i in range(600):
+        held, ws = zlib.crc32(str(i).encode()) % 10 == 0, []
+        fits[i] = not held or len(rows) % 2 == 0
+        for _ in range(40):
+            left, right = rng.integers(0, 2), rng.integers(0, 150, 2)
+            ws += [f"often{j}" for j in rng.integers(0, 1100, 4)]
+            ws += [f"left{left}x{right[0]}", f"right{left if fits[i] else 1 - left}x{right[1]}"]
+        rows.append((i, " ".join(ws)))
+    got = [(r["per_token"], fits[r["doc_id"]]) for r in lm.score(make(rows)).collect() if r["held_out"]]
+    mean = [np.mean([p for p, f in got if f is which]) for which in (False, True)]
+    assert mean[1] - mean[0] > 0.05
