@@ -7,11 +7,13 @@ numbers.  The machine scores bias + sum of weights + all pairwise products
 pair of terms can count where neither does alone.
 
 It is fitted in numpy on at most ``SAMPLE_TOXIC`` toxic and ``SAMPLE_CLEAN``
-other labelled rows of the training folds (chosen by hash of doc_id).  Of
-their terms, the ``TERMS`` whose share differs most between the classes, and
-by at least ``LEAST_Z`` standard errors, get weights; all others weigh
-nothing, so a long text is not swamped by its ordinary words.  Whole texts
-are scored.
+other labelled rows of the training folds (chosen by hash of doc_id).  Every
+term seen in at least ``LEAST_ROWS`` of them gets a weight and a vector; no
+term is tested by itself.  Terms whose share differs between the classes by
+``LEAST_Z`` standard errors count in full.  All others count by the root of
+their number in the text, so a long text is not swamped by its ordinary words,
+but a pair of terms, each as frequent in both classes, is learned and scored.
+Whole texts are scored.
 
 Defined cases: null text counts as empty; an empty text gets the score of the
 bias.  Without training rows of both classes every score is the share of toxic
@@ -36,7 +38,8 @@ from pyspark.sql import types as T
 from daybook.llm.common import fold_crc, whole_text
 
 SAMPLE_TOXIC, SAMPLE_CLEAN = 3000, 6000
-SPACE, TERMS, LEAST_Z, RANK, EPOCHS = 1 << 18, 1024, 4.0, 8, 30
+SPACE, LEAST_ROWS, LEAST_Z, RANK, EPOCHS = 1 << 18, 2, 4.0, 8, 30
+PLAIN_DECAY = 1e-2  # pull to zero of the weights that do not count in full
 _CACHE = 1 << 19
 _MARKS = ".,;:!?|#&%$*\"'()[]{}<>"
 
@@ -76,14 +79,21 @@ class Machine:
     bias: float
     weights: np.ndarray
     factors: np.ndarray
+    full: int = 0  # the places before this one count in full
+
+    def values(self, places: np.ndarray) -> np.ndarray:
+        """What each present term counts."""
+        plain = places >= self.full
+        return np.where(plain, 1 / np.sqrt(1 + plain.sum()), 1.0)
 
     def logits(self, rows: list[np.ndarray]) -> np.ndarray:
         out = np.full(len(rows), self.bias)
         for i, places in enumerate(rows):
             if len(places):
-                v = self.factors[places]
+                x = self.values(places)
+                v = x[:, None] * self.factors[places]
                 s = v.sum(0)
-                out[i] += self.weights[places].sum() + 0.5 * (s @ s - (v * v).sum())
+                out[i] += x @ self.weights[places] + 0.5 * (s @ s - (v * v).sum())
         return out
 
 
@@ -99,37 +109,54 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, seed: int = 4) -> Machine:
     seen0 = np.bincount(np.concatenate([r for r, y in zip(rows, labels) if not y] or [[]]).astype(np.int64), minlength=SPACE)
     p = (seen1 + seen0) / (n1 + n0)
     z = np.abs(seen1 / n1 - seen0 / n0) / np.sqrt(np.maximum(p * (1 - p), 1e-12) * (1 / n1 + 1 / n0))
-    z[(seen1 + seen0) < 2] = 0
-    best = np.argsort(-z, kind="stable")[:TERMS]
-    best = best[z[best] >= LEAST_Z]
+    z[(seen1 + seen0) < LEAST_ROWS] = -1
+    best = np.argsort(-z, kind="stable")[:int((z >= 0).sum())]
     column[best] = np.arange(len(best))
-    x = np.zeros((len(rows), len(best)), np.float32)
-    for i, r in enumerate(rows):
-        places = column[r]
-        x[i, places[places >= 0]] = 1
     rng = np.random.default_rng(seed)
-    theta = {"b": np.array(np.log(n1 / n0)), "w": np.zeros(len(best)), "v": rng.normal(0, 0.05, (len(best), RANK))}
-    first = {k: np.zeros_like(a) for k, a in theta.items()}
-    second = {k: np.zeros_like(a) for k, a in theta.items()}
+    m = Machine(column, float(np.log(n1 / n0)), np.zeros(len(best)), rng.normal(0, 0.05, (len(best), RANK)), int((z >= LEAST_Z).sum()))
+    places = [c[c >= 0] for c in (column[r] for r in rows)]
+    values = [m.values(c).astype(np.float32) for c in places]
+    theta = np.c_[m.weights, m.factors].astype(np.float32)
+    first, second, last = np.zeros_like(theta), np.zeros_like(theta), np.zeros(len(best), np.float32)
+    bias, bias_first, bias_second = m.bias, 0.0, 0.0
     y, step = labels.astype(float), 0
     weight = np.where(labels == 1, 0.5 * len(y) / n1, 0.5 * len(y) / n0)
     weight = weight / weight.mean()
+    decay = np.full((len(best), 1 + RANK), 1e-3, np.float32)
+    decay[:, 0] = np.where(np.arange(len(best)) < m.full, 1e-4, PLAIN_DECAY)
     for epoch in range(EPOCHS):
         order = rng.permutation(len(y))
         for at in range(0, len(y), 256):
-            pick = order[at:at + 256]
-            xb, step = x[pick].astype(float), step + 1
-            s = xb @ theta["v"]
-            logit = theta["b"] + xb @ theta["w"] + 0.5 * ((s * s).sum(1) - (xb @ (theta["v"] ** 2)).sum(1))
+            pick, step = order[at:at + 256], step + 1
+            at_row = np.repeat(np.arange(len(pick)), [len(places[i]) for i in pick])
+            c, x = np.concatenate([places[i] for i in pick]), np.concatenate([values[i] for i in pick])
+            by_term = np.argsort(c, kind="stable")
+            starts = np.flatnonzero(np.diff(c[by_term], prepend=-1))
+            used = c[by_term][starts]
+            xt = x[:, None] * theta[c]
+            sums = np.zeros((len(pick), 1 + RANK), np.float32)
+            own = np.zeros(len(pick), np.float32)
+            if len(c):
+                filled = np.flatnonzero(np.diff(at_row, prepend=-1))
+                sums[at_row[filled]] = np.add.reduceat(xt, filled, axis=0)
+                own[at_row[filled]] = np.add.reduceat(np.einsum("ij,ij->i", xt[:, 1:], xt[:, 1:]), filled)
+            logit = bias + sums[:, 0] + 0.5 * ((sums[:, 1:] ** 2).sum(1) - own)
             err = weight[pick] * (1 / (1 + np.exp(-np.clip(logit, -40, 40))) - y[pick]) / len(pick)
-            grad = {"b": np.array(err.sum()), "w": xb.T @ err + 1e-4 * theta["w"],
-                    "v": xb.T @ (err[:, None] * s) - theta["v"] * (xb.T @ err)[:, None] + 1e-3 * theta["v"]}
-            for k, g in grad.items():  # Adam
-                first[k] = 0.9 * first[k] + 0.1 * g
-                second[k] = 0.999 * second[k] + 0.001 * g * g
-                theta[k] = theta[k] - 0.02 * (first[k] / (1 - 0.9 ** step)) / (np.sqrt(second[k] / (1 - 0.999 ** step)) + 1e-8)
+            if len(c):
+                pull = sums[at_row] - xt
+                pull[:, 0] = 1
+                pull *= (err.astype(np.float32)[at_row] * x)[:, None]
+                # a step touches the terms of its rows only; what rested decays by the steps between
+                now, rest = theta[used], (step - last[used])[:, None]
+                last[used] = step
+                grad = np.add.reduceat(pull[by_term], starts, axis=0) + rest * decay[used] * now
+                first[used] = f = np.float32(0.9) ** rest * first[used] + np.float32(0.1) * grad
+                second[used] = g = np.float32(0.999) ** rest * second[used] + np.float32(0.001) * grad * grad
+                theta[used] = now - np.float32(0.02) * (f / (1 - 0.9 ** step)) / (np.sqrt(g / (1 - 0.999 ** step)) + np.float32(1e-8))
+            bias_first, bias_second = 0.9 * bias_first + 0.1 * err.sum(), 0.999 * bias_second + 0.001 * err.sum() ** 2
+            bias -= 0.02 * (bias_first / (1 - 0.9 ** step)) / (np.sqrt(bias_second / (1 - 0.999 ** step)) + 1e-8)
     # the classes weigh alike in training, so 0.5 splits them
-    return Machine(column, float(theta["b"]), theta["w"], theta["v"])
+    return dataclasses.replace(m, bias=float(bias), weights=theta[:, 0].astype(float), factors=theta[:, 1:].astype(float))
 
 
 def training_rows(docs: DataFrame, labels: DataFrame) -> tuple[list[np.ndarray], np.ndarray]:

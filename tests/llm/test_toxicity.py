@@ -29,6 +29,21 @@ def test_learns_a_pair_that_neither_term_shows():
     assert both - (m.bias + linear) > 0.5  # the pair itself counts
 
 
+def test_learns_a_pair_of_terms_as_frequent_in_both_classes():
+    rng = random.Random(6)
+    words = [f"n{i}" for i in range(40)]
+    rows, labels = [], []
+    for i in range(1600):
+        a, b = i % 2, i // 2 % 2
+        rows.append(toxicity.present(" ".join(rng.sample(words, 12) + ["insult"] * a + ["group"] * b), toxicity.TermIndex()))
+        labels.append(a ^ b)
+    m = toxicity.fit(rows, np.array(labels))
+    index = toxicity.TermIndex(m.column)
+    both, one, other, none = m.logits([toxicity.present(t, index) for t in
+                                       ("n1 n4 n2 insult group", "n1 n4 n2 insult", "n1 n4 n2 group", "n1 n4 n2 n3")])
+    assert min(one, other) > 1 and max(both, none) < -1
+
+
 def test_held_out_accuracy_and_inputs(spark):
     got = {r["doc_id"]: r for r in QUERIES["op4_toxicity"](spark, SF).collect()}
     labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
