@@ -41,6 +41,7 @@ KINDS = ("email", "ip", "card", "phone")
 SAMPLE_DOCS, WINDOW, STRIDE = 1000, 64, 32
 HIDDEN, EPOCHS, BATCH, RATE = 16, 3, 64, 0.02
 TRIGGER = "[0-9@]"
+_TRIGGER_RUN = re.compile("[0-9@][0-9@.,:+-]*")  # one number or sign
 _TRIGGER = re.compile(TRIGGER)
 
 # ---- the fixed patterns
@@ -287,8 +288,8 @@ def other_number(rng: np.random.Generator) -> str:
 
 
 def training_windows(texts: list[str], seed: int = 3) -> tuple[np.ndarray, np.ndarray]:
-    """Codes and tags (windows, WINDOW) around numbers and '@' signs, as they
-    stand and rewritten."""
+    """Codes and tags (windows, WINDOW) around every span, as it stands and
+    rewritten, and around every number and '@' sign."""
     rng, xs, ys = np.random.default_rng(seed), [], []
 
     def add(text: str, spans: list[tuple[str, int, int]], about: int) -> None:
@@ -310,13 +311,13 @@ def training_windows(texts: list[str], seed: int = 3) -> tuple[np.ndarray, np.nd
 
     for text in texts:
         spans = pattern_spans(text)
-        for kind, s, e in spans[:4]:
+        for kind, s, e in spans:
             lo, hi = max(0, s - WINDOW), min(len(text), e + WINDOW)
             near = [(k, a - lo, b - lo) for k, a, b in spans if a >= lo and b <= hi]
             add(text[lo:hi], near, s - lo)
             new = rewritten(kind, text[s:e], rng)
             add(text[lo:s] + new + text[e:hi], [(kind, s - lo, s - lo + len(new))], s - lo)
-        for m in list(_TRIGGER.finditer(text))[:2]:
+        for m in _TRIGGER_RUN.finditer(text):
             lo = max(0, m.start() - WINDOW)
             cut = text[lo:m.start() + WINDOW]
             add(cut, [(k, max(a, lo) - lo, min(b, lo + len(cut)) - lo) for k, a, b in spans if b > lo and a < lo + len(cut)], m.start() - lo)

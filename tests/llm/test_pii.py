@@ -97,3 +97,15 @@ def test_redaction():
     t = "a x@y.zz b 1.2.3.4"
     assert pii.redacted(t, pii.pattern_spans(t)) == "a <EMAIL> b <IP>"
     assert pii.redacted("abcdef", [("card", 1, 4), ("phone", 2, 5)]) == "a<CARD>f"
+
+
+def test_every_span_and_number_of_a_text_teaches():
+    text = " and then ".join([*(f"user{i}@example.com" for i in range(6)), "10.20.30.40", "4111 1111 1111 1111", "+1 202 555 0147",
+                              *("a plain word " * 9 + f"section {c}{c}" for c in "abc"), "a plain word " * 9 + "in 1999"])
+    kinds = {k for k, _, _ in pii.pattern_spans(text)}
+    _, y = pii.training_windows([text])
+    taught = {pii.KINDS[(int(v) - 1) // 2] for v in np.unique(y) if v > 0}
+    assert kinds == set(pii.KINDS) and taught == kinds
+    x, y = pii.training_windows([text])
+    last = pii.codes("in 1999")
+    assert any((np.lib.stride_tricks.sliding_window_view(row, len(last)) == last).all(1).any() for row in x)
