@@ -9,8 +9,8 @@ needed: a row counts for its day however late it comes.
 * :func:`start_event_job` - the whole job: one read and one checked parse per
   micro-batch feed quarantine, archive, identity outbox, PV, UV and, last,
   the offset ledger.
-* :func:`start_pv_query`, :func:`start_uv_query` - one metric alone, parsing
-  only the columns it reads.
+* :func:`start_pv_query`, :func:`start_uv_query` - one metric alone, over
+  the rows that the event job does not quarantine.
 * :func:`start_legacy_job` - guard, three-way dispatch and dated line output
   of the legacy documents, the rest to quarantine.
 """
@@ -21,7 +21,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from daybook.functions.codec import parse_events
 from daybook.operators.identity import identity_outbox
 from daybook.operators.legacy import legacy_records
 from daybook.operators.metrics import page_views, visitor_rows
@@ -49,8 +48,9 @@ def start_batches(raw: DataFrame, step: Callable[[DataFrame, StreamRun, int], No
 # --- metrics -----------------------------------------------------------------
 
 def parse_batch(batch: DataFrame, columns: list[str]) -> DataFrame:
-    """``columns`` and ``dt`` of a batch of source rows; only they are parsed."""
-    return parse_events(batch, columns=columns)
+    """``columns`` and ``dt`` of the good rows of a batch of source rows.  The
+    whole document is parsed, as any part of it can make a row bad."""
+    return good_rows(parse_checked(batch)).select(*columns, "dt")
 
 
 def add_page_views(flat: DataFrame, pv: DailyIncrements, run: StreamRun, batch_id: int) -> None:

@@ -217,3 +217,16 @@ def test_legacy_job_writes_lines_and_quarantine_once(spark, events, workdir):
     assert lines.count() == status["ok"] and lines.select("dt").distinct().first()["dt"] == dt.date(2024, 3, 4)
     got = {r["reason"]: r["count"] for r in spark.read.parquet(f"{workdir}/quarantine").groupBy("reason").count().collect()}
     assert got == {k: v for k, v in status.items() if k != "ok"}
+
+
+def test_single_metric_queries_leave_out_what_the_event_job_quarantines(spark, workdir):
+    good = {"dataType": "visit", "reportTime": "2024-01-01 10:00:00",
+            "data": {"wxInfo": {"unionid": "u1"}, "visitData": {"pageUrl": "p"}}}
+    far, flag = json.loads(json.dumps(good)), json.loads(json.dumps(good))
+    far["data"]["wxInfo"]["unionid"], far["data"]["addrInfo"] = "u2", {"latitude": "x"}
+    flag["data"]["wxInfo"]["unionid"], flag["data"]["loginData"] = "u3", {"succeed": "1"}
+    job = Job(spark, workdir)
+    rows = [(json.dumps(d), "t", 0, i, dt.datetime(2024, 1, 1, 11)) for i, d in enumerate((good, far, flag))]
+    job.arrive(spark.createDataFrame(rows, KAFKA_SCHEMA))
+    job.run()
+    assert amounts(job.pv) == amounts(job.uv) == {dt.date(2024, 1, 1): 1}
