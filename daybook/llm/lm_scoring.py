@@ -54,7 +54,6 @@ TRAIN_TASKS, HEAD = 64, 1 << 19
 DAMP = 1e-6  # AdaGrad sums start here, which slows rows seen seldom
 END = b"\n"  # no word contains white space
 _CACHE = 1 << 19
-_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _PIECE, _BLOCK = 1 << 9, 1 << 18  # tokens of one matrix product, parameters of one block
 
 
@@ -365,16 +364,15 @@ def train_share(model: Model, noise_share: np.ndarray, a: np.ndarray, b: np.ndar
 
 def train(ids: DataFrame, w: Words) -> Model:
     """The model after ROUNDS of passes over all tokens.  Of the parameters of
-    at most TRAIN_TASKS tasks, each block is averaged in a task, and one set of
+    at most TRAIN_TASKS tasks (one a core), each block is averaged in a task, and one set of
     parameters returns."""
     model, share = Model.start(w), w.unigram()
-    spark = ids.sparkSession
-    rows = cut(ids.hint("rebalance")).coalesce(min(TRAIN_TASKS, spark.sparkContext.defaultParallelism))
+    rows = cut(ids.hint("rebalance")).coalesce(min(TRAIN_TASKS, ids.sparkSession.sparkContext.defaultParallelism))
 
     def mean(t: pa.Table) -> pa.Table:
         total, weight = 0.0, 0.0
         for flat, n in zip(t.column("flat"), t.column("weight").to_numpy()):
-            total, weight = total + n * np.frombuffer(flat.as_buffer(), np.float32).astype(float), weight + n
+            total, weight = total + n * np.frombuffer(flat.as_buffer(), np.float16).astype(float), weight + n
         return pa.table({"block": t.column("block")[:1], "flat": pa.array([(total / weight).astype(np.float32).tobytes()], pa.binary())})
 
     for turn in range(ROUNDS):
@@ -387,20 +385,15 @@ def train(ids: DataFrame, w: Words) -> Model:
                     seen += 1
                     total += len(out)
                     now = train_share(now, share, a, b, out, np.ones(len(out)), 1000 * turn + seen)
-            flat = now.flat() if seen else np.zeros(0, np.float32)
+            # what the task changed, in 16 bits: half of what the tasks shuffle
+            flat = (now.flat() - model.flat()).astype(np.float16) if seen else np.zeros(0, np.float16)
             for at in range(0, len(flat), _BLOCK):
                 yield pa.RecordBatch.from_pydict({"block": pa.array([at // _BLOCK]), "weight": pa.array([total]),
                                                   "flat": pa.array([flat[at:at + _BLOCK].tobytes()], pa.binary())})
-        # the blocks of a round go when it ends, else all rounds' would fill the disk
-        clean = spark.conf.get(_CLEAN, "false")
-        spark.conf.set(_CLEAN, "true")
-        try:
-            got = (rows.mapInArrow(one_pass, "block long, weight double, flat binary")
-                   .groupBy("block").applyInArrow(mean, "block long, flat binary").collect())
-        finally:
-            spark.conf.set(_CLEAN, clean)
+        got = (rows.mapInArrow(one_pass, "block long, weight double, flat binary")
+               .groupBy("block").applyInArrow(mean, "block long, flat binary").collect())
         if got:
-            model = model.unflat(np.concatenate([np.frombuffer(x["flat"], np.float32) for x in sorted(got, key=lambda x: x["block"])]))
+            model = model.unflat(model.flat() + np.concatenate([np.frombuffer(x["flat"], np.float32) for x in sorted(got, key=lambda x: x["block"])]))
     return model
 
 
