@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from zlib import crc32
 
 from pyspark.sql import Column, DataFrame, SparkSession
-
 from pyspark.sql import functions as F
 
-from daybook.llm import exact_dedup, fingerprints, line_dedup, lm_scoring, near_dedup, packing, pii, sentencepiece_codec, sharding, toxicity
+from daybook.llm import (exact_dedup, fingerprints, importance_resampling, line_dedup, lm_scoring, near_dedup, packing,
+                         periodic_runs, pii, sentencepiece_codec, sharding, token_counts, toxicity)
 from daybook.llm.common import fold_crc, table, whole_text
 
 
@@ -102,6 +103,40 @@ SELECT t.doc_id, g.keep_id, g.group_size, t.doc_id = g.keep_id AS kept, sha256(t
 FROM t JOIN g USING (norm)
 """
 
+
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = sentencepiece_codec.Pieces.load(sentencepiece_codec.MODEL)
+    return token_counts.count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"), pieces, limit=4096).drop("text")
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranked = importance_resampling.resample(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                                            table(spark, sf_dir, "benchmark"), percent=25, least_words=20)
+    return ranked.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def planted(documents: list[list[bytes]], ids: list) -> list[list[bytes]]:
+    """The words with the repeats that the query's contract plants by doc_id;
+    a null id plants none."""
+    out = []
+    for words, doc_id in zip(documents, ids):
+        h, n = crc32(str(doc_id).encode()), len(words)
+        if doc_id is not None and h % 10 == 0 and n:
+            g = h // 10
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            words = words[:a] + [words[a + i % p] for i in range(n - a)]
+        out.append(words)
+    return out
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.detect(table(spark, sf_dir, "documents").select("doc_id", "text"), before=planted, digests=True)
+    return found.select("doc_id", "n_runs", "start", "length", "period",
+                        F.floor(1000 * F.col("length") / F.col("period")).cast("long").alias("exponent_milli"),
+                        "runs_sha256", "collapsed_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_pii": op2_pii,
@@ -113,6 +148,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_packing": op9_packing,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_token_counts": op11_token_counts,
+    "op12_importance_resampling": op12_importance_resampling,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE: dict[str, str] = {

@@ -1,11 +1,14 @@
 """Every query and stage over awkward rows: nulls, empty and very long texts,
 ties, repeated rows, extra columns named like results, and empty tables."""
 
+import hashlib
 import tempfile
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
+from daybook.llm import importance_resampling, periodic_runs, sentencepiece_codec, token_counts
 from daybook.llm.queries import QUERIES
 
 SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, "
@@ -21,6 +24,8 @@ def _write(spark, rows, labels):
     full = [(i, t, None, None, None if t is None else len(t), *["own"] * 7) for i, t in rows]
     spark.createDataFrame(full, SCHEMA).write.parquet(f"{at}/documents.parquet")
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{at}/labels.parquet")
+    items = [("b1", "the same text now and w1x1"), ("b2", None), ("b3", "")] if rows else []
+    spark.createDataFrame(items, "item_id string, text string").write.parquet(f"{at}/benchmark.parquet")
     return at
 
 
@@ -82,3 +87,34 @@ def test_defined_results(spark, edge_dir):
     spans = {r["doc_id"]: r for r in QUERIES["op2_pii"](spark, edge_dir).collect()}
     assert spans[10]["n_card"] == 1 and spans[10]["n_phone"] == 1 and spans[1]["spans"] == ""
     assert [r["slot"] for r in sorted(QUERIES["op8_sharding"](spark, edge_dir).collect(), key=lambda r: r["shard"])] == [0] * 13
+
+
+def test_defined_results_of_counts_draws_and_runs(spark, edge_dir):
+    count = {r["doc_id"]: r for r in QUERIES["op11_token_counts"](spark, edge_dir).collect()}
+    assert all(count[i]["n_tokens"] == count[i]["n_bytes"] == count[i]["fitting_chars"] == 0 for i in (1, 2))
+    assert count[6]["over_limit"] and 0 < count[6]["fitting_chars"] < len(LONG) and not count[4]["over_limit"]
+    assert count[4]["n_tokens"] == count[5]["n_tokens"] and count[9]["n_bytes"] == len(dict(TEXTS)[9].encode())
+    draw = QUERIES["op12_importance_resampling"](spark, edge_dir).collect()
+    by_id = {r["doc_id"]: r for r in draw}
+    assert by_id[1]["n_features"] == by_id[2]["n_features"] == by_id[3]["weight"] == 0
+    assert by_id[4]["weight"] == by_id[5]["weight"] and by_id[4]["n_features"] == 17
+    # two documents have 20 words, so floor(25 * 2 / 100) = 0 are drawn
+    assert [r["rank"] for r in draw] == [None] * len(TEXTS)
+    runs = {r["doc_id"]: r for r in QUERIES["op13_periodic_runs"](spark, edge_dir).collect()}
+    none = hashlib.sha256(b"").hexdigest()
+    for i in (1, 2, 3):
+        assert (runs[i]["n_runs"], runs[i]["start"], runs[i]["exponent_milli"]) == (0, None, None)
+        assert runs[i]["runs_sha256"] == runs[i]["collapsed_sha256"] == none
+    assert runs[4]["collapsed_sha256"] == hashlib.sha256(" ".join(dict(TEXTS)[4].split()).encode()).hexdigest()
+
+
+def test_new_operators_pass_extra_columns_and_replace_clashing_ones(spark, edge_dir):
+    docs = spark.read.parquet(f"{edge_dir}/documents.parquet").withColumns({c: F.lit("own") for c in ("n_tokens", "weight", "rank", "start", "runs")})
+    pieces = sentencepiece_codec.Pieces.load(sentencepiece_codec.MODEL)
+    out = [token_counts.count_tokens(docs, pieces), periodic_runs.detect(docs),
+           importance_resampling.resample(docs, spark.read.parquet(f"{edge_dir}/benchmark.parquet"))]
+    for df in out:
+        rows = df.collect()
+        assert len(rows) == len(TEXTS) and len(set(df.columns)) == len(df.columns)
+        assert all(r["kept"] == r["shard"] == "own" for r in rows)
+    assert dict(out[0].dtypes)["n_tokens"] == "bigint" and dict(out[1].dtypes)["start"] == "bigint" and dict(out[2].dtypes)["rank"] == "bigint"

@@ -1,0 +1,67 @@
+"""Prefix counts against the library's encodings of the prefixes."""
+
+import random
+
+import pytest
+
+from daybook.llm import sentencepiece_codec as codec, token_counts as tc
+from daybook.llm.queries import QUERIES
+
+sp = pytest.importorskip("sentencepiece")
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def lib():
+    return sp.SentencePieceProcessor(model_file=codec.MODEL)
+
+
+@pytest.fixture(scope="module")
+def known():
+    return tc.Stretches(codec.Pieces.load(codec.MODEL))
+
+
+@pytest.fixture(scope="module")
+def strings(texts):
+    rng = random.Random(11)
+    return [t or "" for t in list(texts.values())[:60]] + [
+        "", " ", "   ", "a  b   c", "x\n\n y", "日本語 梦 🎉 emoji", "a" * 3000, "ab" * 500 + "  " * 40, "é́ñ", "\t\tdef f():\n        return 1\n",
+        "<s> </s> <unk> <0x41>", "▁ ▁▁x", "".join(rng.choice("etaoin shrdlu\n.,") for _ in range(3000)), "".join(rng.choice("etaoinshrdlu") for _ in range(2000))]
+
+
+def test_every_prefix_counts_as_the_library_encodes_it(lib, known, strings):
+    rng = random.Random(1)
+    for s in strings:
+        counts = tc.PrefixCounts(s, known)
+        every = counts.every()
+        assert counts.total == len(lib.encode(s)) == every[-1] and len(every) == len(s) + 1
+        for j in {0, 1, len(s), *(rng.randrange(len(s) + 1) for _ in range(25))}:
+            assert counts.at(j) == every[min(j, len(s))] == len(lib.encode(s[:j]))
+
+
+def test_budget_questions_are_lookups(known, strings):
+    for s in strings:
+        counts = tc.PrefixCounts(s, known)
+        every = counts.every()
+        for budget in (0, 1, 2, 7, 50, counts.total, counts.total + 1):
+            assert counts.longest_within(budget) == max(j for j, n in enumerate(every) if n <= budget)
+
+
+def test_small_memory_of_stretches_changes_nothing(known, strings, monkeypatch):
+    strings = strings[:3] + strings[-14:]
+    want = [tc.PrefixCounts(s, known).every() for s in strings]
+    monkeypatch.setattr(tc, "CACHE", 3)
+    assert [tc.PrefixCounts(s, tc.Stretches(known.pieces)).every() for s in strings] == want
+
+
+def test_unigram_models_are_refused(known):
+    with pytest.raises(ValueError):
+        tc.Stretches(codec.Pieces(known.pieces.entries, codec.UNIGRAM))
+
+
+def test_the_query_counts_whole_texts(spark, lib, texts):
+    got = {r["doc_id"]: r for r in QUERIES["op11_token_counts"](spark, SF).collect()}
+    assert got.keys() == texts.keys()
+    for i, t in texts.items():
+        n = len(lib.encode(t or ""))
+        assert (got[i]["n_bytes"], got[i]["n_tokens"], got[i]["over_limit"]) == (len((t or "").encode()), n, n > 4096)
