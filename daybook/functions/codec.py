@@ -77,6 +77,18 @@ def wire_schema_for(columns: list[str] | None) -> T.StructType:
     return T.StructType(top + ([T.StructField("data", T.StructType(blocks))] if blocks else []))
 
 
+def checked_schema_for(columns: list[str] | None) -> T.StructType:
+    """The wire schema cut down to what ``columns`` and the row checks read:
+    the wanted leaves, the reported time, the coordinates and login flags, and
+    one leaf of every other block, so that a block of the wrong type still
+    makes the document malformed."""
+    if columns is None:
+        return WIRE_SCHEMA
+    want = set(columns) | {"reportTime"} | DOUBLE_COLUMNS | BOOLEAN_COLUMNS
+    want |= {fs[0] for fs in BLOCKS.values() if not want & set(fs)}
+    return wire_schema_for([c for c in FLAT_COLUMNS if c in want])
+
+
 def event_time(report_time: Column, ingest_ts: Column | None = None) -> Column:
     """Event time: the reported time, else the arrival time.  A reported time
     more than ``MAX_AHEAD`` after the arrival comes from a wrong clock and

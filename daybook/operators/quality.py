@@ -9,11 +9,10 @@ Reasons, in the order tested:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from daybook.functions.codec import boolean_text, event_time, flat_columns, parse_once
-from daybook.schema import (ADDR_FIELDS, CORRUPT_COLUMN, LOGIN_FIELDS,
-                            WIRE_SCHEMA_WITH_CORRUPT)
+from daybook.functions.codec import boolean_text, checked_schema_for, event_time, flat_columns, parse_once
+from daybook.schema import ADDR_FIELDS, CORRUPT_COLUMN, FLAT_COLUMNS, LOGIN_FIELDS
 
 PARSE_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
 
@@ -35,18 +34,22 @@ def reason_of(value: Column, j: Column) -> Column:
 
 
 def parse_checked(raw: DataFrame, value: str = "value", keep: list[str] | None = None,
-                  ingest_ts: str = "ingest_ts") -> DataFrame:
-    """``keep``, ``ingest_ts``, ``raw_value``, 22 flat columns, ``reason``
-    (NULL = good), ``event_ts``, ``dt``.
+                  ingest_ts: str = "ingest_ts", columns: list[str] | None = None) -> DataFrame:
+    """``keep``, ``ingest_ts``, ``raw_value``, the flat ``columns`` (default:
+    all 22) and ``reportTime``, ``reason`` (NULL = good), ``event_ts``, ``dt``.
 
-    The full struct is parsed once (corrupt-record capture needs it); the
-    parsed struct is its own column so the parse is not repeated per field.
+    With ``columns`` only their leaves and those that the checks need are
+    parsed; the reason of a row is the same.  The parsed struct is its own
+    column so the parse is not repeated per field.
     """
     keep = list(keep or [])
-    j = F.from_json(F.col(value), WIRE_SCHEMA_WITH_CORRUPT, PARSE_OPTIONS)
+    if columns is not None:
+        columns = [c for c in FLAT_COLUMNS if c in set(columns) | {"reportTime"}]
+    schema = T.StructType([*checked_schema_for(columns).fields, T.StructField(CORRUPT_COLUMN, T.StringType())])
+    j = F.from_json(F.col(value), schema, PARSE_OPTIONS)
     parsed = parse_once(raw, keep + [F.col(ingest_ts).alias("ingest_ts"),
                                      F.col(value).alias("raw_value")], j)
-    out = parsed.select(*keep, "ingest_ts", "raw_value", *flat_columns(F.col("_j")),
+    out = parsed.select(*keep, "ingest_ts", "raw_value", *flat_columns(F.col("_j"), columns),
                         reason_of(F.col("raw_value"), F.col("_j")).alias("reason"))
     return (out.withColumn("event_ts", event_time(F.col("reportTime"), F.col("ingest_ts")))
                .withColumn("dt", F.to_date("event_ts")))

@@ -18,17 +18,21 @@ from daybook.functions.codec import decode_line, encode_line, parse_events
 from daybook.operators import identity, legacy, metrics, quality
 from daybook.schema import FLAT_COLUMNS, KAFKA_SCHEMA
 from daybook.session import run_dir, use_utc
-from daybook.sinks.archive import archive_lines, read_archive, write_archive
+from daybook.sinks.archive import archive_lines, read_archive, write_archive, write_legacy_lines
+from daybook.sinks.counts import FilterCounts
 from daybook.sinks.daily import DailyIncrements
+from daybook.sinks.totals import DailyTotals
 from daybook.sinks.visitors import SeenVisitors
 from daybook.sources import fixtures
-from daybook.sources.kafka import read_file_topic, resume_stream
+from daybook.sources.kafka import kafka_rows, resume_stream
 from daybook.sources.ledger import OffsetLedger
 from daybook.sources.text import read_wire_text, stream_wire_text, write_wire_text
-from daybook.streaming import stream
+from daybook.streaming import state, stream
 from daybook.streaming.run import StreamRun
 
 MODULE, GROUP_ID = "daybook", "daybook-group"
+N_ARRIVALS = 4
+SEEN_TTL = dt.timedelta(days=5)
 REPLAY = StreamRun("replay", dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc))
 
 
@@ -73,6 +77,21 @@ def q_starting_offsets(spark, sf_dir):
     return ledger.starting_offsets()
 
 
+def q_offset_ledger_rollback(spark, sf_dir):
+    """Checkpoint a takes the first third of the topic, b the second; then the
+    group goes back to a, which goes on to the end.  The last run to write wins,
+    though b began later and went further than a had before."""
+    ledger = OffsetLedger(spark, run_dir(spark, "ledger"), MODULE, GROUP_ID)
+    rows = fixtures.kafka_events(events(spark, sf_dir))
+    end = (rows.agg(F.max("offset")).first()[0] or 0) + 1
+    later = StreamRun("later", REPLAY.started + dt.timedelta(days=1))
+    steps = [(REPLAY, 0, 0, end // 3), (later, 0, end // 3, 2 * end // 3), (REPLAY, 1, end // 3, end)]
+    for hour, (run, batch_id, lo, hi) in enumerate(steps):
+        ledger.record(rows.where((F.col("offset") >= lo) & (F.col("offset") < hi)), run, batch_id,
+                      now=F.lit(REPLAY.started + dt.timedelta(hours=hour)))
+    return ledger.current()
+
+
 # --- parsing, encoding -------------------------------------------------------
 
 def q_parse_events(spark, sf_dir):
@@ -208,6 +227,22 @@ def q_seen_expire_totals(spark, sf_dir):
     return day_text(uv.amounts())
 
 
+def q_seen_ttl(spark, sf_dir):
+    """Four arrivals in order of time, rows up to ten days late, each batch
+    stored at the time of its last row: a day stays while visitors are added
+    to it and goes when none was for ``SEEN_TTL``."""
+    rows = fixtures.kafka_events(events(spark, sf_dir), late=True)
+    base = run_dir(spark, "seen_ttl")
+    _stage(rows, _in_time(rows), base)
+    staged = spark.read.parquet(f"{base}/staged")
+    clock = {r["arrival"]: r["now"] for r in staged.groupBy("arrival").agg(F.max("timestamp").alias("now")).collect()}
+    seen = SeenVisitors(spark, f"{base}/seen", ttl=SEEN_TTL)
+    for k in sorted(clock):
+        flat = parse_events(kafka_rows(staged.where(F.col("arrival") == k)), columns=VISITOR)
+        seen.add(metrics.visitor_rows(flat), REPLAY.id, k, now=F.lit(clock[k]))
+    return day_text(seen.visitors())
+
+
 # --- sinks -------------------------------------------------------------------
 
 def q_pv_snapshot(spark, sf_dir):
@@ -237,22 +272,25 @@ def q_daily_archive(spark, sf_dir):
 
 # --- streaming ---------------------------------------------------------------
 
-N_ARRIVALS = 4
+def _in_time(rows: DataFrame):
+    """Number of the arrival of each row: ``N_ARRIVALS`` equal spans of time."""
+    micros = F.unix_micros("timestamp")
+    lo, hi = rows.agg(F.min(micros), F.max(micros)).first()  # one row of bounds
+    return F.floor((micros - F.lit(lo or 0)) / F.lit(((hi or 0) - (lo or 0)) // N_ARRIVALS + 1))
 
 
-def _arrivals(spark, sf_dir, base: str, late: bool = False):
-    """Yield after each of ``N_ARRIVALS`` drops of Kafka-shaped files into
-    ``<base>/source``: in order of time, or with ``late`` shuffled, with rows
-    up to ten days late and reported times in 2099.  The input is made once."""
-    rows = fixtures.kafka_events(events(spark, sf_dir), late=late)
-    if late:
-        arrival = F.col("offset") % N_ARRIVALS
-    else:
-        micros = F.unix_micros("timestamp")
-        lo, hi = rows.agg(F.min(micros), F.max(micros)).first()  # one row of bounds
-        arrival = F.floor((micros - F.lit(lo or 0)) / F.lit(((hi or 0) - (lo or 0)) // N_ARRIVALS + 1))
+def _stage(rows: DataFrame, arrival, base: str) -> None:
     (rows.withColumn("arrival", F.coalesce(arrival, F.lit(0)).cast("int"))
      .write.partitionBy("arrival").parquet(f"{base}/staged"))
+
+
+def _arrivals(spark, sf_dir, base: str, late: bool = False, shuffled: bool = False):
+    """Yield after each of ``N_ARRIVALS`` drops of Kafka-shaped files into
+    ``<base>/source``: in order of time, or ``shuffled`` (every fourth event),
+    as with ``late``, when rows come up to ten days late and some report times
+    in 2099.  The input is made once."""
+    rows = fixtures.kafka_events(events(spark, sf_dir), late=late)
+    _stage(rows, F.col("offset") % N_ARRIVALS if late or shuffled else _in_time(rows), base)
     staged = spark.read.parquet(f"{base}/staged")
     for k in range(N_ARRIVALS):
         (staged.where(F.col("arrival") == k).select(*KAFKA_SCHEMA.fieldNames())
@@ -285,6 +323,60 @@ def _uv_stream(late: bool):
     return q
 
 
+def q_pv_state_stream(spark, sf_dir):
+    """The count of every day as streaming state, over the late rows."""
+    base = run_dir(spark, "pv_state")
+    totals = DailyTotals(spark, f"{base}/pv")
+    for _ in _arrivals(spark, sf_dir, base, late=True):
+        stream.drain(state.start_pv_state_query(stream.kafka_file_stream(spark, f"{base}/source"), totals,
+                                                f"{base}/checkpoint", stream.NOW))
+    return day_text(totals.amounts())
+
+
+def _uv_state(spark, sf_dir, base: str):
+    seen, uv = SeenVisitors(spark, f"{base}/seen"), DailyIncrements(spark, f"{base}/uv")
+    days = state.StateDays(spark, f"{base}/days")
+    for _ in _arrivals(spark, sf_dir, base, late=True):
+        stream.drain(state.start_uv_state_query(stream.kafka_file_stream(spark, f"{base}/source"), seen, uv, days,
+                                                f"{base}/checkpoint", stream.NOW))
+    return uv
+
+
+def q_uv_state_stream(spark, sf_dir):
+    """The visitors of every day as keys of the state store, over the late rows."""
+    return day_text(_uv_state(spark, sf_dir, run_dir(spark, "uv_state")).amounts())
+
+
+def q_state_audit(spark, sf_dir):
+    """The visitors that the state store holds for each day, read back, beside
+    the total that the stream stored."""
+    base = run_dir(spark, "state_audit")
+    uv = _uv_state(spark, sf_dir, base)
+    held = state.uv_state(spark, f"{base}/checkpoint").withColumnRenamed("amount", "in_state")
+    return day_text(uv.amounts().join(held, "dt", "full"))
+
+
+def q_filter_counts_stream(spark, sf_dir):
+    """Rows of each micro-batch before and after the lookup, observed in the
+    job that stores the new visitors."""
+    base = run_dir(spark, "filter_counts")
+    seen, uv = SeenVisitors(spark, f"{base}/seen"), DailyIncrements(spark, f"{base}/uv")
+    counts = FilterCounts(spark, f"{base}/counts")
+    for _ in _arrivals(spark, sf_dir, base, shuffled=True):
+        stream.drain(stream.start_uv_query(stream.kafka_file_stream(spark, f"{base}/source"), seen, uv,
+                                           f"{base}/checkpoint", stream.NOW, counts))
+    return counts.read().select(F.col("batch_id").alias("batch"), "before_n", "after_n")
+
+
+def q_archive_stream(spark, sf_dir):
+    """The archive by the streaming file sink, restarted after every arrival."""
+    base = run_dir(spark, "archive_stream")
+    for _ in _arrivals(spark, sf_dir, base):
+        stream.drain(stream.start_archive_query(stream.kafka_file_stream(spark, f"{base}/source"), f"{base}/archive",
+                                                f"{base}/checkpoint", stream.NOW, codec="gzip"))
+    return day_text(read_archive(spark, f"{base}/archive").select("dt", F.col("value").alias("line")))
+
+
 def q_resume_totals(spark, sf_dir):
     """Half of the topic through one checkpoint, then all of it offered to a
     new one that resumes from the ledger: every row counts once."""
@@ -294,7 +386,7 @@ def q_resume_totals(spark, sf_dir):
     out = stream.EventOutputs(spark, f"{base}/out", MODULE, GROUP_ID)
     for k, part in enumerate((F.col("offset") <= middle // 2, F.col("offset") > middle // 2)):
         rows.where(part).write.mode("append").parquet(f"{base}/topic")
-        raw = resume_stream(spark, f"{base}/topic", fixtures.TOPIC, out.ledger, read=read_file_topic)
+        raw = resume_stream(spark, f"{base}/topic", fixtures.TOPIC, out.ledger, read=fixtures.read_file_topic)
         stream.drain(stream.start_event_job(raw, out, f"{base}/checkpoint-{k}", stream.NOW))
 
     def total(name: str, metric: DailyIncrements) -> DataFrame:
@@ -342,6 +434,14 @@ def q_legacy_labels(spark, sf_dir):
     return legacy.label_counts(fixtures.legacy_events(events(spark, sf_dir)))
 
 
+def q_legacy_batch_lines(spark, sf_dir):
+    """The batch job over a text file: the same lines without the text guard."""
+    base = run_dir(spark, "legacy_batch")
+    write_wire_text(fixtures.legacy_events(events(spark, sf_dir)), f"{base}/text")
+    write_legacy_lines(legacy.legacy_records(read_wire_text(spark, f"{base}/text"), guard=False), f"{base}/lines", REPLAY.id)
+    return read_archive(spark, f"{base}/lines").select(F.col("value").alias("line"))
+
+
 def q_legacy_stream_lines(spark, sf_dir):
     """The legacy streaming job over text files: all lines it wrote."""
     base = run_dir(spark, "legacy_stream")
@@ -372,17 +472,24 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "new_visitors": q_new_visitors,
     "seen_visitors": q_seen_visitors,
     "seen_expire_totals": q_seen_expire_totals,
+    "seen_ttl": q_seen_ttl,
     "filter_counts": q_filter_counts,
+    "filter_counts_stream": q_filter_counts_stream,
     "pv_snapshot": q_pv_snapshot,
     "uv_snapshot": q_uv_snapshot,
     "pv_daily_stream": _pv_stream(False),
     "uv_daily_stream": _uv_stream(False),
     "pv_daily_stream_late": _pv_stream(True),
     "uv_daily_stream_late": _uv_stream(True),
+    "pv_state_stream": q_pv_state_stream,
+    "uv_state_stream": q_uv_state_stream,
+    "state_audit": q_state_audit,
     "resume_totals": q_resume_totals,
     "daily_archive": q_daily_archive,
     "archive_lines": q_archive_lines,
+    "archive_stream": q_archive_stream,
     "offset_ledger": q_offset_ledger,
+    "offset_ledger_rollback": q_offset_ledger_rollback,
     "starting_offsets": q_starting_offsets,
     "legacy_guard": q_legacy_guard,
     "legacy_auth": _legacy_kind("auth"),
@@ -391,4 +498,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "legacy_labels": q_legacy_labels,
     "legacy_status": q_legacy_status,
     "legacy_stream_lines": q_legacy_stream_lines,
+    "legacy_batch_lines": q_legacy_batch_lines,
 }

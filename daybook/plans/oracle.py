@@ -78,9 +78,9 @@ _LATE_DAY = ("strftime(CASE WHEN event_id % 1000 = 7 THEN CAST(reportTime AS TIM
              "+ to_days(CAST(event_id % 11 AS INTEGER)) ELSE CAST(reportTime AS TIMESTAMP) END, '%Y-%m-%d')")
 
 
-def _legacy_lines(kind: str, fields: str, required: str) -> str:
+def _legacy_lines(kind: str, fields: str, required: str, guard: str = _LEGACY_OK) -> str:
     return (f"{E} SELECT event_id, concat_ws(',', {fields}) AS line FROM E "
-            f"WHERE dataType = '{kind}' AND {required} AND {_LEGACY_OK}")
+            f"WHERE dataType = '{kind}' AND {required} AND {guard}")
 
 
 def _pv(where: str = "TRUE") -> str:
@@ -100,6 +100,29 @@ _LEGACY_LINES = {
     "visit": (f"{_WX}, coalesce(pageUrl, ''), '', pageType, modelId, seriesId", "unionid IS NOT NULL"),
 }
 
+_FILTER_COUNTS = (
+    f"{E}, V AS (SELECT batch, dt, unionid, min(batch) OVER (PARTITION BY dt, unionid) AS first_b "
+    "FROM E WHERE unionid IS NOT NULL) "
+    "SELECT batch, count(*) AS before_n, CAST(sum(CASE WHEN batch = first_b THEN 1 ELSE 0 END) "
+    "AS BIGINT) AS after_n FROM V GROUP BY batch")
+
+# arrivals are four equal spans of the arrival times; a visitor and day is
+# added in the first of them, at the time of the span's last row
+_SEEN_TTL = """
+WITH A AS (
+  SELECT event_id, user_id, ts, CAST(ts AS TIMESTAMP) + to_days(CAST(event_id % 11 AS INTEGER)) AS came FROM events
+), B AS (SELECT min(epoch_us(came)) AS lo, (max(epoch_us(came)) - min(epoch_us(came))) // 4 + 1 AS width FROM A),
+S AS (
+  SELECT (epoch_us(came) - lo) // width AS k, came, 'u' || user_id AS unionid, user_id % 7 <> 0 AS named,
+         CAST(CASE WHEN event_id % 1000 = 7 THEN came ELSE ts END AS DATE) AS dt
+  FROM A, B
+), C AS (SELECT k, max(came) AS clock FROM S GROUP BY k),
+V AS (SELECT dt, unionid, min(k) AS k FROM S WHERE named GROUP BY dt, unionid),
+D AS (SELECT dt, max(clock) AS added FROM V JOIN C USING (k) GROUP BY dt)
+SELECT strftime(dt, '%Y-%m-%d') AS dt, unionid FROM V JOIN D USING (dt)
+WHERE added >= (SELECT max(clock) FROM C) - INTERVAL 5 DAYS
+"""
+
 ORACLE: dict[str, str] = {
     "read_wire_text": f"{E} SELECT dataType, reportTime, openid FROM E",
     "parse_events": f"{E} SELECT event_id, {FLAT} FROM E",
@@ -132,14 +155,12 @@ ORACLE: dict[str, str] = {
         "SELECT DISTINCT dt, unionid FROM E WHERE unionid IS NOT NULL AND batch = 3 "
         "EXCEPT SELECT DISTINCT dt, unionid FROM E WHERE unionid IS NOT NULL AND batch < 3)"),
     "seen_visitors": f"{E} SELECT DISTINCT {DAY} AS dt, unionid FROM E WHERE unionid IS NOT NULL",
-    "filter_counts": (
-        f"{E}, V AS (SELECT batch, dt, unionid, min(batch) OVER (PARTITION BY dt, unionid) AS first_b "
-        "FROM E WHERE unionid IS NOT NULL) "
-        "SELECT batch, count(*) AS before_n, CAST(sum(CASE WHEN batch = first_b THEN 1 ELSE 0 END) "
-        "AS BIGINT) AS after_n FROM V GROUP BY batch"),
+    "filter_counts": _FILTER_COUNTS,
+    "filter_counts_stream": _FILTER_COUNTS,
     "seen_expire_totals": (
         f"{E} SELECT {DAY} AS dt, count(DISTINCT unionid) + CASE WHEN dt = (SELECT min(dt) FROM E "
         "WHERE unionid IS NOT NULL) THEN 1 ELSE 0 END AS amount FROM E WHERE unionid IS NOT NULL GROUP BY dt"),
+    "seen_ttl": _SEEN_TTL,
     "pv_snapshot": (
         f"{E}, N AS (SELECT batch, dt, count(*) AS n FROM E WHERE pageUrl IS NOT NULL GROUP BY 1, 2) "
         f"SELECT batch AS batch_id, {DAY} AS dt, CAST(sum(n) OVER (PARTITION BY dt ORDER BY batch) AS BIGINT) AS amount FROM N"),
@@ -152,16 +173,26 @@ ORACLE: dict[str, str] = {
     "pv_daily_stream_late": f"{E} SELECT {_LATE_DAY} AS dt, count(*) AS amount FROM E WHERE pageUrl IS NOT NULL GROUP BY 1",
     "uv_daily_stream_late": (
         f"{E} SELECT {_LATE_DAY} AS dt, count(DISTINCT unionid) AS amount FROM E WHERE unionid IS NOT NULL GROUP BY 1"),
+    **{f"{m}_state_stream": f"{E} SELECT {_LATE_DAY} AS dt, count({what}) AS amount FROM E WHERE {c} IS NOT NULL GROUP BY 1"
+       for m, what, c in (("pv", "*", "pageUrl"), ("uv", "DISTINCT unionid", "unionid"))},
+    "state_audit": (
+        f"{E} SELECT {_LATE_DAY} AS dt, count(DISTINCT unionid) AS amount, count(DISTINCT unionid) AS in_state "
+        "FROM E WHERE unionid IS NOT NULL GROUP BY 1"),
     "resume_totals": (
         f"{E} SELECT 'pv' AS kind, {DAY} AS key, count(*) AS amount FROM E WHERE pageUrl IS NOT NULL GROUP BY dt "
         f"UNION ALL SELECT 'uv', {DAY}, count(DISTINCT unionid) FROM E WHERE unionid IS NOT NULL GROUP BY dt "
         f"UNION ALL SELECT 'outbox', event_id || ' ' || {_BODY}, 1 FROM E WHERE {_DOCUMENTED}"),
     "daily_archive": f"{E} SELECT {DAY} AS dt, {LINE} AS line FROM E",
+    "archive_stream": f"{E} SELECT {DAY} AS dt, {LINE} AS line FROM E",
     "archive_lines": f"{E} SELECT {DAY} AS dt, {LINE} AS line FROM E WHERE event_id % 97 <> 0",
     "offset_ledger": (
         "SELECT 'daybook' AS module, 'daybook-group' AS group_id, 'behavior-events' AS topic, "
         "CAST(user_id % 4 AS INTEGER) AS partition, max(event_id) + 1 AS until_offset "
         "FROM events GROUP BY user_id % 4"),
+    "offset_ledger_rollback": (
+        "SELECT 'daybook' AS module, 'daybook-group' AS group_id, 'behavior-events' AS topic, "
+        "CAST(user_id % 4 AS INTEGER) AS partition, max(event_id) + 1 AS until_offset "
+        "FROM events GROUP BY user_id % 4"),
     "starting_offsets": (
         """SELECT '{"behavior-events":{' || string_agg('"' || p || '":' || u, ',' ORDER BY p) """
         """|| '}}' AS starting_offsets FROM (SELECT CAST(user_id % 4 AS VARCHAR) AS p, """
@@ -171,6 +202,8 @@ ORACLE: dict[str, str] = {
     **{f"legacy_{k}": _legacy_lines(k, *v) for k, v in _LEGACY_LINES.items()},
     "legacy_stream_lines": " UNION ALL ".join(
         f"SELECT line FROM ({_legacy_lines(k, *v)})" for k, v in _LEGACY_LINES.items()),
+    "legacy_batch_lines": " UNION ALL ".join(
+        f"SELECT line FROM ({_legacy_lines(k, *v, 'TRUE')})" for k, v in _LEGACY_LINES.items()),
     "legacy_status": (
         f"{E} SELECT {_LEGACY_LABEL} AS label, CASE "
         f"WHEN NOT ({_LEGACY_OK}) THEN 'guard' "

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import time
 import uuid
@@ -62,31 +63,54 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 KEEP_HOURS = 24
-_swept: set[str] = set()
+RUNNING = "_running"  # one marker for each application that may still use its folders
+_marked: set[tuple[str, str]] = set()
 
 
 def run_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared folder for one run of ``name``.  The
-    first call of a session also removes runs older than ``KEEP_HOURS``."""
-    base = f"{shared_dir(spark)}/daybook"
-    if base not in _swept:
-        _swept.add(base)
+    """A fresh folder under the shared folder for one run of ``name``, owned by
+    this application.  The first call of an application marks it as running and
+    sweeps folders of finished ones."""
+    base, app = f"{shared_dir(spark)}/daybook", spark.sparkContext.applicationId
+    if (base, app) not in _marked:
+        _marked.add((base, app))
+        marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{base}/{RUNNING}/{app}")
+        _file_system(spark, marker).mkdirs(marker)
+        atexit.register(finish, spark)
         sweep(spark, base)
-    return f"{base}/{name}/{uuid.uuid4().hex}"
+    return f"{base}/{name}/{app}/{uuid.uuid4().hex}"
+
+
+def finish(spark: SparkSession) -> None:
+    """Say that this application no longer uses its folders; done at exit
+    where the session still runs then.  An application that died keeps its
+    marker, and so its folders, until somebody removes the marker."""
+    sc = spark.sparkContext
+    if sc._jsc is None or sc._jsc.sc().isStopped():
+        return
+    for base, app in [m for m in _marked if m[1] == sc.applicationId]:
+        remove_dir(spark, f"{base}/{RUNNING}/{app}")
+        _marked.discard((base, app))
 
 
 def sweep(spark: SparkSession, base: str, hours: float = KEEP_HOURS) -> None:
-    """Remove the run folders under ``base`` last changed ``hours`` ago."""
+    """Remove the folders under ``base`` of applications that are known to have
+    finished, ``hours`` after their folder last changed.  Age alone removes
+    nothing: a stage may read its input for days."""
     if not path_exists(spark, base):
         return
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(base)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    before = (time.time() - 3600 * hours) * 1000
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base)
+    fs, before = _file_system(spark, root), (time.time() - 3600 * hours) * 1000
     for name in fs.listStatus(root):
-        for run in fs.listStatus(name.getPath()) if name.isDirectory() else []:
-            if run.getModificationTime() < before:
-                fs.delete(run.getPath(), True)
+        if not name.isDirectory() or name.getPath().getName() == RUNNING:
+            continue
+        for app in fs.listStatus(name.getPath()):
+            if app.getModificationTime() < before and not path_exists(spark, f"{base}/{RUNNING}/{app.getPath().getName()}"):
+                fs.delete(app.getPath(), True)
+
+
+def _file_system(spark: SparkSession, path):
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def remove_dir(spark: SparkSession, path: str) -> None:

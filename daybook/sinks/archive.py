@@ -25,9 +25,20 @@ def archive_lines(flat: DataFrame, arrival: str = "ingest_ts", clean: bool = Tru
     return flat.select(F.to_date(arrival).alias("dt"), line.alias("value"))
 
 
-def write_archive(lines: DataFrame, path: str, run: str, batch_id: int = 0) -> None:
-    """Lines of one batch under ``dt, run, batch_id``; a rerun replaces them."""
-    write_batch(lines.hint("rebalance", "dt"), path, run, batch_id, ["dt"], "text")
+def write_archive(lines: DataFrame, path: str, run: str, batch_id: int = 0, codec: str | None = None) -> None:
+    """Lines of one batch under ``dt, run, batch_id``; a rerun replaces them.
+    ``codec`` (``gzip``, ``bzip2``, ...) compresses the files; they read alike."""
+    write_batch(lines.hint("rebalance", "dt"), path, run, batch_id, ["dt"], "text", codec)
+
+
+def start_archive_stream(lines: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, codec: str | None = None):
+    """Append streaming ``dt, value`` rows with the file sink: days are folders,
+    and its log of finished batches in ``path``, which :func:`read_archive`
+    follows, leaves out what a batch that failed has written."""
+    w = (lines.writeStream.format("text").partitionBy("dt").outputMode("append").queryName("archive")
+         .option("path", path).option("checkpointLocation", checkpoint))
+    w = w.option("compression", codec) if codec else w
+    return (w.trigger(**trigger) if trigger else w).start()
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:

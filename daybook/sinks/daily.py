@@ -23,12 +23,13 @@ INCREMENT_SCHEMA = T.StructType([
 
 
 def write_batch(rows: DataFrame, path: str, run: str, batch_id: int, by: list[str] | None = None,
-                fmt: str = "parquet") -> None:
+                fmt: str = "parquet", codec: str | None = None) -> None:
     """Write the rows of one micro-batch under ``[by...,] run, batch_id``;
     writing it again replaces what it wrote before."""
-    (rows.withColumns({"run": F.lit(run), "batch_id": F.lit(batch_id).cast("long")})
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*(by or []), "run", "batch_id").format(fmt).save(path))
+    w = (rows.withColumns({"run": F.lit(run), "batch_id": F.lit(batch_id).cast("long")})
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*(by or []), "run", "batch_id").format(fmt))
+    (w.option("compression", codec) if codec else w).save(path)
 
 
 class DailyIncrements:
@@ -83,5 +84,6 @@ class DailyIncrements:
                     .agg(F.sum("n").alias("n"), F.min("create_time").alias("create_time"),
                          F.max("update_time").alias("update_time"))
                     .withColumn("batch_id", F.lit(None).cast("long")))
-            (rows.write.mode("append").partitionBy("run").parquet(self._folded))
+            # one row a day in one file, which its commit moves into place whole
+            (rows.coalesce(1).write.mode("append").partitionBy("run").parquet(self._folded))
         remove_dir(self.spark, f"{self._batches}/run={run}")

@@ -9,8 +9,13 @@ with the table.  The same rules are mirrored in DuckDB by
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from daybook.schema import KAFKA_SCHEMA
+from daybook.sources.kafka import kafka_rows
+
 # --- fixed values of the adapter (mirrored in plans/oracle.py) ---
 TOPIC = "behavior-events"
 N_BATCHES = 4            # batch id = event_id % 4, cuts across days
@@ -166,3 +171,20 @@ def identity_replies(outbox: DataFrame) -> DataFrame:
              .when(e == 3, F.lit("gateway timeout"))
              .otherwise(F.lit('{"code":200,"status":"success","msg":"ok","data":null}')))
     return outbox.select("event_id", reply.alias("reply"))
+
+
+def read_file_topic(spark: SparkSession, options: dict[str, str]) -> DataFrame:
+    """As ``read_kafka_stream``, over a topic kept as Kafka-shaped parquet
+    files in the folder named as the server: rows before ``startingOffsets``
+    are left out.  A folder keeps no end of a topic, so ``latest`` reads it
+    all."""
+    rows = spark.readStream.schema(KAFKA_SCHEMA).parquet(options["kafka.bootstrap.servers"])
+    start = options["startingOffsets"]
+    if start == "latest":
+        return kafka_rows(rows)
+    wanted = F.lit(False)
+    for topic, offsets in json.loads(start).items():  # one entry per partition of the topic
+        for partition, offset in offsets.items():
+            wanted = wanted | ((F.col("topic") == topic) & (F.col("partition") == int(partition))
+                               & (F.col("offset") >= max(0, offset)))
+    return kafka_rows(rows.where(wanted))

@@ -9,11 +9,8 @@ checkpoint.  Without stored offsets the query starts at the latest offsets.
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from daybook.schema import KAFKA_SCHEMA
 from daybook.sources.ledger import OffsetLedger
 
 
@@ -65,20 +62,3 @@ def resume_stream(spark: SparkSession, bootstrap_servers: str, topics: list[str]
     wins over both.  ``read`` opens the source from its options."""
     start = ledger.resume_from(partitions)
     return read(spark, kafka_options(bootstrap_servers, topics, start, **options))
-
-
-def read_file_topic(spark: SparkSession, options: dict[str, str]) -> DataFrame:
-    """As :func:`read_kafka_stream`, over a topic kept as Kafka-shaped parquet
-    files in the folder named as the server: rows before ``startingOffsets``
-    are left out.  A folder keeps no end of a topic, so ``latest`` reads it
-    all."""
-    rows = spark.readStream.schema(KAFKA_SCHEMA).parquet(options["kafka.bootstrap.servers"])
-    start = options["startingOffsets"]
-    if start == "latest":
-        return kafka_rows(rows)
-    wanted = F.lit(False)
-    for topic, offsets in json.loads(start).items():  # one entry per partition of the topic
-        for partition, offset in offsets.items():
-            wanted = wanted | ((F.col("topic") == topic) & (F.col("partition") == int(partition))
-                               & (F.col("offset") >= max(0, offset)))
-    return kafka_rows(rows.where(wanted))

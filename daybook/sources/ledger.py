@@ -2,16 +2,25 @@
 
 ``record`` appends, per batch and partition, the offset range the batch
 covered (an empty batch writes nothing).  Rows carry the run (the checkpoint's
-query) and when it started: batch numbers begin at 0 again with a new
-checkpoint, so ``current`` orders by (run start, batch) and keeps the last row
-per module, group, topic and partition.  Re-recording a batch changes nothing.
+query) and when they were written.  ``current`` keeps, per module, group, topic
+and partition, the last batch of the run that wrote last: a group that goes
+back to an older checkpoint goes on from there, whatever another run wrote in
+between.  Re-recording a batch changes nothing.
+
+Ranges come from the rows of a batch (:meth:`OffsetLedger.record`) or from the
+progress of the query (:meth:`OffsetLedger.record_progress`).  Only the latter
+know where a range ends on a compacted or transactional topic, where the last
+offsets may hold no row; its rows follow those of the same batch and win.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+
+from pyspark.sql.streaming import StreamingQueryListener
 
 from daybook.session import delete_partition, list_partitions, path_exists
 from daybook.streaming.run import StreamRun
@@ -26,6 +35,7 @@ LOG_SCHEMA = T.StructType([
     T.StructField("batch_id", T.LongType()),
     T.StructField("from_offset", T.LongType()),
     T.StructField("until_offset", T.LongType()),
+    T.StructField("written_at", T.TimestampType()),
     T.StructField("part", T.StringType()),
 ])
 LATEST = "latest"
@@ -39,20 +49,54 @@ def batch_offsets(rows: DataFrame, batch: str | None = None) -> DataFrame:
                                    (F.max("offset") + 1).alias("until_offset"))
 
 
+def progress_ranges(progress: str | dict) -> list[tuple[str, int, int | None, int]]:
+    """(topic, partition, from, until) of every Kafka source in the JSON of a
+    ``StreamingQueryProgress``.  A partition new in this batch has no start."""
+    def offsets(x) -> dict:
+        x = json.loads(x) if isinstance(x, str) and x else x
+        ok = isinstance(x, dict) and x and all(isinstance(p, dict) for p in x.values())
+        return {(t, int(p)): int(o) for t, ps in x.items() for p, o in ps.items()} if ok else {}
+
+    if isinstance(progress, str):
+        progress = json.loads(progress)
+    out = []
+    for source in progress["sources"]:
+        if "kafka" in source.get("description", "kafka").lower():
+            start = offsets(source.get("startOffset"))
+            out += [(t, p, start.get((t, p)), until) for (t, p), until in sorted(offsets(source.get("endOffset")).items())]
+    return out
+
+
 class OffsetLedger:
     def __init__(self, spark: SparkSession, path: str, module: str, group_id: str):
         self.spark, self.path, self.module, self.group_id = spark, path, module, group_id
 
     def record(self, rows: DataFrame, run: StreamRun, batch_id: int | None = None,
-               batch: str | None = None) -> None:
+               batch: str | None = None, now: Column | None = None) -> None:
         """Append the offset ranges of one batch (``batch_id``) or of many
         batches at once (a ``batch`` column of ``rows``)."""
-        ranges = batch_offsets(rows, batch)
         bid = F.col(batch).cast("long") if batch else F.lit(batch_id).cast("long")
+        self._append(batch_offsets(rows, batch).withColumn("batch_id", bid), run, now)
+
+    def record_progress(self, progress: str | dict, run: StreamRun | None = None, now: Column | None = None) -> None:
+        """Append the offset ranges in the JSON of a ``StreamingQueryProgress``,
+        whose query id is the run.  A batch without input writes nothing."""
+        if isinstance(progress, str):
+            progress = json.loads(progress)
+        ranges = [(*r, progress["batchId"]) for r in progress_ranges(progress)]
+        if not ranges or not progress.get("numInputRows", 1):
+            return
+        rows = self.spark.createDataFrame(
+            ranges, "topic string, partition int, from_offset long, until_offset long, batch_id long")  # one row a partition
+        self._append(rows, run or StreamRun(progress["id"], None), now)
+
+    def _append(self, ranges: DataFrame, run: StreamRun, now: Column | None) -> None:
+        now = now if now is not None else F.current_timestamp()
         (ranges.select(F.lit(self.module).alias("module"), F.lit(self.group_id).alias("group_id"),
                        "topic", F.col("partition").cast("int").alias("partition"),
                        F.lit(run.id).alias("run_id"), F.lit(run.started).cast("timestamp").alias("run_started"),
-                       bid.alias("batch_id"), "from_offset", "until_offset", F.lit(run.id).alias("part"))
+                       F.col("batch_id").cast("long").alias("batch_id"), "from_offset", "until_offset",
+                       now.cast("timestamp").alias("written_at"), F.lit(run.id).alias("part"))
          .write.mode("append").partitionBy("part").parquet(self.path))
 
     def log(self) -> DataFrame:
@@ -61,9 +105,14 @@ class OffsetLedger:
         return self.spark.read.schema(LOG_SCHEMA).parquet(self.path)
 
     def _last(self, rows: DataFrame) -> DataFrame:
-        last = F.max(F.struct("run_started", "batch_id", "until_offset", "from_offset", "run_id"))
-        return (rows.groupBy("module", "group_id", "topic", "partition").agg(last.alias("x"))
-                .select("module", "group_id", "topic", "partition", "x.*"))
+        """The last batch of the run that wrote last."""
+        keys = ["module", "group_id", "topic", "partition"]
+        of_run = rows.groupBy(*keys, "run_id").agg(
+            F.max("written_at").alias("written_at"), F.max("run_started").alias("run_started"),
+            F.max(F.struct("batch_id", "until_offset", "from_offset")).alias("x"))
+        last = F.max(F.struct("written_at", "run_started", "x", "run_id"))
+        return (of_run.groupBy(*keys).agg(last.alias("y"))
+                .select(*keys, "y.written_at", "y.run_started", "y.run_id", "y.x.*"))
 
     def current(self) -> DataFrame:
         """``module, group_id, topic, partition, until_offset`` (last wins)."""
@@ -111,6 +160,27 @@ class OffsetLedger:
         return self.starting_offsets(partitions).first()["starting_offsets"]
 
 
+class LedgerListener(StreamingQueryListener):
+    """Writes the ranges of every finished batch of one query to the ledger;
+    add it with ``spark.streams.addListener``."""
+
+    def __init__(self, ledger: OffsetLedger, query_id: str):
+        self.ledger, self.query_id = ledger, query_id
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        if str(event.progress.id) == self.query_id:
+            self.ledger.record_progress(event.progress.json)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
 def starting_offsets_json(current: DataFrame) -> DataFrame:
     per_topic = (current.groupBy("topic")
                  .agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(

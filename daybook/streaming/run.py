@@ -14,7 +14,7 @@ class StreamRun:
     """``id`` is the query id kept in the checkpoint, ``started`` when the
     checkpoint was made; both survive restarts and differ between checkpoints."""
     id: str
-    started: dt.datetime
+    started: dt.datetime | None
 
 
 def run_of(spark: SparkSession, checkpoint: str) -> StreamRun:

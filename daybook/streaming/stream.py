@@ -26,7 +26,8 @@ from daybook.operators.legacy import legacy_records
 from daybook.operators.metrics import page_views, visitor_rows
 from daybook.operators.quality import bad_rows, good_rows, parse_checked
 from daybook.schema import KAFKA_SCHEMA
-from daybook.sinks.archive import archive_lines, write_archive, write_legacy_lines
+from daybook.sinks.archive import archive_lines, start_archive_stream, write_archive, write_legacy_lines
+from daybook.sinks.counts import FilterCounts
 from daybook.sinks.daily import DailyIncrements, write_batch
 from daybook.sinks.visitors import SeenVisitors
 from daybook.sources.kafka import kafka_rows
@@ -48,22 +49,29 @@ def start_batches(raw: DataFrame, step: Callable[[DataFrame, StreamRun, int], No
 # --- metrics -----------------------------------------------------------------
 
 def parse_batch(batch: DataFrame, columns: list[str]) -> DataFrame:
-    """``columns`` and ``dt`` of the good rows of a batch of source rows.  The
-    whole document is parsed, as any part of it can make a row bad."""
-    return good_rows(parse_checked(batch)).select(*columns, "dt")
+    """``columns`` and ``dt`` of the good rows of a batch of source rows.  Only
+    their leaves and those that can make a row bad are parsed."""
+    return good_rows(parse_checked(batch, columns=columns)).select(*columns, "dt")
 
 
 def add_page_views(flat: DataFrame, pv: DailyIncrements, run: StreamRun, batch_id: int) -> None:
     pv.write(page_views(flat).groupBy("dt").agg(F.count(F.lit(1)).alias("n")), run.id, batch_id)
 
 
-def add_visitors(flat: DataFrame, seen: SeenVisitors, uv: DailyIncrements, run: StreamRun, batch_id: int) -> None:
+def add_visitors(flat: DataFrame, seen: SeenVisitors, uv: DailyIncrements, run: StreamRun, batch_id: int,
+                 counts: FilterCounts | None = None) -> None:
     """New visitors are stored first and counted from what was stored, so a
     replay between the two writes gives the same increments.  The batch is
-    read once: its distinct visitors are kept for the lookup of their days."""
-    visitors = visitor_rows(flat).dropDuplicates(["dt", "unionid"]).persist()
+    read once: its distinct visitors are kept for the lookup of their days.
+    ``counts`` takes the batch's rows before and after the lookup."""
+    rows = visitor_rows(flat)
+    visitors = (rows.groupBy("dt", "unionid").agg(F.count(F.lit(1)).alias("n")) if counts
+                else rows.dropDuplicates(["dt", "unionid"])).persist()
     try:
-        uv.write(seen.add(visitors, run.id, batch_id), run.id, batch_id)
+        around = counts.start() if counts else None
+        uv.write(seen.add(visitors, run.id, batch_id, counts=around), run.id, batch_id)
+        if counts:
+            counts.record(around, run.id, batch_id)
     finally:
         visitors.unpersist()
 
@@ -75,12 +83,18 @@ def start_pv_query(raw: DataFrame, pv: DailyIncrements, checkpoint: str, trigger
 
 
 def start_uv_query(raw: DataFrame, seen: SeenVisitors, uv: DailyIncrements, checkpoint: str,
-                   trigger: dict | None = None):
+                   trigger: dict | None = None, counts: FilterCounts | None = None):
     """Running daily visitors of source rows (``value, ingest_ts``)."""
-    return start_batches(raw, lambda b, run, i: add_visitors(parse_batch(b, ["unionid"]), seen, uv, run, i),
+    return start_batches(raw, lambda b, run, i: add_visitors(parse_batch(b, ["unionid"]), seen, uv, run, i, counts),
                          checkpoint, trigger)
 
 
+def start_archive_query(raw: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
+                        codec: str | None = None):
+    """The daily line archive of source rows, without ``foreachBatch``."""
+    return start_archive_stream(archive_lines(good_rows(parse_checked(raw))), path, checkpoint, trigger, codec)
+
+
 # --- the event job -----------------------------------------------------------
 
 class EventOutputs:

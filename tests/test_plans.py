@@ -55,7 +55,9 @@ def test_streams_and_labels_parse_only_what_they_read(spark):
     from daybook.streaming.stream import parse_batch
     batch = kafka_rows(fixtures.kafka_events(fixtures.load_events(spark, SF)))
     p = parse_batch(batch, ["pageUrl"])._jdf.queryExecution().optimizedPlan().toString()
-    assert _parsed(p) == [["reportTime", "data", "visitData", "pageUrl"]]
+    # what the metric reads, what can make a row bad, and one leaf of every other block
+    assert _parsed(p) == [["reportTime", "data", "wxInfo", "openid", "addrInfo", "latitude", "longitude", "userInfo", "userid",
+                           "loginData", "succeed", "firstLogin", "visitData", "pageUrl", "_corrupt_record"]]
     label = QUERIES["legacy_labels"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert _parsed(label) == [["dataType"]]
     auth = _parsed(QUERIES["legacy_auth"](spark, SF)._jdf.queryExecution().optimizedPlan().toString())

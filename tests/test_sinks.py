@@ -148,10 +148,125 @@ def test_cluster_sessions_need_a_shared_folder(spark, monkeypatch):
         session.shared_dir(fake)
 
 
-def test_old_runs_are_swept(spark, workdir):
+def test_only_folders_of_finished_applications_are_swept(spark, workdir):
     from daybook import session
-    spark.range(1).write.parquet(f"{workdir}/q/one")
+    for app in ("app-1", "app-2"):
+        spark.range(1).write.parquet(f"{workdir}/q/{app}/one")
+    spark.range(1).write.parquet(f"{workdir}/{session.RUNNING}/app-2")
     session.sweep(spark, workdir)
-    assert session.path_exists(spark, f"{workdir}/q/one")
+    assert session.path_exists(spark, f"{workdir}/q/app-1/one")  # finished, but young
     session.sweep(spark, workdir, hours=-1)
-    assert not session.path_exists(spark, f"{workdir}/q/one")
+    assert not session.path_exists(spark, f"{workdir}/q/app-1")
+    assert session.path_exists(spark, f"{workdir}/q/app-2/one") and session.path_exists(spark, f"{workdir}/{session.RUNNING}/app-2")
+
+
+def test_an_application_is_marked_while_it_runs(spark):
+    from daybook import session
+    app = spark.sparkContext.applicationId
+    at = session.run_dir(spark, "marked")
+    base = f"{session.shared_dir(spark)}/daybook"
+    assert at.startswith(f"{base}/marked/{app}/") and session.path_exists(spark, f"{base}/{session.RUNNING}/{app}")
+    session.finish(spark)
+    assert not session.path_exists(spark, f"{base}/{session.RUNNING}/{app}")
+    session.run_dir(spark, "marked")
+    assert session.path_exists(spark, f"{base}/{session.RUNNING}/{app}")
+
+
+def test_a_fold_is_one_file(spark, workdir):
+    pv = DailyIncrements(spark, f"{workdir}/pv")
+    for b in range(3):
+        pv.write(spark.createDataFrame([(D1, 1), (D2, 1)], "dt date, n long").repartition(4), "a", b)
+    pv.fold("a")
+    import glob
+    assert len(glob.glob(f"{workdir}/pv/folded/run=a/*.parquet")) == 1
+    assert {r["dt"]: r["amount"] for r in pv.amounts().collect()} == {D1: 3, D2: 3}
+
+
+SCHEMA = "topic string, partition int, offset long"
+
+
+def test_the_run_that_wrote_last_wins(spark, workdir):
+    ledger = OffsetLedger(spark, f"{workdir}/ledger", "m", "g")
+    b = StreamRun("b", RUN.started + dt.timedelta(days=9))
+    hour = lambda h: F.lit(RUN.started + dt.timedelta(hours=h))
+
+    def until():
+        return ledger.current().first()["until_offset"]
+    for h, (run, batch, offset) in enumerate([(RUN, 7, 100), (b, 0, 200), (RUN, 8, 300)]):
+        ledger.record(spark.createDataFrame([("t", 0, offset)], SCHEMA), run, batch, now=hour(h))
+        assert until() == offset + 1
+    ledger.record(spark.createDataFrame([("t", 0, 100)], SCHEMA), RUN, 7, now=hour(4))  # an old batch told again
+    assert until() == 301
+    ledger.compact()
+    assert until() == 301
+    ledger.record(spark.createDataFrame([("t", 0, 250)], SCHEMA), b, 1, now=hour(5))
+    assert until() == 251
+
+
+def progress(batch, start, end, rows=5):
+    """What a Kafka query reports, as its JSON has it."""
+    return json.dumps({
+        "id": "q1", "runId": "r1", "name": "events", "timestamp": "2024-01-01T00:00:00.000Z", "batchId": batch, "numInputRows": rows,
+        "sources": [{"description": "KafkaV2[Subscribe[t]]", "startOffset": start, "endOffset": end, "latestOffset": end, "numInputRows": rows},
+                    {"description": "FileStreamSource[file:/x]", "startOffset": {"logOffset": 0}, "endOffset": {"logOffset": 1}, "numInputRows": 0}],
+        "sink": {"description": "ForeachBatchSink", "numOutputRows": -1}})
+
+
+def test_offsets_from_progress_reach_past_the_last_row(spark, workdir):
+    from daybook.sources.ledger import LedgerListener, progress_ranges
+    ledger = OffsetLedger(spark, f"{workdir}/ledger", "m", "g")
+    run = StreamRun("q1", RUN.started)
+    assert progress_ranges(progress(0, None, {"t": {"0": 12, "1": 3}})) == [("t", 0, None, 12), ("t", 1, None, 3)]
+    assert progress_ranges(progress(0, '{"t":{"0":2}}', '{"t":{"0":12}}')) == [("t", 0, 2, 12)]
+    # the last rows of the range have been compacted away: offsets 9 to 11 hold none
+    ledger.record(spark.createDataFrame([("t", 0, 8), ("t", 1, 2)], SCHEMA), run, 0)
+    assert {r["partition"]: r["until_offset"] for r in ledger.current().collect()} == {0: 9, 1: 3}
+    ledger.record_progress(progress(0, None, {"t": {"0": 12, "1": 3}}))
+    assert {r["partition"]: r["until_offset"] for r in ledger.current().collect()} == {0: 12, 1: 3}
+    ledger.record_progress(progress(1, {"t": {"0": 12, "1": 3}}, {"t": {"0": 12, "1": 3}}, rows=0))
+    assert ledger.log().count() == 4
+    from types import SimpleNamespace
+    listener = LedgerListener(ledger, "q1")
+    for query in ("q1", "other"):
+        listener.onQueryProgress(SimpleNamespace(progress=SimpleNamespace(id=query, json=progress(2, {"t": {"0": 12}}, {"t": {"0": 20, "2": 4}}))))
+    assert {r["partition"]: r["until_offset"] for r in ledger.current().collect()} == {0: 20, 1: 3, 2: 4}
+    assert ledger.log().count() == 6
+    assert json.loads(ledger.starting_offsets().first()["starting_offsets"]) == {"t": {"0": 20, "1": 3, "2": 4}}
+
+
+def test_compressed_archives_read_alike(spark, workdir):
+    import glob
+    lines = spark.createDataFrame([(D1, "a;b"), (D2, "c;d")], "dt date, value string")
+    write_archive(lines, f"{workdir}/archive", "r", codec="gzip")
+    assert glob.glob(f"{workdir}/archive/dt=2024-01-01/*/*/*.txt.gz")
+    assert sorted((r["dt"], r["value"]) for r in read_archive(spark, f"{workdir}/archive").collect()) == [(D1, "a;b"), (D2, "c;d")]
+
+
+def test_a_quiet_day_expires_and_an_active_one_stays(spark, workdir):
+    store = SeenVisitors(spark, f"{workdir}/seen", ttl=dt.timedelta(days=2))
+    day = lambda n: F.lit(dt.datetime(2024, 1, n, 12))
+
+    def add(batch, now, *rows):
+        got = {r["dt"]: r["n"] for r in store.add(spark.createDataFrame(list(rows), "dt date, unionid string"), "r", batch, now=now).collect()}
+        return got, sorted({r["dt"] for r in store.visitors().collect()})
+    assert add(0, day(1), (D1, "a"), (D2, "a")) == ({D1: 1, D2: 1}, [D1, D2])
+    assert add(1, day(2), (D1, "b")) == ({D1: 1}, [D1, D2])
+    # D2 is quiet since the first, D1 since the second; a known visitor is no addition
+    assert add(2, day(4), (D1, "a"), (dt.date(2024, 1, 4), "a")) == ({dt.date(2024, 1, 4): 1}, [D1, dt.date(2024, 1, 4)])
+    assert store.expire_quiet(day(5)) == ["2024-01-01"]
+    assert add(3, day(5), (D1, "a")) == ({D1: 1}, [D1, dt.date(2024, 1, 4)])  # counts again, and opens the day anew
+    assert store.expire_quiet(day(6)) == []
+
+
+def test_daily_totals_overwrite_and_runs_add_up(spark, workdir):
+    from daybook.sinks.totals import DailyTotals
+    totals = DailyTotals(spark, f"{workdir}/pv")
+    assert totals.amounts().collect() == []
+    frame = lambda *rows: spark.createDataFrame(list(rows), "dt date, amount long")
+    t1, t2 = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 3)
+    totals.write(frame((D1, 5), (D2, 2)), "a", 0, F.lit(t1))
+    totals.write(frame((D1, 9)), "a", 1, F.lit(t2))
+    totals.write(frame((D1, 9)), "a", 1, F.lit(t2))  # replayed
+    totals.write(frame((D2, 1)), "b", 0, F.lit(t2))
+    assert {r["dt"]: tuple(r)[1:] for r in totals.totals().collect()} == {D1: (9, t2, t2), D2: (3, t2, t2)}
+    assert totals.read().count() == 4

@@ -15,7 +15,8 @@ from daybook.sinks.archive import read_archive
 from daybook.sinks.daily import DailyIncrements
 from daybook.sinks.visitors import SeenVisitors
 from daybook.sources import fixtures
-from daybook.sources.kafka import kafka_rows, read_file_topic, resume_stream
+from daybook.sources.fixtures import read_file_topic
+from daybook.sources.kafka import kafka_rows, resume_stream
 from daybook.sources.ledger import OffsetLedger
 from daybook.streaming import stream
 from daybook.streaming.run import StreamRun
@@ -166,7 +167,6 @@ def test_one_parse_feeds_every_output(spark, events, workdir, monkeypatch):
         plans.append(df._jdf.queryExecution().optimizedPlan().toString().count("from_json("))
         return df
     monkeypatch.setattr(stream, "parse_checked", seen)
-    monkeypatch.setattr(stream, "parse_events", None)
     stream.event_batch(kafka_rows(fixtures.kafka_events(events)), RUN_A, 0, out)
     assert plans == [1]
 
