@@ -10,15 +10,14 @@ from pyspark.sql import functions as F
 
 from daybook.llm import (exact_dedup, fingerprints, importance_resampling, line_dedup, lm_scoring, near_dedup, packing,
                          periodic_runs, pii, sentencepiece_codec, sharding, token_counts, toxicity)
-from daybook.llm.common import fold_crc, table, whole_text
+from daybook.llm.common import fold_crc, table
 
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text, and whether they decode to it again."""
     pieces = sentencepiece_codec.Pieces.load(sentencepiece_codec.MODEL)
-    docs = table(spark, sf_dir, "documents").select("doc_id", whole_text().alias("text"))
-    back = sentencepiece_codec.decode(sentencepiece_codec.encode(docs, pieces), pieces)
-    return back.select("doc_id", "ids", F.size("ids").alias("n_ids"), (F.col("decoded") == F.col("text")).alias("round_trip"))
+    found = sentencepiece_codec.round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"), pieces)
+    return found.select("doc_id", "ids", F.size("ids").alias("n_ids"), "round_trip")
 
 
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,8 +24,9 @@ between such edges, up to ``CACHE`` of them.
 The model file is a parameter and is read on the driver; models that normalise
 text by a character map are refused.  Defined cases: null text counts as empty
 and has no ids; every other text decodes to itself, except that U+2581 in it
-decodes to a space.  Extra columns pass; a column that clashes with a result
-column is replaced.
+decodes to a space.  Rows repeated or tied are encoded each and equally, an
+empty table gives an empty result.  Extra columns pass; a column that clashes
+with a result column is replaced.
 """
 
 from __future__ import annotations
@@ -43,7 +44,7 @@ from pyspark.sql import types as T
 from daybook.llm.near_dedup import small_batches
 
 SPACE = "▁"
-CACHE = 1 << 19
+CACHE, SHORT = 1 << 19, 64
 MODEL = os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 UNIGRAM, BPE = 1, 2
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _BYTE = 1, 2, 3, 4, 6
@@ -59,8 +60,7 @@ class Pieces:
         self.unknown = next((i for i, e in enumerate(entries) if e[2] == _UNKNOWN), 0)
         self.bytes = {int(p[3:5], 16): i for i, (p, _, t) in enumerate(entries) if t == _BYTE}
         self.longest = max(map(len, self.ids), default=1)
-        # every start of a piece, with the piece's id or -1
-        self.starts = {p[:k]: -1 for p in self.ids for k in range(1, len(p))} | self.ids
+        self._tree: dict | None = None  # made where it is used
         self.alphabet = {c for p in self.ids for c in p}
         self.unknown_score = min((self.scores[i] for i in self.ids.values()), default=0.0) - 10.0
         self._fits: dict[int, dict[int, bool]] = {}  # by piece before, then piece
@@ -74,6 +74,19 @@ class Pieces:
         apart = f"[{alone}]" if alone else "(?!)"
         self.stretch = re.compile(f"{apart}|{SPACE}*[^{SPACE}{alone}]+|{SPACE}+" if not crossing else "(?s).+")
 
+    @property
+    def tree(self) -> dict:
+        """Nested dictionaries by character; the id of a piece that ends at a
+        node is under the empty string."""
+        if self._tree is None:
+            self._tree = {}
+            for piece, i in self.ids.items():
+                node = self._tree
+                for c in piece:
+                    node = node.setdefault(c, {})
+                node[""] = i
+        return self._tree
+
     @classmethod
     def load(cls, path: str) -> Pieces:
         from sentencepiece import sentencepiece_model_pb2 as pb
@@ -213,19 +226,21 @@ class Viterbi:
     def _extend(self, stop: int) -> None:
         """Try all pieces that start at positions done..stop-1."""
         p, text, start, window = self.p, self.text, self.start, self.window
-        starts, scores, fits, after, bpe = p.starts, p.scores, p.fits, p.after, p.kind == BPE
-        size, longest = len(text), p.longest
+        tree, scores, fits, after, bpe = p.tree, p.scores, p.fits, p.after, p.kind == BPE
+        size = len(text)
         for off in range(self.done - start, stop - start):
             node = window.pop(off + start)  # its followers point to it
             before, score = node[3], node[4]
             known = after(before) if bpe else {}
-            for end in range(off + 1, min(off + longest, size) + 1):
-                i = starts.get(text[off:end])
-                if i is None:
+            branch, end = tree, off
+            while end < size:
+                branch = branch.get(text[end])
+                if branch is None:
                     break
-                if i < 0:
+                end += 1
+                if "" not in branch:
                     continue
-                to = end + start
+                i, to = branch[""], end + start
                 if bpe:
                     if to not in window:
                         ok = known.get(i)
@@ -236,7 +251,7 @@ class Viterbi:
                     if to not in window or total > window[to][4]:
                         window[to] = (to, node, (i,), i, total)
             c = text[off]
-            if starts.get(c, -1) < 0:  # no piece of one character: the unknown piece
+            if "" not in tree.get(c, ()):  # no piece of one character: the unknown piece
                 to, total = off + 1 + start, score + p.unknown_score
                 if to not in window or not bpe and total > window[to][4]:
                     window[to] = (to, node, tuple(p.bytes[x] for x in c.encode()) if p.bytes else (p.unknown,), -1, total)
@@ -277,8 +292,51 @@ class Viterbi:
         self.window = {k: copy(n) for k, n in self.window.items()}
 
 
+def search_whole(text: str, p: Pieces) -> list[int]:
+    """The same search over a text that is one window: no position leaves it
+    before the end, so all paths are committed there, at once."""
+    tree, scores, fits, after, bpe, n = p.tree, p.scores, p.fits, p.after, p.kind == BPE, len(text)
+    last, came, best = [None] * (n + 1), [0] * (n + 1), [0.0] * (n + 1)
+    last[0] = -1
+    for at, c in enumerate(text):
+        before, branch, end = last[at], tree, at
+        known = after(before) if bpe else {}
+        while end < n:
+            branch = branch.get(text[end])
+            if branch is None:
+                break
+            end += 1
+            if bpe:
+                if last[end] is None and "" in branch:
+                    i = branch[""]
+                    ok = known.get(i)
+                    if fits(before, i) if ok is None else ok:
+                        last[end], came[end] = i, at
+            elif "" in branch:
+                total = best[at] + scores[branch[""]]
+                if last[end] is None or total > best[end]:
+                    last[end], came[end], best[end] = branch[""], at, total
+        if "" not in tree.get(c, ()):  # no piece of one character: the unknown piece
+            total = best[at] + p.unknown_score
+            if last[at + 1] is None or not bpe and total > best[at + 1]:
+                last[at + 1], came[at + 1], best[at + 1] = -1, at, total
+    out: list[int] = []
+    while n:
+        i, n = (last[n], n), came[n]
+        if i[0] >= 0:
+            out.append(i[0])
+        elif p.bytes:
+            out += [p.bytes[x] for x in reversed(text[n:i[1]].encode())]
+        else:
+            out.append(p.unknown)
+    out.reverse()
+    return out
+
+
 def search(text: str, pieces: Pieces) -> list[int]:
     """The ids of a stretch of prepared text."""
+    if len(text) <= SHORT:
+        return search_whole(text, pieces)
     v = Viterbi(pieces)
     out: list[int] = []
     for at in range(0, len(text), 4096):
@@ -294,17 +352,17 @@ class Stretches(dict):
         self.pieces = pieces
 
     def __missing__(self, stretch: str) -> bytes:
-        inside = self.pieces.inside
-        edges = [i for i, pair in enumerate(zip(stretch, stretch[1:]), 1) if pair not in inside]
-        if edges:
-            packed = b"".join([self[stretch[a:b]] for a, b in zip([0, *edges], [*edges, len(stretch)])])
-        else:
+        if len(stretch) <= SHORT:
             packed = array("i", search(stretch, self.pieces)).tobytes()
-        if len(stretch) <= 64:
             if len(self) >= CACHE:
                 self.clear()
             self[stretch] = packed
-        return packed
+            return packed
+        inside = self.pieces.inside
+        edges = [i for i, pair in enumerate(zip(stretch, stretch[1:]), 1) if pair not in inside]
+        if edges:
+            return b"".join([self[stretch[a:b]] for a, b in zip([0, *edges], [*edges, len(stretch)])])
+        return array("i", search(stretch, self.pieces)).tobytes()
 
 
 def encode_text(text: str, known: Stretches) -> bytes:
@@ -346,6 +404,29 @@ def encode(docs: DataFrame, pieces: Pieces) -> DataFrame:
     return base.mapInArrow(run, T.StructType([*base.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))]))
 
 
+def round_trip(docs: DataFrame, pieces: Pieces) -> DataFrame:
+    """``docs`` without the text, with its ids and whether they decode to it
+    (``round_trip``): both directions in one pass, and no text leaves it."""
+    base = docs.drop("ids", "round_trip")
+    names = [c for c in base.columns if c != "text"]
+    schema = T.StructType([*[base.schema[c] for c in names], T.StructField("ids", T.ArrayType(T.IntegerType())),
+                           T.StructField("round_trip", T.BooleanType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, table, prefix = Stretches(pieces), decode_table(pieces), pieces.dummy_prefix
+        for batch in batches:
+            for part in small_batches(batch):
+                packed, same = [], []
+                for t in part.column("text"):
+                    text = t.as_py() or ""
+                    packed.append(encode_text(text, known))
+                    same.append(decode_ids(array("i", packed[-1]).tolist(), table, prefix) == text)
+                offsets = np.r_[0, np.cumsum([len(x) // 4 for x in packed])].astype(np.int32)
+                ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(packed), np.int32)))
+                yield pa.RecordBatch.from_pydict({c: part.column(c) for c in names} | {"ids": ids, "round_trip": pa.array(same, pa.bool_())})
+    return base.mapInArrow(run, schema)
+
+
 def decode(rows: DataFrame, pieces: Pieces, into: str = "decoded") -> DataFrame:
     """``rows`` with the text of ids; null ids give an empty text."""
     base = rows.drop(into)

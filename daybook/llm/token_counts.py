@@ -47,22 +47,10 @@ LIMIT = 4096
 CACHE, SHORT = 1 << 19, 64
 
 
-def piece_tree(pieces: Pieces) -> dict:
-    """Nested dictionaries by character; the id of a piece that ends at a node
-    is under the empty string."""
-    root: dict = {}
-    for piece, i in pieces.ids.items():
-        node = root
-        for c in piece:
-            node = node.setdefault(c, {})
-        node[""] = i
-    return root
-
-
-def prefix_counts(stretch: str, pieces: Pieces, tree: dict) -> list[int]:
+def prefix_counts(stretch: str, pieces: Pieces) -> list[int]:
     """Tokens of every prefix of a stretch of prepared text, from the prefix of
     one character on."""
-    n, after, fits = len(stretch), pieces.after, pieces.fits
+    n, tree, after, fits = len(stretch), pieces.tree, pieces.after, pieces.fits
     count, last = [0] * (n + 1), [None] * (n + 1)
     last[0] = -1
     for at, c in enumerate(stretch):
@@ -90,11 +78,11 @@ class Stretches(dict):
         if pieces.kind != BPE:
             raise ValueError("prefix counts are of BPE models")
         super().__init__()
-        self.pieces, self.tree = pieces, piece_tree(pieces)
+        self.pieces = pieces
 
     def __missing__(self, stretch: str) -> bytes | list[int]:
         if len(stretch) <= SHORT:
-            out = prefix_counts(stretch, self.pieces, self.tree)
+            out = prefix_counts(stretch, self.pieces)
             if max(out) < 256:  # a byte a prefix
                 out = bytes(out)
             if len(self) >= CACHE:
@@ -104,7 +92,7 @@ class Stretches(dict):
         inside, out, total = self.pieces.inside, [], 0
         edges = [i for i, pair in enumerate(zip(stretch, stretch[1:]), 1) if pair not in inside]
         for x, y in zip([0, *edges], [*edges, len(stretch)]):
-            part = self[stretch[x:y]] if edges else prefix_counts(stretch, self.pieces, self.tree)
+            part = self[stretch[x:y]] if edges else prefix_counts(stretch, self.pieces)
             out += [total + k for k in part]
             total = out[-1]
         return out

@@ -60,6 +60,26 @@ def test_feeding_in_chunks_changes_nothing_and_holds_little(pieces, step):
     assert out == codec.search(text, pieces) and most <= step + 3 * pieces.longest
 
 
+@pytest.mark.parametrize("kind", [codec.BPE, codec.UNIGRAM])
+def test_the_search_over_one_window_equals_the_streaming_one(pieces, kind):
+    rng = random.Random(kind)
+    own = codec.Pieces([(p, -rng.randrange(1 << 12) / (1 << 7), t) for p, _, t in pieces.entries], kind) if kind == codec.UNIGRAM else pieces
+    for _ in range(400):
+        text = "".join(rng.choice("etaoinshrdlu▁▁.,%é日\n") for _ in range(rng.randrange(1, 64)))
+        v = codec.Viterbi(own)
+        assert v.feed(text) + v.finish() == codec.search(text, own)
+
+
+def test_both_directions_in_one_pass(make, pieces, strings):
+    lib = sp.SentencePieceProcessor(model_file=codec.MODEL)
+    rows = [(i, s) for i, s in enumerate(strings)] + [(-1, None), (0, strings[0])]
+    out = codec.round_trip(make(rows), pieces)
+    assert out.columns == ["doc_id", "ids", "round_trip"]
+    got = out.collect()
+    assert len(got) == len(rows) and all(r["round_trip"] for r in got)
+    assert {r["doc_id"]: r["ids"] for r in got} == {i: lib.encode(s or "") for i, s in rows}
+
+
 def test_round_trip_on_a_table(make, pieces, strings):
     rows = [(i, s) for i, s in enumerate(strings)]
     back = codec.decode(codec.encode(make(rows), pieces), pieces).collect()
