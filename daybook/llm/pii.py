@@ -7,15 +7,18 @@ numbers without a plus or addresses with bracketed dots.
 
 Training takes at most ``SAMPLE_DOCS`` documents that hold a digit or '@'
 (chosen by hash of doc_id): the pattern spans are their labels, and every
-labelled span is also rewritten into other forms of its kind.  Numbers of
-other kinds stay unlabelled and teach what is no personal data.
+labelled span is also redrawn and written in every other form of its kind
+(``FORMS``).  Numbers of other kinds stay unlabelled, stand in the same places,
+and teach what is no personal data.  One task trains on at most
+``SAMPLE_WINDOWS`` windows, half of them without a span.
 
 Every text is covered by windows of ``WINDOW`` characters, ``STRIDE`` apart.
 Where windows overlap, their scores are averaged, the middle of a window
 counting most, and one CRF decoding runs over each whole run of windows, so a
 span cut by a window's edge comes out whole.  A span has to hold a digit or
 '@'; windows without either can have none and are not computed.  A decoded
-span is added if it passes the check of its kind and overlaps no pattern span.
+span is added if its numbers pass the check of its kind (``plausible``) and it
+overlaps no pattern span.
 
 Defined cases: null text counts as empty, with no spans; rows repeated are
 read each; a table without training documents gets pattern spans only; extra
@@ -38,9 +41,9 @@ from daybook.llm.common import whole_text
 from daybook.llm.near_dedup import small_batches
 
 KINDS = ("email", "ip", "card", "phone")
-SAMPLE_DOCS, WINDOW, STRIDE = 1000, 64, 32
-HIDDEN, EPOCHS, BATCH, RATE = 16, 3, 64, 0.02
-TRIGGER = "[0-9@]"
+SAMPLE_DOCS, SAMPLE_WINDOWS, WINDOW, STRIDE = 1000, 8000, 64, 32
+HIDDEN, EPOCHS, BATCH, RATE = 16, 5, 128, 0.02
+TRIGGER, RICH = "[0-9@]", r"@|[0-9][0-9 .()-]{6,}[0-9]"  # the second: may well hold a span
 _TRIGGER_RUN = re.compile("[0-9@][0-9@.,:+-]*")  # one number or sign
 _TRIGGER = re.compile(TRIGGER)
 
@@ -100,15 +103,17 @@ def pattern_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def plausible(kind: str, s: str) -> bool:
-    """The check of a span that the model adds."""
+    """The numbers' own check of a span that the model adds; its form is the
+    model's affair."""
     d = _digits(s)
     if kind == "email":
-        return bool(re.fullmatch(r"[\w.%+-]+\s?@\s?[\w-]+(\s?[\[(]?\.[\])]?\s?[\w-]+)+", s))
+        return 0 < s.find("@") < len(s) - 1
     if kind == "ip":
-        return bool(re.fullmatch(r"[0-9]+(\[?\(?\.\)?\]?[0-9]+){3}", s)) and _is_ip(re.sub(r"[\[\]()]", "", s))
+        parts = re.findall("[0-9]+", s)
+        return len(parts) == 4 and _is_ip(".".join(parts))
     if kind == "card":
-        return bool(re.fullmatch(r"[0-9]([ .-]?[0-9])+", s)) and 13 <= len(d) <= 19 and luhn(d)
-    return bool(re.fullmatch(r"[+(]?[0-9][0-9 ().-]*[0-9]", s)) and 8 <= len(d) <= 15 and len(re.findall(r"[0-9][^0-9]+(?=[0-9])", s)) >= 2
+        return 13 <= len(d) <= 19 and luhn(d)
+    return 8 <= len(d) <= 15
 
 
 # ---- the model
@@ -159,8 +164,8 @@ def _lstm(x: np.ndarray, p: dict) -> tuple[np.ndarray, list]:
     """Outputs (length, 2, batch, hidden) of both directions over codes
     (length, batch), the backward one in reading order of its own, and what
     the way back needs."""
-    h = c = np.zeros((2, x.shape[1], HIDDEN))
-    outs, tape = np.empty((len(x), *h.shape)), []
+    h = c = np.zeros((2, x.shape[1], HIDDEN), p["h"].dtype)
+    outs, tape = np.empty((len(x), *h.shape), h.dtype), []
     given = np.stack([p["x"][0][x], p["x"][1][x[::-1]]], axis=1) + p["c"]
     for t in range(len(x)):
         z = given[t] + h @ p["h"]
@@ -176,8 +181,8 @@ def _lstm(x: np.ndarray, p: dict) -> tuple[np.ndarray, list]:
 
 
 def _lstm_back(x: np.ndarray, tape: list, d_out: np.ndarray, p: dict, grad: dict) -> None:
-    dh = dc = np.zeros((2, x.shape[1], HIDDEN))
-    dzs = np.empty((len(x), 2, x.shape[1], 4 * HIDDEN))
+    dh = dc = np.zeros((2, x.shape[1], HIDDEN), p["h"].dtype)
+    dzs = np.empty((len(x), 2, x.shape[1], 4 * HIDDEN), p["h"].dtype)
     back = p["h"].transpose(0, 2, 1)
     for t in range(len(x) - 1, -1, -1):
         h, c, i, f, o, g, tanh_c = tape[t]
@@ -193,7 +198,7 @@ def _lstm_back(x: np.ndarray, tape: list, d_out: np.ndarray, p: dict, grad: dict
     for d, order in enumerate((x, x[::-1])):
         flat = dzs[:, d].reshape(-1, 4 * HIDDEN)
         grad["c"][d, 0] += flat.sum(0)
-        one_hot = np.zeros((N_CHARS, flat.shape[0]))
+        one_hot = np.zeros((N_CHARS, flat.shape[0]), flat.dtype)
         one_hot[order.ravel(), np.arange(flat.shape[0])] = 1
         grad["x"][d] += one_hot @ flat
 
@@ -218,9 +223,9 @@ def loss_and_gradient(x: np.ndarray, y: np.ndarray, p: dict) -> tuple[float, dic
     outs, tape = _lstm(x, p)
     both = _both(outs)
     e = both @ p["out"] + p["out_b"]
-    trans = p["trans"] + _ALLOWED
+    trans = p["trans"] + _ALLOWED.astype(p["trans"].dtype)
     alpha, beta = np.empty_like(e), np.zeros_like(e)
-    alpha[0] = e[0] + _START
+    alpha[0] = e[0] + _START.astype(e.dtype)
     for t in range(1, length):
         alpha[t] = e[t] + _log_sum(alpha[t - 1][:, :, None] + trans, 1)
     for t in range(length - 2, -1, -1):
@@ -266,18 +271,40 @@ def viterbi(e: np.ndarray, p: dict) -> np.ndarray:
 
 # ---- training rows
 
-def rewritten(kind: str, s: str, rng: np.random.Generator) -> str:
-    """The same datum in another form."""
-    d, pick = _digits(s), int(rng.integers(3))
+def redrawn(kind: str, s: str, rng: np.random.Generator) -> str:
+    """A datum of the same kind with other digits (in an address, another
+    local part of one to three parts) that passes the same check."""
     if kind == "email":
-        return (s.replace("@", " @ "), s.replace(".", "[.]", 1) if "." in s.split("@")[1] else s, s.replace("@", "@ "))[pick]
+        parts = ["".join(chr(97 + int(c)) for c in rng.integers(0, 26, rng.integers(2, 9))) for _ in range(rng.integers(1, 4))]
+        number = str(rng.integers(0, 10 ** int(rng.integers(1, 4)))) if rng.random() < 0.5 else ""
+        return "._-"[int(rng.integers(3))].join(parts) + number + "@" + s.partition("@")[2]
     if kind == "ip":
-        return (s.replace(".", "[.]"), s.replace(".", "(.)"), s)[pick]
-    if kind == "card":
-        return (".".join(d[i:i + 4] for i in range(0, len(d), 4)), "-".join(d[i:i + 4] for i in range(0, len(d), 4)),
-                " ".join(d[i:i + 4] for i in range(0, len(d), 4)))[pick]
-    last = d[-10:]
-    return (f"({last[:3]}) {last[3:6]}-{last[6:]}", f"{last[:3]}-{last[3:6]}-{last[6:]}", f"{last[:3]}.{last[3:6]}.{last[6:]}")[pick]
+        return ".".join(map(str, rng.integers(1, 256, 4)))
+    if kind == "phone":
+        return s[:2] + "".join(str(rng.integers(10)) if c.isdigit() else c for c in s[2:])
+    d = "4" + "".join(map(str, rng.integers(0, 10, 14)))
+    return d + next(c for c in "0123456789" if luhn(d + c))
+
+
+def _in_fours(d: str, mark: str) -> str:
+    return mark.join(d[i:i + 4] for i in range(0, len(d), 4))
+
+
+#: How each kind is also written; the model is taught all of them.
+FORMS = {
+    "email": {"x @ y": lambda s: s.replace("@", " @ "), "x@ y": lambda s: s.replace("@", "@ "),
+              "x@y[.]z": lambda s: s.partition("@")[0] + "@" + s.partition("@")[2].replace(".", "[.]")},
+    "ip": {"1[.]2[.]3[.]4": lambda s: s.replace(".", "[.]"), "1(.)2(.)3(.)4": lambda s: s.replace(".", "(.)")},
+    "card": {"dddd.dddd": lambda s: _in_fours(_digits(s), "."), "dddd/dddd": lambda s: _in_fours(_digits(s), "/"),
+             "dddd-dddd": lambda s: _in_fours(_digits(s), "-"), "dddd dddd": lambda s: _in_fours(_digits(s), " ")},
+    "phone": {"(ddd) ddd-dddd": lambda s: "({}) {}-{}".format(*_ten(s)), "ddd-ddd-dddd": lambda s: "{}-{}-{}".format(*_ten(s)),
+              "ddd.ddd.dddd": lambda s: "{}.{}.{}".format(*_ten(s)), "0ddd ddd dddd": lambda s: "0{} {} {}".format(*_ten(s))},
+}
+
+
+def _ten(s: str) -> tuple[str, str, str]:
+    d = _digits(s)[-10:].rjust(10, "5")
+    return d[:3], d[3:6], d[6:]
 
 
 def other_number(rng: np.random.Generator) -> str:
@@ -287,57 +314,78 @@ def other_number(rng: np.random.Generator) -> str:
             f"{r(1)}.{r(3)}", f"no. {r(6)}", hashlib.md5(r(9).encode()).hexdigest())[int(rng.integers(8))]
 
 
-def training_windows(texts: list[str], seed: int = 3) -> tuple[np.ndarray, np.ndarray]:
-    """Codes and tags (windows, WINDOW) around every span, as it stands and
-    rewritten, and around every number and '@' sign."""
-    rng, xs, ys = np.random.default_rng(seed), [], []
-
-    def add(text: str, spans: list[tuple[str, int, int]], about: int) -> None:
-        at = max(0, min(about - int(rng.integers(8, WINDOW - 8)), len(text) - WINDOW))
-        tags = np.zeros(len(text), np.int8)
-        for kind, s, e in spans:
-            if tags[s:e].any():
-                continue
+def _window(text: str, spans: list[tuple[str, int, int]], about: int, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
+    """Codes and tags of WINDOW characters that hold the place ``about``."""
+    at = max(0, min(about - int(rng.integers(8, WINDOW - 8)), len(text) - WINDOW))
+    tags = np.zeros(len(text), np.int8)
+    for kind, s, e in spans:
+        if not tags[s:e].any():
             k = 1 + 2 * KINDS.index(kind)
             tags[s:e], tags[s] = k + 1, k
-        x, y = np.zeros(WINDOW, np.int16), np.zeros(WINDOW, np.int8)
-        cut_x, cut_y = codes(text[at:at + WINDOW]), tags[at:at + WINDOW]
-        if len(cut_y) and cut_y[0] and cut_y[0] % 2 == 0:  # a span cut at the edge begins there
-            cut_y = cut_y.copy()
-            cut_y[0] -= 1
-        x[:len(cut_x)], y[:len(cut_y)] = cut_x, cut_y
-        xs.append(x)
-        ys.append(y)
-
-    for text in texts:
-        spans = pattern_spans(text)
-        for kind, s, e in spans:
-            lo, hi = max(0, s - WINDOW), min(len(text), e + WINDOW)
-            near = [(k, a - lo, b - lo) for k, a, b in spans if a >= lo and b <= hi]
-            add(text[lo:hi], near, s - lo)
-            new = rewritten(kind, text[s:e], rng)
-            add(text[lo:s] + new + text[e:hi], [(kind, s - lo, s - lo + len(new))], s - lo)
-        for m in _TRIGGER_RUN.finditer(text):
-            lo = max(0, m.start() - WINDOW)
-            cut = text[lo:m.start() + WINDOW]
-            add(cut, [(k, max(a, lo) - lo, min(b, lo + len(cut)) - lo) for k, a, b in spans if b > lo and a < lo + len(cut)], m.start() - lo)
-            before = text[max(0, m.start() - WINDOW):m.start()].rsplit(" ", 1)[0]
-            if not _TRIGGER.search(before):
-                number = other_number(rng)
-                add(f"{before} {number} {before}", [], len(before) + 1)
-    return np.array(xs).reshape(-1, WINDOW), np.array(ys).reshape(-1, WINDOW)
+    x, y = np.zeros(WINDOW, np.int16), np.zeros(WINDOW, np.int8)
+    cut_x, cut_y = codes(text[at:at + WINDOW]), tags[at:at + WINDOW].copy()
+    if len(cut_y) and cut_y[0] and cut_y[0] % 2 == 0:  # a span cut at the edge begins there
+        cut_y[0] -= 1
+    x[:len(cut_x)], y[:len(cut_y)] = cut_x, cut_y
+    return x, y
+
+
+def text_windows(text: str, seed: int = 3, times: int = 3) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Windows around every span of a text, as it stands and redrawn ``times``
+    in every form of its kind, and around every number and '@' sign; numbers that are no
+    personal data also stand in the same places."""
+    rng = np.random.default_rng([seed, len(text), *text[:64].encode()])
+    spans, out = pattern_spans(text), []
+    for kind, s, e in spans:
+        lo, hi = max(0, s - WINDOW), min(len(text), e + WINDOW)
+        near = [(k, a - lo, b - lo) for k, a, b in spans if a >= lo and b <= hi]
+        out.append(_window(text[lo:hi], near, s - lo, rng))
+        for form in [f for f in FORMS[kind].values() for _ in range(times)]:
+            new = form(redrawn(kind, text[s:e], rng))
+            out.append(_window(text[lo:s] + new + text[e:hi], [(kind, s - lo, s - lo + len(new))], s - lo, rng))
+        for _ in range(times):
+            out.append(_window(text[lo:s] + other_number(rng) + text[e:hi], [], s - lo, rng))
+    for m in _TRIGGER_RUN.finditer(text):
+        lo = max(0, m.start() - WINDOW)
+        cut = text[lo:m.start() + WINDOW]
+        out.append(_window(cut, [(k, max(a, lo) - lo, min(b, lo + len(cut)) - lo) for k, a, b in spans if b > lo and a < lo + len(cut)], m.start() - lo, rng))
+        before = text[max(0, m.start() - WINDOW):m.start()].rsplit(" ", 1)[0]
+        if not _TRIGGER.search(before):
+            out.append(_window(f"{before} {other_number(rng)} {before}", [], len(before) + 1, rng))
+    return out
+
+
+def training_windows(texts: list[str], seed: int = 3) -> tuple[np.ndarray, np.ndarray]:
+    """Codes and tags (windows, WINDOW) of the texts, as many without any span
+    as with one, and at most ``SAMPLE_WINDOWS``, chosen by hash."""
+    return balanced([w for t in texts for w in text_windows(t, seed)], seed)
+
+
+def balanced(windows: list[tuple[np.ndarray, np.ndarray]], seed: int = 3) -> tuple[np.ndarray, np.ndarray]:
+    x = np.array([w[0] for w in windows], np.int16).reshape(-1, WINDOW)
+    y = np.array([w[1] for w in windows], np.int8).reshape(-1, WINDOW)
+    order = np.argsort([hashlib.blake2b(a.tobytes() + bytes([seed]), digest_size=8).digest() for a in x]) if len(x) else np.empty(0, int)
+    x, y = x[order], y[order]
+    held = y.any(1)
+    with_span, without = np.flatnonzero(held), np.flatnonzero(~held)
+    pick = np.sort(np.r_[with_span[:SAMPLE_WINDOWS // 2], without[:min(SAMPLE_WINDOWS // 2, max(len(with_span), 1000))]])
+    return x[pick], y[pick]
 
 
 def fit(texts: list[str], seed: int = 2) -> dict[str, np.ndarray] | None:
-    """The trained model; None without anything to learn from."""
-    x, y = training_windows(texts)
+    """The model trained on texts; None without anything to learn from."""
+    return train(*training_windows(texts), seed)
+
+
+def train(x: np.ndarray, y: np.ndarray, seed: int = 2) -> dict[str, np.ndarray] | None:
+    """The model trained on windows of codes and tags."""
     if not y.any():
         return None
-    p = new_model(seed)
+    p = {k: v.astype(np.float32) for k, v in new_model(seed).items()}
     rng, step = np.random.default_rng(seed), 0
     m1 = {k: np.zeros_like(v) for k, v in p.items()}
     m2 = {k: np.zeros_like(v) for k, v in p.items()}
-    rounds = max(EPOCHS, -(-200 * BATCH // len(x)))  # few windows are seen more often
+    rounds = max(EPOCHS, -(-300 * BATCH // len(x)))  # few windows are seen more often: 300 steps at least
     for turn in range(rounds):
         order = rng.permutation(len(x))
         for at in range(0, len(order), BATCH):
@@ -457,14 +505,42 @@ def redacted(text: str, spans: list[tuple[str, int, int]]) -> str:
 # ---- on tables
 
 def learn(docs: DataFrame, sample: int = SAMPLE_DOCS) -> dict[str, np.ndarray] | None:
-    """The model from at most ``sample`` documents with a digit or '@'."""
+    """The model from at most ``sample`` documents: half of them with '@' or a
+    long number, half with any digit, chosen by hash.  Windows of codes are cut
+    where the documents are, one task trains on at most ``SAMPLE_WINDOWS`` of
+    them (192 bytes each), and the parameters, some 60 kB, come back."""
     rows = docs.select(F.xxhash64(F.col("doc_id").cast("string")).alias("_order"), whole_text().alias("text")).where(F.col("text").rlike(TRIGGER))
-    n = rows.count()
-    if not n:
+    rows = rows.withColumn("_rich", F.col("text").rlike(RICH))
+    counted = {r["_rich"]: r["count"] for r in rows.groupBy("_rich").count().collect()}
+    if not counted:
         return None
-    share = F.pmod(F.col("_order"), F.lit(1 << 20)) < int((1 << 20) * min(1.0, sample / n)) + 1
-    chosen = rows.where(share).orderBy("_order", F.xxhash64("text")).limit(sample).select("text").collect()
-    return fit([r["text"] for r in chosen])
+
+    def part(rich: bool, n: int) -> DataFrame:
+        # first a share by hash that holds about twice as many, then the first n
+        share = F.pmod(F.col("_order"), F.lit(1 << 20)) < int((1 << 20) * min(1.0, 2 * n / max(1, counted.get(rich, 0)))) + 1
+        return rows.where((F.col("_rich") == rich) & share).orderBy("_order", F.xxhash64("text")).limit(n).select("text")
+
+    rich = min(counted.get(True, 0), max(sample // 2, sample - counted.get(False, 0)))
+    chosen = part(True, rich).unionByName(part(False, sample - rich)) if rich < sample else part(True, rich)
+
+    def cut_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for t in batch.column("text"):
+                found = text_windows(t.as_py())
+                yield pa.RecordBatch.from_pydict({"x": pa.array([w[0].tobytes() for w in found], pa.binary()),
+                                                  "y": pa.array([w[1].tobytes() for w in found], pa.binary())})
+
+    def train_one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = [(np.frombuffer(a.as_buffer(), np.int16), np.frombuffer(b.as_buffer(), np.int8))
+                 for batch in batches for a, b in zip(batch.column("x"), batch.column("y"))]
+        model = train(*balanced(found)) or {}
+        yield pa.RecordBatch.from_pydict({"name": pa.array(list(model), pa.string()),
+                                          "shape": pa.array([list(v.shape) for v in model.values()], pa.list_(pa.int32())),
+                                          "data": pa.array([v.astype(np.float32).tobytes() for v in model.values()], pa.binary())})
+
+    trained = (chosen.mapInArrow(cut_windows, "x binary, y binary").repartition(1)
+               .mapInArrow(train_one, "name string, shape array<int>, data binary").collect())
+    return {r["name"]: np.frombuffer(r["data"], np.float32).astype(float).reshape(r["shape"]) for r in trained} or None
 
 
 def find(docs: DataFrame, model: dict[str, np.ndarray] | None) -> DataFrame:

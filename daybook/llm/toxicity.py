@@ -8,12 +8,15 @@ pair of terms can count where neither does alone.
 
 It is fitted in numpy on at most ``SAMPLE_TOXIC`` toxic and ``SAMPLE_CLEAN``
 other labelled rows of the training folds (chosen by hash of doc_id).  Every
-term seen in at least ``LEAST_ROWS`` of them gets a weight and a vector; no
-term is tested by itself.  Terms whose share differs between the classes by
-``LEAST_Z`` standard errors count in full.  All others count by the root of
-their number in the text, so a long text is not swamped by its ordinary words,
-but a pair of terms, each as frequent in both classes, is learned and scored.
-Whole texts are scored.
+term seen in at least ``LEAST_ROWS`` of them gets a weight and a vector.  Some
+count in full, whatever the text's length: terms whose share differs between
+the classes by ``LEAST_Z`` standard errors, and terms of a telling pair.  A pair
+tells if the toxic share of the rows with both terms lies ``PAIR_Z`` standard
+errors outside the shares that either term, and all rows, show, so both terms
+may be as frequent in both classes.  Pairs are looked at among terms in at
+least ``PAIR_SHARE`` of the rows, in blocks of a matrix product.  All other terms
+count by the root of their number in the text, so a long text is not swamped by
+its ordinary words.  Whole texts are scored.
 
 Defined cases: null text counts as empty; an empty text gets the score of the
 bias.  Without training rows of both classes every score is the share of toxic
@@ -39,6 +42,7 @@ from daybook.llm.common import fold_crc, whole_text
 
 SAMPLE_TOXIC, SAMPLE_CLEAN = 3000, 6000
 SPACE, LEAST_ROWS, LEAST_Z, RANK, EPOCHS = 1 << 18, 2, 4.0, 8, 30
+PAIR_SHARE, PAIR_Z, _BLOCK = 0.01, 6.0, 1024
 PLAIN_DECAY = 1e-2  # pull to zero of the weights that do not count in full
 _CACHE = 1 << 19
 _MARKS = ".,;:!?|#&%$*\"'()[]{}<>"
@@ -97,6 +101,31 @@ class Machine:
         return out
 
 
+def telling_pairs(rows: list[np.ndarray], labels: np.ndarray, terms: np.ndarray) -> np.ndarray:
+    """Those of ``terms`` that are in a telling pair."""
+    place = np.full(SPACE, -1, np.int32)
+    place[terms] = np.arange(len(terms))
+    present_in = np.zeros((len(terms), len(rows)), np.float32)
+    for i, r in enumerate(rows):
+        at = place[r]
+        present_in[at[at >= 0], i] = 1
+    y, share = labels.astype(np.float32), float(labels.mean())
+    own = (present_in @ y) / np.maximum(present_in.sum(1), 1)
+    told = np.zeros(len(terms), bool)
+    for a in range(0, len(terms), _BLOCK):
+        left = present_in[a:a + _BLOCK]
+        for b in range(a, len(terms), _BLOCK):
+            right = present_in[b:b + _BLOCK]
+            both, toxic = left @ right.T, (left * y) @ right.T
+            low = np.minimum(np.minimum(own[a:a + _BLOCK, None], own[None, b:b + _BLOCK]), share)
+            high = np.maximum(np.maximum(own[a:a + _BLOCK, None], own[None, b:b + _BLOCK]), share)
+            # rows beyond the nearest of the three shares, in standard errors of the rows with both
+            over = np.maximum(toxic - high * both, low * both - toxic)
+            i, j = np.nonzero(over > PAIR_Z * np.sqrt(share * (1 - share) * both))
+            told[a + i] = told[b + j] = True
+    return terms[told]
+
+
 def fit(rows: list[np.ndarray], labels: np.ndarray, seed: int = 4) -> Machine:
     """The machine for rows of present terms and labels 0 or 1."""
     column = np.full(SPACE, -1, np.int32)
@@ -110,6 +139,8 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, seed: int = 4) -> Machine:
     p = (seen1 + seen0) / (n1 + n0)
     z = np.abs(seen1 / n1 - seen0 / n0) / np.sqrt(np.maximum(p * (1 - p), 1e-12) * (1 / n1 + 1 / n0))
     z[(seen1 + seen0) < LEAST_ROWS] = -1
+    plain = np.flatnonzero((z >= 0) & (z < LEAST_Z) & (p >= PAIR_SHARE) & (p < 1))
+    z[telling_pairs(rows, labels, plain)] = LEAST_Z
     best = np.argsort(-z, kind="stable")[:int((z >= 0).sum())]
     column[best] = np.arange(len(best))
     rng = np.random.default_rng(seed)
@@ -156,11 +187,11 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, seed: int = 4) -> Machine:
             bias_first, bias_second = 0.9 * bias_first + 0.1 * err.sum(), 0.999 * bias_second + 0.001 * err.sum() ** 2
             bias -= 0.02 * (bias_first / (1 - 0.9 ** step)) / (np.sqrt(bias_second / (1 - 0.999 ** step)) + 1e-8)
     # the classes weigh alike in training, so 0.5 splits them
-    return dataclasses.replace(m, bias=float(bias), weights=theta[:, 0].astype(float), factors=theta[:, 1:].astype(float))
+    return dataclasses.replace(m, bias=float(bias), weights=theta[:, 0].copy(), factors=theta[:, 1:].copy())
 
 
-def training_rows(docs: DataFrame, labels: DataFrame) -> tuple[list[np.ndarray], np.ndarray]:
-    """Present terms and label of the bounded sample."""
+def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, label and present terms (packed int32) of the bounded sample."""
     usable = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").where(fold_crc("doc_id", 5) != 0)
     usable = usable.select("doc_id", F.col("toxic").cast("int").alias("_label")).withColumn("_order", F.xxhash64("doc_id"))
     toxic = usable.where("_label = 1").orderBy("_order", "doc_id").limit(SAMPLE_TOXIC)
@@ -174,14 +205,33 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> tuple[list[np.ndarray],
             yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id"), "label": b.column("_label"), "terms": pa.array(terms, pa.binary())})
 
     # the sample is bounded by its two parameters, so it may be broadcast
-    rows = (docs.select("doc_id", whole_text().alias("text")).join(F.broadcast(chosen), "doc_id")
-            .mapInArrow(take, "doc_id long, label int, terms binary").dropDuplicates(["doc_id"])).collect()
-    rows.sort(key=lambda r: r["doc_id"])
-    return [np.frombuffer(r["terms"], np.int32) for r in rows], np.array([r["label"] for r in rows], np.int64)
+    return (docs.select("doc_id", whole_text().alias("text")).join(F.broadcast(chosen), "doc_id")
+            .mapInArrow(take, "doc_id long, label int, terms binary").dropDuplicates(["doc_id"]))
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> Machine:
-    return fit(*training_rows(docs, labels))
+    """The machine fitted by one task on the sample; only its terms, weights
+    and vectors (at most 40 bytes for each of ``SPACE`` terms) come back."""
+    def fit_one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [(i.as_py(), y.as_py(), np.frombuffer(t.as_buffer(), np.int32)) for b in batches
+                for i, y, t in zip(b.column("doc_id"), b.column("label"), b.column("terms"))]
+        rows.sort(key=lambda r: r[0])
+        m = fit([r[2] for r in rows], np.array([r[1] for r in rows], np.int64))
+        terms = np.flatnonzero(m.column >= 0)
+        terms = terms[np.argsort(m.column[terms])].astype(np.int32)
+        yield pa.RecordBatch.from_pydict({
+            "bias": pa.array([m.bias], pa.float64()), "full": pa.array([m.full], pa.int32()), "terms": pa.array([terms.tobytes()], pa.binary()),
+            "weights": pa.array([m.weights.astype(np.float32).tobytes()], pa.binary()),
+            "factors": pa.array([m.factors.astype(np.float32).tobytes()], pa.binary())})
+
+    got = (training_rows(docs, labels).repartition(1)
+           .mapInArrow(fit_one, "bias double, full int, terms binary, weights binary, factors binary").collect())
+    if not got:
+        return fit([], np.zeros(0, np.int64))
+    m, column = got[0], np.full(SPACE, -1, np.int32)
+    terms = np.frombuffer(m["terms"], np.int32)
+    column[terms] = np.arange(len(terms), dtype=np.int32)
+    return Machine(column, m["bias"], np.frombuffer(m["weights"], np.float32), np.frombuffer(m["factors"], np.float32).reshape(-1, RANK), m["full"])
 
 
 def score_documents(docs: DataFrame, machine: Machine) -> DataFrame:

@@ -109,3 +109,30 @@ def test_every_span_and_number_of_a_text_teaches():
     x, y = pii.training_windows([text])
     last = pii.codes("in 1999")
     assert any((np.lib.stride_tricks.sliding_window_view(row, len(last)) == last).all(1).any() for row in x)
+
+
+def test_every_trained_form_is_found_in_held_out_texts(trained):
+    model, held = trained
+    rng, found = np.random.default_rng(17), {}
+    plain = {"email": "mary.lee7@mail3.example.com", "ip": "1.2.3.4", "card": "4111111111111111", "phone": "+1 (202) 555-0147"}
+    for kind, forms in pii.FORMS.items():
+        for name, form in forms.items():
+            texts, want = [], []
+            for t in held[:60]:
+                words = [w for w in t.split() if not re.search("[0-9@]", w)]
+                datum = form(pii.redrawn(kind, plain[kind], rng))
+                lead = " ".join(words[:8]) + " "
+                texts.append(f"{lead}{datum} {' '.join(words[8:])}")
+                want.append((kind, len(lead), len(lead) + len(datum)))
+            found[name] = sum(w in spans for w, (_, spans) in zip(want, pii.all_spans(texts, model))) / len(want)
+    assert min(found.values()) >= 0.8 and sum(found.values()) / len(found) >= 0.9, found
+    clean = [" ".join(w for w in t.split() if not re.search("[0-9@]", w)) for t in held]
+    others = [f"{c[:30]} {pii.other_number(rng)} {c[30:]}" for c in clean]
+    assert sum(bool(spans) for _, spans in pii.all_spans(others, model)) <= 0.05 * len(others)
+
+
+def test_a_model_learned_on_a_table_is_the_same_each_time(make):
+    rows = [(i, f"write to user{i}.{i % 7}@mail{i % 5}.example.com or call +1 (20{i % 10}) 555-01{i % 90 + 10} in 20{i % 30 + 10}") for i in range(40)]
+    a, b = pii.learn(make(rows)), pii.learn(make(rows[::-1]))
+    assert a.keys() == pii.new_model().keys() and all((a[k] == b[k]).all() and a[k].shape == pii.new_model()[k].shape for k in a)
+    assert pii.learn(make([(1, "no number"), (2, None)])) is None and pii.learn(make([(1, "in 1999")])) is None

@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pytest
 
 from daybook.llm import toxicity
 from daybook.llm.queries import QUERIES
@@ -44,6 +45,34 @@ def test_learns_a_pair_of_terms_as_frequent_in_both_classes():
     assert min(one, other) > 1 and max(both, none) < -1
 
 
+@pytest.mark.parametrize("others", [12, 60, 150, 300, 2000])
+def test_a_pair_counts_in_long_texts_as_in_short_ones(others):
+    rng = random.Random(others)
+    words = [f"n{i}" for i in range(max(40, 2 * others))]
+    n = 1600 if others < 1000 else 800
+
+    def row(a, b):
+        return toxicity.present(" ".join(rng.sample(words, others) + ["insult"] * a + ["group"] * b), toxicity.TermIndex())
+    rows = [row(i % 2, i // 2 % 2) for i in range(n)]
+    m = toxicity.fit(rows, np.array([(i % 2) ^ (i // 2 % 2) for i in range(n)]))
+    held = [(a ^ b, row(a, b)) for a in (0, 1) for b in (0, 1) for _ in range(25)]
+    logits = m.logits([c[c >= 0] for c in (m.column[r] for _, r in held)])
+    assert sum((x > 0) == bool(y) for x, (y, _) in zip(logits, held)) / len(held) > 0.9
+
+
+def test_scores_equal_plain_pairwise_sums():
+    rng = np.random.default_rng(7)
+    column = np.full(toxicity.SPACE, -1, np.int32)
+    m = toxicity.Machine(column, -0.3, rng.normal(size=40), rng.normal(size=(40, 8)), full=10)
+    rows = [np.sort(rng.choice(40, n, replace=False)) for n in (0, 1, 2, 17, 40)]
+    for got, places in zip(m.logits(rows), rows):
+        n_plain = sum(int(i) >= 10 for i in places)
+        x = {int(i): 1.0 if i < 10 else (1 + n_plain) ** -0.5 for i in places}
+        want = -0.3 + sum(m.weights[i] * v for i, v in x.items())
+        want += sum(float(m.factors[i] @ m.factors[j]) * x[i] * x[j] for i in x for j in x if i < j)
+        assert abs(got - want) < 1e-9
+
+
 def test_held_out_accuracy_and_inputs(spark):
     got = {r["doc_id"]: r for r in QUERIES["op4_toxicity"](spark, SF).collect()}
     labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
