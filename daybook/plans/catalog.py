@@ -19,8 +19,10 @@ from daybook.operators import identity, legacy, metrics, quality
 from daybook.schema import FLAT_COLUMNS, KAFKA_SCHEMA
 from daybook.session import run_dir, use_utc
 from daybook.sinks.archive import archive_lines, read_archive, write_archive, write_legacy_lines
+from daybook.sinks.bucketed import BucketedVisitors
 from daybook.sinks.counts import FilterCounts
 from daybook.sinks.daily import DailyIncrements
+from daybook.sinks.merge import merge_days
 from daybook.sinks.totals import DailyTotals
 from daybook.sinks.visitors import SeenVisitors
 from daybook.sources import fixtures
@@ -212,6 +214,17 @@ def q_seen_visitors(spark, sf_dir):
     return day_text(seen.visitors())
 
 
+def q_seen_bucketed(spark, sf_dir):
+    """The same through the store bucketed by visitor, opened again for every batch."""
+    base = run_dir(spark, "seen_bucketed")
+    staged = _staged(spark, sf_dir, base, _visitors, VISITOR)
+    uv = DailyIncrements(spark, f"{base}/uv")
+    for b in range(fixtures.N_BATCHES):
+        seen = BucketedVisitors(spark, f"{base}/seen", buckets=8)
+        uv.write(seen.add(staged.where(F.col("batch") == b), REPLAY.id, b), REPLAY.id, b)
+    return day_text(seen.counts().join(uv.amounts(), "dt", "full"))
+
+
 def q_seen_expire_totals(spark, sf_dir):
     """The first day is dropped from the store; a visitor who comes late for
     it still adds one to the day's total."""
@@ -397,6 +410,19 @@ def q_resume_totals(spark, sf_dir):
     return total("pv", out.pv).unionByName(total("uv", out.uv)).unionByName(outbox)
 
 
+def q_archive_merged(spark, sf_dir):
+    """The archive of four batches, compressed, after its past days were merged."""
+    base = run_dir(spark, "archive_merged")
+    raw = fixtures.wire_events(events(spark, sf_dir))
+    raw.write.partitionBy("batch").parquet(f"{base}/input")
+    staged = spark.read.parquet(f"{base}/input")
+    for b in range(fixtures.N_BATCHES):
+        flat = parse_events(staged.where(F.col("batch") == b), keep=["ingest_ts"], ingest_ts=None)
+        write_archive(archive_lines(flat), f"{base}/archive", REPLAY.id, b, codec="gzip")
+    merge_days(spark, f"{base}/archive", "2999-01-01")
+    return day_text(read_archive(spark, f"{base}/archive").select("dt", F.col("value").alias("line")))
+
+
 def q_archive_lines(spark, sf_dir):
     """The event job over a topic with truncated documents: the archive holds
     the good rows and no other."""
@@ -471,6 +497,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "batch_dedup": q_batch_dedup,
     "new_visitors": q_new_visitors,
     "seen_visitors": q_seen_visitors,
+    "seen_bucketed": q_seen_bucketed,
     "seen_expire_totals": q_seen_expire_totals,
     "seen_ttl": q_seen_ttl,
     "filter_counts": q_filter_counts,
@@ -488,6 +515,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "daily_archive": q_daily_archive,
     "archive_lines": q_archive_lines,
     "archive_stream": q_archive_stream,
+    "archive_merged": q_archive_merged,
     "offset_ledger": q_offset_ledger,
     "offset_ledger_rollback": q_offset_ledger_rollback,
     "starting_offsets": q_starting_offsets,

@@ -155,6 +155,9 @@ ORACLE: dict[str, str] = {
         "SELECT DISTINCT dt, unionid FROM E WHERE unionid IS NOT NULL AND batch = 3 "
         "EXCEPT SELECT DISTINCT dt, unionid FROM E WHERE unionid IS NOT NULL AND batch < 3)"),
     "seen_visitors": f"{E} SELECT DISTINCT {DAY} AS dt, unionid FROM E WHERE unionid IS NOT NULL",
+    "seen_bucketed": (
+        f"{E} SELECT {DAY} AS dt, count(DISTINCT unionid) AS uv, count(DISTINCT unionid) AS amount FROM E "
+        "WHERE unionid IS NOT NULL GROUP BY dt"),
     "filter_counts": _FILTER_COUNTS,
     "filter_counts_stream": _FILTER_COUNTS,
     "seen_expire_totals": (
@@ -183,6 +186,7 @@ ORACLE: dict[str, str] = {
         f"UNION ALL SELECT 'uv', {DAY}, count(DISTINCT unionid) FROM E WHERE unionid IS NOT NULL GROUP BY dt "
         f"UNION ALL SELECT 'outbox', event_id || ' ' || {_BODY}, 1 FROM E WHERE {_DOCUMENTED}"),
     "daily_archive": f"{E} SELECT {DAY} AS dt, {LINE} AS line FROM E",
+    "archive_merged": f"{E} SELECT {DAY} AS dt, {LINE} AS line FROM E",
     "archive_stream": f"{E} SELECT {DAY} AS dt, {LINE} AS line FROM E",
     "archive_lines": f"{E} SELECT {DAY} AS dt, {LINE} AS line FROM E WHERE event_id % 97 <> 0",
     "offset_ledger": (

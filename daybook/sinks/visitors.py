@@ -20,7 +20,6 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
-from daybook.operators.metrics import new_visitors
 from daybook.session import delete_partition, list_files, list_partitions, path_exists, remove_dir
 
 SEEN_SCHEMA = T.StructType([
@@ -81,19 +80,18 @@ class SeenVisitors:
         days = touched_days(fresh)
         if counts:  # one row a visitor and day, with the number of its rows
             fresh = fresh.observe(counts[0], F.sum("n").alias("n"))
-            new = fresh.join(self._of_days(days).select("dt", "unionid").dropDuplicates(), ["dt", "unionid"], "left_anti")
-            new = new.observe(counts[1], F.sum("n").alias("n")).select("dt", "unionid")
+            new = self._not_stored(fresh, days).observe(counts[1], F.sum("n").alias("n")).select("dt", "unionid")
         elif unseen_days:
             known = F.col("dt").isin(unseen_days)
             new = fresh.where(known).select("dt", "unionid").dropDuplicates()
             looked_up = None if days is None else [d for d in days if d not in set(unseen_days)]
             if looked_up is None or looked_up:
-                new = new.unionByName(new_visitors(fresh.where(~known), self._of_days(looked_up)))
+                rest = fresh.where(~known).select("dt", "unionid").dropDuplicates()
+                new = new.unionByName(self._not_stored(rest, looked_up))
         else:
-            new = new_visitors(fresh, self._of_days(days))
+            new = self._not_stored(fresh.select("dt", "unionid").dropDuplicates(), days)
         new = new.withColumns({"run": F.lit(run), "batch_id": F.lit(batch_id).cast("long")})
-        # files per day follow the size of the day, not the number of tasks
-        new.hint("rebalance", "dt").write.mode("append").partitionBy("dt").parquet(self.path)
+        self._append(new)
         own = self._of_days(days).where((F.col("run") == run) & (F.col("batch_id") == batch_id))
         brought = own.dropDuplicates(["dt", "unionid"]).groupBy("dt").agg(F.count(F.lit(1)).alias("n"))
         if self.ttl is not None:
@@ -103,6 +101,18 @@ class SeenVisitors:
             self.expire_quiet(now)
         return brought
 
+    def _not_stored(self, visitors: DataFrame, days: list | None) -> DataFrame:
+        """The rows of ``visitors`` (distinct by ``dt, unionid``) that the
+        store does not have; ``days`` are all their days, if listed."""
+        return visitors.join(self._of_days(days).select("dt", "unionid").dropDuplicates(), ["dt", "unionid"], "left_anti")
+
+    def _append(self, rows: DataFrame) -> None:
+        # files per day follow the size of the day, not the number of tasks
+        rows.hint("rebalance", "dt").write.mode("append").partitionBy("dt").parquet(self.path)
+
+    def _drop_day(self, day: str) -> None:
+        delete_partition(self.spark, self.path, "dt", day)
+
     def last_added(self) -> DataFrame:
         """``dt, added_at``: when a visitor was last added to each day."""
         if not path_exists(self.spark, self._added):
@@ -119,7 +129,7 @@ class SeenVisitors:
         stored = set(list_partitions(self.spark, self.path, "dt"))
         gone = sorted({str(r["dt"]) for r in quiet.select("dt").collect()} & stored)  # days, never rows
         for d in gone:
-            delete_partition(self.spark, self.path, "dt", d)
+            self._drop_day(d)
         return gone
 
     def expire(self, before) -> list[str]:
@@ -130,7 +140,7 @@ class SeenVisitors:
         cutoff = str(before)
         gone = sorted(d for d in list_partitions(self.spark, self.path, "dt") if d < cutoff)
         for d in gone:
-            delete_partition(self.spark, self.path, "dt", d)
+            self._drop_day(d)
         return gone
 
     def compact(self, before) -> list[str]:
@@ -142,8 +152,7 @@ class SeenVisitors:
             files = list_files(self.spark, f"{self.path}/dt={d}")
             if len(files) < 2:
                 continue
-            (self._of_days([d]).dropDuplicates(["dt", "unionid", "run", "batch_id"]).hint("rebalance", "dt")
-             .write.mode("append").partitionBy("dt").parquet(self.path))
+            self._append(self._of_days([d]).dropDuplicates(["dt", "unionid", "run", "batch_id"]))
             for f in files:
                 remove_dir(self.spark, f)
             done.append(d)

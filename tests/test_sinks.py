@@ -270,3 +270,53 @@ def test_daily_totals_overwrite_and_runs_add_up(spark, workdir):
     totals.write(frame((D2, 1)), "b", 0, F.lit(t2))
     assert {r["dt"]: tuple(r)[1:] for r in totals.totals().collect()} == {D1: (9, t2, t2), D2: (3, t2, t2)}
     assert totals.read().count() == 4
+
+
+def test_the_bucketed_store_is_read_without_a_shuffle(spark, workdir):
+    from daybook.sinks.bucketed import BucketedVisitors
+    rows = lambda *r: spark.createDataFrame(list(r), "dt date, unionid string")
+    store = BucketedVisitors(spark, f"{workdir}/seen", buckets=4)
+    for _ in range(2):
+        got = store.add(rows((D1, "a"), (D1, "a"), (D1, "b"), (D2, "a")), "r", 0).collect()
+        assert {r["dt"]: r["n"] for r in got} == {D1: 2, D2: 1}
+    assert {r["dt"]: r["n"] for r in store.add(rows((D1, "a"), (D1, "c"), (D2, None)), "r", 1).collect()} == {D1: 1}
+    plan = store._not_stored(rows((D1, "z")).dropDuplicates(), [D1])._jdf.queryExecution().executedPlan().toString()
+    join = plan.index("SortMergeJoin")
+    known = plan[plan.index("_known", join + 200):]
+    right = plan[plan.rindex("Sort [_known"):]
+    assert "Exchange" not in right and "Bucketed: true" in right and "PartitionFilters: [" in right and known
+    spark.sql(f"DROP TABLE {store.table}")  # another session finds the days again
+    again = BucketedVisitors(spark, f"{workdir}/seen", buckets=4)
+    assert {r["dt"]: r["uv"] for r in again.counts().collect()} == {D1: 3, D2: 1}
+    assert again.compact("2024-01-02") == ["2024-01-01"]
+    assert again.add(rows((D1, "c"), (D2, "b")), "r", 2).collect() == [(D2, 1)]
+    assert again.expire(D2) == ["2024-01-01"]
+    assert {r["dt"]: r["uv"] for r in again.counts().collect()} == {D2: 2}
+    assert again.add(rows((D1, "a")), "r", 3).collect() == [(D1, 1)]
+
+
+def test_merged_days_and_runs_hold_the_same_rows(spark, workdir):
+    import glob
+    from daybook.sinks.daily import write_batch
+    from daybook.sinks import merge
+    path, out = f"{workdir}/archive", f"{workdir}/outbox"
+    for b in range(3):
+        write_archive(spark.createDataFrame([(D1, f"a{b}"), (D2, f"b{b}")], "dt date, value string").repartition(2), path, "r", b)
+        write_batch(spark.createDataFrame([(b, "x")], "offset long, body string"), out, "r", b)
+    lines = lambda: sorted((r["dt"], r["value"]) for r in read_archive(spark, path).collect())
+    before = lines()
+    assert merge.merge_days(spark, path, D2) == ["2024-01-01"] and lines() == before
+    assert len(glob.glob(f"{path}/dt=2024-01-01/*/*/part-*")) == 1
+    assert merge.merge_days(spark, path, D2) == []
+    # a crash after the old files went: the merged ones are taken from beside
+    spark.createDataFrame([(f"b{b}",) for b in range(3)], "value string").write.text(f"{path}/{merge.MERGING}/dt=2024-01-02")
+    from daybook.session import remove_dir
+    remove_dir(spark, f"{path}/dt=2024-01-02")
+    assert merge.merge_days(spark, path, "2024-01-03") == ["2024-01-02"] and lines() == before
+    # a crash while writing beside: no success mark, so it begins anew
+    write_archive(spark.createDataFrame([(D1, "late")], "dt date, value string"), path, "s", 0)
+    spark.createDataFrame([("half",)], "value string").write.text(f"{path}/{merge.MERGING}/dt=2024-01-01")
+    remove_dir(spark, f"{path}/{merge.MERGING}/dt=2024-01-01/_SUCCESS")
+    assert merge.merge_days(spark, path, D2) == ["2024-01-01"] and lines() == sorted([*before, (D1, "late")])
+    assert merge.merge_run(spark, out, "r") and not merge.merge_run(spark, out, "r")
+    assert sorted((r["offset"], r["run"]) for r in spark.read.parquet(out).collect()) == [(0, "r"), (1, "r"), (2, "r")]
