@@ -18,9 +18,11 @@ A word outside the vocabulary gets the probability of "any other word" times
 its smoothed share among those, so probabilities of a context sum to one.
 
 Training goes over all tokens of the training documents, written once as
-output numbers: each of at most ``TRAIN_TASKS`` tasks takes AdaGrad steps on
-the noise-contrastive loss of the classes and of the words in their class over
-its share, the parameters are averaged block by block, ``ROUNDS`` times.
+output numbers and dealt by hash to tasks of about ``TASK_TOKENS`` tokens: each
+takes AdaGrad steps on the noise-contrastive loss of the classes and of the
+words in their class over its share and sends on the rows of the parameters
+that it changed; a row's new value is the mean over the tasks that changed it.
+This is done ``ROUNDS`` times.
 
 Word counts: words frequent enough to be among about ``HEAD`` go to every task
 (two numbers each, a fixed bound).  Rare words, none of them hot, are joined
@@ -43,6 +45,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -50,11 +53,11 @@ from daybook.llm.common import cut, fold_crc, whole_text
 from daybook.llm.near_dedup import WordHashes, small_batches, tokens
 
 LEAST, FLAT, DIM, NOISE, BATCH, ROUNDS, RATE = 5, 256, 16, 128, 2048, 3, 0.1
-TRAIN_TASKS, HEAD = 64, 1 << 19
+TASK_TOKENS, FAN_IN, HEAD = 1 << 22, 32, 1 << 19
 DAMP = 1e-6  # AdaGrad sums start here, which slows rows seen seldom
 END = b"\n"  # no word contains white space
 _CACHE = 1 << 19
-_PIECE, _BLOCK = 1 << 9, 1 << 18  # tokens of one matrix product, parameters of one block
+_PIECE, _BLOCK, _CHUNK = 1 << 9, 1 << 13, 1 << 19  # tokens of one matrix product, rows of one block, tokens of one share
 
 
 def word_hash(word: bytes) -> int:
@@ -189,15 +192,18 @@ def _contexts(outputs: np.ndarray, lengths: np.ndarray, w: Words) -> tuple[np.nd
 
 
 def numbers(train: DataFrame, w: Words) -> DataFrame:
-    """(ids): outputs of whole documents, int32; each document ends with a 0."""
+    """(k, ids): a hash of doc_id, and the outputs of the whole document, int32,
+    which end with a 0."""
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         outputs = Outputs(w)
         for batch in batches:
             for part in small_batches(batch):
-                ws = [[*tokens(t.as_py()), END] for t in part.column("text")]
-                out = np.fromiter(map(outputs.__getitem__, chain.from_iterable(ws)), np.int32, sum(map(len, ws)))
-                yield pa.RecordBatch.from_pydict({"ids": pa.array([out.tobytes()], pa.binary())})
-    return train.select("text").mapInArrow(take, "ids binary")
+                ids = []
+                for t in part.column("text"):
+                    ws = [*tokens(t.as_py()), END]
+                    ids.append(np.fromiter(map(outputs.__getitem__, ws), np.int32, len(ws)).tobytes())
+                yield pa.RecordBatch.from_pydict({"k": part.column("k"), "ids": pa.array(ids, pa.binary())})
+    return train.select(F.xxhash64("doc_id").alias("k"), "text").mapInArrow(take, "k long, ids binary")
 
 
 def class_edges(w: Words) -> np.ndarray:
@@ -235,16 +241,6 @@ class Model:
     def parts(self) -> list[np.ndarray]:
         return [self.r, self.q, self.k, self.c, self.bias, self.top_bias]
 
-    def flat(self) -> np.ndarray:
-        return np.concatenate([p.ravel() for p in self.parts()])
-
-    def unflat(self, x: np.ndarray) -> Model:
-        out, at = [], 0
-        for p in self.parts():
-            out.append(x[at:at + p.size].reshape(p.shape))
-            at += p.size
-        return Model(*out, self.edges)
-
     def class_of(self, out: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.edges, out, "right") - 1
 
@@ -362,38 +358,79 @@ def train_share(model: Model, noise_share: np.ndarray, a: np.ndarray, b: np.ndar
     return Model(r, q, k, c, bias, top_bias, edges)
 
 
-def train(ids: DataFrame, w: Words) -> Model:
-    """The model after ROUNDS of passes over all tokens.  Of the parameters of
-    at most TRAIN_TASKS tasks (one a core), each block is averaged in a task, and one set of
-    parameters returns."""
-    model, share = Model.start(w), w.unigram()
-    rows = cut(ids.hint("rebalance")).coalesce(min(TRAIN_TASKS, ids.sparkSession.sparkContext.defaultParallelism))
+def changes(old: Model, new: Model, weight: float, lane: int) -> Iterator[pa.RecordBatch]:
+    """The rows of the parameters that a pass has changed, with the changes in
+    16 bits, a block of rows of one parameter at a time."""
+    for k, (a, b) in enumerate(zip(old.parts(), new.parts())):
+        a, b = a.reshape(len(a), -1), b.reshape(len(b), -1)
+        rows = np.flatnonzero((a != b).any(1))
+        for part in np.split(rows, np.flatnonzero(np.diff(rows // _BLOCK)) + 1) if len(rows) else ():
+            yield _message(k, int(part[0]) // _BLOCK, lane, part, np.full(len(part), weight), (b[part] - a[part]).astype(np.float16))
+
+
+def _message(k: int, block: int, lane: int, rows: np.ndarray, weights: np.ndarray, change: np.ndarray) -> pa.RecordBatch:
+    data = {c: pa.array([x.tobytes()], pa.binary()) for c, x in
+            (("rows", rows.astype(np.int32)), ("weights", weights.astype(np.float64)), ("change", change))}
+    return pa.RecordBatch.from_pydict({"k": pa.array([k], pa.int32()), "block": pa.array([block], pa.int32()),
+                                       "lane": pa.array([lane], pa.int32()), "wide": pa.array([change.dtype == np.float32])} | data)
+
 
-    def mean(t: pa.Table) -> pa.Table:
-        total, weight = 0.0, 0.0
-        for flat, n in zip(t.column("flat"), t.column("weight").to_numpy()):
-            total, weight = total + n * np.frombuffer(flat.as_buffer(), np.float16).astype(float), weight + n
-        return pa.table({"block": t.column("block")[:1], "flat": pa.array([(total / weight).astype(np.float32).tobytes()], pa.binary())})
+_MESSAGE = "k int, block int, lane int, wide boolean, rows binary, weights binary, change binary"
+
+
+def merged(t: pa.Table) -> pa.Table:
+    """The messages about one block as one: a row's change is the mean over
+    those that changed it, by their weights."""
+    k, block = t.column("k")[0].as_py(), t.column("block")[0].as_py()
+    total, weight = None, np.zeros(_BLOCK)
+    # in an order that does not depend on which task was ready first
+    messages = sorted(zip(t.column("lane").to_pylist(), t.column("wide").to_pylist(), *(t.column(c).to_pylist() for c in ("rows", "weights", "change"))))
+    for _, wide, rows, weights, change in messages:
+        at, n = np.frombuffer(rows, np.int32) - block * _BLOCK, np.frombuffer(weights, np.float64)
+        x = np.frombuffer(change, np.float32 if wide else np.float16).reshape(len(at), -1)
+        total = np.zeros((_BLOCK, x.shape[1])) if total is None else total
+        total[at] += n[:, None] * x
+        weight[at] += n
+    at = np.flatnonzero(weight)
+    return pa.Table.from_batches([_message(k, block, 0, at + block * _BLOCK, weight[at], (total[at] / weight[at][:, None]).astype(np.float32))])
+
+
+def train(ids: DataFrame, w: Words, task_tokens: int = TASK_TOKENS) -> Model:
+    """The model after ROUNDS of passes over all tokens.
+
+    Documents are dealt to tasks by hash, so many that each has about
+    ``task_tokens`` tokens: what a task sees does not depend on the cluster.  A
+    task sends on the rows that it changed, and these are merged block by block,
+    ``FAN_IN`` tasks at a time.
+    """
+    model, share = Model.start(w), w.unigram()
+    tasks = max(1, -(-w.n // task_tokens))
+    rows = cut(ids.repartition(tasks, F.xxhash64("k", "ids")).sortWithinPartitions("k", "ids"))
 
     for turn in range(ROUNDS):
         def one_pass(batches: Iterator[pa.RecordBatch], model: Model = model, turn: int = turn) -> Iterator[pa.RecordBatch]:
-            total, seen, now = 0.0, 0, model
-            for batch in batches:
-                for x in batch.column("ids"):
-                    out = np.frombuffer(x.as_buffer(), np.int32)
-                    a, b = _contexts(out, np.diff(np.r_[-1, np.flatnonzero(out == 0)]), w)
-                    seen += 1
-                    total += len(out)
+            total, seen, now, held, size = 0.0, 0, model, [], 0
+            for x in chain((x for batch in batches for x in batch.column("ids")), [None]):
+                if x is not None:
+                    held.append(np.frombuffer(x.as_buffer(), np.int32))
+                    size += len(held[-1])
+                if held and (x is None or size >= _CHUNK):
+                    out = np.concatenate(held)
+                    a, b = _contexts(out, np.array([len(d) for d in held]), w)
+                    seen, total, held, size = seen + 1, total + len(out), [], 0
                     now = train_share(now, share, a, b, out, np.ones(len(out)), 1000 * turn + seen)
-            # what the task changed, in 16 bits: half of what the tasks shuffle
-            flat = (now.flat() - model.flat()).astype(np.float16) if seen else np.zeros(0, np.float16)
-            for at in range(0, len(flat), _BLOCK):
-                yield pa.RecordBatch.from_pydict({"block": pa.array([at // _BLOCK]), "weight": pa.array([total]),
-                                                  "flat": pa.array([flat[at:at + _BLOCK].tobytes()], pa.binary())})
-        got = (rows.mapInArrow(one_pass, "block long, weight double, flat binary")
-               .groupBy("block").applyInArrow(mean, "block long, flat binary").collect())
-        if got:
-            model = model.unflat(model.flat() + np.concatenate([np.frombuffer(x["flat"], np.float32) for x in sorted(got, key=lambda x: x["block"])]))
+            if seen:
+                yield from changes(model, now, total, TaskContext.get().partitionId())
+
+        got = rows.mapInArrow(one_pass, _MESSAGE)
+        if tasks > FAN_IN:
+            got = got.groupBy("k", "block", F.floor(F.col("lane") / FAN_IN).alias("_lane")).applyInArrow(merged, _MESSAGE)
+        parts = [p.copy() for p in model.parts()]
+        for m in got.groupBy("k", "block").applyInArrow(merged, _MESSAGE).collect():  # one set of parameters
+            p = parts[m["k"]]
+            at = np.frombuffer(m["rows"], np.int32)
+            p[at] += np.frombuffer(m["change"], np.float32).reshape(len(at), *p.shape[1:])
+        model = Model(*parts, model.edges)
     return model
 
 

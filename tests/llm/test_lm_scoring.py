@@ -2,9 +2,11 @@
 
 import collections
 import math
+import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from daybook.llm import lm_scoring as lm
@@ -88,3 +90,34 @@ def test_pairs_of_words_beyond_the_first_thousand_are_learned(make):
     got = [(r["per_token"], fits[r["doc_id"]]) for r in lm.score(make(rows)).collect() if r["held_out"]]
     mean = [np.mean([p for p, f in got if f is which]) for which in (False, True)]
     assert mean[1] - mean[0] > 0.05
+
+
+def test_training_does_not_depend_on_how_the_rows_lie(make):
+    rng = random.Random(21)
+    rows = [(i, " ".join(rng.choice("abcdefghij") * rng.randrange(1, 3) for _ in range(rng.randrange(1, 60)))) for i in range(200)]
+    train = make(rows)
+    w, _ = lm.frequent(lm.word_counts(train), None, 1 << 10)
+    models = [lm.train(lm.numbers(df, w), w, task_tokens=900) for df in (train.repartition(1), make(rows[::-1]).repartition(5))]
+    assert -(-w.n // 900) > 3  # several tasks, whose changes are merged
+    for a, b in zip(models[0].parts(), models[1].parts()):
+        assert (a == b).all()
+
+
+def test_merged_changes_are_the_mean_over_the_tasks_that_made_them():
+    w = lm.Words(np.arange(21, dtype=np.uint64), np.r_[50, np.full(20, 100)], np.r_[0, np.arange(1, 21)].astype(np.int32), 20, 2500, 40)
+    old, rng = lm.Model.start(w), np.random.default_rng(3)
+    sent, sums, weight = [], {}, {}
+    for lane in range(70):
+        new = lm.Model(*[p.copy() for p in old.parts()], old.edges)
+        for row in rng.choice(22, 3, replace=False):
+            change = rng.normal(size=16).astype(np.float16)
+            new.q[row] += change
+            sums[row] = sums.get(row, 0) + (lane + 1) * (new.q[row] - old.q[row]).astype(np.float16).astype(float)
+            weight[row] = weight.get(row, 0) + lane + 1
+        sent += list(lm.changes(old, new, lane + 1.0, lane))
+    assert all(b.column("k")[0].as_py() == 1 for b in sent)  # nothing but what changed
+    first = [lm.merged(pa.Table.from_batches(sent[i:i + 32])) for i in range(0, len(sent), 32)]
+    out = lm.merged(pa.concat_tables(first))
+    rows, got = (np.frombuffer(out.column(c)[0].as_py(), t) for c, t in (("rows", np.int32), ("change", np.float32)))
+    assert rows.tolist() == sorted(sums)
+    assert np.allclose(got.reshape(len(rows), 16), [sums[r] / weight[r] for r in rows], atol=1e-5)
