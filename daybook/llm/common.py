@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -45,6 +47,15 @@ def fold_crc(doc_id: Column | str, mod: int) -> Column:
     return F.crc32(F.coalesce(c.cast("string"), F.lit("")).cast("binary")) % mod
 
 
+def give_back() -> None:
+    """Hand freed memory back to the system, after a step that needed much: the
+    Python worker that ran it lives on beside the executor's heap."""
+    gc.collect()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc alone
+    if trim is not None:
+        trim(0)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage: a reliable checkpoint in the cluster's shared folder."""
     shared_dir(df.sparkSession)

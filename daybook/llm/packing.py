@@ -7,9 +7,13 @@ of its bucket.  Inside a bucket, documents fill batches of ``BUDGET`` padded
 tokens, so a batch of the bucket with bound b holds max(1, BUDGET // b)
 documents.  A document longer than the budget is a batch by itself, whole.
 
-Lengths are counts of words between white space plus one end token.
+Lengths are counts of words between white space plus one end token, or a column
+of the table (``length``), such as the ``n_tokens`` of
+:func:`daybook.llm.token_counts.count_tokens`, which is what a text without
+white space needs.
 
-Defined cases: null text counts as empty (one token); rows with equal lengths
+Defined cases: null text counts as empty (one token), a null length as 1 and a
+length under 1 as 1; extra columns are not read and do not come out; rows with equal lengths
 are in one bucket and take places by hash of their doc_id, then doc_id, then
 checksum of the text; repeated rows take places of their own; an empty table
 gives an empty result.
@@ -82,10 +86,11 @@ def padding(histogram: dict[int, int], bounds: list[int]) -> int:
     return sum(n * (next(b for b in bounds if b >= x) - x) for x, n in histogram.items())
 
 
-def pack(docs: DataFrame, buckets: int = BUCKETS, budget: int = BUDGET) -> DataFrame:
+def pack(docs: DataFrame, buckets: int = BUCKETS, budget: int = BUDGET, length: str | None = None) -> DataFrame:
     """doc_id, n_tokens, bucket, bucket_len, batch, place, padding of every row."""
     # the texts are read once; what follows needs three numbers a row
-    rows = cut(docs.select("doc_id", token_count(whole_text()).alias("n_tokens"),
+    tokens = F.greatest(F.col(length).cast("long"), F.lit(1).cast("long")) if length else token_count(whole_text())
+    rows = cut(docs.select("doc_id", tokens.alias("n_tokens"),
                            F.crc32(whole_text().cast("binary")).alias("_crc")))
     histogram = {r["n_tokens"]: r["count"] for r in rows.groupBy("n_tokens").count().collect()}
     bounds = best_bounds(histogram, buckets)

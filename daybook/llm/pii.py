@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daybook.llm.common import whole_text
+from daybook.llm.common import give_back, whole_text
 from daybook.llm.near_dedup import small_batches
 
 KINDS = ("email", "ip", "card", "phone")
@@ -534,6 +534,8 @@ def learn(docs: DataFrame, sample: int = SAMPLE_DOCS) -> dict[str, np.ndarray] |
         found = [(np.frombuffer(a.as_buffer(), np.int16), np.frombuffer(b.as_buffer(), np.int8))
                  for batch in batches for a, b in zip(batch.column("x"), batch.column("y"))]
         model = train(*balanced(found)) or {}
+        del found
+        give_back()
         yield pa.RecordBatch.from_pydict({"name": pa.array(list(model), pa.string()),
                                           "shape": pa.array([list(v.shape) for v in model.values()], pa.list_(pa.int32())),
                                           "data": pa.array([v.astype(np.float32).tobytes() for v in model.values()], pa.binary())})

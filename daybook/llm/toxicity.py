@@ -29,8 +29,9 @@ clashes with a result column is replaced.
 from __future__ import annotations
 
 import dataclasses
-import hashlib
+from array import array
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -38,11 +39,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daybook.llm.common import fold_crc, whole_text
+from daybook.llm.common import fold_crc, give_back, whole_text
 
 SAMPLE_TOXIC, SAMPLE_CLEAN = 3000, 6000
 SPACE, LEAST_ROWS, LEAST_Z, RANK, EPOCHS = 1 << 18, 2, 4.0, 8, 30
-PAIR_SHARE, PAIR_Z, _BLOCK = 0.01, 6.0, 1024
+PAIR_SHARE, PAIR_Z, _BLOCK = 0.05, 12.0, 512
 PLAIN_DECAY = 1e-2  # pull to zero of the weights that do not count in full
 _CACHE = 1 << 19
 _MARKS = ".,;:!?|#&%$*\"'()[]{}<>"
@@ -51,7 +52,7 @@ _MARKS = ".,;:!?|#&%$*\"'()[]{}<>"
 def word_terms(word: str) -> list[int]:
     bare = word.strip(_MARKS)
     parts = {f"w{bare}"} | {f"p{bare[:k]}" for k in (3, 4, 5) if len(bare) >= k} if bare else set()
-    return [int.from_bytes(hashlib.blake2b(p.encode(), digest_size=4).digest(), "little") % SPACE for p in parts]
+    return [crc32(p.encode()) % SPACE for p in parts]
 
 
 class TermIndex(dict):
@@ -60,16 +61,18 @@ class TermIndex(dict):
 
     def __init__(self, column: np.ndarray | None = None):
         super().__init__()
-        self.column = column
+        self.place = None
+        if column is not None:
+            kept = np.flatnonzero(column >= 0)
+            self.place = dict(zip(kept.tolist(), column[kept].tolist()))
 
     def __missing__(self, word: bytes) -> bytes:
-        terms = np.array(word_terms(word.decode("utf-8", "replace")), np.int32)
-        if self.column is not None:
-            terms = self.column[terms]
-            terms = terms[terms >= 0]
+        terms = word_terms(word.decode("utf-8", "replace"))
+        if self.place is not None:
+            terms = [self.place[t] for t in terms if t in self.place]
         if len(self) >= _CACHE:
             self.clear()
-        self[word] = packed = terms.astype(np.int32).tobytes()
+        self[word] = packed = array("i", terms).tobytes()
         return packed
 
 
@@ -105,17 +108,17 @@ def telling_pairs(rows: list[np.ndarray], labels: np.ndarray, terms: np.ndarray)
     """Those of ``terms`` that are in a telling pair."""
     place = np.full(SPACE, -1, np.int32)
     place[terms] = np.arange(len(terms))
-    present_in = np.zeros((len(terms), len(rows)), np.float32)
+    present_in = np.zeros((len(terms), len(rows)), bool)
     for i, r in enumerate(rows):
         at = place[r]
-        present_in[at[at >= 0], i] = 1
+        present_in[at[at >= 0], i] = True
     y, share = labels.astype(np.float32), float(labels.mean())
-    own = (present_in @ y) / np.maximum(present_in.sum(1), 1)
+    own = np.array([x[labels == 1].sum() / max(1, x.sum()) for x in present_in], np.float32)
     told = np.zeros(len(terms), bool)
     for a in range(0, len(terms), _BLOCK):
-        left = present_in[a:a + _BLOCK]
+        left = present_in[a:a + _BLOCK].astype(np.float32)
         for b in range(a, len(terms), _BLOCK):
-            right = present_in[b:b + _BLOCK]
+            right = present_in[b:b + _BLOCK].astype(np.float32)
             both, toxic = left @ right.T, (left * y) @ right.T
             low = np.minimum(np.minimum(own[a:a + _BLOCK, None], own[None, b:b + _BLOCK]), share)
             high = np.maximum(np.maximum(own[a:a + _BLOCK, None], own[None, b:b + _BLOCK]), share)
@@ -217,6 +220,8 @@ def learn(docs: DataFrame, labels: DataFrame) -> Machine:
                 for i, y, t in zip(b.column("doc_id"), b.column("label"), b.column("terms"))]
         rows.sort(key=lambda r: r[0])
         m = fit([r[2] for r in rows], np.array([r[1] for r in rows], np.int64))
+        del rows
+        give_back()
         terms = np.flatnonzero(m.column >= 0)
         terms = terms[np.argsort(m.column[terms])].astype(np.int32)
         yield pa.RecordBatch.from_pydict({

@@ -72,3 +72,15 @@ def test_batches_hold_the_budget(docs, texts):
     for bucket in lengths:  # no gap, and every batch but the last is full
         own = sorted(b for k, b in batches if k == bucket)
         assert own == list(range(len(own)))
+
+
+def test_lengths_can_be_a_column(make, spark):
+    from daybook.llm import packing
+    rows = [(i, "x" * 50 if i % 2 else "a b c", None if i == 3 else 100 * (i % 5)) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n long")
+    got = {r["doc_id"]: r for r in packing.pack(docs, buckets=4, budget=800, length="n").collect()}
+    assert {i: r["n_tokens"] for i, r in got.items()} == {i: max(1, n or 1) for i, _, n in rows}
+    used = {}
+    for r in got.values():
+        used[r["bucket"], r["batch"]] = used.get((r["bucket"], r["batch"]), 0) + r["bucket_len"]
+    assert max(used.values()) <= 800
