@@ -269,6 +269,20 @@ def q_pv_snapshot(spark, sf_dir):
     return day_text(pv.running(REPLAY.id))
 
 
+def q_pv_times(spark, sf_dir):
+    """Totals with their times, every batch an hour after the one before, the
+    odd ones in a second run: a day is made by its first batch and renewed by
+    its last."""
+    base = run_dir(spark, "pv_times")
+    staged = _staged(spark, sf_dir, base, _page_view_days, PAGE)
+    pv = DailyIncrements(spark, f"{base}/pv")
+    for b in range(fixtures.N_BATCHES):
+        pv.write(staged.where(F.col("batch") == b), f"run-{b % 2}", b, now=F.lit(REPLAY.started + dt.timedelta(hours=b)))
+    pv.fold("run-0")
+    return day_text(pv.totals()).select("dt", "amount", *[F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c)
+                                                          for c in ("create_time", "update_time")])
+
+
 def q_uv_snapshot(spark, sf_dir):
     base = run_dir(spark, "uv_snapshot")
     _, uv = _replay_visitors(spark, _staged(spark, sf_dir, base, _visitors, VISITOR), base)
@@ -504,6 +518,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "filter_counts_stream": q_filter_counts_stream,
     "pv_snapshot": q_pv_snapshot,
     "uv_snapshot": q_uv_snapshot,
+    "pv_times": q_pv_times,
     "pv_daily_stream": _pv_stream(False),
     "uv_daily_stream": _uv_stream(False),
     "pv_daily_stream_late": _pv_stream(True),

@@ -167,6 +167,11 @@ ORACLE: dict[str, str] = {
     "pv_snapshot": (
         f"{E}, N AS (SELECT batch, dt, count(*) AS n FROM E WHERE pageUrl IS NOT NULL GROUP BY 1, 2) "
         f"SELECT batch AS batch_id, {DAY} AS dt, CAST(sum(n) OVER (PARTITION BY dt ORDER BY batch) AS BIGINT) AS amount FROM N"),
+    "pv_times": (
+        f"{E} SELECT {DAY} AS dt, count(*) AS amount, "
+        + ", ".join(f"strftime(TIMESTAMP '2024-01-01 00:00:00' + to_hours(CAST({f}(batch) AS INTEGER)), '%Y-%m-%d %H:%M:%S') AS {c}"
+                    for f, c in (("min", "create_time"), ("max", "update_time")))
+        + " FROM E WHERE pageUrl IS NOT NULL GROUP BY dt"),
     "uv_snapshot": (
         f"{E}, V AS (SELECT dt, unionid, min(batch) AS batch FROM E WHERE unionid IS NOT NULL GROUP BY 1, 2), "
         "N AS (SELECT batch, dt, count(*) AS n FROM V GROUP BY 1, 2) "

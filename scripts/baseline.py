@@ -21,9 +21,10 @@ from daybook.functions.codec import parse_events  # noqa: E402
 from daybook.schema import KAFKA_SCHEMA  # noqa: E402
 from daybook.session import build_session, list_files, list_partitions, run_dir  # noqa: E402
 from daybook.sinks.daily import DailyIncrements  # noqa: E402
+from daybook.sinks.totals import DailyTotals  # noqa: E402
 from daybook.sinks.visitors import SeenVisitors  # noqa: E402
 from daybook.sources import fixtures  # noqa: E402
-from daybook.streaming import stream  # noqa: E402
+from daybook.streaming import state, stream  # noqa: E402
 
 
 def main() -> None:
@@ -45,6 +46,10 @@ def main() -> None:
     src = stream.kafka_file_stream(spark, f"{base}/src")
     jobs = {"pv": lambda: stream.start_pv_query(src, pv, f"{base}/ck_pv", stream.NOW),
             "uv": lambda: stream.start_uv_query(src, seen, uv, f"{base}/ck_uv", stream.NOW),
+            "pv_state": lambda: state.start_pv_state_query(src, DailyTotals(spark, f"{base}/pv_state"), f"{base}/ck_pv_state", stream.NOW),
+            "uv_state": lambda: state.start_uv_state_query(
+                src, SeenVisitors(spark, f"{base}/seen_state"), DailyIncrements(spark, f"{base}/uv_state"),
+                state.StateDays(spark, f"{base}/days"), f"{base}/ck_uv_state", stream.NOW),
             "event_job": lambda: stream.start_event_job(src, stream.EventOutputs(spark, f"{base}/job"), f"{base}/ck", stream.NOW)}
     for name, start in jobs.items():
         p = [x for x in stream.drain(start()).recentProgress if x["numInputRows"]]

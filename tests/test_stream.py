@@ -230,3 +230,19 @@ def test_single_metric_queries_leave_out_what_the_event_job_quarantines(spark, w
     job.arrive(spark.createDataFrame(rows, KAFKA_SCHEMA))
     job.run()
     assert amounts(job.pv) == amounts(job.uv) == {dt.date(2024, 1, 1): 1}
+
+
+def test_a_trigger_by_time_runs_batch_after_batch(spark, workdir):
+    pv, at = DailyIncrements(spark, f"{workdir}/pv"), dt.datetime(2024, 1, 10, 8, 0)
+    src = f"{workdir}/src"
+    kafka_batch(spark, [(at, "a", "p")]).write.mode("append").parquet(src)
+    query = stream.start_pv_query(stream.kafka_file_stream(spark, src), pv, f"{workdir}/ck", {"processingTime": "1 second"})
+    try:
+        query.processAllAvailable()
+        assert amounts(pv) == {at.date(): 1} and query.isActive
+        kafka_batch(spark, [(at, "b", "p"), (at, "c", None)], 1).write.mode("append").parquet(src)
+        query.processAllAvailable()
+        assert amounts(pv) == {at.date(): 2}
+        assert sorted(r["batch_id"] for r in pv.read().collect()) == [0, 1]
+    finally:
+        query.stop()
