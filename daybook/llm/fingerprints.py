@@ -10,7 +10,11 @@ bins and c = 1 / 2**BITS, held within 0 and 1.
 
 Defined cases: null text counts as empty; a text of fewer than five words has
 one shingle, the whole; a text without words has the empty fingerprint '',
-which is like itself (1.0) and like nothing else (0.0).
+which is like itself (1.0) and like nothing else (0.0).  Rows repeated or with
+equal texts have equal fingerprints; among equal doc_ids the next row is the
+next text, and a null doc_id comes last.  The only row of a table is its own
+next one; an empty table gives an empty result.  Extra columns are not read and
+do not come out.
 """
 
 from __future__ import annotations

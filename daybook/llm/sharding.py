@@ -13,7 +13,9 @@ which of its rows by rank go to which shard.  Rows are ranked cell by cell.
 
 Defined cases: null text counts as no bytes; rows with a null doc_id are
 placed by their text's checksum.  Repeated rows are rows of their own and get
-slots of their own.  An empty table gives an empty result.
+slots of their own; rows that tie in all that orders a cell (doc_id, checksum,
+size) take its slots in either order.  An empty table gives an empty result.
+Extra columns are not read and do not come out.
 """
 
 from __future__ import annotations

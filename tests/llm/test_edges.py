@@ -118,3 +118,22 @@ def test_new_operators_pass_extra_columns_and_replace_clashing_ones(spark, edge_
         assert len(rows) == len(TEXTS) and len(set(df.columns)) == len(df.columns)
         assert all(r["kept"] == r["shard"] == "own" for r in rows)
     assert dict(out[0].dtypes)["n_tokens"] == "bigint" and dict(out[1].dtypes)["start"] == "bigint" and dict(out[2].dtypes)["rank"] == "bigint"
+
+
+def test_defined_results_of_ids_scores_lines_and_places(spark, edge_dir):
+    def by_id(name):
+        return {r["doc_id"]: r for r in QUERIES[name](spark, edge_dir).where("doc_id IS NOT NULL").collect()}
+    ids = by_id("op1_sentencepiece")
+    assert all(r["round_trip"] and r["n_ids"] == len(r["ids"]) for r in ids.values())
+    assert ids[1]["ids"] == ids[2]["ids"] == [] and ids[4]["ids"] == ids[5]["ids"] and ids[6]["n_ids"] > 30000
+    # one toxic row and no other of the training folds: every score is the share of toxic ones
+    assert len({r["score"] for r in by_id("op4_toxicity").values()}) == 1
+    lm = by_id("op5_lm_scoring")
+    assert [lm[i]["n_tokens"] for i in (1, 2, 3, 8)] == [1, 1, 1, 2] and lm[4]["score"] == lm[5]["score"]
+    assert all(r["score"] < 0 and r["base_score"] < 0 for r in lm.values())
+    lines = by_id("op7_line_dedup")
+    assert [lines[i]["n_lines"] for i in (1, 2, 3, 4, 9)] == [1, 1, 2, 2, 2] and all(r["n_dropped"] == 0 for r in lines.values())
+    assert lines[1]["kept_sha256"] == lines[2]["kept_sha256"] == hashlib.sha256(b"").hexdigest()
+    packed = by_id("op9_packing")
+    assert [packed[i]["n_tokens"] for i in (1, 2, 3, 8, 6)] == [1, 1, 1, 2, 30001]
+    assert all(r["padding"] == r["bucket_len"] - r["n_tokens"] >= 0 for r in packed.values())
