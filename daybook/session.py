@@ -7,6 +7,7 @@ import tempfile
 import time
 import uuid
 
+from py4j.protocol import Py4JError
 from pyspark.sql import SparkSession
 
 # Days are calendar days in UTC; every entry point runs its session in UTC.
@@ -86,7 +87,10 @@ def finish(spark: SparkSession) -> None:
     where the session still runs then.  An application that died keeps its
     marker, and so its folders, until somebody removes the marker."""
     sc = spark.sparkContext
-    if sc._jsc is None or sc._jsc.sc().isStopped():
+    try:
+        if sc._jsc is None or sc._jsc.sc().isStopped():
+            return
+    except (Py4JError, OSError):  # at exit the JVM may be gone
         return
     for base, app in [m for m in _marked if m[1] == sc.applicationId]:
         remove_dir(spark, f"{base}/{RUNNING}/{app}")
