@@ -37,6 +37,8 @@ from daybook.streaming.stream import parse_batch
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+NO_DATA_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
+ADAPTIVE = "spark.sql.adaptive.enabled"
 HOLD = dt.timedelta(days=2)
 DAY_SCHEMA = T.StructType([
     T.StructField("dt", T.DateType()), T.StructField("opened_at", T.TimestampType()), T.StructField("alone", T.BooleanType()),
@@ -44,15 +46,31 @@ DAY_SCHEMA = T.StructType([
 
 
 @contextmanager
-def rocksdb(spark: SparkSession):
-    """Queries started inside keep their state in RocksDB; a checkpoint
-    remembers its provider."""
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)
+def conf_set(spark: SparkSession, values: dict[str, str]):
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.unset(PROVIDER) if before is None else spark.conf.set(PROVIDER, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def rocksdb(spark: SparkSession):
+    """Queries started inside keep their state in RocksDB; a checkpoint
+    remembers its provider.  A batch without rows would only let expired keys
+    go, at the price of a commit of every state partition; the next batch with
+    rows does that too."""
+    return conf_set(spark, {PROVIDER: ROCKSDB, NO_DATA_BATCHES: "false"})
+
+
+def adaptive(spark: SparkSession):
+    """Spark turns adaptive execution off in the session of a stateful query.
+    What is done inside with a finished batch has it: without it the hint that
+    sizes the store's files is ignored, and every state partition would write a
+    file a day."""
+    return conf_set(spark, {ADAPTIVE: "true"})
 
 
 def _start(rows: DataFrame, step, checkpoint: str, trigger: dict | None, mode: str, name: str):
@@ -113,12 +131,16 @@ class StateDays:
 def add_unseen(visitors: DataFrame, days: StateDays, seen: SeenVisitors, uv: DailyIncrements, run: StreamRun, batch_id: int,
                hold: dt.timedelta) -> None:
     """What the state lets through: days it has all visitors of are appended
-    as they are, the others looked up.  Very many days are all looked up."""
+    as they are, the others looked up.  Very many days are all looked up.  A
+    batch without new visitors writes nothing."""
     rows = visitors.select("dt", "unionid").persist()
     try:
-        touched = touched_days(rows)
-        known = days.covered(touched, seen, run, batch_id, hold) if touched else []
-        uv.write(seen.add(rows, run.id, batch_id, unseen_days=known), run.id, batch_id)
+        with adaptive(visitors.sparkSession):
+            touched = touched_days(rows)
+            if touched == []:
+                return
+            known = days.covered(touched, seen, run, batch_id, hold) if touched else []
+            uv.write(seen.add(rows, run.id, batch_id, unseen_days=known), run.id, batch_id)
     finally:
         rows.unpersist()
 

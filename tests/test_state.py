@@ -1,6 +1,7 @@
 """Metrics kept in the state store: restarts, late rows, forgotten keys, audit."""
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from daybook.functions.codec import parse_events
 from daybook.operators import metrics
 from daybook.schema import KAFKA_SCHEMA
-from daybook.session import remove_dir
+from daybook.session import list_files, remove_dir
 from daybook.sinks.archive import read_archive
 from daybook.sinks.counts import FilterCounts
 from daybook.sinks.daily import DailyIncrements
@@ -89,6 +90,25 @@ def test_days_the_state_has_whole_are_not_looked_up(spark, workdir, monkeypatch)
     assert [x for x in looked if x] == [["2024-01-10"]] and amounts(job.uv) == {AT.date(): 2}
 
 
+def test_the_store_has_one_small_file_a_day_whatever_the_number_of_state_partitions(spark, workdir):
+    job, later = Job(spark, workdir), dt.datetime(2024, 1, 11, 9, 0)
+    for k in range(2):
+        job.arrive(kafka_batch(spark, [(at, f"v{k}-{i}", None) for i in range(60) for at in (AT, later)], 120 * k))
+        job.run_uv()
+        # 60 visitors a day lie in all of the four state partitions
+        assert [len(list_files(spark, f"{workdir}/seen/dt={d.date()}")) for d in (AT, later)] == [k + 1, k + 1]
+    assert amounts(job.uv) == {AT.date(): 120, later.date(): 120}
+
+
+def test_only_batches_with_rows_are_run(spark, workdir):
+    job = Job(spark, workdir)
+    for k in range(2):
+        job.arrive(kafka_batch(spark, [(AT, f"v{k}", None)], k))
+        job.run_uv()
+    assert sorted(f for f in os.listdir(f"{workdir}/ck_uv_one/commits") if f[0] != ".") == ["0", "1"]
+    assert spark.conf.get(state.NO_DATA_BATCHES, None) is None and amounts(job.uv) == {AT.date(): 2}
+
+
 def test_the_plan_without_a_lookup_reads_no_store(spark, workdir):
     seen = SeenVisitors(spark, f"{workdir}/seen")
     day = AT.date()
