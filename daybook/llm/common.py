@@ -5,6 +5,7 @@ from __future__ import annotations
 import ctypes
 import gc
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from daybook.session import shared_dir
 
 #: The white space of every contract here: space and \t \n \v \f \r.
 WS = " \t\n\x0b\x0c\r"
+CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -56,6 +58,19 @@ def give_back() -> None:
         trim(0)
 
 
+@contextmanager
+def shuffles_once(spark: SparkSession):
+    """The shuffle files of each job inside go when it ends, instead of when
+    the driver next happens to collect its garbage.  For jobs whose results are
+    kept or collected, not computed again."""
+    before = spark.conf.get(CLEAN_SHUFFLES, None)
+    spark.conf.set(CLEAN_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(CLEAN_SHUFFLES) if before is None else spark.conf.set(CLEAN_SHUFFLES, before)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage: a reliable checkpoint in the cluster's shared folder."""
     shared_dir(df.sparkSession)

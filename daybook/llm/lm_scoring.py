@@ -41,15 +41,16 @@ import dataclasses
 import hashlib
 import math
 from collections.abc import Iterator
+from contextlib import contextmanager
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark import Broadcast, TaskContext
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm.common import cut, fold_crc, whole_text
+from daybook.llm.common import cut, fold_crc, shuffles_once, whole_text
 from daybook.llm.near_dedup import WordHashes, small_batches, tokens
 
 LEAST, FLAT, DIM, NOISE, BATCH, ROUNDS, RATE = 5, 256, 16, 128, 2048, 3, 0.1
@@ -64,6 +65,17 @@ def word_hash(word: bytes) -> int:
     return int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
 
 
+@contextmanager
+def shared(spark: SparkSession, *parts):
+    """A broadcast of arrays, whose copies on the disks of the driver and of
+    the executors go at the end; inside a function they would stay behind."""
+    sent = spark.sparkContext.broadcast(parts)
+    try:
+        yield sent
+    finally:
+        sent.destroy()
+
+
 # ---- counts over the training documents
 
 def word_counts(train: DataFrame) -> DataFrame:
@@ -99,6 +111,9 @@ class Words:
     def other(self) -> int:
         return self.size + 1
 
+    def parts(self) -> tuple:
+        return self.hashes, self.counts, self.output, self.size, self.n, self.v
+
     def unigram(self) -> np.ndarray:
         """Smoothed shares of the outputs."""
         c = np.zeros(self.size + 2)
@@ -191,11 +206,13 @@ def _contexts(outputs: np.ndarray, lengths: np.ndarray, w: Words) -> tuple[np.nd
     return a, b
 
 
-def numbers(train: DataFrame, w: Words) -> DataFrame:
+def numbers(train: DataFrame, w: Words, words: Broadcast | None = None) -> DataFrame:
     """(k, ids): a hash of doc_id, and the outputs of the whole document, int32,
-    which end with a 0."""
+    which end with a 0.  ``words``: the parts of ``w``, sent already."""
+    known = None if words else w
+
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        outputs = Outputs(w)
+        outputs = Outputs(known or Words(*words.value))
         for batch in batches:
             for part in small_batches(batch):
                 ids = []
@@ -404,44 +421,56 @@ def train(ids: DataFrame, w: Words, task_tokens: int = TASK_TOKENS) -> Model:
     ``FAN_IN`` tasks at a time.
     """
     model, share = Model.start(w), w.unigram()
+    bare = dataclasses.replace(w, hashes=None, counts=None, output=None)  # the contexts need the size alone
     tasks = max(1, -(-w.n // task_tokens))
-    rows = cut(ids.repartition(tasks, F.xxhash64("k", "ids")).sortWithinPartitions("k", "ids"))
+    spark = ids.sparkSession
+    with shuffles_once(spark):
+        rows = cut(ids.repartition(tasks, F.xxhash64("k", "ids")).sortWithinPartitions("k", "ids"))
 
     for turn in range(ROUNDS):
-        def one_pass(batches: Iterator[pa.RecordBatch], model: Model = model, turn: int = turn) -> Iterator[pa.RecordBatch]:
-            total, seen, now, held, size = 0.0, 0, model, [], 0
-            for x in chain((x for batch in batches for x in batch.column("ids")), [None]):
-                if x is not None:
-                    held.append(np.frombuffer(x.as_buffer(), np.int32))
-                    size += len(held[-1])
-                if held and (x is None or size >= _CHUNK):
-                    out = np.concatenate(held)
-                    a, b = _contexts(out, np.array([len(d) for d in held]), w)
-                    seen, total, held, size = seen + 1, total + len(out), [], 0
-                    now = train_share(now, share, a, b, out, np.ones(len(out)), 1000 * turn + seen)
-            if seen:
-                yield from changes(model, now, total, TaskContext.get().partitionId())
-
-        got = rows.mapInArrow(one_pass, _MESSAGE)
-        if tasks > FAN_IN:
-            got = got.groupBy("k", "block", F.floor(F.col("lane") / FAN_IN).alias("_lane")).applyInArrow(merged, _MESSAGE)
-        parts = [p.copy() for p in model.parts()]
-        for m in got.groupBy("k", "block").applyInArrow(merged, _MESSAGE).collect():  # one set of parameters
-            p = parts[m["k"]]
-            at = np.frombuffer(m["rows"], np.int32)
-            p[at] += np.frombuffer(m["change"], np.float32).reshape(len(at), *p.shape[1:])
-        model = Model(*parts, model.edges)
+        with shared(spark, share, *model.parts(), model.edges) as sent, shuffles_once(spark):
+            model = Model(*_pass(rows, bare, model, sent, turn, tasks), model.edges)
     return model
 
 
+def _pass(rows: DataFrame, w: Words, model: Model, sent: Broadcast, turn: int, tasks: int) -> list[np.ndarray]:
+    """The parameters after one pass; ``sent`` has the shares of the outputs and the model."""
+    def one_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        share, model = sent.value[0], Model(*sent.value[1:])
+        total, seen, now, held, size = 0.0, 0, model, [], 0
+        for x in chain((x for batch in batches for x in batch.column("ids")), [None]):
+            if x is not None:
+                held.append(np.frombuffer(x.as_buffer(), np.int32))
+                size += len(held[-1])
+            if held and (x is None or size >= _CHUNK):
+                out = np.concatenate(held)
+                a, b = _contexts(out, np.array([len(d) for d in held]), w)
+                seen, total, held, size = seen + 1, total + len(out), [], 0
+                now = train_share(now, share, a, b, out, np.ones(len(out)), 1000 * turn + seen)
+        if seen:
+            yield from changes(model, now, total, TaskContext.get().partitionId())
+
+    got = rows.mapInArrow(one_pass, _MESSAGE)
+    if tasks > FAN_IN:
+        got = got.groupBy("k", "block", F.floor(F.col("lane") / FAN_IN).alias("_lane")).applyInArrow(merged, _MESSAGE)
+    parts = [p.copy() for p in model.parts()]
+    for m in got.groupBy("k", "block").applyInArrow(merged, _MESSAGE).collect():  # one set of parameters
+        p = parts[m["k"]]
+        at = np.frombuffer(m["rows"], np.int32)
+        p[at] += np.frombuffer(m["change"], np.float32).reshape(len(at), *p.shape[1:])
+    return parts
+
+
 # ---- scores
 
-def score_rows(docs: DataFrame, w: Words, model: Model) -> DataFrame:
+def score_rows(docs: DataFrame, words: Broadcast, sent: Broadcast) -> DataFrame:
     """One row a document: what the frequent words and the model give, and the
     rare words with their counts in the document.  ``known``, ``base`` and
     ``inner`` are sums over frequent words: c > 0, log10(c + 0.1), and the
-    latter over words outside the vocabulary only."""
+    latter over words outside the vocabulary only.  ``words`` and ``sent``: the
+    parts of the words and of the model."""
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        w, model = Words(*words.value), Model(*sent.value)
         places, hashes = Places(w), WordHashes()
         log_c = np.log10(np.r_[w.counts, 0] + 0.1)  # the last for -1
         for batch in batches:
@@ -480,10 +509,14 @@ def score(docs: DataFrame, vocab: int | None = None, head: int = HEAD) -> DataFr
     per_token of every row of ``docs``, learning from the folds 1 to 9."""
     base = docs.select("doc_id", whole_text().alias("text"))
     training = base.where(fold_crc("doc_id", 10) != 0)
-    counts = cut(word_counts(training))
-    w, least = frequent(counts, vocab, head)
-    model = train(numbers(training, w), w)
-    rows = cut(score_rows(base, w, model))
+    spark = docs.sparkSession
+    with shuffles_once(spark):
+        counts = cut(word_counts(training))
+        w, least = frequent(counts, vocab, head)
+    with shared(spark, *w.parts()) as words:
+        model = train(numbers(training, w, words), w)
+        with shared(spark, *model.parts(), model.edges) as sent:
+            rows = cut(score_rows(base, words, sent))
 
     # rare words: those below the class of the frequent ones, and unseen ones
     rare = (rows.select("doc_id", "sig", F.explode(F.arrays_zip("rare_h", "rare_n")).alias("x"))

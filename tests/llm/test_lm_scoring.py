@@ -2,7 +2,9 @@
 
 import collections
 import math
+import os
 import random
+import time
 import zlib
 
 import numpy as np
@@ -121,3 +123,19 @@ def test_merged_changes_are_the_mean_over_the_tasks_that_made_them():
     rows, got = (np.frombuffer(out.column(c)[0].as_py(), t) for c, t in (("rows", np.int32), ("change", np.float32)))
     assert rows.tolist() == sorted(sums)
     assert np.allclose(got.reshape(len(rows), 16), [sums[r] / weight[r] for r in rows], atol=1e-5)
+
+
+def test_training_leaves_no_shuffle_files_or_broadcasts_behind(spark, make):
+    def blocks():
+        env = spark._jvm.org.apache.spark.SparkEnv.get()
+        return {b for b in env.blockManager().diskBlockManager().getAllBlocks().mkString("\n").split("\n") if b.startswith("shuffle")}
+
+    train = make([(i, f"a b{i % 7} c{i % 5} d") for i in range(200)])
+    w, _ = lm.frequent(lm.word_counts(train), None, 1 << 10)
+    before, sent = blocks(), set(os.listdir(spark.sparkContext._temp_dir))
+    lm.train(lm.numbers(train, w), w, task_tokens=400)
+    for _ in range(100):  # they are removed in the background
+        if blocks() <= before:
+            break
+        time.sleep(0.1)
+    assert blocks() <= before and set(os.listdir(spark.sparkContext._temp_dir)) <= sent
