@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import ctypes
 import gc
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,6 +59,18 @@ def give_back() -> None:
         trim(0)
 
 
+def small_batches(batch: pa.RecordBatch, chars: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+    """Slices of about ``chars`` bytes of text, one row at least, to bound a task's memory."""
+    at = 0
+    while at < batch.num_rows:
+        end, seen = at, 0
+        while end < batch.num_rows and (end == at or seen < chars):
+            seen += len(batch.column("text")[end].as_buffer() or b"") if batch.column("text")[end].is_valid else 0
+            end += 1
+        yield batch.slice(at, end - at)
+        at = end
+
+
 @contextmanager
 def shuffles_once(spark: SparkSession):
     """The shuffle files of each job inside go when it ends, instead of when

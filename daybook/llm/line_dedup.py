@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daybook.llm.common import WS, cut, join_salted, whole_text
+from daybook.llm.common import WS, cut, give_back, join_salted, small_batches, whole_text
 
 BITS_PER_LINE, SEGMENT_BITS, MAX_BITS, PROBES = 8, 1 << 19, 1 << 30, 4
 _WS = WS.encode()
@@ -135,9 +136,11 @@ def twice_seen(docs: DataFrame, segments: int) -> dict[int, bytes]:
     """The merged second filter by segment: MAX_BITS / 8 bytes at most."""
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = Filters(segments)
-        for b in batches:
-            f.add(_as_array([digest(k) for t in b.column(0) for k in {*line_keys(t.as_py())} if k]))
+        for batch in batches:
+            for b in small_batches(batch):
+                f.add(_as_array([digest(k) for t in b.column("text") for k in {*line_keys(t.as_py())} if k]))
         yield from f.batches()
+        give_back()
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = Filters(segments)
@@ -156,7 +159,7 @@ def suspects(docs: DataFrame, twice: dict[int, bytes], segments: int) -> DataFra
     shared = docs.sparkSession.sparkContext.broadcast(twice)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in chain.from_iterable(map(small_batches, batches)):
             rows, found = [], []
             for r, t in enumerate(b.column("text")):
                 at: dict[bytes, list[int]] = {}
@@ -171,6 +174,7 @@ def suspects(docs: DataFrame, twice: dict[int, bytes], segments: int) -> DataFra
                 "doc_id": docs_hit.column("doc_id"), "text_md5": docs_hit.column("text_md5"),
                 "digest": pa.array([found[i][0] for i in hit], pa.binary()),
                 "lines": pa.array([found[i][1] for i in hit], pa.list_(pa.int32()))})
+        give_back()
 
     rows = docs.select("doc_id", F.unhex(F.md5(whole_text().cast("binary"))).alias("text_md5"),
                        whole_text().alias("text"))
@@ -207,7 +211,7 @@ def drop_repeated_lines(docs: DataFrame, min_docs: int = 10, keep: str = "none")
     joined = joined.select(*names, "_drop")
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in chain.from_iterable(map(small_batches, batches)):
             texts, n, gone = [], [], []
             for t, d in zip(b.column("text").to_pylist(), b.column("_drop").to_pylist()):
                 parts, lose = t.split("\n"), set(d or ())
@@ -216,6 +220,7 @@ def drop_repeated_lines(docs: DataFrame, min_docs: int = 10, keep: str = "none")
                 gone.append(len(lose))
             cols = {c: b.column(c) for c in names} | {"text": pa.array(texts, pa.string())}
             yield pa.RecordBatch.from_pydict(cols | {"n_lines": pa.array(n, pa.int64()), "n_dropped": pa.array(gone, pa.int64())})
+        give_back()
 
     schema = T.StructType([*base.schema.fields, T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
     return joined.mapInArrow(apply, schema)

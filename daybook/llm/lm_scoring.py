@@ -50,7 +50,7 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm.common import cut, fold_crc, shuffles_once, whole_text
+from daybook.llm.common import cut, fold_crc, give_back, shuffles_once, whole_text
 from daybook.llm.near_dedup import WordHashes, small_batches, tokens
 
 LEAST, FLAT, DIM, NOISE, BATCH, ROUNDS, RATE = 5, 256, 16, 128, 2048, 3, 0.1
@@ -90,6 +90,8 @@ def word_counts(train: DataFrame) -> DataFrame:
                 h, n = np.unique(np.fromiter(map(known.__getitem__, ws), np.uint64, len(ws)), return_counts=True)
                 h, n = np.r_[h, np.uint64(word_hash(END))], np.r_[n, part.num_rows]
                 yield pa.RecordBatch.from_pydict({"h": pa.array(h.view(np.int64)), "n": pa.array(n)})
+        known.clear()
+        give_back()
     return train.select("text").mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("c"))
 
 
@@ -220,6 +222,8 @@ def numbers(train: DataFrame, w: Words, words: Broadcast | None = None) -> DataF
                     ws = [*tokens(t.as_py()), END]
                     ids.append(np.fromiter(map(outputs.__getitem__, ws), np.int32, len(ws)).tobytes())
                 yield pa.RecordBatch.from_pydict({"k": part.column("k"), "ids": pa.array(ids, pa.binary())})
+        outputs.clear()
+        give_back()
     return train.select(F.xxhash64("doc_id").alias("k"), "text").mapInArrow(take, "k long, ids binary")
 
 
@@ -251,9 +255,12 @@ class Model:
     def start(w: Words, seed: int = 5) -> Model:
         """Vectors near zero, so the first model is the unigram one."""
         rng, edges, share = np.random.default_rng(seed), class_edges(w), w.unigram()
-        first = [rng.normal(0, 0.1, (n, DIM)) for n in (w.size + 3, w.size + 2, len(edges) - 1)]
-        first += [np.ones((2, DIM)), np.log(share), np.log(np.add.reduceat(share, edges[:-1]))]
-        return Model(*(p.astype(np.float32) for p in first), edges)
+        first = [np.empty((n, DIM), np.float32) for n in (w.size + 3, w.size + 2, len(edges) - 1)]
+        for p in first:
+            for at in range(0, len(p), _BLOCK):  # the same numbers as drawn at once
+                p[at:at + _BLOCK] = rng.normal(0, 0.1, p[at:at + _BLOCK].shape)
+        first += [x.astype(np.float32) for x in (np.ones((2, DIM)), np.log(share), np.log(np.add.reduceat(share, edges[:-1])))]
+        return Model(*first, edges)
 
     def parts(self) -> list[np.ndarray]:
         return [self.r, self.q, self.k, self.c, self.bias, self.top_bias]
@@ -319,12 +326,13 @@ def _add_up(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def train_share(model: Model, noise_share: np.ndarray, a: np.ndarray, b: np.ndarray, w: np.ndarray, n: np.ndarray,
-                seed: int) -> Model:
+                seed: int, in_place: bool = False) -> Model:
     """One pass of AdaGrad steps on the noise-contrastive loss, rows weighted
     by n: batches of any rows for the classes, batches of the rows of one class
-    for the words in it.  A step touches the rows of its batch only."""
+    for the words in it.  A step touches the rows of its batch only.  With
+    ``in_place`` the arrays of ``model`` are those of the result."""
     rng, edges = np.random.default_rng(seed), model.edges
-    r, q, k, c, bias, top_bias = (p.copy() for p in model.parts())
+    r, q, k, c, bias, top_bias = (p if in_place else p.copy() for p in model.parts())
     past = {id(p): np.full_like(p, DAMP) for p in (r, q, k, c, bias, top_bias)}
     group = model.class_of(w)
     top_share = np.add.reduceat(noise_share, edges[:-1])
@@ -429,12 +437,15 @@ def train(ids: DataFrame, w: Words, task_tokens: int = TASK_TOKENS) -> Model:
 
     for turn in range(ROUNDS):
         with shared(spark, share, *model.parts(), model.edges) as sent, shuffles_once(spark):
-            model = Model(*_pass(rows, bare, model, sent, turn, tasks), model.edges)
+            _pass(rows, bare, model, sent, turn, tasks)
+        give_back()
     return model
 
 
-def _pass(rows: DataFrame, w: Words, model: Model, sent: Broadcast, turn: int, tasks: int) -> list[np.ndarray]:
-    """The parameters after one pass; ``sent`` has the shares of the outputs and the model."""
+def _pass(rows: DataFrame, w: Words, model: Model, sent: Broadcast, turn: int, tasks: int) -> None:
+    """One pass, which changes ``model``; ``sent`` has the shares of the outputs
+    and the model before.  The merged changes are written to the shared folder
+    and come to the driver a partition at a time."""
     def one_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         share, model = sent.value[0], Model(*sent.value[1:])
         total, seen, now, held, size = 0.0, 0, model, [], 0
@@ -446,19 +457,21 @@ def _pass(rows: DataFrame, w: Words, model: Model, sent: Broadcast, turn: int, t
                 out = np.concatenate(held)
                 a, b = _contexts(out, np.array([len(d) for d in held]), w)
                 seen, total, held, size = seen + 1, total + len(out), [], 0
-                now = train_share(now, share, a, b, out, np.ones(len(out)), 1000 * turn + seen)
+                now = train_share(now, share, a, b, out, np.ones(len(out)), 1000 * turn + seen, in_place=now is not model)
+                del out, a, b
         if seen:
             yield from changes(model, now, total, TaskContext.get().partitionId())
+        del model, now, share
+        give_back()
 
     got = rows.mapInArrow(one_pass, _MESSAGE)
     if tasks > FAN_IN:
         got = got.groupBy("k", "block", F.floor(F.col("lane") / FAN_IN).alias("_lane")).applyInArrow(merged, _MESSAGE)
-    parts = [p.copy() for p in model.parts()]
-    for m in got.groupBy("k", "block").applyInArrow(merged, _MESSAGE).collect():  # one set of parameters
+    parts = model.parts()
+    for m in cut(got.groupBy("k", "block").applyInArrow(merged, _MESSAGE).select("k", "rows", "change")).toLocalIterator():
         p = parts[m["k"]]
         at = np.frombuffer(m["rows"], np.int32)
         p[at] += np.frombuffer(m["change"], np.float32).reshape(len(at), *p.shape[1:])
-    return parts
 
 
 # ---- scores
@@ -498,6 +511,9 @@ def score_rows(docs: DataFrame, words: Broadcast, sent: Broadcast) -> DataFrame:
                     "others": pa.array(np.add.reduceat(is_other.astype(np.int64), first)),
                     "model": pa.array(np.add.reduceat(lp, first)),
                     "rare_h": pa.array(rare_h, pa.list_(pa.int64())), "rare_n": pa.array(rare_n, pa.list_(pa.int64()))})
+        places.clear()
+        hashes.clear()
+        give_back()
     rows = docs.select("doc_id", F.xxhash64("text").alias("sig"), "text")
     id_type = docs.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(rate, f"doc_id {id_type}, sig long, n_tokens long, known long, base double, inner double, "

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.common import cut, whole_text
+from daybook.llm.common import cut, give_back, small_batches, whole_text
 from daybook.llm.components import connected
 
 PERMUTATIONS, ROWS, BLOCK = 144, 6, 256
@@ -129,21 +129,11 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
                     "doc_id": part.column("doc_id"), "words_id": pa.array(ids, pa.binary()),
                     "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
                     "bands": pa.array(bands, pa.list_(pa.int64()))})
+        known.clear()
+        give_back()
     return docs.mapInArrow(sign, "doc_id long, words_id binary, n_shingles long, bands array<long>")
 
 
-def small_batches(batch: pa.RecordBatch, chars: int = 1 << 22) -> Iterator[pa.RecordBatch]:
-    """Slices of about ``chars`` bytes of text, one row at least, to bound a task's memory."""
-    at = 0
-    while at < batch.num_rows:
-        end, seen = at, 0
-        while end < batch.num_rows and (end == at or seen < chars):
-            seen += len(batch.column("text")[end].as_buffer() or b"") if batch.column("text")[end].is_valid else 0
-            end += 1
-        yield batch.slice(at, end - at)
-        at = end
-
-
 def shingles(docs: DataFrame, size: int) -> DataFrame:
     """(id, shingles): the full sets."""
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,6 +145,8 @@ def shingles(docs: DataFrame, size: int) -> DataFrame:
                 offsets = np.r_[0, np.cumsum([len(s) for s in sets])].astype(np.int32)
                 yield pa.RecordBatch.from_pydict({
                     "id": part.column("id"), "shingles": pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))})
+        known.clear()
+        give_back()
     return docs.mapInArrow(take, "id long, shingles array<long>")
 
 

@@ -562,5 +562,6 @@ def find(docs: DataFrame, model: dict[str, np.ndarray] | None) -> DataFrame:
                     "base_spans": pa.array([as_rows(b) for b, _ in found], kind),
                     "spans": pa.array([as_rows(a) for _, a in found], kind),
                     "redacted": pa.array([redacted(t, a) for t, (_, a) in zip(texts, found)], pa.string())})
+        give_back()
     return base.mapInArrow(run, T.StructType([*base.schema.fields, T.StructField("base_spans", T.ArrayType(span)),
                                               T.StructField("spans", T.ArrayType(span)), T.StructField("redacted", T.StringType())]))

@@ -31,6 +31,7 @@ from __future__ import annotations
 import dataclasses
 from array import array
 from collections.abc import Iterator
+from itertools import chain
 from zlib import crc32
 
 import numpy as np
@@ -39,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from daybook.llm.common import fold_crc, give_back, whole_text
+from daybook.llm.common import fold_crc, give_back, small_batches, whole_text
 
 SAMPLE_TOXIC, SAMPLE_CLEAN = 3000, 6000
 SPACE, LEAST_ROWS, LEAST_Z, RANK, EPOCHS = 1 << 18, 2, 4.0, 8, 30
@@ -203,9 +204,11 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = TermIndex()
-        for b in batches:
+        for b in chain.from_iterable(map(small_batches, batches)):
             terms = [present(t.as_py(), index).tobytes() for t in b.column("text")]
             yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id"), "label": b.column("_label"), "terms": pa.array(terms, pa.binary())})
+        index.clear()
+        give_back()
 
     # the sample is bounded by its two parameters, so it may be broadcast
     return (docs.select("doc_id", whole_text().alias("text")).join(F.broadcast(chosen), "doc_id")
@@ -246,12 +249,14 @@ def score_documents(docs: DataFrame, machine: Machine) -> DataFrame:
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = TermIndex(machine.column)
-        for b in batches:
+        for b in chain.from_iterable(map(small_batches, batches)):
             logit = machine.logits([present(t.as_py() or "", index) for t in b.column("text")])
             with np.errstate(over="ignore"):
                 score = 1 / (1 + np.exp(-logit))
             yield pa.RecordBatch.from_pydict({c: b.column(c) for c in names} | {
                 "score": pa.array(score, pa.float64()), "predicted": pa.array((score >= 0.5).astype(np.int32), pa.int32())})
+        index.clear()
+        give_back()
 
     return base.mapInArrow(rate, T.StructType([*base.schema.fields, T.StructField("score", T.DoubleType()),
                                                T.StructField("predicted", T.IntegerType())]))
