@@ -36,7 +36,6 @@ repeated are scored each and equally.  An empty table gives an empty result.
 
 from __future__ import annotations
 
-import bisect
 import dataclasses
 import hashlib
 import math
@@ -46,19 +45,40 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daybook.llm.common import cut, fold_crc, give_back, shuffles_once, whole_text
-from daybook.llm.near_dedup import WordHashes, small_batches, tokens
+from daybook.llm.common import cut, fold_crc, give_back, shuffles_once, small_batches, whole_text
+from daybook.llm.near_dedup import WordHashes
 
 LEAST, FLAT, DIM, NOISE, BATCH, ROUNDS, RATE = 5, 256, 16, 128, 2048, 3, 0.1
 TASK_TOKENS, FAN_IN, HEAD = 1 << 22, 32, 1 << 19
 DAMP = 1e-6  # AdaGrad sums start here, which slows rows seen seldom
 END = b"\n"  # no word contains white space
-_CACHE = 1 << 19
-_PIECE, _BLOCK, _CHUNK = 1 << 9, 1 << 13, 1 << 19  # tokens of one matrix product, rows of one block, tokens of one share
+_PIECE, _BLOCK, _CHUNK = 1 << 10, 1 << 13, 1 << 19  # tokens of one matrix product, rows of one block, tokens of one share
+_BESIDE = 48  # outputs that are cheaper computed in vain than told apart
+_DIMS = np.arange(DIM)
+
+
+def words_of(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The distinct words of a batch of texts, the number among them of every
+    word, text by text, and how many each text has: ``tokens`` of all of them."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    flat, edges = lists.flatten(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+    full = pc.greater(pc.binary_length(flat), 0)  # white space at either end leaves empty words
+    lengths = np.diff(np.r_[0, np.cumsum(full.to_numpy(zero_copy_only=False))][edges])
+    coded = flat.filter(full).dictionary_encode()
+    return coded.dictionary.cast(pa.binary()).to_pylist(), coded.indices.to_numpy(), lengths
+
+
+def with_ends(values: np.ndarray, lengths: np.ndarray, end) -> tuple[np.ndarray, np.ndarray]:
+    """The values of the words with ``end`` after each text, and the lengths with it."""
+    out, is_end = np.full(len(values) + len(lengths), end, values.dtype), np.zeros(len(values) + len(lengths), bool)
+    is_end[np.cumsum(lengths + 1) - 1] = True
+    out[~is_end] = values
+    return out, lengths + 1
 
 
 def word_hash(word: bytes) -> int:
@@ -84,10 +104,8 @@ def word_counts(train: DataFrame) -> DataFrame:
         known = WordHashes()
         for batch in batches:
             for part in small_batches(batch, 1 << 24):
-                ws: list[bytes] = []
-                for t in part.column("text"):
-                    ws += tokens(t.as_py())
-                h, n = np.unique(np.fromiter(map(known.__getitem__, ws), np.uint64, len(ws)), return_counts=True)
+                ws, at, _ = words_of(part.column("text"))
+                h, n = np.fromiter(map(known.__getitem__, ws), np.uint64, len(ws)), np.bincount(at, minlength=len(ws))
                 h, n = np.r_[h, np.uint64(word_hash(END))], np.r_[n, part.num_rows]
                 yield pa.RecordBatch.from_pydict({"h": pa.array(h.view(np.int64)), "n": pa.array(n)})
         known.clear()
@@ -155,38 +173,12 @@ def frequent(counts: DataFrame, vocab: int | None, head: int) -> tuple[Words, in
     return Words(h, c, output, len(by_count), int(n or 0), int(v or 0)), least
 
 
-class Places(dict):
-    """Place of a word among the frequent ones or -1, remembered while there is room."""
-
-    def __init__(self, w: Words):
-        super().__init__()
-        self.hashes = w.hashes.tolist()
-
-    def __missing__(self, word: bytes) -> int:
-        h = word_hash(word)
-        i = bisect.bisect_left(self.hashes, h)
-        if i == len(self.hashes) or self.hashes[i] != h:
-            i = -1
-        if len(self) >= _CACHE:
-            self.clear()
-        self[word] = i
-        return i
-
-
-class Outputs(dict):
-    """Output of a word, remembered while there is room."""
-
-    def __init__(self, w: Words):
-        super().__init__()
-        inside = w.output <= w.size
-        self.known = dict(zip(w.hashes[inside].tolist(), w.output[inside].tolist()))
-        self.other = w.other
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= _CACHE:
-            self.clear()
-        self[word] = out = self.known.get(word_hash(word), self.other)
-        return out
+def places_of(hashes: np.ndarray, w: Words) -> np.ndarray:
+    """Places among the frequent words, or -1."""
+    if not len(w.hashes):
+        return np.full(len(hashes), -1)
+    at = np.minimum(np.searchsorted(w.hashes, hashes), len(w.hashes) - 1)
+    return np.where(w.hashes[at] == hashes, at, -1)
 
 
 def _outputs(places: np.ndarray, w: Words) -> np.ndarray:
@@ -214,15 +206,16 @@ def numbers(train: DataFrame, w: Words, words: Broadcast | None = None) -> DataF
     known = None if words else w
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        outputs = Outputs(known or Words(*words.value))
+        w, hashes = known or Words(*words.value), WordHashes()
         for batch in batches:
             for part in small_batches(batch):
-                ids = []
-                for t in part.column("text"):
-                    ws = [*tokens(t.as_py()), END]
-                    ids.append(np.fromiter(map(outputs.__getitem__, ws), np.int32, len(ws)).tobytes())
-                yield pa.RecordBatch.from_pydict({"k": part.column("k"), "ids": pa.array(ids, pa.binary())})
-        outputs.clear()
+                ws, at, lengths = words_of(part.column("text"))
+                outputs = _outputs(places_of(np.fromiter(map(hashes.__getitem__, [*ws, END]), np.uint64, len(ws) + 1), w), w)
+                ids, lengths = with_ends(outputs.take(at), lengths, outputs[-1])
+                ends = np.r_[0, np.cumsum(lengths)]
+                yield pa.RecordBatch.from_pydict({"k": part.column("k"), "ids": pa.array(
+                    [ids[i:j].tobytes() for i, j in zip(ends[:-1], ends[1:])], pa.binary())})
+        hashes.clear()
         give_back()
     return train.select(F.xxhash64("doc_id").alias("k"), "text").mapInArrow(take, "k long, ids binary")
 
@@ -266,29 +259,36 @@ class Model:
         return [self.r, self.q, self.k, self.c, self.bias, self.top_bias]
 
     def class_of(self, out: np.ndarray) -> np.ndarray:
-        return np.searchsorted(self.edges, out, "right") - 1
+        return np.repeat(np.arange(len(self.edges) - 1), np.diff(self.edges)).take(out)
 
-    def context(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return self.c[0] * self.r[a] + self.c[1] * self.r[b]
+    def wide(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The contexts, and a one by which biases are multiplied."""
+        x = np.empty((len(a), DIM + 1), np.float32)
+        np.multiply(self.r.take(a, 0), self.c[0], out=x[:, :DIM])
+        x[:, :DIM] += self.c[1] * self.r.take(b, 0)
+        x[:, DIM] = 1
+        return x
 
     def log_probs(self, a: np.ndarray, b: np.ndarray, out: np.ndarray) -> np.ndarray:
         """Natural log probability of every output after its (a, b)."""
-        group, lp = self.class_of(out), np.zeros(len(out))
-        if len(self.edges) > 2:
-            for at in range(0, len(out), _PIECE):
-                i = slice(at, at + _PIECE)
-                lp[i] = _log_softmax_at(self.context(a[i], b[i]) @ self.k.T + self.top_bias, group[i])
-        order = np.argsort(group, kind="stable")
-        ends = np.r_[np.flatnonzero(np.diff(group[order])) + 1, len(out)]
+        group, lp, top = self.class_of(out), np.zeros(len(out)), np.c_[self.k, self.top_bias]
+        order = _by_class(group)  # the rows of one class lie together
+        a, b, out, group = a.take(order), b.take(order), out.take(order), group.take(order)
         at = 0
-        for end in ends[ends > 0]:
-            g = group[order[at]]
-            lo, hi = self.edges[g], self.edges[g + 1]
-            step = max(64, min(16 * _PIECE, (1 << 18) // int(hi - lo)))
-            for i in (order[x:min(x + step, end)] for x in range(at, end, step)) if hi - lo > 1 else ():
-                lp[i] += _log_softmax_at(self.context(a[i], b[i]) @ self.q[lo:hi].T + self.bias[lo:hi], out[i] - lo)
+        for end in np.r_[np.flatnonzero(np.diff(group)) + 1, len(out)][:len(out)]:
+            lo, hi = self.edges[group[at]], self.edges[group[at] + 1]
+            v = np.c_[self.q[lo:hi], self.bias[lo:hi]]
+            step = max(64, min(_PIECE, (1 << 18) // int(hi - lo)))
+            for i in (slice(x, min(x + step, end)) for x in range(at, end, step)):
+                x = self.wide(a[i], b[i])
+                if len(self.edges) > 2:
+                    lp[i] = _log_softmax_at(x, top, group[i])
+                if hi - lo > 1:
+                    lp[i] += _log_softmax_at(x, v, out[i] - lo)
             at = end
-        return lp
+        back = np.empty_like(lp)
+        back[order] = lp
+        return back
 
     def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of a model of one class: A1 + bias, A2 and log normalisers, so that
@@ -302,27 +302,36 @@ class Model:
         return t1, t2, z
 
 
-def _log_softmax_at(s: np.ndarray, at: np.ndarray) -> np.ndarray:
-    s -= s.max(1, keepdims=True)
-    mine = s[np.arange(len(s)), at].astype(float)
-    return mine - np.log(np.exp(s, out=s).sum(1))
+def _by_class(group: np.ndarray) -> np.ndarray:
+    """The stable order by class; numbers of 16 bits are sorted in linear time."""
+    return np.argsort(group.astype(np.int16) if len(group) and group.max() < 1 << 15 else group, kind="stable")
 
 
-def _sigmoid(x: np.ndarray, times: np.ndarray) -> np.ndarray:
-    """``times`` the logistic function of x, in the place of x."""
-    np.clip(x, -40, 40, out=x)
-    np.negative(x, out=x)
-    np.exp(x, out=x)
-    x += 1
-    return np.divide(times, x, out=x)
+def _log_softmax_at(x: np.ndarray, v: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Log softmax, at ``at``, of the products of every row of ``x`` with the
+    rows of ``v``."""
+    s = x @ v.T
+    if np.einsum("ij,ij->i", x, x).max() * np.einsum("ij,ij->i", v, v).max() > 3600:
+        s -= s.max(1, keepdims=True)  # else all are within 60 and their exponentials in float32's range
+    mine = s[np.arange(len(s)), at].astype(float)
+    np.exp(s, out=s)
+    return mine - np.log((s @ np.ones(s.shape[1], s.dtype)).astype(float))
 
 
 def _add_up(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct rows and the sums of their values."""
-    order = np.argsort(rows)
-    rows = rows[order]
+    """First places of the distinct rows, which do not fall, and the sums of
+    their values, an even number of columns."""
     first = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
-    return rows[first], np.add.reduceat(values[order], first, axis=0)
+    # complex numbers add part by part, in half as many additions
+    return first, np.add.reduceat(values.view(np.complex64), first, axis=0).view(np.float32)
+
+
+def _scaled(g: np.ndarray, past: np.ndarray) -> np.ndarray:
+    """AdaGrad's step for ``g``, whose square goes onto ``past``."""
+    past += g * g
+    g *= RATE
+    g /= np.sqrt(past)
+    return g
 
 
 def train_share(model: Model, noise_share: np.ndarray, a: np.ndarray, b: np.ndarray, w: np.ndarray, n: np.ndarray,
@@ -330,56 +339,111 @@ def train_share(model: Model, noise_share: np.ndarray, a: np.ndarray, b: np.ndar
     """One pass of AdaGrad steps on the noise-contrastive loss, rows weighted
     by n: batches of any rows for the classes, batches of the rows of one class
     for the words in it.  A step touches the rows of its batch only.  With
-    ``in_place`` the arrays of ``model`` are those of the result."""
+    ``in_place`` the arrays of ``model`` are those of the result.
+
+    A noise output drawn several times is computed once and counts as often.
+    Where a class has few outputs beyond those drawn, all are one product.
+    A logistic value is (1 + tanh(x / 2)) / 2, one operation on the product.
+    """
     rng, edges = np.random.default_rng(seed), model.edges
     r, q, k, c, bias, top_bias = (p if in_place else p.copy() for p in model.parts())
-    past = {id(p): np.full_like(p, DAMP) for p in (r, q, k, c, bias, top_bias)}
+    past_r, past_q, past_k, past_c, past_bias, past_top = (np.full_like(p, DAMP) for p in (r, q, k, c, bias, top_bias))
     group = model.class_of(w)
     top_share = np.add.reduceat(noise_share, edges[:-1])
-    shares: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    whole_row = np.dtype((np.void, r.itemsize * DIM))  # rows are written as one item each
+    r_rows, past_rows = (p.view(whole_row).ravel() for p in (r, past_r))
+    weighted = n.min() < n.max() if len(n) else False
 
     def noise_of(share: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return np.cumsum(share), np.log(NOISE * share).astype(np.float32)
 
-    def move(p: np.ndarray, rows, g: np.ndarray) -> None:
-        s = past[id(p)]
-        now = s[rows] + g * g
-        s[rows] = now
-        p[rows] -= RATE * g / np.sqrt(now)
-
-    def step(i: np.ndarray, vectors: np.ndarray, biases: np.ndarray, steps: np.ndarray, offset: np.ndarray, at: np.ndarray, lo: int) -> None:
-        ai, bi, u = a[i], b[i], (n[i] / n[i].sum()).astype(np.float32)
+    def step(rows: np.ndarray, u: np.ndarray, v: np.ndarray, v_bias: np.ndarray, past_v: np.ndarray, past_b: np.ndarray,
+             steps: np.ndarray, offset: np.ndarray, column: int, lo: int) -> None:
+        """``rows``: a, b, output, class; ``v``: vectors of the outputs to choose
+        among, of which ``rows`` has the number, from ``lo`` on, in ``column``."""
         x = np.minimum(np.searchsorted(steps, rng.random(NOISE), "right"), len(steps) - 1)
-        ra, rb = r[ai], r[bi]
-        ctx, mine, noise = c[0] * ra + c[1] * rb, vectors[at + lo], vectors[x + lo]
-        gain = -_sigmoid(offset[at] - biases[at + lo] - np.einsum("ij,ij->i", ctx, mine), u)
-        lose = ctx @ noise.T
-        lose += biases[x + lo] - offset[x]
-        _sigmoid(lose, u[:, None])
-        d_ctx = gain[:, None] * mine + lose @ noise
-        rows, d = _add_up(np.r_[at, x] + lo, np.c_[np.r_[gain[:, None] * ctx, lose.T @ ctx], np.r_[gain, lose.sum(0)]])
-        move(vectors, rows, d[:, :-1])
-        move(biases, rows, d[:, -1])
-        rows, d = _add_up(np.r_[ai, bi], np.r_[d_ctx * c[0], d_ctx * c[1]])
-        move(r, rows, d)
-        move(c, slice(None), np.stack([(d_ctx * ra).sum(0), (d_ctx * rb).sum(0)]))
+        times = 0.5 * np.bincount(x, minlength=len(v)).astype(np.float32)
+        drawn, at = np.flatnonzero(times), rows[:, column] - lo
+        every = len(v) <= len(drawn) + _BESIDE
+        if every:
+            drawn = slice(None)
+        else:
+            order = np.argsort(at)
+            rows, at = rows.take(order, 0), at.take(order)
+            u = u.take(order) if weighted else u
+        u = (u / u.sum()).astype(np.float32)[:, None] if weighted else np.float32(1 / len(rows))
+        ab = rows[:, :2].ravel()
+        pairs = r.take(ab, 0)
+        both = pairs.reshape(len(rows), 2 * DIM)
+        mix = np.zeros((2 * DIM, DIM + 1), np.float32)
+        mix[_DIMS, _DIMS], mix[_DIMS + DIM, _DIMS] = c
+        wide = both @ mix  # the context and a one, by which the biases are multiplied
+        wide[:, DIM] = 1
+        ctx, noise, times = wide[:, :DIM], v[drawn], times[drawn]
+        lose = wide @ np.c_[0.5 * noise, 0.5 * (v_bias[drawn] - offset[drawn])].T
+        np.tanh(lose, out=lose)
+        if every:
+            each = np.arange(len(rows))
+            gain = 0.5 * lose[each, at] - 0.5
+            lose += 1
+            lose *= times
+            lose[each, at] += gain
+            lose *= u
+            d_ctx, d, d_bias = lose @ noise, lose.T @ ctx, np.ones(len(rows), np.float32) @ lose
+        else:
+            mine = v.take(at, 0)
+            gain = np.einsum("ij,ij->i", ctx, mine) + (v_bias - offset).take(at)
+            gain = (0.5 * np.tanh(0.5 * gain) - 0.5)[:, None] * u
+            lose += 1
+            if weighted:
+                lose *= u
+            else:
+                times = times * u
+            d_ctx = lose @ (noise * times[:, None])
+            mine *= gain
+            d_ctx += mine
+            first, sums = _add_up(at, ctx * gain)
+            d, d_bias = np.zeros_like(v), np.bincount(at, gain[:, 0], len(v)).astype(np.float32)
+            d[at[first]] = sums
+            d[drawn] += (lose.T @ ctx) * times[:, None]
+            d_bias[drawn] += (np.ones(len(rows), np.float32) @ lose) * times
+        v -= _scaled(d, past_v)
+        v_bias -= _scaled(d_bias, past_b)
+        order = np.argsort(ab)
+        ab = ab.take(order)
+        first, d = _add_up(ab, (d_ctx @ mix[:, :DIM].T).reshape(len(ab), DIM).take(order, 0))
+        ab = ab[first]
+        now = past_r.take(ab, 0)
+        new = pairs.take(order[first], 0)
+        new -= _scaled(d, now)
+        past_rows[ab], r_rows[ab] = now.view(whole_row).ravel(), new.view(whole_row).ravel()
+        d = d_ctx.T @ both
+        np.subtract(c, _scaled(np.stack([d[:, :DIM].diagonal(), d[:, DIM:].diagonal()]), past_c), out=c)
 
     order = rng.permutation(len(w))
-    batches = [(-1, order[at:at + BATCH]) for at in range(0, len(w), BATCH)] if len(edges) > 2 else []
-    by_class = order[np.argsort(group[order], kind="stable")]
-    for i in np.split(by_class, np.flatnonzero(np.diff(group[by_class])) + 1):
-        g = int(group[i[0]]) if len(i) else 0
+    data = np.stack([a, b, w, group], axis=1).astype(np.int32).take(order, 0)
+    n = n.take(order)
+    batches = [(-1, slice(at, at + BATCH)) for at in range(0, len(w), BATCH)] if len(edges) > 2 else []
+    order = _by_class(data[:, 3])
+    by_class, by_n = data.take(order, 0), n.take(order)
+    ends = np.r_[np.flatnonzero(np.diff(by_class[:, 3])) + 1, len(w)]
+    shares: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    at = 0
+    for end in ends[ends > 0]:
+        g = int(by_class[at, 3])
         if edges[g + 1] - edges[g] > 1:
             share = noise_share[edges[g]:edges[g + 1]] / top_share[g]
             shares[g] = noise_of(share)
-            batches += [(g, i[at:at + BATCH]) for at in range(0, len(i), BATCH)]
+            batches += [(g, slice(x, min(x + BATCH, end))) for x in range(at, end, BATCH)]
+        at = end
     top = noise_of(top_share)
     for turn in rng.permutation(len(batches)):
         g, i = batches[turn]
         if g < 0:
-            step(i, k, top_bias, *top, group[i], 0)
+            step(data[i], n[i], k, top_bias, past_k, past_top, *top, 3, 0)
         else:
-            step(i, q, bias, *shares[g], w[i] - edges[g], int(edges[g]))
+            j = slice(edges[g], edges[g + 1])
+            step(by_class[i], by_n[i], q[j], bias[j], past_q[j], past_bias[j], *shares[g], 2, edges[g])
     return Model(r, q, k, c, bias, top_bias, edges)
 
 
@@ -484,25 +548,27 @@ def score_rows(docs: DataFrame, words: Broadcast, sent: Broadcast) -> DataFrame:
     parts of the words and of the model."""
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w, model = Words(*words.value), Model(*sent.value)
-        places, hashes = Places(w), WordHashes()
+        hashes = WordHashes()
         log_c = np.log10(np.r_[w.counts, 0] + 0.1)  # the last for -1
         for batch in batches:
             for part in small_batches(batch):
-                ws = [[*tokens(t.as_py()), END] for t in part.column("text")]
-                lengths = np.array([len(x) for x in ws])
-                at = np.fromiter(map(places.__getitem__, chain.from_iterable(ws)), np.int64, int(lengths.sum()))
+                ws, number, lengths = words_of(part.column("text"))
+                h = np.fromiter(map(hashes.__getitem__, [*ws, END]), np.uint64, len(ws) + 1)
+                place = places_of(h, w)
+                # the rare words of each document, with their counts
+                doc = np.repeat(np.arange(len(lengths)), lengths)
+                rare = place.take(number) < 0
+                pair, rare_n = np.unique(doc[rare] * len(ws) + number[rare], return_counts=True)
+                doc, number_of = np.divmod(pair, max(len(ws), 1))
+                ends = pa.array(np.searchsorted(doc, np.arange(len(lengths) + 1)).astype(np.int32))
+                rare_h, rare_n = (pa.ListArray.from_arrays(ends, pa.array(x)) for x in (h.view(np.int64)[number_of], rare_n))
+                at, lengths = with_ends(place.take(number), lengths, place[-1])
                 out = _outputs(at, w)
                 a, b = _contexts(out, lengths, w)
                 first = np.r_[0, np.cumsum(lengths)[:-1]]
                 rare, logs = at < 0, np.where(at < 0, 0.0, log_c[at])
                 is_other = out == w.other
                 lp = model.log_probs(a, b, out) / math.log(10)
-                rare_h, rare_n = [], []
-                flags = np.split(rare, first[1:])
-                for doc, flag in zip(ws, flags):
-                    h, n = np.unique(np.array([hashes[doc[i]] for i in np.flatnonzero(flag)], np.uint64), return_counts=True)
-                    rare_h.append(h.view(np.int64))
-                    rare_n.append(n)
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": part.column("doc_id"), "sig": part.column("sig"), "n_tokens": pa.array(lengths.astype(np.int64)),
                     "known": pa.array(np.add.reduceat((~rare).astype(np.int64), first)),
@@ -510,8 +576,7 @@ def score_rows(docs: DataFrame, words: Broadcast, sent: Broadcast) -> DataFrame:
                     "inner": pa.array(np.add.reduceat(np.where(is_other, logs, 0.0), first)),
                     "others": pa.array(np.add.reduceat(is_other.astype(np.int64), first)),
                     "model": pa.array(np.add.reduceat(lp, first)),
-                    "rare_h": pa.array(rare_h, pa.list_(pa.int64())), "rare_n": pa.array(rare_n, pa.list_(pa.int64()))})
-        places.clear()
+                    "rare_h": rare_h, "rare_n": rare_n})
         hashes.clear()
         give_back()
     rows = docs.select("doc_id", F.xxhash64("text").alias("sig"), "text")

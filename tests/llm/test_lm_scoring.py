@@ -12,6 +12,7 @@ import pyarrow as pa
 import pytest
 
 from daybook.llm import lm_scoring as lm
+from daybook.llm.near_dedup import tokens
 
 SF = "/root/testdata/sf0.01"
 
@@ -139,3 +140,53 @@ def test_training_leaves_no_shuffle_files_or_broadcasts_behind(spark, make):
             break
         time.sleep(0.1)
     assert blocks() <= before and set(os.listdir(spark.sparkContext._temp_dir)) <= sent
+
+
+def test_words_of_a_batch_are_the_tokens_of_every_text():
+    rng, letters = random.Random(4), list(" \t\n\x0b\x0c\r\x1c\x1f\x85\xa0 \x00aAbBÄſKİ0-")
+    for size in [0, 1, *[rng.randrange(1, 8) for _ in range(200)]]:
+        texts = ["".join(rng.choice(letters) for _ in range(rng.randrange(0, 14))) for _ in range(size)]
+        ws, number, lengths = lm.words_of(pa.array(["left out", *texts], pa.string())[1:])
+        want = [tokens(t) for t in texts]
+        assert len(set(ws)) == len(ws) and [ws[i] for i in number] == sum(want, []) and lengths.tolist() == [len(x) for x in want]
+
+
+def _one_step(m, share, a, b, out, n, seed):
+    """The only step of one batch and one class, every noise draw by itself, in doubles."""
+    rng = np.random.default_rng(seed)
+    rng.permutation(len(out)), rng.permutation(1)
+    x = np.searchsorted(np.cumsum(share), rng.random(lm.NOISE), "right")
+    r, q, c, bias = (p.astype(float) for p in (m.r, m.q, m.c, m.bias))
+    ctx, offset, u = c[0] * r[a] + c[1] * r[b], np.log(lm.NOISE * share), n / n.sum()
+    gain = -u / (1 + np.exp((ctx * q[out]).sum(1) + bias[out] - offset[out]))
+    lose = u[:, None] / (1 + np.exp(-(ctx @ q[x].T + bias[x] - offset[x])))
+    d_ctx = gain[:, None] * q[out] + lose @ q[x]
+    grads = [np.zeros_like(p) for p in (r, q, c, bias)]
+    for rows, d in ((a, d_ctx * c[0]), (b, d_ctx * c[1])):
+        np.add.at(grads[0], rows, d)
+    for rows, d in ((out, gain[:, None] * ctx), (x, lose.T @ ctx)):
+        np.add.at(grads[1], rows, d)
+    grads[2] += np.stack([(d_ctx * r[a]).sum(0), (d_ctx * r[b]).sum(0)])
+    for rows, d in ((out, gain), (x, lose.sum(0))):
+        np.add.at(grads[3], rows, d)
+    return [p - lm.RATE * g / np.sqrt(lm.DAMP + g * g) for p, g in zip((r, q, c, bias), grads)]
+
+
+@pytest.mark.parametrize("size", [8, 240])  # all outputs in one product, those drawn only
+@pytest.mark.parametrize("weighted", [False, True])
+def test_noise_drawn_again_is_computed_once_and_counts_as_often(monkeypatch, size, weighted):
+    rng = np.random.default_rng(size)
+    counts = np.r_[300, rng.integers(5, 900, size)]
+    w = lm.Words(np.arange(size + 1, dtype=np.uint64), counts, np.arange(size + 1).astype(np.int32), size, int(counts.sum()) + 90, size + 50)
+    m = lm.Model.start(w)
+    a, b, out = rng.integers(0, size + 3, 700), rng.integers(0, size + 3, 700), rng.integers(0, size + 2, 700)
+    n, widths, tanh = rng.integers(1, 9, 700) * 1.0 if weighted else np.ones(700), [], np.tanh
+
+    def noted(x, **to):
+        widths.extend(x.shape[1:])
+        return tanh(x, **to)
+    monkeypatch.setattr(np, "tanh", noted)
+    got = lm.train_share(m, w.unigram(), a, b, out, n, 9)
+    assert len(widths) == 1 and widths[0] < lm.NOISE
+    for p, want in zip((got.r, got.q, got.c, got.bias), _one_step(m, w.unigram(), a, b, out, n, 9)):
+        assert np.allclose(p, want, atol=2e-4)
