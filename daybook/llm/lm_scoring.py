@@ -343,7 +343,6 @@ def train_share(model: Model, noise_share: np.ndarray, a: np.ndarray, b: np.ndar
 
     A noise output drawn several times is computed once and counts as often.
     Where a class has few outputs beyond those drawn, all are one product.
-    A logistic value is (1 + tanh(x / 2)) / 2, one operation on the product.
     """
     rng, edges = np.random.default_rng(seed), model.edges
     r, q, k, c, bias, top_bias = (p if in_place else p.copy() for p in model.parts())
@@ -362,7 +361,7 @@ def train_share(model: Model, noise_share: np.ndarray, a: np.ndarray, b: np.ndar
         """``rows``: a, b, output, class; ``v``: vectors of the outputs to choose
         among, of which ``rows`` has the number, from ``lo`` on, in ``column``."""
         x = np.minimum(np.searchsorted(steps, rng.random(NOISE), "right"), len(steps) - 1)
-        times = 0.5 * np.bincount(x, minlength=len(v)).astype(np.float32)
+        times = np.bincount(x, minlength=len(v)).astype(np.float32)
         drawn, at = np.flatnonzero(times), rows[:, column] - lo
         every = len(v) <= len(drawn) + _BESIDE
         if every:
@@ -380,24 +379,25 @@ def train_share(model: Model, noise_share: np.ndarray, a: np.ndarray, b: np.ndar
         wide = both @ mix  # the context and a one, by which the biases are multiplied
         wide[:, DIM] = 1
         ctx, noise, times = wide[:, :DIM], v[drawn], times[drawn]
-        lose = wide @ np.c_[0.5 * noise, 0.5 * (v_bias[drawn] - offset[drawn])].T
-        np.tanh(lose, out=lose)
+        lose = wide @ np.c_[-noise, offset[drawn] - v_bias[drawn]].T
+        np.exp(lose, out=lose)
         if every:
             each = np.arange(len(rows))
-            gain = 0.5 * lose[each, at] - 0.5
+            gain = -1 / (1 + 1 / lose[each, at])
             lose += 1
-            lose *= times
+            np.divide(times, lose, out=lose)
             lose[each, at] += gain
             lose *= u
             d_ctx, d, d_bias = lose @ noise, lose.T @ ctx, np.ones(len(rows), np.float32) @ lose
         else:
             mine = v.take(at, 0)
             gain = np.einsum("ij,ij->i", ctx, mine) + (v_bias - offset).take(at)
-            gain = (0.5 * np.tanh(0.5 * gain) - 0.5)[:, None] * u
+            gain = (-1 / (1 + np.exp(gain)))[:, None] * u
             lose += 1
             if weighted:
-                lose *= u
+                np.divide(u, lose, out=lose)
             else:
+                np.reciprocal(lose, out=lose)
                 times = times * u
             d_ctx = lose @ (noise * times[:, None])
             mine *= gain
@@ -437,13 +437,14 @@ def train_share(model: Model, noise_share: np.ndarray, a: np.ndarray, b: np.ndar
             batches += [(g, slice(x, min(x + BATCH, end))) for x in range(at, end, BATCH)]
         at = end
     top = noise_of(top_share)
-    for turn in rng.permutation(len(batches)):
-        g, i = batches[turn]
-        if g < 0:
-            step(data[i], n[i], k, top_bias, past_k, past_top, *top, 3, 0)
-        else:
-            j = slice(edges[g], edges[g + 1])
-            step(by_class[i], by_n[i], q[j], bias[j], past_q[j], past_bias[j], *shares[g], 2, edges[g])
+    with np.errstate(over="ignore", divide="ignore"):  # a logistic value of 0 or 1
+        for turn in rng.permutation(len(batches)):
+            g, i = batches[turn]
+            if g < 0:
+                step(data[i], n[i], k, top_bias, past_k, past_top, *top, 3, 0)
+            else:
+                j = slice(edges[g], edges[g + 1])
+                step(by_class[i], by_n[i], q[j], bias[j], past_q[j], past_bias[j], *shares[g], 2, edges[g])
     return Model(r, q, k, c, bias, top_bias, edges)
 
 
